@@ -24,7 +24,18 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), n=3, threshold="0.9")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join)}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from . import langid
+
+    docs = _table(spark, sf_dir, "documents")
+    rest = langid.remainder("doc_id", 3)
+    trees = langid.fit(docs.where(F.coalesce(rest != 1, F.lit(False))))
+    return langid.predict(docs.withColumn("held_out", F.coalesce(rest == 1, F.lit(True))), trees, keep=("held_out",))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op9_language_id)}
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
