@@ -35,26 +35,40 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.withColumn("held_out", F.coalesce(rest == 1, F.lit(True))), trees, keep=("held_out",))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op9_language_id)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive_round_trip
+
+    index = archive_round_trip(_table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op9_language_id, op10_warc)}
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLES = {
+    "op10_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to FROM f
+""",
     # every pair that shares a shingle, then the transitive closure
     "op2_jaccard_join": rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS ws FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(ws) - 1), i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh FROM w),
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh FROM w),
 n AS (SELECT doc_id, len(sh) AS n FROM s),
 cls AS (SELECT doc_id, list_sort(sh) AS k, n FROM s JOIN n USING (doc_id)),
 rep AS (SELECT min(doc_id) AS r, k, any_value(n) AS n FROM cls WHERE n > 0 GROUP BY k),
 g AS (SELECT r, n, unnest(k) AS x FROM rep),
 inter AS (SELECT a.r AS a, b.r AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS i FROM g a JOIN g b ON a.x = b.x AND a.r < b.r GROUP BY 1, 2),
 link AS (SELECT a, b FROM inter WHERE 100 * i >= 90 * (na + nb - i)),
-both AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
-reach(a, b) AS (SELECT r, r FROM rep UNION SELECT reach.a, both.b FROM reach JOIN both ON reach.b = both.a),
+sides AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT r, r FROM rep UNION SELECT reach.a, sides.b FROM reach JOIN sides ON reach.b = sides.a),
 comp AS (SELECT a AS r, min(b) AS component FROM reach GROUP BY a)
 SELECT c.doc_id, c.n AS n_shingles, coalesce(comp.component, c.doc_id) AS component_id
 FROM cls c LEFT JOIN rep ON rep.k = c.k AND c.n > 0 LEFT JOIN comp ON comp.r = rep.r
