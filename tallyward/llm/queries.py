@@ -42,7 +42,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op9_language_id, op10_warc)}
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import find_overlaps
+
+    return find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("row")
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op6_decontamination, op9_language_id, op10_warc)}
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
