@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 _M64 = (1 << 64) - 1
 
 

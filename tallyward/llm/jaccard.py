@@ -6,10 +6,8 @@ cut at D + 1 fragments for that class, so two linked sets agree exactly in one f
 contents of a fragment are candidates, all others are not. Overlaps of the candidates are counted fragment by fragment
 and summed per pair.
 
-Equal sets are one class from the start. Candidates of a bucket (class, fragment, contents) are first held only against
-the bucket's most central member; what that links is one component. Then each member outside the leader's component is
-held against the bucket's members in other components. A pair that is never compared is in one component already, so the
-components are those of all links, while a bucket of near copies costs rows in proportion to its size.
+Equal sets are one class from the start. buckets.py says how a bucket (class, fragment, contents) of near copies is
+worked through without all its pairs and without losing a link.
 
 Before any texts move, pairs are pruned by an exact bound: two parity sketches (bit i: the parity of the number of grams
 hashed to i) differ in at most as many bits as the sets differ in grams.
@@ -31,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .buckets import bucket_components, shared_buckets
 from .common import LOWER, as_long, materialize, mix, prefix_hash, span_hash, text_slices
-from .components import connected_components
 
 SKETCH = 8  # 64-bit words of the parity sketch
 PARTS = 8  # vertical fragments in which overlaps of candidate pairs are counted
@@ -184,7 +182,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     left = _named(frag, "x", ["key", "n", "part", "grams"])
     right = _named(frag, "y", ["key", "n", "part", "grams"])
     partial = (
-        pairs.join(left, F.col("x") == F.col("x_key"))
+        pairs.select("x", "y").join(left, F.col("x") == F.col("x_key"))
         .join(right, (F.col("y") == F.col("y_key")) & (F.col("x_part") == F.col("y_part")))
         .select("x", "y", "x_n", "y_n", F.size(F.array_intersect("x_grams", "y_grams")).alias("partial"))
     )
@@ -205,10 +203,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     all_sets = materialize(
         rows.mapInArrow(_set_rows(n, t), f"id {id_type}, row long, n_shingles long, key long, sigs array<long>"), "sets"
     )
-    postings = all_sets.where("size(sigs) > 0").select("key", F.explode("sigs").alias("sig"))
-    # buckets that two different sets share
-    both = postings.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("sig")
-    shared = materialize(postings.join(both, "sig").distinct(), "shared")
+    postings = all_sets.select("key", F.explode("sigs").alias("sig"))
+    shared = materialize(shared_buckets(postings, all_sets.agg(F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()[0]), "shared")
     # one text of each set in them
     needed = shared.select("key").distinct()
     sample = all_sets.where("key is not null").groupBy("key").agg(F.min("row").alias("row")).join(needed, "key")
@@ -216,37 +212,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets = materialize(
         texts.mapInArrow(_fragment_rows(n), "key long, n long, sketch array<long>, parts array<array<long>>"), "fragments"
     )
-    # the most central member of a bucket: the one whose buckets hold the most members
-    members = shared.groupBy("sig").agg(F.count("*").alias("members"))
-    rank = shared.join(members, "sig").groupBy("key").agg(F.sum("members").alias("rank"))
-    light = sets.select("key", "n", "sketch")
-    member = shared.join(rank, "key")
-    leader = member.groupBy("sig").agg(F.max(F.struct("rank", "key"))["key"].alias("leader"))
-    star = member.join(leader, "sig").where("key != leader").select(F.col("key").alias("x"), F.col("leader").alias("y")).distinct()
-    left, right = _named(light, "x", ["key", "n", "sketch"]), _named(light, "y", ["key", "n", "sketch"])
-
-    def pruned(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(_close(t)).select("x", "y")
-        )
-
-    first = materialize(_linked(pruned(star), sets, t), "links")
-    comp = materialize(connected_components(first, "x", "y"), "components")
-    # members outside the leader's component against all members of other components
-    in_comp = shared.select("sig", "key").join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("component", "key"))
-    lead = leader.join(comp.withColumnRenamed("node", "leader"), "leader", "left").select("sig", "leader", F.coalesce("component", "leader").alias("lead_comp"))
-    tagged = in_comp.join(lead, "sig").join(light, "key").select("sig", "key", "n", "sketch", "comp", "lead_comp", "leader")
-    outer = _named(tagged.where("comp != lead_comp"), "x", ["sig", "key", "n", "sketch", "comp", "lead_comp"])
-    every = _named(tagged, "y", ["sig", "key", "n", "sketch", "comp", "lead_comp", "leader"])
-    rest = (
-        outer.join(every, F.col("x_sig") == F.col("y_sig"))
-        .where("x_comp != y_comp and y_key != y_leader and (y_comp = y_lead_comp or x_key < y_key)")
-        .where(_close(t))
-        .select(F.col("x_key").alias("x"), F.col("y_key").alias("y"))
-        .distinct()
-    )
-    second = _linked(rest, sets, t)
-    comp = connected_components(first.unionByName(second), "x", "y")
+    comp = bucket_components(shared, sets.select("key", "n", "sketch"), lambda: _close(t), lambda pairs: _linked(pairs, sets, t))
     return (
         all_sets.select("id", "row", "n_shingles", "key")
         .join(comp.withColumnRenamed("node", "key"), "key", "left")

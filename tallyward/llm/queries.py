@@ -42,13 +42,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lines import line_verdicts
+
+    return line_verdicts(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import find_overlaps
 
     return find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("row")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op6_decontamination, op9_language_id, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op5_line_dedup, op6_decontamination, op9_language_id, op10_warc)}
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
