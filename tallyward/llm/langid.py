@@ -150,10 +150,13 @@ class Trees:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400) -> Trees:
     """Trees of the languages in lang_col, from at most per_language texts of each."""
     ship(docs.sparkSession)
-    pick = Window.partitionBy("lang").orderBy("h", "id")
+    # ranked within slices of a language first, so that no task sees all rows of a large language
+    part, pick = Window.partitionBy("lang", F.pmod("h", F.lit(256))).orderBy("h", "id"), Window.partitionBy("lang").orderBy("h", "id")
     sample = (
         docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
         .select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("h"))
+        .withColumn("k", F.row_number().over(part))
+        .where(F.col("k") <= per_language)
         .withColumn("k", F.row_number().over(pick))
         .where(F.col("k") <= per_language)
         .select("lang", "id")

@@ -24,6 +24,18 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), n=3, threshold="0.9")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from . import toxicity
+    from .langid import remainder
+
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(remainder("doc_id", 5) != 0))
+    held = docs.withColumn("held_out", F.coalesce(remainder("doc_id", 5) == 0, F.lit(True)))
+    return toxicity.score(held, model, keep=("held_out",)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -54,7 +66,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("row")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op5_line_dedup, op6_decontamination, op9_language_id, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op5_line_dedup, op6_decontamination, op7_toxicity, op9_language_id, op10_warc)}
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
