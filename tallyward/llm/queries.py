@@ -36,6 +36,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(held, model, keep=("held_out",)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_counts import count_tokens
+
+    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), rule="most")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -54,6 +62,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lines import line_verdicts
 
@@ -66,11 +82,19 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("row")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op5_line_dedup, op6_decontamination, op7_toxicity, op9_language_id, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op3_topk, op5_line_dedup, op6_decontamination, op7_toxicity, op8_token_counts, op9_language_id, op10_warc)}
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLES = {
+    "op3_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * coalesce(c.e[i], 0)))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+""",
     "op10_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
