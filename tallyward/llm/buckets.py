@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -15,6 +17,27 @@ from .components import connected_components
 PER_RANGE = 400_000  # postings that a task looks through
 
 
+SKETCH = 8  # 64-bit words of a parity sketch
+
+
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Bit i is the parity of the number of members hashed to i: two sketches differ in no more bits than the sets differ
+    in members, which bounds the similarity of sets before any set moves."""
+    bits = np.bincount((hashes & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def close(t: Fraction) -> Column:
+    """What sets of Jaccard similarity >= t surely keep, by their sizes and sketches; x_ and y_ name the sides."""
+    p, q = t.numerator, t.denominator
+    bits = [F.bit_count(F.col("x_sketch")[i].bitwiseXOR(F.col("y_sketch")[i])) for i in range(SKETCH)]
+    return (
+        (F.least("x_n", "y_n") * q >= F.greatest("x_n", "y_n") * p)
+        # |x ^ y| <= (n_x + n_y) (1 - t) / (1 + t)
+        & (reduce(Column.__add__, bits) * (q + p) <= (F.col("x_n") + F.col("y_n")) * (q - p))
+    )
+
+
 def shared_buckets(postings: DataFrame, rows: int) -> DataFrame:
     """The distinct postings (sig long, key long) whose sig has two keys at least, by one range shuffle on (sig, key).
 
@@ -53,7 +76,7 @@ def shared_buckets(postings: DataFrame, rows: int) -> DataFrame:
 
 
 def bucket_components(
-    shared: DataFrame, traits: DataFrame, near: Callable[[], "F.Column"], linked: Callable[[DataFrame], DataFrame]
+    shared: DataFrame, traits: DataFrame, near: Callable[[], Column], linked: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """(node, component) by all links between keys that share a bucket.
 

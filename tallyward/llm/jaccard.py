@@ -9,9 +9,6 @@ and summed per pair.
 Equal sets are one class from the start. buckets.py says how a bucket (class, fragment, contents) of near copies is
 worked through without all its pairs and without losing a link.
 
-Before any texts move, pairs are pruned by an exact bound: two parity sketches (bit i: the parity of the number of grams
-hashed to i) differ in at most as many bits as the sets differ in grams.
-
 Sets are named by a 64-bit sum over their grams' hashes together with their size.
 Defined cases: null or blank text has an empty set and links with nothing (its component is its own id); fewer than n
 words give one gram of the whole sequence; rows with null ids take part and never give the component's id unless all ids
@@ -25,14 +22,13 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .buckets import bucket_components, shared_buckets
+from .buckets import bucket_components, close, parity_sketch, shared_buckets
 from .common import LOWER, as_long, materialize, mix, prefix_hash, span_hash, text_slices
 
-SKETCH = 8  # 64-bit words of the parity sketch
 PARTS = 8  # vertical fragments in which overlaps of candidate pairs are counted
 _GROWTH = Fraction(5, 4)  # ratio of neighbouring size classes
 
@@ -144,8 +140,7 @@ def _fragment_rows(n: int):
                 sketches = []
                 for d in range(len(cuts) - 1):
                     a = g[cuts[d] : cuts[d + 1]]
-                    bits = np.bincount((a & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
-                    sketches.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
+                    sketches.append(parity_sketch(a))
                 edges = (np.arange(1, PARTS, dtype=np.uint64) << np.uint64(61)) if PARTS == 8 else None
                 parts = [np.split(g[cuts[d] : cuts[d + 1]], np.searchsorted(g[cuts[d] : cuts[d + 1]], edges)) for d in range(len(cuts) - 1)]
                 yield pa.RecordBatch.from_arrays(
@@ -161,17 +156,6 @@ def _fragment_rows(n: int):
     return rows
 
 
-def _close(t: Fraction) -> Column:
-    """The exact bounds on sizes and on the difference of the sets behind two sketches; x_ and y_ name the sides."""
-    p, q = t.numerator, t.denominator
-    bits = sum((F.bit_count(F.col("x_sketch")[i].bitwiseXOR(F.col("y_sketch")[i])) for i in range(1, SKETCH)), F.bit_count(F.col("x_sketch")[0].bitwiseXOR(F.col("y_sketch")[0])))
-    return (
-        (F.least("x_n", "y_n") * q >= F.greatest("x_n", "y_n") * p)
-        # |x ^ y| <= (n_x + n_y) (1 - t) / (1 + t)
-        & (bits * (q + p) <= (F.col("x_n") + F.col("y_n")) * (q - p))
-    )
-
-
 def _named(df: DataFrame, side: str, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{side}_{c}") for c in columns])
 
@@ -212,7 +196,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets = materialize(
         texts.mapInArrow(_fragment_rows(n), "key long, n long, sketch array<long>, parts array<array<long>>"), "fragments"
     )
-    comp = bucket_components(shared, sets.select("key", "n", "sketch"), lambda: _close(t), lambda pairs: _linked(pairs, sets, t))
+    comp = bucket_components(shared, sets.select("key", "n", "sketch"), lambda: close(t), lambda pairs: _linked(pairs, sets, t))
     return (
         all_sets.select("id", "row", "n_shingles", "key")
         .join(comp.withColumnRenamed("node", "key"), "key", "left")

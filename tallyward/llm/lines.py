@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .buckets import bucket_components, shared_buckets
+from .buckets import bucket_components, close, parity_sketch, shared_buckets
 from .common import LOWER, as_long, materialize, mix, prefix_hash, ship, span_hash, text_slices
 
 CHARS = 9
@@ -121,25 +121,41 @@ def _pick(it):
             start, end, heads = split_lines(data, offsets)
             key = as_long(span_hash(prefix_hash(data), start, end))
             raw = data.tobytes()
-            keys, texts = [], []
+            keys, texts, at = [], [], []
             for d in range(len(offsets) - 1):
                 want = set(wanted[first + d])
                 for i in range(heads[d], heads[d + 1]):
                     if end[i] > start[i] and int(key[i]) in want:
                         want.discard(int(key[i]))
                         keys.append(int(key[i]))
+                        at.append(i)
                         texts.append(raw[start[i] : end[i]].decode("utf-8", "replace"))
                 if want:
                     raise ValueError("docs gave other rows when read again; write it to a table first")
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.string())], ["key", "line"])
+            h, line = shingles(data, start[at], end[at]) if at else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            cuts = np.searchsorted(line, np.arange(len(at) + 1))
+            sets = [np.unique(h[cuts[i] : cuts[i + 1]]) for i in range(len(at))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys, pa.int64()), pa.array(texts, pa.string()), pa.array([len(x) for x in sets], pa.int64()),
+                    pa.array([parity_sketch(x) for x in sets], pa.list_(pa.int64())),
+                ],
+                ["key", "line", "n", "sketch"],
+            )
 
 
 def _jaccard(t: Fraction):
+    def shingled(s):
+        return {s[i : i + CHARS] for i in range(max(1, len(s) - CHARS + 1))}
+
     def rows(it):
+        last, y = None, set()
         for batch in it:
             keep = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = ({s[i : i + CHARS] for i in range(max(1, len(s) - CHARS + 1))} for s in (a, b))
+                if b != last:  # pairs with one leader stand together
+                    last, y = b, shingled(b)
+                x = shingled(a)
                 common = len(x & y)
                 keep.append(common * t.denominator >= (len(x) + len(y) - common) * t.numerator)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
@@ -164,9 +180,8 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     place = read.select("row", F.explode(F.array_distinct("keys")).alias("key")).groupBy("key").agg(F.min("row").alias("row"))
     wanted = place.join(shared.select("key").distinct(), "key").groupBy("row").agg(F.collect_list("key").alias("wanted"))  # a list per text
     texts = materialize(
-        base.select("row", "text").join(wanted, "row").select("text", "wanted").mapInArrow(_pick, "key long, line string")
-        .withColumn("size", F.greatest(F.length("line") - (CHARS - 1), F.lit(1))), "texts",
-    )
+        base.select("row", "text").join(wanted, "row").select("text", "wanted").mapInArrow(_pick, "key long, line string, n long, sketch array<long>"), "texts"
+    )
 
     def linked(pairs: DataFrame) -> DataFrame:
         line = texts.select("key", "line")
@@ -178,8 +193,7 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         )
         return both.mapInArrow(_jaccard(t), "x long, y long")
 
-    # repeats within a line make sets smaller than sizes, so sizes bound nothing by themselves
-    comp = bucket_components(shared, texts.select("key"), lambda: F.lit(True), linked)
+    comp = bucket_components(shared, texts.select("key", "n", "sketch"), lambda: close(t), linked)
     labelled = occur.join(comp.withColumnRenamed("node", "key"), "key", "left").select(
         F.struct(F.col("id").isNull().alias("none"), "id", "row", "line").alias("at"), F.coalesce("component", "key").alias("label")
     )

@@ -70,6 +70,12 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import digest, scan
+
+    return digest(scan(_table(spark, sf_dir, "documents")))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lines import line_verdicts
 
@@ -82,7 +88,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("row")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op3_topk, op5_line_dedup, op6_decontamination, op7_toxicity, op8_token_counts, op9_language_id, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op3_topk, op4_secrets, op5_line_dedup, op6_decontamination, op7_toxicity, op8_token_counts, op9_language_id, op10_warc)}
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
