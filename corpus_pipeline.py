@@ -1,7 +1,60 @@
-STAGES = []
-ORACLE_SQL = None
+"""From raw documents to token ids: five stages, each a Spark job over all that the one before kept.
 
+Every stage but the last returns the columns of documents. A stage's result is written as Parquet in the shared folder and
+read again, which also cuts the lineage, so that a lost executor costs at most the stage at hand.
+"""
 
-def run(spark, sf_dir):
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyward.llm import bpe, decontam, jaccard, langid, lines
+from tallyward.llm.common import materialize
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a recognisable language (null, or no letter) go."""
+    trees = langid.fit(docs)
+    found = langid.predict(docs, trees, keep=tuple(c for c in docs.columns if c != "doc_id"))
+    return found.where(F.col("lang_pred") != "und").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-equal lines one stays in the whole corpus; texts that lose all their lines go."""
+    kept = lines.drop_lines(docs)
+    return kept.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*docs.columns)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that five-word shingles connect at 0.8 or more, the one with the smallest doc_id stays."""
+    return jaccard.keep_one(docs, n=5, threshold="0.8")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that overlap with a benchmark item go."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what is left, with the digest of their decoding."""
+    import public_tokenizers
+
+    return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), outputs=("n_tokens", "ids", "decoded_sha256"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("ngram_jaccard", ngram_jaccard),
+    ("decontamination", decontamination),
+    ("bpe_tokens", bpe_tokens),
+]
+ORACLE_SQL = None  # the stages' tests hold run() against brute force
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
     return docs

@@ -211,3 +211,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return found.join(smallest, "component_key", "left").select(
         id_col, "n_shingles", F.when(F.col("component_key").isNull(), F.col(id_col)).otherwise(F.col("component_id")).alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: str = "0.8") -> DataFrame:
+    """docs without all rows but one of each component; the one with the smallest id (nulls last, then by row) stays, and
+    so do all rows with an empty set. Columns stay. docs must be a table."""
+    found = materialize(similar_sets(docs, id_col, text_col, n, threshold), "similar").where("component_key is not null")
+    at = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "row")
+    kept = found.groupBy("component_key").agg(F.min(at)["row"].alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    gone = found.join(kept, "component_key").where("row != kept").select(F.col("row").alias("__row"))
+    return docs.withColumn("__row", F.monotonically_increasing_id()).join(gone, "__row", "left_anti").select(*docs.columns)

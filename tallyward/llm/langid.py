@@ -193,10 +193,12 @@ def predict(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str
     names = [id_col, *keep]
     head = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
 
+    at = names.index(text_col) if text_col in names else len(names)
+
     def score(it):
         trees = shared.value
         for batch in it:
-            text = batch.column(len(names))
+            text = batch.column(at)
             for first, data, offsets in text_slices(text):
                 k = len(offsets) - 1
                 pred, conf = ["und"] * k, np.zeros(k)
@@ -214,4 +216,5 @@ def predict(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str
                 cols = [batch.column(j).slice(first, k) for j in range(len(names))]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(conf)], [*names, "lang_pred", "score"])
 
-    return docs.select(*names, F.col(text_col).alias("__text")).mapInArrow(score, f"{head}, lang_pred string, score double")
+    more = [] if text_col in names else [F.col(text_col).alias("__text")]
+    return docs.select(*names, *more).mapInArrow(score, f"{head}, lang_pred string, score double")
