@@ -4,7 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    return []
+    from . import finance
+
+    return [finance]
 
 
 def queries() -> dict:
