@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import finance
+    from . import finance, votes
 
-    return [finance]
+    return [finance, votes]
 
 
 def queries() -> dict:
