@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import finance, votes
+    from . import finance, text, votes
 
-    return [finance, votes]
+    return [finance, votes, text]
 
 
 def queries() -> dict:
