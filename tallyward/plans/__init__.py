@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import finance, text, votes
+    from . import finance, records, text, votes
 
-    return [finance, votes, text]
+    return [finance, votes, text, records]
 
 
 def queries() -> dict:
