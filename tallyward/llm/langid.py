@@ -118,7 +118,7 @@ class Trees:
                     left = np.maximum(((~gone) * weight).sum(1, keepdims=True), 1)
                     out = np.where(gone, out, escaped + np.log2(left))
                     bits[part, :, i] = out
-        self.bits = bits.reshape(-1, len(self.langs))
+        self.bits = bits.reshape(len(contexts) * a, len(self.langs))
 
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each text in each language."""

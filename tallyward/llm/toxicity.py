@@ -57,7 +57,7 @@ class Model:
 
     def sentences(self, place: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
         z = _sums(self.weights[place], sentence, n) + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
     def texts(self, p: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
         return 1 - (1 - self.leak) * np.exp(_sums(np.log1p(-np.minimum(p, 1 - 1e-12)), text, n))
@@ -67,7 +67,7 @@ def train(place: np.ndarray, sentence: np.ndarray, text: np.ndarray, label: np.n
     """Full-batch training; place/sentence: words of sentences, text: the text of each sentence, label: of each text."""
     share = float(label.mean()) if len(label) else 0.0
     if len(label) == 0 or share in (0.0, 1.0):
-        return Model(np.zeros(1 << BITS), -30.0, share)
+        return Model(np.zeros(1 << BITS), -700.0, share)
     n_s, n_t = len(text), len(label)
     # places that one text alone holds can only be learned by heart
     holders = np.unique(place * n_t + text[sentence]) // n_t

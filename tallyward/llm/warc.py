@@ -61,7 +61,7 @@ def record(page: int | None, url: str | None, stamp: str, payload: bytes, digest
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", time_col: str | None = None) -> None:
-    """Write a record per row below `path`. Without time_col, the capture time counts seconds from 2000 by id."""
+    """Write a record per row below `path`; pages must be a table, as it is read twice. Without time_col, the capture time counts seconds from 2000 by id."""
     ship(pages.sparkSession)
     stamp = F.col(time_col).cast("timestamp") if time_col else F.timestamp_seconds(F.lit(946684800) + F.coalesce(F.col(id_col), F.lit(0)) % 946080000)
     rows = pages.select(
