@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .components import connected_components
 
+PICKS = 3  # members of a bucket's component that others are held against
 PER_RANGE = 400_000  # postings that a task looks through
 
 
-SKETCH = 8  # 64-bit words of a parity sketch
+SKETCH = 16  # 64-bit words of a parity sketch
 
 
 def parity_sketch(hashes: np.ndarray) -> np.ndarray:
@@ -83,10 +84,11 @@ def bucket_components(
     shared: (sig, key), distinct. traits: (key, ...), a row per key. near(): an exact bound on columns x_<trait> and
     y_<trait> that every link keeps. linked(pairs of x, y with their traits): those that link, as (x, y).
 
-    First each bucket's members are held against its most central member only (the one whose buckets hold the most).
-    Members that this leaves outside the leader's component are then held against all members of other components. A pair
-    that is never compared is in one component already, so these are the components of all links in the buckets, while
-    rows stay in proportion to the members of a bucket of near copies.
+    First each bucket's members are held against its most central member only (the one whose buckets hold the most), and
+    what is left outside that leader's component against PICKS other members of the component, drawn by hashes, so that a
+    member with many links to the component finds one of them. Members that are still outside are then held against all
+    members of other components. A pair that is never compared is in one component already, so these are the components of
+    all links in the buckets, while rows stay in proportion to the members of a bucket of near copies.
     """
     cols = traits.columns
     left, right = (traits.select(*[F.col(c).alias(f"{s}_{c}") for c in cols]) for s in "xy")
@@ -95,15 +97,22 @@ def bucket_components(
     leader = materialize(shared.join(rank, "key").groupBy("sig").agg(F.max(F.struct("rank", "key"))["key"].alias("leader")), "leaders")
     star = shared.join(leader, "sig").where("key != leader").select(F.col("key").alias("x"), F.col("leader").alias("y")).distinct()
     pairs = star.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(near())
-    first = materialize(linked(pairs), "links")
-    comp = materialize(connected_components(first, "x", "y"), "components")
-    tagged = (
-        shared.join(comp.withColumnRenamed("node", "key"), "key", "left")
-        .withColumn("comp", F.coalesce("component", "key"))
-        .drop("component")
-        .join(leader.join(comp.withColumnRenamed("node", "leader"), "leader", "left").select("sig", "leader", F.coalesce("component", "leader").alias("home")), "sig")
-        .join(traits, "key")
-    )
+    links = materialize(linked(pairs), "links")
+
+    def tag(comp: DataFrame) -> DataFrame:
+        """shared with each member's component and that of its bucket's leader (home)."""
+        home = leader.join(comp.withColumnRenamed("node", "leader"), "leader", "left").select("sig", "leader", F.coalesce("component", "leader").alias("home"))
+        member = shared.join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
+        return member.join(home, "sig")
+
+    # what the leader leaves outside, against other members of its component
+    tagged = materialize(tag(connected_components(links, "x", "y")), "tagged")
+    picks = [F.max(F.struct(F.xxhash64("key", "sig", F.lit(r)), "key"))["key"] for r in range(PICKS)]
+    inner = tagged.where("comp = home and key != leader").groupBy("sig").agg(F.array_distinct(F.array(*picks)).alias("picks"))
+    more = tagged.where("comp != home").join(inner, "sig").select(F.col("key").alias("x"), F.explode("picks").alias("y")).distinct()
+    more = more.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(near())
+    links = materialize(links.unionByName(linked(more)), "links")
+    tagged = tag(connected_components(links, "x", "y")).join(traits, "key")
     names = ["sig", "comp", "home", "leader", *cols]
     outer = tagged.where("comp != home").select(*[F.col(c).alias(f"x_{c}") for c in names])
     every = tagged.select(*[F.col(c).alias(f"y_{c}") for c in names])
@@ -114,4 +123,4 @@ def bucket_components(
         .select(F.col("x_key").alias("x"), F.col("y_key").alias("y"), *[f"{s}_{c}" for s in "xy" for c in cols])
         .dropDuplicates(["x", "y"])
     )
-    return connected_components(first.unionByName(linked(rest)), "x", "y")
+    return connected_components(links.unionByName(linked(rest)), "x", "y")
