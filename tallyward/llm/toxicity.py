@@ -99,7 +99,7 @@ def train(place: np.ndarray, sentence: np.ndarray, text: np.ndarray, label: np.n
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = 12_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = 6_000) -> Model:
     """Train on at most about `rows` labelled texts. `labels` holds those that may be learned from."""
     ship(docs.sparkSession)
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("int").alias("y"))
