@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import finance, records, text, votes
+    from . import finance, intake, records, text, votes
 
-    return [finance, votes, text, records]
+    return [finance, intake, votes, text, records]
 
 
 def queries() -> dict:
