@@ -90,9 +90,42 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op3_topk, op4_secrets, op5_line_dedup, op6_decontamination, op7_toxicity, op8_token_counts, op9_language_id, op10_warc)}
 
+
+
+def _secrets_sql() -> str:
+    """Op 4 in DuckDB: places from the lengths of pieces, windows counted anew instead of step by step."""
+    from .secrets import ALLOW, BASE, CLASSES, g_table, most_g
+
+    def text(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def found(number: int, name: str, pattern: str, group: int, least: int) -> str:
+        p = text(pattern)
+        return f"""SELECT doc_id, {number} AS k, '{name}' AS kind, start, start + length(m) AS stop, m FROM (
+  SELECT doc_id, unnest(ms) AS m, unnest(vs) AS v, unnest(list_transform(range(1, len(ms) + 1), lambda i:
+    (list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT)) AS start
+  FROM (SELECT doc_id, regexp_extract_all(t, {p}, 0) AS ms, regexp_extract_all(t, {p}, {group}) AS vs, string_split_regex(t, {p}) AS gaps FROM d WHERE regexp_matches(t, {p}))) WHERE length(v) >= {least}"""
+
+    base = " UNION ALL ".join(found(i, *b) for i, b in enumerate(BASE))
+    allowed = " OR ".join(f"regexp_matches(m, {text(a)})" for a in ALLOW)
+    more = []
+    for i, (name, pattern, _, w, bits) in enumerate(CLASSES):
+        counts = f"map_values(list_aggregate(string_split(substring(m, i + 1, {w}), ''), 'histogram'))"
+        more.append(f"""SELECT doc_id, k, kind, start + min(i) AS start, start + max(i) + {w} AS stop FROM (
+  SELECT *, unnest(range(0, length(m) - {w} + 1)) AS i FROM ({found(len(BASE) + i, name, pattern, 0, w)}) c
+  WHERE NOT ({allowed}) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop))
+  WHERE list_sum(list_transform({counts}, lambda n: ({g_table(w)})[n::BIGINT + 1])) <= {most_g(w, bits)} GROUP BY doc_id, k, kind, start, m""")
+    said = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k)"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), base AS ({base}),
+every AS (SELECT doc_id, k, kind, start, stop FROM base UNION ALL {' UNION ALL '.join(more)}),
+b AS (SELECT doc_id, {', '.join(f"count(*) FILTER (kind = '{x[0]}') AS n_{x[0]}" for x in BASE)}, {said} AS said FROM base GROUP BY 1), e AS (SELECT doc_id, {said} AS spans FROM every GROUP BY 1)
+SELECT doc_id, {', '.join(f'coalesce(n_{x[0]}, 0) AS n_{x[0]}' for x in BASE)}, sha256(coalesce(said, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)"""
+
+
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLES = {
+    "op4_secrets": _secrets_sql(),
     "op3_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
   WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
