@@ -207,7 +207,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, threshold: str = "0.9") -> DataFrame:
     """A row per row of docs: the id column, n_shingles and component_id, the smallest id that links reach."""
     found = materialize(similar_sets(docs, id_col, text_col, n, threshold), "similar")
-    smallest = found.where("component_key is not null").groupBy("component_key").agg(F.min(id_col).alias("component_id"))
+    # a table of its own, so that the join deals both sides anew and adaptive execution can split a hot component
+    smallest = materialize(found.where("component_key is not null").groupBy("component_key").agg(F.min(id_col).alias("component_id")), "smallest")
     return found.join(smallest, "component_key", "left").select(
         id_col, "n_shingles", F.when(F.col("component_key").isNull(), F.col(id_col)).otherwise(F.col("component_id")).alias("component_id")
     )
@@ -218,6 +219,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     so do all rows with an empty set. Columns stay. docs must be a table."""
     found = materialize(similar_sets(docs, id_col, text_col, n, threshold), "similar").where("component_key is not null")
     at = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "row")
-    kept = found.groupBy("component_key").agg(F.min(at)["row"].alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    kept = materialize(found.groupBy("component_key").agg(F.min(at)["row"].alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n"), "kept")
     gone = found.join(kept, "component_key").where("row != kept").select(F.col("row").alias("__row"))
     return docs.withColumn("__row", F.monotonically_increasing_id()).join(gone, "__row", "left_anti").select(*docs.columns)

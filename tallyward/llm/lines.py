@@ -198,7 +198,8 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.struct(F.col("id").isNull().alias("none"), "id", "row", "line").alias("at"), F.coalesce("component", "key").alias("label")
     )
     labelled = materialize(labelled, "labelled")
-    kept = labelled.groupBy("label").agg(F.min("at").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # a table of its own, so that the join deals both sides anew and adaptive execution can split a hot label
+    kept = materialize(labelled.groupBy("label").agg(F.min("at").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n"), "kept")
     gone = (
         labelled.join(kept, "label").where("at.row != kept.row or at.line != kept.line")
         .groupBy(F.col("at.row").alias("row")).agg(F.array_sort(F.collect_list("at.line")).alias("dropped"))  # one text's lines
