@@ -178,16 +178,16 @@ def page_text(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.length(t).alias("chars"), F.md5(t.cast("binary")).alias("md5"))
 
 
-RAW = [
-    "WWW.Example.COM", "https://example.com/Path/", " none ", "N/A", "me@example.com", "see my page", "http://x", "ftp://a.b/c", "HTTPS://A.B/?q=1#f", "<a.example>",
-    "https://facebook.com/me", "m.facebook.com", "notfacebook.com", "", None, "https://user@a.b/x//", "a.b.",
-]
+#: Ways in which a page's address ({}: without scheme) may be filed.
+FILED = ["{}", " HTTPS://{} ", "<{}>", "none", "N/A", "me@{}", "see {}", "ftp://{}", "m.facebook.com/{}", "notfacebook.com/{}", None, "", "http://x"]
 
 
 def url_normalise(spark, sf_dir):
-    raw = spark.createDataFrame([(i, r) for i, r in enumerate(RAW)], "i int, raw string").join(F.broadcast(read(spark, sf_dir, "pages").agg(F.count("*").alias("pages"))), how="cross")
+    ways = F.array(*[F.lit(x) for x in FILED])
+    bare = F.regexp_replace("url", "^[a-z]+://", "")
+    raw = read(spark, sf_dir, "pages").select("page_id", F.replace(F.get(ways, (F.col("page_id") % len(FILED)).cast("int")), F.lit("{}"), bare).alias("raw"))
     url = web.declared_url(F.col("raw"))
-    return raw.select("i", url.alias("url"), web.is_non_site(F.coalesce(url, F.lit(""))).alias("non_site"), "pages")
+    return raw.select("page_id", url.alias("url"), web.is_non_site(F.coalesce(url, F.lit(""))).alias("non_site"))
 
 
 def host_throttle_key(spark, sf_dir):
@@ -289,8 +289,10 @@ FROM bills, (VALUES ('paint'), (' Roads '), (NULL)) t(topic) GROUP BY 1, 2""",
 SELECT page_id, rank, link FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY w, pos) AS rank FROM w WHERE w IS NOT NULL) WHERE rank <= 3""",
     "press_index": f"WITH {_SITE} SELECT page_id, arg_min(link, pos) AS link FROM site WHERE contains(path, 'on') OR contains(anchor, 'an') GROUP BY 1",
     "child_links": f"WITH {_SITE} SELECT page_id, rank, link FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rank FROM site WHERE path <> '/') WHERE rank <= 4",
-    "url_normalise": f"""WITH u AS (SELECT unnest(range({len(RAW)}))::INT AS i, unnest(['https://www.example.com', 'https://example.com/Path', NULL, NULL, NULL, NULL, NULL, NULL, 'https://a.b?q=1', 'https://a.example', 'https://facebook.com/me',
-  'https://m.facebook.com', 'https://notfacebook.com', NULL, NULL, 'https://user@a.b/x', NULL]) AS url) SELECT i, url, i IN (10, 11) AS non_site, (SELECT count(*) FROM pages) AS pages FROM u""",
+    "url_normalise": rf"""WITH p AS (SELECT page_id, page_id % {len(FILED)} AS k, regexp_extract(regexp_replace(url, '^[a-z]+://', ''), '^([^#]*)', 1) AS u FROM pages),
+q AS (SELECT page_id, k, lower(regexp_extract(u, '^([^/?]*)', 1)) || regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '') || regexp_extract(u, '(\?.*)$', 1) AS good,
+  regexp_replace(regexp_extract(u, '^([^?]*)', 1), '/+$', '') || regexp_extract(u, '(\?.*)$', 1) AS tail FROM p)
+SELECT page_id, CASE WHEN k <= 2 THEN 'https://' || good WHEN k = 8 THEN 'https://m.facebook.com/' || tail WHEN k = 9 THEN 'https://notfacebook.com/' || tail END AS url, k = 8 AS non_site FROM q""",
     "host_throttle_key": r"""WITH h AS (SELECT regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\.', '') AS host FROM pages)
 SELECT CASE WHEN host <> '' THEN array_to_string(string_split(regexp_replace(host, ':\d+$', ''), '.')[-2:], '.') END AS key, count(*) AS pages, count(DISTINCT host) AS hosts FROM h GROUP BY 1""",
     "document_dedupe": "SELECT source, sha256(text) AS content_hash, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1, 2",

@@ -132,13 +132,17 @@ def name_lookup(spark, sf_dir):
     return by_name(read(spark, sf_dir, "supplier").select(F.col("s_name").alias("name")).unionByName(spark.createDataFrame([("Twin",), ("Nobody",)], "name string")), people)
 
 
-_KEYS = ["HR 8595", "H.R. 8595", "S.J.Res. 10", "SJRES 10", "HCONRES 108", "PN11-22", None, "8595"]
+_KEYS = ["HR {}", "H.R. {}", "S.J.Res. {}", "PN11-{}", None, "{}"]
 _WORDS = ["Yea", " Aye ", "NO", "Not  Voting", "Present", "Smith", None]
 
 
 def key_normalise(spark, sf_dir):
-    rows = spark.createDataFrame([(i, k, w) for i, (k, w) in enumerate(zip(_KEYS, [*_WORDS, ""], strict=True))], "i int, k string, w string")
-    return rows.crossJoin(F.broadcast(votes(spark, sf_dir).agg(F.count("*").alias("votes")))).select("i", bill_key(F.col("k")).alias("bill_key"), vote_position(F.col("w")).alias("position"), "votes")
+    """Votes with bill numbers and positions as they are filed: six ways of writing a number, seven words."""
+    v = votes(spark, sf_dir)
+    keys = F.array(*[F.lit(k) for k in _KEYS])
+    number = F.replace(F.get(keys, (F.col("vote_id") % len(_KEYS)).cast("int")), F.lit("{}"), F.col("bill").cast("string"))
+    word = F.get(F.array(*[F.lit(w) for w in _WORDS]), (F.col("vote_id") % len(_WORDS)).cast("int"))
+    return v.select("vote_id", bill_key(number).alias("bill_key"), vote_position(word).alias("position"))
 
 
 def span_overlap(spark, sf_dir):
@@ -188,10 +192,10 @@ SELECT conv_id, string_agg(block, chr(10) || chr(10) ORDER BY turn, block) AS pr
 n AS (SELECT DISTINCT name FROM (SELECT s_name AS name FROM supplier UNION ALL VALUES ('Twin'), ('Nobody'))),
 h AS (SELECT n.name, count(*) FILTER (p.name = n.name) AS ne, count(person) AS nf, min(person) FILTER (p.name = n.name) AS e, min(person) AS f FROM n LEFT JOIN p ON lower(p.name) = lower(n.name) GROUP BY 1)
 SELECT name, CASE WHEN ne = 1 THEN e WHEN ne = 0 AND nf = 1 THEN f END AS person, CASE WHEN ne = 1 THEN 'exact' WHEN ne = 0 AND nf = 1 THEN 'folded' WHEN nf = 0 THEN 'unknown' ELSE 'ambiguous' END AS outcome FROM h""",
-    "key_normalise": rf"""WITH x AS (SELECT unnest(range(8))::INT AS i, unnest([{_values(_KEYS)}]) AS k, unnest([{_values([*_WORDS, ''])}]) AS w),
-y AS (SELECT i, upper(regexp_replace(k, '[\s.]', '', 'g')) AS f, lower(regexp_replace(trim(w), '\s+', ' ', 'g')) AS v FROM x)
-SELECT i, CASE WHEN regexp_full_match(f, '[A-Z]+\d+') THEN regexp_extract(f, '^([A-Z]+)', 1) || '-' || regexp_extract(f, '(\d+)$', 1) END AS bill_key,
-  CASE WHEN v IN ('yea', 'aye', 'yes') THEN 'yea' WHEN v IN ('nay', 'no') THEN 'nay' WHEN v = 'present' THEN v WHEN v = 'not voting' THEN 'not_voting' END AS position, (SELECT count(*) FROM events) AS votes FROM y""",
+    "key_normalise": rf"""WITH {VOTES_SQL}, x AS (SELECT vote_id, replace(([{_values(_KEYS)}])[CAST(vote_id % 6 AS BIGINT) + 1], '{{}}', CAST(bill AS VARCHAR)) AS k, ([{_values(_WORDS)}])[CAST(vote_id % 7 AS BIGINT) + 1] AS w FROM votes),
+y AS (SELECT vote_id, upper(regexp_replace(k, '[\s.]', '', 'g')) AS f, lower(regexp_replace(trim(w), '\s+', ' ', 'g')) AS v FROM x)
+SELECT vote_id, CASE WHEN regexp_full_match(f, '[A-Z]+\d+') THEN regexp_extract(f, '^([A-Z]+)', 1) || '-' || regexp_extract(f, '(\d+)$', 1) END AS bill_key,
+  CASE WHEN v IN ('yea', 'aye', 'yes') THEN 'yea' WHEN v IN ('nay', 'no') THEN 'nay' WHEN v = 'present' THEN v WHEN v = 'not voting' THEN 'not_voting' END AS position FROM y""",
     "span_overlap": """WITH d AS (SELECT doc_id, coalesce(length(text), 0) AS n FROM documents WHERE length(text) > 100),
 a AS (SELECT doc_id, unnest(range(0, n, 150)) AS s FROM d), b AS (SELECT doc_id, unnest(range(30, n, 100)) AS s FROM d)
 SELECT doc_id, count(*) AS pairs, sum(least(a.s + 200, b.s + 120) - greatest(a.s, b.s))::BIGINT AS chars FROM a JOIN b USING (doc_id)
