@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .components import connected_components
+from .components import connected_components, tasks_for
 
 PICKS = 3  # members of a bucket's component that others are held against
 PER_RANGE = 400_000  # postings that a task looks through
@@ -92,26 +92,27 @@ def bucket_components(
     """
     cols = traits.columns
     left, right = (traits.select(*[F.col(c).alias(f"{s}_{c}") for c in cols]) for s in "xy")
+    tasks = tasks_for(shared.count(), shared.sparkSession)
     members = shared.groupBy("sig").agg(F.count("*").alias("members"))
     rank = shared.join(members, "sig").groupBy("key").agg(F.sum("members").alias("rank"))
-    leader = materialize(shared.join(rank, "key").groupBy("sig").agg(F.max(F.struct("rank", "key"))["key"].alias("leader")), "leaders")
-    star = shared.join(leader, "sig").where("key != leader").select(F.col("key").alias("x"), F.col("leader").alias("y")).distinct()
-    pairs = star.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(near())
-    links = materialize(linked(pairs), "links")
+    leader = materialize(shared.join(rank, "key").groupBy("sig").agg(F.max(F.struct("rank", "key"))["key"].alias("leader")).coalesce(tasks), "leaders")
+    star = shared.join(leader, "sig").where("key != leader").select(F.col("key").alias("x"), F.col("leader").alias("y")).coalesce(tasks).distinct().coalesce(tasks)
+    pairs = star.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(near()).coalesce(tasks)
+    links = materialize(linked(pairs).coalesce(tasks), "links")
 
     def tag(comp: DataFrame) -> DataFrame:
         """shared with each member's component and that of its bucket's leader (home)."""
         home = leader.join(comp.withColumnRenamed("node", "leader"), "leader", "left").select("sig", "leader", F.coalesce("component", "leader").alias("home"))
         member = shared.join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
-        return member.join(home, "sig")
+        return member.join(home, "sig").coalesce(tasks)
 
     # what the leader leaves outside, against other members of its component
     tagged = materialize(tag(connected_components(links, "x", "y")), "tagged")
     picks = [F.max(F.struct(F.xxhash64("key", "sig", F.lit(r)), "key"))["key"] for r in range(PICKS)]
     inner = tagged.where("comp = home and key != leader").groupBy("sig").agg(F.array_distinct(F.array(*picks)).alias("picks"))
-    more = tagged.where("comp != home").join(inner, "sig").select(F.col("key").alias("x"), F.explode("picks").alias("y")).distinct()
-    more = more.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(near())
-    links = materialize(links.unionByName(linked(more)), "links")
+    more = tagged.where("comp != home").join(inner, "sig").select(F.col("key").alias("x"), F.explode("picks").alias("y")).coalesce(tasks).distinct().coalesce(tasks)
+    more = more.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(near()).coalesce(tasks)
+    links = materialize(links.unionByName(linked(more).coalesce(tasks)), "links")
     tagged = tag(connected_components(links, "x", "y")).join(traits, "key")
     names = ["sig", "comp", "home", "leader", *cols]
     outer = tagged.where("comp != home").select(*[F.col(c).alias(f"x_{c}") for c in names])
@@ -121,6 +122,8 @@ def bucket_components(
         .where("x_comp != y_comp and y_key != y_leader and (y_comp = y_home or x_key < y_key)")
         .where(near())
         .select(F.col("x_key").alias("x"), F.col("y_key").alias("y"), *[f"{s}_{c}" for s in "xy" for c in cols])
+        .coalesce(tasks)
         .dropDuplicates(["x", "y"])
+        .coalesce(tasks)
     )
-    return connected_components(links.unionByName(linked(rest)), "x", "y")
+    return connected_components(links.unionByName(linked(rest).coalesce(tasks)), "x", "y")

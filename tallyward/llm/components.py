@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize
 
 
+PER_TASK = 50_000
+
+
+def tasks_for(rows: int, spark: SparkSession) -> int:
+    """As many tasks as `rows` small rows ask for, at most the session's shuffle partitions."""
+    return max(1, min(-(-rows // PER_TASK), int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of `edges`; component is the smallest node that links reach.
 
@@ -15,6 +23,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     folder. A round costs a grouped minimum (combined before its shuffle) and one join on the node, in which adaptive
     execution splits hot nodes. Nulls link nothing; loops and repeated links are allowed; no links give no rows.
     """
+    spark = edges.sparkSession
     links = materialize(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v")))
@@ -22,18 +31,21 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         "links",
     )
     before = None
+    tasks = tasks_for(links.count(), spark)
     while True:
         # large star: every larger neighbour of u is tied to u's smallest neighbour
         both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks).distinct().coalesce(tasks)
         # small star: the smaller neighbours of u and u itself are tied to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(low, "u")
             .select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
             .where("u != v")
+            .coalesce(tasks)
             .distinct()
+            .coalesce(tasks)
         )
         links = materialize(small, "links")
         now = links.agg(
@@ -41,7 +53,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         ).first()
         if now == before:
             break
-        before = now
+        before, tasks = now, tasks_for(now["n"], spark)
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+        links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct().coalesce(tasks)
     )
