@@ -30,9 +30,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         .distinct(),
         "links",
     )
-    before = None
-    tasks = tasks_for(links.count(), spark)
-    while True:
+    def state(links: DataFrame):
+        return links.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.sum(F.hash("u", "v").cast("long")).alias("s")).first()
+
+    before = state(links)
+    tasks = tasks_for(before["n"], spark)
+    while before["n"]:
         # large star: every larger neighbour of u is tied to u's smallest neighbour
         both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -48,9 +51,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .coalesce(tasks)
         )
         links = materialize(small, "links")
-        now = links.agg(
-            F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.sum(F.hash("u", "v").cast("long")).alias("s")
-        ).first()
+        now = state(links)
         if now == before:
             break
         before, tasks = now, tasks_for(now["n"], spark)
