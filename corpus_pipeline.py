@@ -6,11 +6,13 @@ read again, which also cuts the lineage, so that a lost executor costs at most t
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.llm import bpe, decontam, jaccard, langid, lines
-from tallyward.llm.common import materialize
+from tallyward.llm.common import delete, materialize, recording
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,13 +45,21 @@ def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), outputs=("n_tokens", "ids", "decoded_sha256"))
 
 
-STAGES = [
-    ("language_id", language_id),
-    ("line_dedup", line_dedup),
-    ("ngram_jaccard", ngram_jaccard),
-    ("decontamination", decontamination),
-    ("bpe_tokens", bpe_tokens),
-]
+_left: list[str] = []  # scratch tables of the stage before, whose result is written when the next stage begins
+
+
+def _tidy(stage):
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        delete(spark, _left)
+        _left.clear()
+        with recording(_left):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(f.__name__, _tidy(f)) for f in (language_id, line_dedup, ngram_jaccard, decontamination, bpe_tokens)]
 ORACLE_SQL = None  # the stages' tests hold run() against brute force
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 from .components import connected_components, tasks_for
 
 PICKS = 3  # members of a bucket's component that others are held against
@@ -98,7 +98,7 @@ def bucket_components(
     leader = materialize(shared.join(rank, "key").groupBy("sig").agg(F.max(F.struct("rank", "key"))["key"].alias("leader")).coalesce(tasks), "leaders")
     star = shared.join(leader, "sig").where("key != leader").select(F.col("key").alias("x"), F.col("leader").alias("y")).coalesce(tasks).distinct().coalesce(tasks)
     pairs = star.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(near()).coalesce(tasks)
-    links = materialize(linked(pairs).coalesce(tasks), "links")
+    starred = links = materialize(linked(pairs).coalesce(tasks), "links")
 
     def tag(comp: DataFrame) -> DataFrame:
         """shared with each member's component and that of its bucket's leader (home)."""
@@ -107,7 +107,7 @@ def bucket_components(
         return member.join(home, "sig").coalesce(tasks)
 
     # what the leader leaves outside, against other members of its component
-    tagged = materialize(tag(connected_components(links, "x", "y")), "tagged")
+    tagged = drawn = materialize(tag(connected_components(links, "x", "y")), "tagged")
     picks = [F.max(F.struct(F.xxhash64("key", "sig", F.lit(r)), "key"))["key"] for r in range(PICKS)]
     inner = tagged.where("comp = home and key != leader").groupBy("sig").agg(F.array_distinct(F.array(*picks)).alias("picks"))
     more = tagged.where("comp != home").join(inner, "sig").select(F.col("key").alias("x"), F.explode("picks").alias("y")).coalesce(tasks).distinct().coalesce(tasks)
@@ -126,4 +126,6 @@ def bucket_components(
         .dropDuplicates(["x", "y"])
         .coalesce(tasks)
     )
-    return connected_components(links.unionByName(linked(rest).coalesce(tasks)), "x", "y")
+    comp = connected_components(links.unionByName(linked(rest).coalesce(tasks)), "x", "y")
+    discard(leader, drawn, links, starred)
+    return comp

@@ -6,6 +6,7 @@ bounded size, so that the memory of a task follows SLICE_BYTES and the longest s
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -28,11 +29,41 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tallyward-{uuid.uuid4().hex}"
 
 
+_recording: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def recording(paths: list[str]):
+    """Note the scratch tables that are made meanwhile."""
+    _recording.append(paths)
+    try:
+        yield paths
+    finally:
+        _recording.pop()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df as Parquet in the shared folder and read it again."""
     path = f"{scratch(df.sparkSession)}/{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for paths in _recording:
+        paths.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables, by the file system that Spark wrote them to."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of materialize() that nothing lazy reads any more."""
+    for df in tables:
+        delete(df.sparkSession, [df.scratch_path])
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 PER_TASK = 50_000
@@ -50,7 +50,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .distinct()
             .coalesce(tasks)
         )
-        links = materialize(small, "links")
+        old, links = links, materialize(small, "links")
+        discard(old)
         now = state(links)
         if now == before:
             break

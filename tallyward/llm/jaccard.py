@@ -197,6 +197,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         texts.mapInArrow(_fragment_rows(n), "key long, n long, sketch array<long>, parts array<array<long>>"), "fragments"
     )
     comp = bucket_components(shared, sets.select("key", "n", "sketch"), lambda: close(t), lambda pairs: _linked(pairs, sets, t))
+    common.discard(shared, sets)
     return (
         all_sets.select("id", "row", "n_shingles", "key")
         .join(comp.withColumnRenamed("node", "key"), "key", "left")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .buckets import bucket_components, close, parity_sketch, shared_buckets
-from .common import LOWER, as_long, materialize, mix, prefix_hash, ship, span_hash, text_slices
+from .common import LOWER, as_long, discard, materialize, mix, prefix_hash, ship, span_hash, text_slices
 
 CHARS = 9
 BANDS, ROWS = 12, 5
@@ -194,6 +194,7 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return both.mapInArrow(_jaccard(t), "x long, y long")
 
     comp = bucket_components(shared, texts.select("key", "n", "sketch"), lambda: close(t), linked)
+    discard(shared, texts)
     labelled = occur.join(comp.withColumnRenamed("node", "key"), "key", "left").select(
         F.struct(F.col("id").isNull().alias("none"), "id", "row", "line").alias("at"), F.coalesce("component", "key").alias("label")
     )
