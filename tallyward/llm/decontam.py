@@ -4,7 +4,11 @@ A mask fixes which of SPAN neighbouring word positions count; the others may hol
 lower-cased words (runs of ASCII letters, digits and characters above 127); each mask gives a hash at every position, and equal hashes
 of an item and a text are hits. Around a hit the two are laid upon each other without gaps: it is an overlap if at least
 `share` of the item's words (all of its words, at their own places) stand in the text, or a stretch of it in
-which agreeing words outweigh others (1 against 2 each) by STRETCH; substituted words are tolerated between seeds. Items shorter than the span are sought whole: all their words must stand in the text in a row.
+which agreeing words outweigh others (1 against 2 each) by STRETCH; substituted words are tolerated between seeds. Items of fewer than LEAST words are sought whole: all their words must stand in the text in a row.
+
+No overlap by either rule is missed: a row of n words that no mask of MASKS hits at any place has n - 3 * (words that differ)
+of 3 at most (test_masks_hit_every_overlap counts them out). A stretch needs STRETCH of that; SHARE of n words leaves n / 10,
+which is more than 3 beyond 30 words, and the test holds each length up to there. A smaller `share` seeks with single words.
 
 Item hashes are broadcast in blocks: an item belongs to the block of its hash, and there are as many blocks as keep the
 expected words of one below BLOCK_WORDS. Each block is one pass over the texts; hits and verification stay in the task.
@@ -23,11 +27,12 @@ from pyspark.sql import functions as F
 from .common import LOWER, mix, prefix_hash, ship, span_hash, text_slices, words
 
 #: Positions that count (1) and positions that may differ (0).
-MASKS = ("11101100111", "11011011101", "10111010111")
-SPAN = 11
+MASKS = ("1111", "11011", "110101", "101011")
+LEAST = 11  # words from which on an item may differ
 SHARE = 0.7
 STRETCH = 13  # score from which a part of an item is an overlap, see _stretch
 BLOCK_WORDS = 400_000
+LOOK = 1_000_000  # hits, or words of diagonals, that are looked at at once
 
 _GAP = np.ones(256, bool)
 _GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -64,18 +69,22 @@ def _stretch(same: np.ndarray) -> float:
 class Items:
     """A block of items: their words, and sorted tables of seeds."""
 
-    def __init__(self, ids: list, texts: list[str | None]):
+    def __init__(self, ids: list, texts: list[str | None], share: float = SHARE):
         self.ids, self.words, self.row = [], [], []
         for first, w, heads in _words(pa.array([t or "" for t in texts], pa.string())):
             for d in range(len(heads) - 1):
                 self.words.append(w[heads[d] : heads[d + 1]])
-        self.ids = list(ids)
+        self.ids, self.share = list(ids), share
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.flat = np.concatenate([np.zeros(0, np.uint64), *self.words])
+        self.masks = MASKS if share >= SHARE else ("1",)
         self.tables = []
-        for number, mask in enumerate(MASKS):
-            self.tables.append(self._table([(_seeds(w, mask, number), i) for i, w in enumerate(self.words) if len(w) >= SPAN]))
+        for number, mask in enumerate(self.masks):
+            self.tables.append(self._table([(_seeds(w, mask, number), i) for i, w in enumerate(self.words) if len(w) >= LEAST]))
         # short items: by length, the hash of all their words
         self.short = {}
-        for n in sorted({len(w) for w in self.words if 0 < len(w) < SPAN}):
+        for n in sorted({len(w) for w in self.words if 0 < len(w) < LEAST}):
             self.short[n] = self._table([(_seeds(w, "1" * n, 99), i) for i, w in enumerate(self.words) if len(w) == n])
 
     @staticmethod
@@ -91,38 +100,56 @@ class Items:
         front[(h >> np.uint64(64 - bits)).astype(np.int64)] = True
         return h[order], item[order], at[order], front
 
-    def hits(self, w: np.ndarray, table, seeds: np.ndarray):
-        """(text position, item, item position) of equal seeds."""
+    def hits(self, table, seeds: np.ndarray):
+        """(item, text position at which it would begin) of equal seeds, about LOOK at a time."""
         h, item, at, front = table
         if not len(h) or not len(seeds):
-            return np.zeros((0, 3), np.int64)
+            return
         bits = np.uint64(64 - (len(front).bit_length() - 1))
         maybe = np.flatnonzero(front[(seeds >> bits).astype(np.int64)])
         low, high = np.searchsorted(h, seeds[maybe], "left"), np.searchsorted(h, seeds[maybe], "right")
-        n = high - low
-        pos = np.repeat(maybe, n)
-        row = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return np.stack([pos, item[row], at[row]], 1)
+        for part in _parts(high - low):
+            n = high[part] - low[part]
+            row = np.repeat(low[part], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            pos = np.repeat(maybe[part], n)
+            yield item[row], pos - at[row], pos
 
-    def overlaps(self, w: np.ndarray, heads: np.ndarray, share: float) -> list[tuple[int, int, int, int]]:
+    def overlaps(self, w: np.ndarray, heads: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(text, item, words that agree, first word in the text) of the best overlap of each text and item."""
-        found = [self.hits(w, t, _seeds(w, m, k)) for k, (m, t) in enumerate(zip(MASKS, self.tables, strict=True))]
-        found += [self.hits(w, t, _seeds(w, "1" * n, 99)) for n, t in self.short.items()]
-        hits = np.concatenate(found)
-        if not len(hits):
-            return []
-        # one look at each diagonal: where the item would begin
-        diagonals = np.unique(np.stack([hits[:, 1], hits[:, 0] - hits[:, 2], np.searchsorted(heads, hits[:, 0], "right") - 1], 1), axis=0)
+        tables = [(t, m, k) for k, (m, t) in enumerate(zip(self.masks, self.tables, strict=True))] + [(t, "1" * n, 99) for n, t in self.short.items()]
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for item, begin, text in diagonals.tolist():
-            own = self.words[item]
-            low, high = max(begin, int(heads[text])), min(begin + len(own), int(heads[text + 1]))
-            agree = int((w[low:high] == own[low - begin : high - begin]).sum())
-            whole = agree >= (share if len(own) >= SPAN else 1.0) * len(own)
-            if (whole or _stretch(w[low:high] == own[low - begin : high - begin]) >= STRETCH) and agree > best.get((text, item), (0, 0))[0]:
-                best[text, item] = (agree, low - int(heads[text]))
+        for table, mask, number in tables:
+            for item, begin, pos in self.hits(table, _seeds(w, mask, number)):
+                # one look at each diagonal: where the item would begin
+                diagonals = np.unique(np.stack([item, begin, np.searchsorted(heads, pos, "right") - 1], 1), axis=0)
+                for part in _parts(self.size[diagonals[:, 0]]):
+                    self._look(w, heads, diagonals[part], best)
         return [(t, i, a, p) for (t, i), (a, p) in best.items()]
 
+    def _look(self, w: np.ndarray, heads: np.ndarray, diagonals: np.ndarray, best: dict) -> None:
+        """Compare the words of each diagonal, and keep what agrees most in best, the first place of equal ones."""
+        item, begin, text = diagonals.T
+        own = self.size[item]
+        low, high = np.maximum(begin, heads[text]), np.minimum(begin + own, heads[text + 1])
+        n = high - low  # 1 at least: the hit lies in both
+        start = np.cumsum(n) - n
+        pos = np.arange(n.sum()) - np.repeat(start - low, n)
+        same = w[pos] == self.flat[pos + np.repeat(self.first[item] - begin, n)]
+        agree = np.add.reduceat(same.astype(np.int64), start)
+        whole = agree >= np.where(own >= LEAST, self.share, 1.0) * own
+        for k in np.flatnonzero(whole | (agree >= STRETCH)).tolist():
+            if whole[k] or _stretch(same[start[k] : start[k] + n[k]]) >= STRETCH:
+                key, a, p = (int(text[k]), int(item[k])), int(agree[k]), int(low[k] - heads[text[k]])
+                if (a, -p) > (best[key][0], -best[key][1]) if key in best else a > 0:
+                    best[key] = (a, p)
+
+
+def _parts(n: np.ndarray):
+    """Slices of about LOOK in sum, one entry at least."""
+    if len(n):
+        ends = np.unique(np.concatenate([np.flatnonzero(np.diff(np.cumsum(n) // LOOK)) + 1, [len(n)]]))
+        yield from map(slice, [0, *ends[:-1].tolist()], ends.tolist())
+
 
 def find_overlaps(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", share: float = SHARE
@@ -144,11 +171,11 @@ def find_overlaps(
 
         def search(it, shared=shared, cache=cache):
             if "items" not in cache:
-                cache["items"] = Items(*shared.value)
+                cache["items"] = Items(*shared.value, share)
             block = cache["items"]
             for batch in it:
                 for first, w, heads in _words(batch.column(2)):
-                    got = block.overlaps(w, heads, share)
+                    got = block.overlaps(w, heads)
                     if got:
                         at = pa.array([first + t for t, _, _, _ in got], pa.int64())
                         yield pa.RecordBatch.from_arrays(

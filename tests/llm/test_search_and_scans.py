@@ -112,6 +112,57 @@ def test_decontamination_finds_substituted_and_partial_items(spark):
     assert decontam.find_overlaps(d.limit(0), b).count() == 0 and decontam.find_overlaps(d, b.limit(0)).count() == 0
 
 
+def _avoid(masks, n):
+    """Least words that differ in a row of each length up to n that no mask hits, by the rows' last words."""
+    states, out = {"": 0}, [0]
+    for _ in range(n):
+        new = {}
+        for s, c in states.items():
+            for b in "01":
+                t = (s + b)[-max(map(len, masks)) :]
+                if not any(len(t) >= len(m) and all(y == "1" for x, y in zip(m, t[-len(m) :], strict=True) if x == "1") for m in masks):
+                    new[t] = min(new.get(t, n), c + (b == "0"))
+        states = new
+        out.append(min(states.values()))
+    return out
+
+
+def test_masks_hit_every_overlap():
+    least = _avoid(decontam.MASKS, 60)
+    assert max(n - 3 * c for n, c in enumerate(least)) <= 3 < decontam.STRETCH
+    assert all(n - least[n] < decontam.SHARE * n for n in range(decontam.LEAST, 61))
+
+
+def test_decontamination_against_brute_force(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(2))
+    items = [(100 * n + k, [word() for _ in range(n)]) for n in range(11, 26) for k in range(6)] + [(i, [rng.choice("abc") for _ in range(9 + i)]) for i in range(6)]
+    docs = []
+    for i, w in items:
+        for swaps in (int(0.3 * len(w) + 1e-9), int(0.3 * len(w) + 1e-9) + 1):
+            own = list(w)
+            for at in rng.sample(range(len(w)), swaps):
+                own[at] = word()
+            docs.append([word() for _ in range(rng.randrange(4))] + own + [rng.choice("abc") for _ in range(rng.randrange(30))])
+    want = set()
+    for d, text in enumerate(docs):
+        for i, w in items:
+            for begin in range(1 - len(w), len(text)):
+                same = [0 <= begin + k < len(text) and text[begin + k] == x for k, x in enumerate(w)]
+                score = top = 0
+                for x in same:
+                    score = max(0, score + (1 if x else -2))
+                    top = max(top, score)
+                if sum(same) >= (0.7 if len(w) >= 11 else 1) * len(w) or top >= 13:
+                    want.add((d, i))
+    d = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(docs)], "doc_id long, text string")
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = [(r.doc_id, r.item_id) for r in decontam.find_overlaps(d, b).collect()]
+    assert len(want) >= 90 and sorted(got) == sorted(want)
+    half = decontam.find_overlaps(d, b, share=0.5)  # single words are sought below SHARE
+    assert want < {(r.doc_id, r.item_id) for r in half.collect()}
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     rng = random.Random(5)
     items = [(i, " ".join(f"w{rng.randrange(500)}" for _ in range(25))) for i in range(12)]
