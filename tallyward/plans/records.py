@@ -154,7 +154,15 @@ def json_totals(spark, sf_dir):
 
 
 def xml_votes(spark, sf_dir):
-    o = read(spark, sf_dir, "orders").where("o_orderkey % 10 = 0")
+    return _xml_votes(read(spark, sf_dir, "orders").where("o_orderkey % 10 = 0"))
+
+
+def xml_votes_all(spark, sf_dir):
+    """Every order as an XML roll call, read back; xml_votes and its SQL take a tenth of the orders."""
+    return _xml_votes(read(spark, sf_dir, "orders"))
+
+
+def _xml_votes(o):
     xml = F.concat(F.lit("<roll_call_vote><congress>118</congress><session>1</session><vote_number> 00"), F.col("o_orderkey").cast("string"), F.lit("</vote_number><vote_date>February 3, 2024,  02:15 PM</vote_date><members><member><last_name>A</last_name><lis_member_id> S"), F.col("o_custkey").cast("string"), F.lit(" </lis_member_id><vote_cast>Yea</vote_cast></member><member><last_name>B</last_name><lis_member_id>S0</lis_member_id><vote_cast>Not Voting</vote_cast></member></members></roll_call_vote>"))
     got = senate_members(o.select(xml.alias("payload")))
     return got.groupBy("vote_number", "vote").agg(F.min("member").alias("member"), F.min("day").cast("string").alias("day"))
@@ -220,7 +228,7 @@ def projected(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (merge_policies, amendments, absent_inserts, identity_pairs, identity_ladder, repointed_donations, current_rows, append_only_check, publish_check, fresh_roll_calls,
-              stream_replay, daily_windows, packed_columns, thin_facts, snapshot_manifest, json_votes, json_bills, json_totals, xml_votes, triage_import, place_tiers, population_rows,
+              stream_replay, daily_windows, packed_columns, thin_facts, snapshot_manifest, json_votes, json_bills, json_totals, xml_votes, xml_votes_all, triage_import, place_tiers, population_rows,
               label_names, points_on_land, anchored_labels, projected)
 }
 
@@ -257,6 +265,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-
     "json_bills": "SELECT 'HR-' || p_partkey AS bill_key, p_name AS title, p_brand AS policy_area, array_to_string(list_sort(list_distinct(string_split(p_name, ' '))), ',') AS subjects, '2023-01-09' AS introduced, 'new ' || p_type AS summary FROM part",
     "json_totals": "SELECT s_name AS candidate_id, round(s_acctbal, 2) AS receipts, CAST(NULL AS DOUBLE) AS disbursements, CASE WHEN s_suppkey % 3 <> 0 THEN '2026-03-31' END AS coverage_end FROM supplier",
     "xml_votes": "SELECT CAST(o_orderkey AS INTEGER) AS vote_number, 'Yea' AS vote, min('S' || o_custkey) AS member, '2024-02-03' AS day FROM orders WHERE o_orderkey % 10 = 0 GROUP BY 1 UNION ALL SELECT DISTINCT CAST(o_orderkey AS INTEGER), 'Not Voting', 'S0', '2024-02-03' FROM orders WHERE o_orderkey % 10 = 0",
+    "xml_votes_all": "SELECT CAST(o_orderkey AS INTEGER) AS vote_number, 'Yea' AS vote, min('S' || o_custkey) AS member, '2024-02-03' AS day FROM orders GROUP BY 1 UNION ALL SELECT DISTINCT CAST(o_orderkey AS INTEGER), 'Not Voting', 'S0', '2024-02-03' FROM orders",
     "triage_import": "SELECT CASE WHEN l.doc_id IS NULL THEN 'unknown_id' WHEN d.doc_id % 3 = 2 THEN 'unknown_verdict' WHEN d.doc_id % 2 <> 0 THEN 'low_confidence' ELSE 'taken' END AS outcome, count(*) AS rows FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY 1",
     "place_tiers": """WITH r AS (SELECT c_custkey AS geoid, CASE WHEN c_acctbal > 0 THEN CAST(trunc(c_acctbal) AS INTEGER) ELSE 0 END AS pop, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN c_acctbal > 0 THEN CAST(trunc(c_acctbal) AS INTEGER) ELSE 0 END DESC, c_custkey % 10 DESC, c_custkey) AS rank FROM customer)
 SELECT geoid, rank, CASE WHEN rank <= 2 OR (pop >= 9000 AND rank <= 4) THEN 1 WHEN rank <= 5 OR (pop >= 6000 AND rank <= 15) THEN 2 WHEN rank <= 20 OR (pop >= 2000 AND rank <= 30) THEN 3 ELSE 4 END AS tier FROM r""",
