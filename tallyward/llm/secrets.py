@@ -6,6 +6,10 @@ changes in two places: with g(c) = c log2 c, H = log2(w) - sum(g(count)) / w. Th
 thresholds compare exactly. A candidate's span runs from the first window at or above the threshold to the end of the last.
 Added spans that an allow-list pattern matches, or that overlap a base span, are suppressed; base spans always stay.
 
+scan_pieces() suppresses by span instead of by candidate: base spans and marks of the allow-list cut a candidate, and
+windows slide over each piece that is left, so that one mark does not hide the rest of a run. It also has classes for the
+alphabets of 32 to 36 symbols, whose windows seldom reach 4.1 bits.
+
 A kind's places follow from the lengths of the text's pieces between its matches and of the matches, in code points.
 Texts without a match, nearly all, only pay for the search.
 
@@ -40,8 +44,16 @@ ALLOW = (
     r"0123456789|abcdefghij|ABCDEFGHIJ",
     r"(?i)example|placeholder|changeme|xxxx",
 )
+#: Further classes of scan_pieces(): of random keys of 32 characters, about 99 % reach the threshold (24: 97 and 93 %).
+SMALL = (
+    ("entropy_base36", r"[a-z0-9]{24,}", "abcdefghijklmnopqrstuvwxyz0123456789", 24, 3.7),
+    ("entropy_base32", r"[A-Z0-9]{24,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 24, 3.7),
+)
+#: The allow-list by span: what cuts a candidate wherever it stands, and pieces that as a whole are no secret.
+MARKS = r"(?i:example|placeholder|changeme|xxxx+)|0123456789|abcdefghij|ABCDEFGHIJ|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+WHOLE = (r"^[0-9]+$", r"^([a-z_-]+|[A-Z_-]+)$")
 _MILLION = 1_000_000
-_KINDS = [b[0] for b in BASE] + [c[0] for c in CLASSES]
+_KINDS = [b[0] for b in BASE] + [c[0] for c in CLASSES + SMALL] + ["mark"]
 _SPAN = "array<struct<start:int,kind:int,end:int,text:string>>"
 
 
@@ -107,37 +119,55 @@ def _window_span(text: Column, alphabet: str, window: int, bits: float) -> Colum
     return F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step)
 
 
-def _allowed(text: Column) -> Column:
-    return reduce(Column.__or__, [text.rlike(a) for a in ALLOW])
+def _allowed(text: Column, rules: tuple[str, ...] = ALLOW) -> Column:
+    return reduce(Column.__or__, [text.rlike(a) for a in rules])
+
+
+def _pieces(x: Column, cuts: Column) -> Column:
+    """What is left of the span x without the spans of `cuts`, which are in order."""
+
+    def piece(start, end):
+        return F.array(F.struct(start.alias("start"), x["kind"].alias("kind"), end.alias("end"), F.substr(x["text"], start - x["start"] + 1, end - start).alias("text")))
+
+    def step(acc, b):
+        out = F.when(b["start"] > acc["at"], F.concat(acc["out"], piece(acc["at"], b["start"]))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), out.alias("out"))
+
+    none = F.array().cast(_SPAN)
+    return F.aggregate(
+        F.filter(cuts, lambda b: _overlap(x, b)),
+        F.struct(x["start"].alias("at"), none.alias("out")),
+        step,
+        lambda acc: F.when(acc["at"] < x["end"], F.concat(acc["out"], piece(acc["at"], x["end"]))).otherwise(acc["out"]),
+    )
+
+
+def _high(spans: Column, alphabet: str, window: int, bits: float) -> Column:
+    """The part of each span from its first window at or above the threshold to its last; spans without one go."""
+    with_span = F.transform(spans, lambda x: F.struct(x.alias("x"), _window_span(x["text"], alphabet, window, bits).alias("w")))
+    return F.transform(
+        F.filter(with_span, lambda y: y["w"]["first"].isNotNull()),
+        lambda y: F.struct(
+            (y["x"]["start"] + y["w"]["first"]).alias("start"),
+            y["x"]["kind"].alias("kind"),
+            (y["x"]["start"] + y["w"]["last"] + window).alias("end"),
+            F.substr(y["x"]["text"], y["w"]["first"] + 1, y["w"]["last"] - y["w"]["first"] + window).alias("text"),
+        ),
+    )
 
 
 def _overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per row of docs: the id column, base and added: arrays of (start, kind, end, text), kind by name."""
+def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The id column, __t (the text) and __base (its base spans)."""
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("__t"))
-    text = F.col("__t")
-    base = rows.select(id_col, "__t", *[_found(text, *b).alias(f"__b{k}") for k, b in enumerate(BASE)])
-    base = base.select(id_col, "__t", F.concat(*[f"__b{k}" for k in range(len(BASE))]).alias("__base"))
-    parts = []
-    for k, (name, pattern, alphabet, window, bits) in enumerate(CLASSES):
-        found = _found(text, name, pattern, 0, window)
-        fresh = F.filter(found, lambda x: ~_allowed(x["text"]) & ~F.exists("__base", lambda b: _overlap(x, b)))
-        with_span = F.transform(fresh, lambda x: F.struct(x.alias("x"), _window_span(x["text"], alphabet, window, bits).alias("w")))  # noqa: B023
-        high = F.filter(with_span, lambda y: y["w"]["first"].isNotNull())
-        span = F.transform(
-            high,
-            lambda y: F.struct(
-                (y["x"]["start"] + y["w"]["first"]).alias("start"),
-                y["x"]["kind"].alias("kind"),
-                (y["x"]["start"] + y["w"]["last"] + window).alias("end"),  # noqa: B023
-                F.substr(y["x"]["text"], y["w"]["first"] + 1, y["w"]["last"] - y["w"]["first"] + window).alias("text"),  # noqa: B023
-            ),
-        )
-        parts.append(F.when(text.rlike(pattern), span).otherwise(F.array().cast(_SPAN)).alias(f"__c{k}"))
-    got = base.select(id_col, "__base", *parts)
+    base = rows.select(id_col, "__t", *[_found(F.col("__t"), *b).alias(f"__b{k}") for k, b in enumerate(BASE)])
+    return base.select(id_col, "__t", F.concat(*[f"__b{k}" for k in range(len(BASE))]).alias("__base"))
+
+
+def _result(got: DataFrame, id_col: str, classes: int) -> DataFrame:
     names = F.array(*[F.lit(k) for k in _KINDS])
 
     def named(column: Column) -> Column:
@@ -146,12 +176,36 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             lambda s: F.struct(s["start"].alias("start"), F.element_at(names, s["kind"] + 1).alias("kind"), s["end"].alias("end"), s["text"].alias("text")),
         )
 
-    added = F.concat(*[f"__c{k}" for k in range(len(CLASSES))])
+    added = F.concat(*[f"__c{k}" for k in range(classes)])
     return got.select(
         id_col, named(F.col("__base")).alias("base"), named(added).alias("added"), named(F.concat(F.col("__base"), added)).alias("all_spans")
     )
 
 
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row per row of docs: the id column, base and added: arrays of (start, kind, end, text), kind by name."""
+    base, text, parts = _base(docs, id_col, text_col), F.col("__t"), []
+    for k, (name, pattern, alphabet, window, bits) in enumerate(CLASSES):
+        found = _found(text, name, pattern, 0, window)
+        fresh = F.filter(found, lambda x: ~_allowed(x["text"]) & ~F.exists("__base", lambda b: _overlap(x, b)))
+        parts.append(F.when(text.rlike(pattern), _high(fresh, alphabet, window, bits)).otherwise(F.array().cast(_SPAN)).alias(f"__c{k}"))
+    return _result(base.select(id_col, "__base", *parts), id_col, len(CLASSES))
+
+
+def scan_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As scan(), with windows over what base spans and marks leave of every candidate, and with the classes of SMALL."""
+    base, text, parts = _base(docs, id_col, text_col), F.col("__t"), []
+    classes = CLASSES + SMALL
+    any_run = reduce(Column.__or__, [text.rlike(c[1]) for c in classes])
+    cuts = F.when(any_run, F.array_sort(F.concat("__base", _found(text, "mark", MARKS, 0, 0)))).otherwise(F.array().cast(_SPAN))
+    cut = base.select(id_col, "__t", "__base", cuts.alias("__cuts"))
+    for k, (name, pattern, alphabet, window, bits) in enumerate(classes):
+        pieces = F.flatten(F.transform(_found(text, name, pattern, 0, window), lambda x: _pieces(x, F.col("__cuts"))))
+        fresh = F.filter(pieces, lambda x: (F.length(x["text"]) >= window) & ~_allowed(x["text"], WHOLE))  # noqa: B023
+        parts.append(F.when(text.rlike(pattern), _high(fresh, alphabet, window, bits)).otherwise(F.array().cast(_SPAN)).alias(f"__c{k}"))
+    return _result(cut.select(id_col, "__base", *parts), id_col, len(classes))
+
+
 def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 

@@ -87,6 +87,44 @@ def test_secrets(spark):
     assert secrets.scan(df.limit(0)).count() == 0
 
 
+def piece_spans(text):
+    """Every window by itself: none that touches a base span or a mark; spans end where one of those stands between."""
+    cuts = [(s, e) for s, _, e in base_spans(text)] + [m.span() for m in re.finditer(secrets.MARKS, text)]
+    out = []
+    for k, (_, pattern, _, w, bits) in enumerate(secrets.CLASSES + secrets.SMALL):
+        g = secrets.g_table(w)
+        for m in re.finditer(pattern, text):
+            groups = {}
+            for i in range(m.start(), m.end() - w + 1):
+                lo, hi = max([m.start(), *(e for _, e in cuts if e <= i)]), min([m.end(), *(s for s, _ in cuts if s >= i + w)])
+                free = not any(s < i + w and i < e for s, e in cuts) and not any(re.search(a, text[lo:hi]) for a in secrets.WHOLE)
+                if free and sum(g[text[i : i + w].count(c)] for c in set(text[i : i + w])) <= secrets.most_g(w, bits):
+                    groups.setdefault(lo, []).append(i)
+            out += [(x[0], 3 + k, x[-1] + w) for x in groups.values()]
+    return out
+
+
+def test_secrets_beside_marks_and_of_small_alphabets(spark):
+    rng = random.Random(8)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    low, up = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    key = lambda al, n: "".join(rng.choice(al) for _ in range(n))
+    planted = [(f"docs/example/{key(b64, 40)}", 13) for _ in range(20)] + [(f"4f3c2b1a0d9e8f7c_{key(b64, 40)}", 16) for _ in range(20)]
+    planted += [(key(b64, 40) + "xxxx" + key(b64, 40), 44) for _ in range(20)] + [(f"é {key(al, 32)} x", 2) for al in (low, up) for _ in range(40)]
+    docs = [t for t, _ in planted] + ["", None, "9" * 40, "a-b_" * 20, "123e4567-e89b-12d3-a456-426614174000", "example" * 9, "password=" + key(b64, 40), key(b64, 5000)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    names, hit = [b[0] for b in secrets.BASE] + [c[0] for c in secrets.CLASSES + secrets.SMALL], 0
+    said = lambda spans: ",".join(f"{names[k]}:{s}:{e}" for s, k, e in sorted(spans))
+    for r in secrets.digest(secrets.scan_pieces(df)).collect():
+        t = docs[r.doc_id] or ""
+        assert r.spans == said(base_spans(t) + piece_spans(t)), t
+        if r.doc_id < len(planted):
+            hit += any(int(x.split(":")[2]) > planted[r.doc_id][1] for x in r.spans.split(",") if x.startswith("entropy"))
+        elif t and len(t) < 100 and "password" not in t:
+            assert "entropy" not in r.spans
+    assert hit >= 0.95 * len(planted)
+
+
 def test_decontamination_finds_substituted_and_partial_items(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3))
