@@ -50,6 +50,18 @@ def overlapping(a: DataFrame, b: DataFrame, key: str, share: float = 0.5) -> Dat
     return cells(a, "a").join(cells(b, "b"), [key, "cell"]).where(first & (chars > 0) & (chars >= shorter * share)).select(key, "a_id", "b_id", chars.alias("chars"))
 
 
+def span_outcomes(found: DataFrame, gold: DataFrame, key: str, share: float, wanted: str = "wanted") -> DataFrame:
+    """Labelled and found spans by what became of them: key, id, outcome.
+
+    A gold span that a found one overlaps is retained if `wanted`, else leaked; a found span that overlaps no gold one is
+    novel. found and gold: key, id, start, end; ids are unique within their key.
+    """
+    hits = overlapping(gold, found, key, share)
+    matched = gold.join(hits.select(key, F.col("a_id").alias("id")), [key, "id"], "left_semi").select(key, "id", F.when(F.col(wanted), "retained").otherwise("leaked").alias("outcome"))
+    novel = found.join(hits.select(key, F.col("b_id").alias("id")), [key, "id"], "left_anti").select(key, "id", F.lit("novel").alias("outcome"))
+    return matched.unionByName(novel)
+
+
 def by_name(names: DataFrame, people: DataFrame) -> DataFrame:
     """For each `name`: the person of exactly that name, else of that name in any case, if there is just one.
 

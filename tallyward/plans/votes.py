@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import bill_key, ratio, vote_position
 from ..operators.aggregates import filtered_sums, first_by, ordered_list, top_n
-from ..operators.joins import array_member_join, by_name, overlapping, resolve_alias, topic_bills
+from ..operators.joins import array_member_join, by_name, overlapping, resolve_alias, span_outcomes, topic_bills
 from .tables import BILLS_SQL, VOTES_SQL, bills, read, votes
 
 SUBSTANTIVE = ("purchase", "signup", "click")
@@ -153,10 +153,18 @@ def span_overlap(spark, sf_dir):
     return hits.groupBy("doc_id").agg(F.count("*").alias("pairs"), F.sum("chars").cast("long").alias("chars"))
 
 
+def leak_counts(spark, sf_dir):
+    """Labelled spans of 80 characters every 240, each other one wanted, against found spans of 60 every 130, in whole documents."""
+    d = read(spark, sf_dir, "documents").select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).alias("n")).where("n > 0")
+    spans = lambda size, step: d.select("doc_id", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(step))).alias("id"), "n").select("doc_id", "id", F.col("id").alias("start"), F.least(F.col("id") + size, "n").alias("end"))
+    out = span_outcomes(spans(60, 130), spans(80, 240).withColumn("wanted", F.col("id") % 480 == 0), "doc_id", 0.5)
+    return out.join(d.select("doc_id", "source"), "doc_id").groupBy("source", "outcome").agg(F.count("*").alias("spans"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (member_record, participation, member_topics, recent_votes, topic_alias_match, promise_votes, array_membership_join, semi_members, anti_missing,
-              null_aware_not_in, high_water_mark, review_queue_json, prompt_render, distinct_reasons, review_precision, name_lookup, key_normalise, span_overlap)
+              null_aware_not_in, high_water_mark, review_queue_json, prompt_render, distinct_reasons, review_precision, name_lookup, key_normalise, span_overlap, leak_counts)
 }
 
 
@@ -200,4 +208,10 @@ SELECT vote_id, CASE WHEN regexp_full_match(f, '[A-Z]+\d+') THEN regexp_extract(
 a AS (SELECT doc_id, unnest(range(0, n, 150)) AS s FROM d), b AS (SELECT doc_id, unnest(range(30, n, 100)) AS s FROM d)
 SELECT doc_id, count(*) AS pairs, sum(least(a.s + 200, b.s + 120) - greatest(a.s, b.s))::BIGINT AS chars FROM a JOIN b USING (doc_id)
 WHERE least(a.s + 200, b.s + 120) - greatest(a.s, b.s) >= 60 GROUP BY doc_id""",
+    "leak_counts": """WITH d AS (SELECT doc_id, source, length(text) AS n FROM documents WHERE length(text) > 0),
+g AS (SELECT doc_id, source, s, least(s + 80, n) AS e FROM (SELECT *, unnest(range(0, n, 240)) AS s FROM d)), f AS (SELECT doc_id, source, s, least(s + 60, n) AS e FROM (SELECT *, unnest(range(0, n, 130)) AS s FROM d)),
+h AS (SELECT g.doc_id, g.s AS gs, f.s AS fs FROM g JOIN f USING (doc_id) WHERE least(g.e, f.e) > greatest(g.s, f.s) AND 2 * (least(g.e, f.e) - greatest(g.s, f.s)) >= least(g.e - g.s, f.e - f.s)),
+o AS (SELECT source, CASE WHEN s % 480 = 0 THEN 'retained' ELSE 'leaked' END AS outcome FROM g WHERE EXISTS (SELECT 1 FROM h WHERE h.doc_id = g.doc_id AND gs = g.s)
+  UNION ALL SELECT source, 'novel' FROM f WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.doc_id = f.doc_id AND fs = f.s))
+SELECT source, outcome, count(*) AS spans FROM o GROUP BY 1, 2""",
 }

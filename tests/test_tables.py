@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tallyward.functions.scalars import bill_key, display_name, iso_day, money, month_day_year, seat_district, vote_position
-from tallyward.operators import aggregates, merge, places, quality, web
+from tallyward.operators import aggregates, joins, merge, places, quality, web
 from tallyward.plans import oracle_sql, queries
 from tallyward.sources import readers, snapshot
 from tallyward.streaming.loads import above_mark, amend, replay
@@ -126,3 +126,10 @@ def test_every_order_is_parsed_from_xml(spark, tmp_path):
     orders.write.parquet(str(tmp_path / "orders.parquet"))
     got = {(r.vote_number, r.vote, r.member, r.day) for r in queries()["xml_votes_all"](spark, str(tmp_path)).collect()}
     assert got == {x for k in range(1, 41) for x in ((k, "Yea", f"S{100 + k % 7}", "2024-02-03"), (k, "Not Voting", "S0", "2024-02-03"))}
+
+
+def test_spans_leak_are_retained_or_are_novel(spark):
+    gold = spark.createDataFrame([("d", 1, 0, 100, True), ("d", 2, 300, 400, False), ("d", 3, 700, 800, True), ("e", 1, 0, 100, False)], "doc string, id int, start int, end int, wanted boolean")
+    found = spark.createDataFrame([("d", 1, 40, 120), ("d", 2, 350, 900), ("d", 3, 1000, 1010), ("e", 1, 60, 200), ("e", 2, 90, 95)], "doc string, id int, start int, end int")
+    got = {tuple(r) for r in joins.span_outcomes(found, gold, "doc", 0.5).collect()}
+    assert got == {("d", 1, "retained"), ("d", 2, "leaked"), ("d", 3, "retained"), ("d", 3, "novel"), ("e", 1, "leaked"), ("e", 1, "novel")}
