@@ -94,3 +94,37 @@ def test_lines_are_the_default_sections(spark):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode_decode(empty, WORD).count() == 0 and token_counts.count_tokens(empty, BYTE).count() == 0
+
+
+def test_stretches_are_the_whole():
+    """Every white space of Unicode (and the separators that are none to the tokenizer) beside solid characters and blanks."""
+    import pyarrow as pa
+
+    from tallyward.llm.common import text_slices
+
+    tok = Tokenizer.from_file(BYTE)
+    tok.encode_special_tokens = True
+    blanks = [chr(c) for c in range(0x3001) if chr(c).isspace()] + ["\u200b", "\ufeff", "\u2060", "\u1680"]
+    rng = random.Random(6)
+    cases = [x + b + y + c + z for b in blanks for c in (" ", "\n", "\r\n", "\t ", b, "  ") for x in ("a", "", " ", "é.", "\u2019") for y in ("", "b") for z in ("", "1", "\n", "'s")]
+    cases += ["".join(rng.choice([*blanks, " ", "\n", "a", "Z9", "'ll", "漢", "À", "\u2005\u2029", "…", "‟"]) for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
+    lengths = token_counts.Lengths(BYTE)
+    for first, data, offsets in text_slices(pa.array(cases)):
+        sizes, heads = lengths.of(data, offsets)
+        for d in range(len(offsets) - 1):
+            text = cases[first + d]
+            want = [lengths.size[i] for i in tok.encode(text, add_special_tokens=False).ids]
+            assert sizes[heads[d] : heads[d + 1]].tolist() == want, text
+
+
+def test_token_counts_of_long_texts_sections_and_clashing_names(spark):
+    tok = Tokenizer.from_file(BYTE)
+    tok.encode_special_tokens = True
+    text = "word one\n" * 120_000 + "x" * 3000
+    docs = spark.createDataFrame([(1, text, 7, "s"), (1, text, 7, "s"), (2, "ab cd", 8, "t")], "doc_id long, text string, outside long, __s string")
+    got = sorted(token_counts.count_tokens(docs, BYTE).collect())
+    assert got[0] == got[1] and got[0].n_tokens == len(tok.encode(text, add_special_tokens=False).ids)
+    assert len(got[0].section_tokens) == 120_001 and sum(got[0].section_tokens) + got[0].outside == got[0].n_tokens
+    sections = F.array(F.struct(F.lit(1).alias("start"), F.lit(99).alias("end")), F.lit(None).cast("struct<start: int, end: int>"))
+    got = [r for r in token_counts.count_tokens(docs, BYTE, sections, rule="split").collect() if r.doc_id == 2]
+    assert sum(got[0].section_tokens) + got[0].outside == got[0].n_tokens  # what lies beyond the text is cut off
