@@ -21,11 +21,18 @@ PER_RANGE = 400_000  # postings that a task looks through
 SKETCH = 16  # 64-bit words of a parity sketch
 
 
-def parity_sketch(hashes: np.ndarray) -> np.ndarray:
-    """Bit i is the parity of the number of members hashed to i: two sketches differ in no more bits than the sets differ
-    in members, which bounds the similarity of sets before any set moves."""
-    bits = np.bincount((hashes & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+def parity_sketches(hashes: np.ndarray, cuts: np.ndarray) -> pa.ListArray:
+    """A sketch of each set hashes[cuts[i]:cuts[i+1]]. Bit b is the parity of the number of members hashed to b: two sketches
+    differ in no more bits than the sets differ in members, which bounds the similarity of sets before any set moves."""
+    k = len(cuts) - 1
+    out = np.zeros((k, SKETCH), np.int64)
+    for at in range(0, k, 1024):
+        own = slice(cuts[at], cuts[min(k, at + 1024)])
+        some = np.diff(cuts[at : at + 1025])
+        place = np.repeat(np.arange(len(some)), some) * (64 * SKETCH) + (hashes[own] & np.uint64(64 * SKETCH - 1)).astype(np.int64)
+        bits = np.bincount(place, minlength=len(some) * 64 * SKETCH) & 1
+        out[at : at + 1024] = np.packbits(bits.astype(np.uint8)).view(np.int64).reshape(-1, SKETCH)
+    return pa.ListArray.from_arrays(pa.array(np.arange(k + 1, dtype=np.int32) * SKETCH), pa.array(out.ravel()))
 
 
 def close(t: Fraction) -> Column:
@@ -79,53 +86,72 @@ def shared_buckets(postings: DataFrame, rows: int) -> DataFrame:
 def bucket_components(
     shared: DataFrame, traits: DataFrame, near: Callable[[], Column], linked: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """(node, component) by all links between keys that share a bucket.
+    """(node, component) by all links between keys that share a bucket; the smallest key of a component is left out.
 
     shared: (sig, key), distinct. traits: (key, ...), a row per key. near(): an exact bound on columns x_<trait> and
     y_<trait> that every link keeps. linked(pairs of x, y with their traits): those that link, as (x, y).
 
-    First each bucket's members are held against its most central member only (the one whose buckets hold the most), and
-    what is left outside that leader's component against PICKS other members of the component, drawn by hashes, so that a
-    member with many links to the component finds one of them. Members that are still outside are then held against all
-    members of other components. A pair that is never compared is in one component already, so these are the components of
-    all links in the buckets, while rows stay in proportion to the members of a bucket of near copies.
+    First each key is held against one other only, the most central of the leaders of its buckets (a bucket's leader is the
+    member whose buckets hold the most), then against the other leaders that are not in its component yet. What is left
+    outside its leader's component is held against PICKS other members of the component, drawn by hashes, so that a member
+    with many links to the component finds one of them. Members that are still outside are then held against all members of
+    other components. A pair that is never compared is in one component already, so these are the components of all links in
+    the buckets, while rows stay in proportion to the members of a bucket of near copies.
     """
     cols = traits.columns
     left, right = (traits.select(*[F.col(c).alias(f"{s}_{c}") for c in cols]) for s in "xy")
     tasks = tasks_for(shared.count(), shared.sparkSession)
+
+    def held(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (x, y) that link."""
+        both = pairs.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(near())
+        return linked(both.coalesce(tasks)).select("x", "y")
+
+    def merged(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        """The forest of a forest and further links."""
+        return connected_components(new if old is None else new.unionByName(old.select(F.col("node").alias("x"), F.col("component").alias("y"))), "x", "y")
+
+    def of(forest: DataFrame, side: str) -> DataFrame:
+        return forest.select(F.col("node").alias(side), F.col("component").alias(f"{side}_comp"))
+
     members = shared.groupBy("sig").agg(F.count("*").alias("members"))
     rank = shared.join(members, "sig").groupBy("key").agg(F.sum("members").alias("rank"))
-    leader = materialize(shared.join(rank, "key").groupBy("sig").agg(F.max(F.struct("rank", "key"))["key"].alias("leader")).coalesce(tasks), "leaders")
-    star = shared.join(leader, "sig").where("key != leader").select(F.col("key").alias("x"), F.col("leader").alias("y")).coalesce(tasks).distinct().coalesce(tasks)
-    pairs = star.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(near()).coalesce(tasks)
-    starred = links = materialize(linked(pairs).coalesce(tasks), "links")
-
-    def tag(comp: DataFrame) -> DataFrame:
+    leader = materialize(shared.join(rank, "key").groupBy("sig").agg(F.max(F.struct("rank", "key")).alias("at")).select("sig", "at.rank", F.col("at.key").alias("leader")).coalesce(tasks), "leaders")
+    star = shared.join(leader, "sig").where("key != leader").groupBy(F.col("key").alias("x"))
+    star = materialize(star.agg(F.sort_array(F.collect_set(F.struct("rank", "leader")), False)["leader"].alias("ys")).coalesce(tasks), "stars")  # no more than the key's own buckets
+    forest = merged(None, held(star.select("x", F.col("ys")[0].alias("y"))))
+    more = star.select("x", F.explode(F.slice("ys", F.lit(2), F.size("ys"))).alias("y")).join(of(forest, "x"), "x", "left").join(of(forest, "y"), "y", "left")
+    old, forest = forest, merged(forest, held(more.where(F.coalesce("x_comp", "x") != F.coalesce("y_comp", "y")).select("x", "y")))
+    discard(old, star)
+
+    def tag(forest: DataFrame) -> DataFrame:
         """shared with each member's component and that of its bucket's leader (home)."""
-        home = leader.join(comp.withColumnRenamed("node", "leader"), "leader", "left").select("sig", "leader", F.coalesce("component", "leader").alias("home"))
-        member = shared.join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
-        return member.join(home, "sig").coalesce(tasks)
-
-    # what the leader leaves outside, against other members of its component
-    tagged = drawn = materialize(tag(connected_components(links, "x", "y")), "tagged")
-    picks = [F.max(F.struct(F.xxhash64("key", "sig", F.lit(r)), "key"))["key"] for r in range(PICKS)]
-    inner = tagged.where("comp = home and key != leader").groupBy("sig").agg(F.array_distinct(F.array(*picks)).alias("picks"))
-    more = tagged.where("comp != home").join(inner, "sig").select(F.col("key").alias("x"), F.explode("picks").alias("y")).coalesce(tasks).distinct().coalesce(tasks)
-    more = more.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(near()).coalesce(tasks)
-    links = materialize(links.unionByName(linked(more).coalesce(tasks)), "links")
-    tagged = tag(connected_components(links, "x", "y")).join(traits, "key")
-    names = ["sig", "comp", "home", "leader", *cols]
-    outer = tagged.where("comp != home").select(*[F.col(c).alias(f"x_{c}") for c in names])
-    every = tagged.select(*[F.col(c).alias(f"y_{c}") for c in names])
-    rest = (
-        outer.join(every, F.col("x_sig") == F.col("y_sig"))
-        .where("x_comp != y_comp and y_key != y_leader and (y_comp = y_home or x_key < y_key)")
-        .where(near())
-        .select(F.col("x_key").alias("x"), F.col("y_key").alias("y"), *[f"{s}_{c}" for s in "xy" for c in cols])
-        .coalesce(tasks)
-        .dropDuplicates(["x", "y"])
-        .coalesce(tasks)
-    )
-    comp = connected_components(links.unionByName(linked(rest).coalesce(tasks)), "x", "y")
-    discard(leader, drawn, links, starred)
-    return comp
+        home = leader.join(of(forest, "leader"), "leader", "left").select("sig", "leader", F.coalesce("leader_comp", "leader").alias("home"))
+        return shared.join(of(forest, "key"), "key", "left").select("sig", "key", F.coalesce("key_comp", "key").alias("comp")).join(home, "sig").coalesce(tasks)
+
+    # what the leaders leave outside, against other members of their components
+    tagged = materialize(tag(forest), "tagged")
+    out = materialize(tagged.where("comp != home").coalesce(tasks), "outside")
+    if not out.isEmpty():
+        picks = [F.max(F.struct(F.xxhash64("key", "sig", F.lit(r)), "key"))["key"] for r in range(PICKS)]
+        inner = tagged.where("comp = home and key != leader").groupBy("sig").agg(F.array_distinct(F.array(*picks)).alias("picks"))
+        drawn = out.join(inner, "sig").select(F.col("key").alias("x"), F.explode("picks").alias("y")).coalesce(tasks).distinct()
+        old, forest = forest, merged(forest, held(drawn))
+        last = materialize(tag(forest).join(traits, "key").coalesce(tasks), "tagged")
+        discard(old)
+        names = ["sig", "comp", "home", "leader", *cols]
+        outer = last.where("comp != home").select(*[F.col(c).alias(f"x_{c}") for c in names])
+        every = last.select(*[F.col(c).alias(f"y_{c}") for c in names])
+        rest = (
+            outer.join(every, F.col("x_sig") == F.col("y_sig"))
+            .where("x_comp != y_comp and y_key != y_leader and (y_comp = y_home or x_key < y_key)")
+            .where(near())
+            .select(F.col("x_key").alias("x"), F.col("y_key").alias("y"), *[f"{s}_{c}" for s in "xy" for c in cols])
+            .coalesce(tasks)
+            .dropDuplicates(["x", "y"])
+            .coalesce(tasks)
+        )
+        old, forest = forest, merged(forest, linked(rest).select("x", "y"))
+        discard(old, last)
+    discard(leader, tagged, out)
+    return forest

@@ -7,22 +7,31 @@ bounded size, so that the memory of a task follows SLICE_BYTES and the longest s
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 19
 _M64 = (1 << 64) - 1
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; the setting is made only where it is missing (local tests)."""
+    """A new folder below spark.checkpoint.dir. Where that is unset, a local master gets a temporary folder (tests); on a
+    cluster the executors could not write where the driver reads, so it must be set there."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
@@ -43,16 +52,44 @@ def recording(paths: list[str]):
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet in the shared folder and read it again."""
-    path = f"{scratch(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    """Cut the lineage: write df as Parquet in the shared folder and read it again. Its shuffle files go once it is written."""
+    spark = df.sparkSession
+    path = f"{scratch(spark)}/{name}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     for paths in _recording:
         paths.append(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
 
 
+def with_rows(docs: DataFrame, name: str) -> DataFrame:
+    """docs with the column `name`, a struct of two longs that names each row alike at every read, whatever the session's
+    parallelism: in Parquet tables the file (hashed) and the row's place in it; other frames are written once with numbers."""
+    if "_metadata" not in docs.columns and docs._jdf.queryExecution().analyzed().nodeName().startswith("LogicalRelation"):
+        try:
+            return docs.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")).alias(name))
+        except AnalysisException:  # files of another format
+            pass
+    return materialize(docs.select("*", F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("at")).alias(name)), "rows")
+
+
+ROW = "struct<file: bigint, at: bigint>"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def delete(spark: SparkSession, paths: list[str]) -> None:
     """Delete scratch tables, by the file system that Spark wrote them to."""
     for path in paths:

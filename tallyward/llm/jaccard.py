@@ -9,7 +9,8 @@ and summed per pair.
 Equal sets are one class from the start. buckets.py says how a bucket (class, fragment, contents) of near copies is
 worked through without all its pairs and without losing a link.
 
-Sets are named by a 64-bit sum over their grams' hashes together with their size.
+Sets are named by a 64-bit sum over their grams' hashes together with their size, and checked by another one wherever equal
+names put rows together. `docs` is read twice; common.with_rows names its rows alike at both reads.
 Defined cases: null or blank text has an empty set and links with nothing (its component is its own id); fewer than n
 words give one gram of the whole sequence; rows with null ids take part and never give the component's id unless all ids
 of the component are null; repeated rows are copies; other columns are ignored.
@@ -19,15 +20,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .buckets import bucket_components, close, parity_sketch, shared_buckets
-from .common import LOWER, as_long, materialize, mix, prefix_hash, span_hash, text_slices
+from .buckets import bucket_components, close, parity_sketches, shared_buckets
+from .common import LOWER, ROW, as_long, free_name, materialize, mix, prefix_hash, span_hash, text_slices, with_rows
 
 PARTS = 8  # vertical fragments in which overlaps of candidate pairs are counted
 _GROWTH = Fraction(5, 4)  # ratio of neighbouring size classes
@@ -86,8 +88,10 @@ def size_classes(t: Fraction, most: int = 1 << 40) -> tuple[np.ndarray, np.ndarr
     return np.array([first - 1, *tops]), np.array([1, *(int(x * slack) + 1 for x in tops)])
 
 
-def _keys(sums: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    return mix(sums + mix(sizes.astype(np.uint64)))
+def _keys(g: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, check) of each set: two sums of 64 bits."""
+    size = mix(np.diff(cuts).astype(np.uint64))
+    return mix(_sums(mix(g), cuts) + size), mix(_sums(mix(g ^ np.uint64(0x5851F42D4C957F2D)), cuts) + size)
 
 
 def _set_rows(n: int, t: Fraction):
@@ -97,7 +101,7 @@ def _set_rows(n: int, t: Fraction):
         for batch in it:
             for first, g, cuts in gram_sets(batch.column(2), n):
                 sizes = np.diff(cuts)
-                key = _keys(_sums(mix(g), cuts), sizes)
+                key, check = _keys(g, cuts)
                 # the size class of a set, and that of the largest partner it may have
                 low = np.searchsorted(tops, sizes)
                 high = np.searchsorted(tops, (sizes * t.denominator) // t.numerator)
@@ -120,72 +124,60 @@ def _set_rows(n: int, t: Fraction):
                         batch.column(1).slice(first, k),
                         pa.array(sizes.astype(np.int64)),
                         pa.array(as_long(key), mask=sizes == 0),
+                        pa.array(as_long(check), mask=sizes == 0),
                         pa.ListArray.from_arrays(pa.array(np.array(sig_cuts, np.int32)), pa.array(as_long(flat))),
                     ],
-                    ["id", "row", "n_shingles", "key", "sigs"],
+                    ["id", "row", "n_shingles", "key", "check", "sigs"],
                 )
 
     return rows
 
 
 def _fragment_rows(n: int):
-    """For the texts of candidate sets: key, parity sketch, and the grams by vertical fragment."""
+    """For the texts of candidate sets: key, check, size, parity sketch, and the grams by vertical fragment."""
 
     def rows(it):
         for batch in it:
             for first, g, cuts in gram_sets(batch.column(1), n):
-                keys = batch.column(0).slice(first, len(cuts) - 1)
-                if keys.to_pylist() != as_long(_keys(_sums(mix(g), cuts), np.diff(cuts))).tolist():
+                k = len(cuts) - 1
+                keys = batch.column(0).slice(first, k)
+                key, check = _keys(g, cuts)
+                if keys.to_pylist() != as_long(key).tolist():
                     raise ValueError("docs gave other rows when read again; write it to a table first")
-                sketches = []
-                for d in range(len(cuts) - 1):
-                    a = g[cuts[d] : cuts[d + 1]]
-                    sketches.append(parity_sketch(a))
-                edges = (np.arange(1, PARTS, dtype=np.uint64) << np.uint64(61)) if PARTS == 8 else None
-                parts = [np.split(g[cuts[d] : cuts[d + 1]], np.searchsorted(g[cuts[d] : cuts[d + 1]], edges)) for d in range(len(cuts) - 1)]
+                owner = np.repeat(np.arange(k), np.diff(cuts))
+                inner = np.concatenate([[0], np.cumsum(np.bincount(owner * PARTS + (g >> np.uint64(61)).astype(np.int64), minlength=k * PARTS))])
+                parts = pa.ListArray.from_arrays(pa.array(inner.astype(np.int32)), pa.array(as_long(g)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         keys,
+                        pa.array(as_long(check)),
                         pa.array(np.diff(cuts).astype(np.int64)),
-                        pa.array(list(sketches), pa.list_(pa.int64())),
-                        pa.array([[as_long(x) for x in p] for p in parts], pa.list_(pa.list_(pa.int64()))),
+                        parity_sketches(g, cuts),
+                        pa.ListArray.from_arrays(pa.array(np.arange(k + 1, dtype=np.int32) * PARTS), parts),
                     ],
-                    ["key", "n", "sketch", "parts"],
+                    ["key", "check", "n", "sketch", "parts"],
                 )
 
     return rows
 
 
-def _named(df: DataFrame, side: str, columns: list[str]) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{side}_{c}") for c in columns])
-
-
 def _linked(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     """The pairs (x, y) that link: partial overlaps of each vertical fragment, summed per pair."""
-    frag = sets.select("key", "n", F.posexplode("parts").alias("part", "grams"))
-    left = _named(frag, "x", ["key", "n", "part", "grams"])
-    right = _named(frag, "y", ["key", "n", "part", "grams"])
-    partial = (
-        pairs.select("x", "y").join(left, F.col("x") == F.col("x_key"))
-        .join(right, (F.col("y") == F.col("y_key")) & (F.col("x_part") == F.col("y_part")))
-        .select("x", "y", "x_n", "y_n", F.size(F.array_intersect("x_grams", "y_grams")).alias("partial"))
-    )
-    total = partial.groupBy("x", "y", "x_n", "y_n").agg(F.sum("partial").alias("common"))
+    x, y = (sets.select(F.col("key").alias(s), F.col("n").alias(f"{s}_n"), F.col("parts").alias(f"{s}_parts")) for s in "xy")
+    both = pairs.select("x", "y").join(x, "x").join(y, "y")
+    partial = [F.size(F.array_intersect(F.col("x_parts")[k], F.col("y_parts")[k])) for k in range(PARTS)]
+    total = both.select("x", "y", "x_n", "y_n", reduce(Column.__add__, partial).alias("common"))
     return total.where(F.col("common") * t.denominator >= (F.col("x_n") + F.col("y_n") - F.col("common")) * t.numerator).select("x", "y")
 
 
-def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, threshold: str = "0.9") -> DataFrame:
-    """A row per row of docs: the id column, row (its place in docs), n_shingles, set_key (null for an empty set) and component_key.
-
-    component_key is the same for texts that links of similarity >= threshold connect, directly or through others.
-    `docs` must be deterministic (a table); it is read twice.
-    """
+def _similar(rows: DataFrame, n: int, threshold: str) -> DataFrame:
+    """For rows (id, row, text), read alike each time: id, row, n_shingles, key and check (null: an empty set), and label,
+    which is the same for the rows of a component."""
     t = Fraction(threshold)
-    common.ship(docs.sparkSession)
-    id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
+    common.ship(rows.sparkSession)
+    id_type = rows.schema["id"].dataType.simpleString()
     all_sets = materialize(
-        rows.mapInArrow(_set_rows(n, t), f"id {id_type}, row long, n_shingles long, key long, sigs array<long>"), "sets"
+        rows.mapInArrow(_set_rows(n, t), f"id {id_type}, row {ROW}, n_shingles long, key long, check long, sigs array<long>"), "sets"
     )
     postings = all_sets.select("key", F.explode("sigs").alias("sig"))
     shared = materialize(shared_buckets(postings, all_sets.agg(F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()[0]), "shared")
@@ -194,32 +186,49 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sample = all_sets.where("key is not null").groupBy("key").agg(F.min("row").alias("row")).join(needed, "key")
     texts = rows.select("row", "text").join(sample, "row").select("key", "text")
     sets = materialize(
-        texts.mapInArrow(_fragment_rows(n), "key long, n long, sketch array<long>, parts array<array<long>>"), "fragments"
-    )
-    comp = bucket_components(shared, sets.select("key", "n", "sketch"), lambda: close(t), lambda pairs: _linked(pairs, sets, t))
-    common.discard(shared, sets)
-    return (
-        all_sets.select("id", "row", "n_shingles", "key")
-        .join(comp.withColumnRenamed("node", "key"), "key", "left")
-        .select(F.col("id").alias(id_col), "row", "n_shingles", F.col("key").alias("set_key"), F.coalesce("component", "key").alias("component_key"))
+        texts.mapInArrow(_fragment_rows(n), "key long, check long, n long, sketch array<long>, parts array<array<long>>"), "fragments"
     )
+    forest = bucket_components(shared, sets.select("key", "n", "sketch"), lambda: close(t), lambda pairs: _linked(pairs, sets, t))
+    known = sets.select("key", "check").join(forest.withColumnRenamed("node", "key"), "key", "left").select("key", "check", F.coalesce("component", "key").alias("component"))
+    # sets beside the buckets, and any that share a key but not its check, are components of their own
+    label = F.struct(F.coalesce("component", "key").alias("key"), F.when(F.col("component").isNull(), F.col("check")).otherwise(0).alias("check"))
+    found = all_sets.select("id", "row", "n_shingles", "key", "check").join(known, ["key", "check"], "left")
+    found = materialize(found.select("id", "row", "n_shingles", "key", "check", F.when(F.col("key").isNotNull(), label).alias("label")), "similar")
+    common.discard(all_sets, shared, sets, forest)
+    return found
+
+
+def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, threshold: str = "0.9") -> DataFrame:
+    """A row per row of docs: the id column, n_shingles, set (null for an empty set) and component, structs of two longs;
+    component is the same for texts that links of similarity >= threshold connect, directly or through others."""
+    found = _similar(_rows(docs, id_col, text_col), n, threshold)
+    return found.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("key").isNotNull(), F.struct("key", "check")).alias("set"), F.col("label").alias("component"))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    row = free_name(docs, "row")
+    return with_rows(docs, row).select(F.col(id_col).alias("id"), F.col(row).alias("row"), F.col(text_col).alias("text"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, threshold: str = "0.9") -> DataFrame:
     """A row per row of docs: the id column, n_shingles and component_id, the smallest id that links reach."""
-    found = materialize(similar_sets(docs, id_col, text_col, n, threshold), "similar")
+    found = _similar(_rows(docs, id_col, text_col), n, threshold)
     # a table of its own, so that the join deals both sides anew and adaptive execution can split a hot component
-    smallest = materialize(found.where("component_key is not null").groupBy("component_key").agg(F.min(id_col).alias("component_id")), "smallest")
-    return found.join(smallest, "component_key", "left").select(
-        id_col, "n_shingles", F.when(F.col("component_key").isNull(), F.col(id_col)).otherwise(F.col("component_id")).alias("component_id")
+    smallest = materialize(found.where("label is not null").groupBy("label").agg(F.min("id").alias("component_id")), "smallest")
+    return found.join(smallest, "label", "left").select(
+        F.col("id").alias(id_col), "n_shingles", F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: str = "0.8") -> DataFrame:
     """docs without all rows but one of each component; the one with the smallest id (nulls last, then by row) stays, and
-    so do all rows with an empty set. Columns stay. docs must be a table."""
-    found = materialize(similar_sets(docs, id_col, text_col, n, threshold), "similar").where("component_key is not null")
-    at = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "row")
-    kept = materialize(found.groupBy("component_key").agg(F.min(at)["row"].alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n"), "kept")
-    gone = found.join(kept, "component_key").where("row != kept").select(F.col("row").alias("__row"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(gone, "__row", "left_anti").select(*docs.columns)
+    so do all rows with an empty set. Columns stay."""
+    name = free_name(docs, "row")
+    base = with_rows(docs, name)
+    found = _similar(base.select(F.col(id_col).alias("id"), F.col(name).alias("row"), F.col(text_col).alias("text")), n, threshold)
+    some = found.where("label is not null")
+    at = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    kept = materialize(some.groupBy("label").agg(F.min(at)["row"].alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n"), "kept")
+    gone = materialize(some.join(kept, "label").where("row != kept").select(F.col("row").alias(name)), "gone")
+    common.discard(found, kept)
+    return base.join(gone, name, "left_anti").select(*docs.columns)

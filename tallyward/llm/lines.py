@@ -6,14 +6,16 @@ bins, empty bins filled from a bin drawn by a hash of the bin and the try) is cu
 candidates; candidates link if the exact Jaccard similarity of their sets is `threshold` or more. Of each component the
 occurrence with the smallest (id, row, line number) stays, all others are dropped.
 
-With 12 bands of 5 rows a pair of similarity 0.8 becomes a candidate with probability 0.991, one of 0.9 with 0.99998.
-Equal lines are one key from the start (64-bit hashes). Null or blank texts and blank lines are never dropped and link with
-nothing; rows with null ids come after all others; repeated rows are copies, of which one keeps its lines; other columns
+With 12 bands of 5 rows of independent hashes a pair of similarity 0.8 would become a candidate with probability 0.991;
+test_recall_by_length measures what this signature reaches. Equal lines are one key (a 64-bit hash) from the start; a second
+hash (BLAKE2) is compared wherever equal keys put lines together. Components are found by union-find (components.py). Null or
+blank texts and blank lines are never dropped and link with nothing; rows with null ids come after all others; repeated rows are copies, of which one keeps its lines; other columns
 are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 from fractions import Fraction
 
 import numpy as np
@@ -21,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .buckets import bucket_components, close, parity_sketch, shared_buckets
-from .common import LOWER, as_long, discard, materialize, mix, prefix_hash, ship, span_hash, text_slices
+from .buckets import bucket_components, close, parity_sketches, shared_buckets
+from .common import LOWER, ROW, as_long, discard, free_name, materialize, mix, prefix_hash, ship, span_hash, text_slices, with_rows
 
 CHARS = 9
 BANDS, ROWS = 12, 5
@@ -51,9 +53,8 @@ def split_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return first, np.where(end > first, end, first), heads
 
 
-def shingles(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, line) of every shingle of every line, in order, with repeats."""
-    prefix = prefix_hash(data)
+def shingles(data: np.ndarray, start: np.ndarray, end: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, line) of every shingle of every line, in order, with repeats. prefix: prefix_hash(data)."""
     heads = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
     a, b = np.searchsorted(heads, start), np.searchsorted(heads, end)
     n = np.where(end > start, np.maximum(b - a - CHARS + 1, 1), 0)
@@ -89,59 +90,79 @@ def signatures(h: np.ndarray, line: np.ndarray, n_lines: int) -> np.ndarray:
     return out
 
 
+def _check(raw: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A second hash of each line."""
+    own = [hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+    return np.frombuffer(b"".join(own), np.int64)
+
+
 def _read(it):
-    """Per row: id, row, the key of each line (null: blank), and (key, sig) postings of keys that are new in the slice."""
+    """Per row: id, row, key and check of each line (null: blank), and (key, sig) postings of keys that are new in the slice."""
     for batch in it:
         for first, data, offsets in text_slices(batch.column(2)):
             data = LOWER[data]
             start, end, heads = split_lines(data, offsets)
             solid = end > start
-            key = span_hash(prefix_hash(data), start, end)
+            prefix = prefix_hash(data)
+            key = span_hash(prefix, start, end)
             _, one = np.unique(key, return_index=True)
             new = np.zeros(len(key), bool)
             new[one] = True
             new &= solid
             at = np.flatnonzero(new)
-            h, line = shingles(data, start[at], end[at])
+            h, line = shingles(data, start[at], end[at], prefix)
             sig = signatures(h, line, len(at))
             k = len(offsets) - 1
-            lines = pa.ListArray.from_arrays(pa.array(heads.astype(np.int32)), pa.array(as_long(key), mask=~solid))
-            counts = np.concatenate([[0], np.cumsum(new)])[heads] * BANDS
-            keys = pa.ListArray.from_arrays(pa.array(counts.astype(np.int32)), pa.array(np.repeat(as_long(key)[at], BANDS)))
-            sigs = pa.ListArray.from_arrays(pa.array(counts.astype(np.int32)), pa.array(as_long(sig.ravel())))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, k), batch.column(1).slice(first, k), lines, keys, sigs], ["id", "row", "lines", "keys", "sigs"])
+            cuts = pa.array(heads.astype(np.int32))
+            lines = pa.ListArray.from_arrays(cuts, pa.array(as_long(key), mask=~solid))
+            checks = pa.ListArray.from_arrays(cuts, pa.array(_check(data.tobytes(), start, end), mask=~solid))
+            counts = np.concatenate([[0], np.cumsum(new)])[heads]
+            keys = pa.ListArray.from_arrays(pa.array(counts.astype(np.int32)), pa.array(as_long(key)[at]))
+            sigs = pa.ListArray.from_arrays(pa.array((counts * BANDS).astype(np.int32)), pa.array(as_long(sig.ravel())))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, k), batch.column(1).slice(first, k), lines, checks, keys, sigs], ["id", "row", "lines", "checks", "keys", "sigs"])
+
+
+def _flat(it):
+    """Rows of (keys, sigs: BANDS a key) to (key, sig)."""
+    for batch in it:
+        keys, sigs = (batch.column(i).flatten() for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys.to_numpy(zero_copy_only=False), BANDS)), sigs], ["key", "sig"])
 
 
 def _pick(it):
-    """Rows of (text, wanted: array of keys) to (key, folded line)."""
+    """Rows of (text, wanted: array of keys) to (key, check, folded line, number of shingles, sketch)."""
     for batch in it:
-        wanted = batch.column(1).to_pylist()
+        wanted = batch.column(1)
         for first, data, offsets in text_slices(batch.column(0)):
             data = LOWER[data]
             start, end, heads = split_lines(data, offsets)
-            key = as_long(span_hash(prefix_hash(data), start, end))
+            prefix = prefix_hash(data)
+            key = as_long(span_hash(prefix, start, end))
+            part = wanted.slice(first, len(offsets) - 1)
+            asked, owner = part.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(part)), np.diff(part.offsets.to_numpy()))
+            # the first solid line of each (text, key) that is asked for
+            text = np.repeat(np.arange(len(part)), np.diff(heads))
+            solid = np.flatnonzero(end > start)
+            both = np.rec.fromarrays([np.concatenate([owner, text[solid]]), np.concatenate([asked, key[solid]])])
+            _, kind = np.unique(both, return_inverse=True)
+            first_of = np.full(int(kind.max(initial=-1)) + 1, -1, np.int64)
+            first_of[kind[len(asked) :][::-1]] = solid[::-1]
+            at = first_of[kind[: len(asked)]]
+            if (at < 0).any():
+                raise ValueError("docs gave other rows when read again; write it to a table first")
             raw = data.tobytes()
-            keys, texts, at = [], [], []
-            for d in range(len(offsets) - 1):
-                want = set(wanted[first + d])
-                for i in range(heads[d], heads[d + 1]):
-                    if end[i] > start[i] and int(key[i]) in want:
-                        want.discard(int(key[i]))
-                        keys.append(int(key[i]))
-                        at.append(i)
-                        texts.append(raw[start[i] : end[i]].decode("utf-8", "replace"))
-                if want:
-                    raise ValueError("docs gave other rows when read again; write it to a table first")
-            h, line = shingles(data, start[at], end[at]) if at else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            h, line = shingles(data, start[at], end[at], prefix)
+            order = np.lexsort((h, line))
+            h, line = h[order], line[order]
+            fresh = np.ones(len(h), bool)
+            fresh[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+            h, line = h[fresh], line[fresh]
             cuts = np.searchsorted(line, np.arange(len(at) + 1))
-            sets = [np.unique(h[cuts[i] : cuts[i + 1]]) for i in range(len(at))]
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.int64()), pa.array(texts, pa.string()), pa.array([len(x) for x in sets], pa.int64()),
-                    pa.array([parity_sketch(x) for x in sets], pa.list_(pa.int64())),
-                ],
-                ["key", "line", "n", "sketch"],
-            )
+                [pa.array(asked, pa.int64()), pa.array(_check(raw, start[at], end[at])), pa.array(texts, pa.string()), pa.array(np.diff(cuts)), parity_sketches(h, cuts)],
+                ["key", "check", "line", "n", "sketch"],
+            )
 
 
 def _jaccard(t: Fraction):
@@ -163,24 +184,22 @@ def _jaccard(t: Fraction):
     return rows
 
 
-def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: str = "0.8") -> DataFrame:
-    """A row per row of docs: row (its place in docs), the id column, n_lines and dropped, the numbers (from 0) of the
-    lines that go, in order. docs must be a table; it is read twice."""
+def _verdicts(base: DataFrame, threshold: str) -> DataFrame:
+    """For rows (id, row, text), read alike each time: row, id, n_lines and dropped."""
     t = Fraction(threshold)
-    ship(docs.sparkSession)
-    id_type = docs.schema[id_col].dataType.simpleString()
-    base = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
+    ship(base.sparkSession)
+    id_type = base.schema["id"].dataType.simpleString()
     read = materialize(
-        base.mapInArrow(_read, f"id {id_type}, row long, lines array<long>, keys array<long>, sigs array<long>"), "lines"
+        base.mapInArrow(_read, f"id {id_type}, row {ROW}, lines array<long>, checks array<long>, keys array<long>, sigs array<long>"), "lines"
     )
-    pairs = read.select(F.explode(F.arrays_zip("sigs", "keys")).alias("p")).select(F.col("p.sigs").alias("sig"), F.col("p.keys").alias("key"))
+    pairs = read.select("keys", "sigs").mapInArrow(_flat, "key long, sig long")
     shared = materialize(shared_buckets(pairs, read.agg(F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()[0]), "shared")
     # the text of each key in a shared bucket, from one of its rows
-    occur = read.select("id", "row", F.posexplode("lines").alias("line", "key")).where("key is not null")
-    place = read.select("row", F.explode(F.array_distinct("keys")).alias("key")).groupBy("key").agg(F.min("row").alias("row"))
-    wanted = place.join(shared.select("key").distinct(), "key").groupBy("row").agg(F.collect_list("key").alias("wanted"))  # a list per text
+    occur = read.select("id", "row", F.posexplode(F.arrays_zip("lines", "checks")).alias("line", "at")).select("id", "row", "line", F.col("at.lines").alias("key"), F.col("at.checks").alias("check"))
+    place = read.select("row", F.explode("keys").alias("key")).join(shared.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("row").alias("row"))
+    wanted = place.groupBy("row").agg(F.collect_list("key").alias("wanted"))  # a list per text
     texts = materialize(
-        base.select("row", "text").join(wanted, "row").select("text", "wanted").mapInArrow(_pick, "key long, line string, n long, sketch array<long>"), "texts"
+        base.select("row", "text").join(wanted, "row").select("text", "wanted").mapInArrow(_pick, "key long, check long, line string, n long, sketch array<long>"), "texts"
     )
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -193,31 +212,47 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         )
         return both.mapInArrow(_jaccard(t), "x long, y long")
 
-    comp = bucket_components(shared, texts.select("key", "n", "sketch"), lambda: close(t), linked)
-    discard(shared, texts)
-    labelled = occur.join(comp.withColumnRenamed("node", "key"), "key", "left").select(
-        F.struct(F.col("id").isNull().alias("none"), "id", "row", "line").alias("at"), F.coalesce("component", "key").alias("label")
+    forest = bucket_components(shared, texts.select("key", "n", "sketch"), lambda: close(t), linked)
+    known = texts.select("key", "check").join(forest.withColumnRenamed("node", "key"), "key", "left").select("key", "check", F.coalesce("component", "key").alias("component"))
+    # lines beside the buckets, and any that share a key but not its check, are components of their own
+    label = F.struct(F.coalesce("component", "key").alias("key"), F.when(F.col("component").isNull(), F.col("check")).otherwise(0).alias("check"))
+    labelled = occur.where("key is not null").join(known, ["key", "check"], "left").select(
+        F.struct(F.col("id").isNull().alias("none"), "id", "row", "line").alias("at"), label.alias("label")
     )
     labelled = materialize(labelled, "labelled")
+    discard(shared, texts, forest)
     # a table of its own, so that the join deals both sides anew and adaptive execution can split a hot label
     kept = materialize(labelled.groupBy("label").agg(F.min("at").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n"), "kept")
     gone = (
         labelled.join(kept, "label").where("at.row != kept.row or at.line != kept.line")
         .groupBy(F.col("at.row").alias("row")).agg(F.array_sort(F.collect_list("at.line")).alias("dropped"))  # one text's lines
     )
-    return read.select("row", F.col("id").alias(id_col), F.size("lines").alias("n_lines")).join(gone, "row", "left").select(
-        "row", id_col, F.col("n_lines").cast("long").alias("n_lines"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped")
-    )
+    gone = materialize(gone, "gone")
+    discard(labelled, kept)
+    out = read.select("row", "id", F.size("lines").cast("long").alias("n_lines")).join(gone, "row", "left")
+    out = out.select("row", "id", "n_lines", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    out.gone, out.read = gone, read
+    return out
+
+
+def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: str = "0.8") -> DataFrame:
+    """A row per row of docs: the id column, n_lines and dropped, the numbers (from 0) of the lines that go, in order."""
+    row = free_name(docs, "row")
+    base = with_rows(docs, row).select(F.col(id_col).alias("id"), F.col(row).alias("row"), F.col(text_col).alias("text"))
+    return _verdicts(base, threshold).select(F.col("id").alias(id_col), "n_lines", "dropped")
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: str = "0.8") -> DataFrame:
     """docs with the dropped lines taken out of text_col; rows that lose every solid line go. Other columns stay."""
-    gone = line_verdicts(docs, id_col, text_col, threshold).where(F.size("dropped") > 0).select(F.col("row").alias("__row"), "dropped")
-    lines = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.array_contains("__dropped", i))
+    row, dropped = free_name(docs, "row"), free_name(docs, "dropped")
+    base = with_rows(docs, row)
+    found = _verdicts(base.select(F.col(id_col).alias("id"), F.col(row).alias("row"), F.col(text_col).alias("text")), threshold)
+    discard(found.read)
+    gone = found.gone.select(F.col("row").alias(row), F.col("dropped").alias(dropped))
+    lines = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.array_contains(dropped, i))
     return (
-        docs.withColumn("__row", F.monotonically_increasing_id())
-        .join(gone.withColumnRenamed("dropped", "__dropped"), "__row", "left")
-        .withColumn(text_col, F.when(F.col("__dropped").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n")))
-        .where(F.col("__dropped").isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
+        base.join(gone, row, "left")
+        .withColumn(text_col, F.when(F.col(dropped).isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n")))
+        .where(F.col(dropped).isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
         .select(*docs.columns)
     )

@@ -85,7 +85,7 @@ def op4_secrets_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lines import line_verdicts
 
-    return line_verdicts(_table(spark, sf_dir, "documents")).drop("row")
+    return line_verdicts(_table(spark, sf_dir, "documents"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
