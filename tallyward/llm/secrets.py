@@ -11,7 +11,8 @@ windows slide over each piece that is left, so that one mark does not hide the r
 alphabets of 32 to 36 symbols, whose windows seldom reach 4.1 bits.
 
 A kind's places follow from the lengths of the text's pieces between its matches and of the matches, in code points.
-Texts without a match, nearly all, only pay for the search.
+Texts without a match, nearly all, only pay for the search. Work is in proportion to the text, but for a binary search of
+each candidate among the base spans.
 
 Defined cases: null text is empty; repeated rows and ids give a row each; other columns are ignored.
 """
@@ -54,6 +55,8 @@ MARKS = r"(?i:example|placeholder|changeme|xxxx+)|0123456789|abcdefghij|ABCDEFGH
 WHOLE = (r"^[0-9]+$", r"^([a-z_-]+|[A-Z_-]+)$")
 _MILLION = 1_000_000
 _KINDS = [b[0] for b in BASE] + [c[0] for c in CLASSES + SMALL] + ["mark"]
+BLOCK = 128  # matches whose places are summed together
+CHUNK = 256  # windows that are walked together
 _SPAN = "array<struct<start:int,kind:int,end:int,text:string>>"
 
 
@@ -67,64 +70,108 @@ def most_g(window: int, bits: float) -> int:
     return math.floor(_MILLION * window * (math.log2(window) - bits))
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with value evaluated once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
-    """(start, kind, end, text) of the matches whose group has `least` characters, in order."""
+    """(start, kind, end, text) of the matches whose group has `least` characters, in order. Places are running sums, first
+    over blocks of BLOCK matches, then within each, so that no array grows match by match."""
     p = F.lit(pattern)
     parts = F.arrays_zip(
         F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
         F.regexp_extract_all(text, p, F.lit(0)).alias("m"),
         F.regexp_extract_all(text, p, F.lit(group)).alias("v"),
     )
+    none = F.array().cast(_SPAN)
+
+    def size(x):  # the last part is a gap alone
+        return x["gap"] + F.coalesce(F.length(x["m"]), F.lit(0))
 
     def step(acc, x):
         start = acc["at"] + x["gap"]
-        end = start + F.length(x["m"])
+        end = start + F.coalesce(F.length(x["m"]), F.lit(0))
         hit = F.array(F.struct(start.alias("start"), F.lit(_KINDS.index(kind)).alias("kind"), end.alias("end"), x["m"].alias("text")))
         return F.struct(end.alias("at"), F.when(F.length(x["v"]) >= least, F.concat(acc["out"], hit)).otherwise(acc["out"]).alias("out"))
 
-    none = F.array().cast(_SPAN)
-    walk = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step)
-    return F.when(text.rlike(pattern), walk["out"]).otherwise(none)
+    def placed(blocks):
+        ends = F.aggregate(blocks, F.array(F.lit(0)), lambda acc, b: F.concat(acc, F.array(F.element_at(acc, -1) + F.aggregate(b, F.lit(0), lambda n, x: n + size(x)))))
+        return _let(ends, lambda e: F.flatten(F.transform(blocks, lambda b, k: F.aggregate(b, F.struct(e[k].alias("at"), none.alias("out")), step)["out"])))
 
+    blocks = _let(parts, lambda ps: F.transform(F.sequence(F.lit(0), F.floor((F.size(ps) - 1) / BLOCK).cast("int")), lambda k: F.slice(ps, k * BLOCK + 1, BLOCK)))
+    return F.when(text.rlike(pattern), _let(blocks, placed)).otherwise(none)
 
-def _window_span(text: Column, alphabet: str, window: int, bits: float) -> Column:
-    """(first, last) window start, from 0, at or above the threshold; nulls if there is none."""
+
+def _window_span(text: Column, window: int, bits: float) -> Column:
+    """(first, last) window start, from 0, at or above the threshold; nulls if there is none. The windows that begin in a
+    chunk of CHUNK characters are walked together; a step looks up the counts of the character that enters and of the one
+    that leaves, and changes the sum by those two."""
     g = F.array(*[F.lit(x) for x in g_table(window)])
     limit = most_g(window, bits)
 
-    def step(acc, i):
-        # i: characters read; the i-th enters, the one `window` before it leaves
-        enter = F.position(F.substr(text, i, F.lit(1)), F.lit(alphabet))
-        leave = F.when(i > window, F.position(F.substr(text, i - window, F.lit(1)), F.lit(alphabet))).otherwise(0)
-        less = F.when(leave > 0, F.element_at(acc["counts"], F.greatest(leave, F.lit(1)))).otherwise(0)
-        more = F.element_at(acc["counts"], enter) - F.when(enter == leave, 1).otherwise(0)
-        total = (
-            acc["sum"]
-            + F.when(leave > 0, F.element_at(g, F.greatest(less, F.lit(1))) - F.element_at(g, less + 1)).otherwise(0)
-            + F.element_at(g, more + 2)
-            - F.element_at(g, more + 1)
-        )
-        counts = F.transform(acc["counts"], lambda c, k: c + F.when(k + 1 == enter, 1).otherwise(0) - F.when(k + 1 == leave, 1).otherwise(0))
-        high = (i >= window) & (total <= limit)
-        return F.struct(
-            counts.alias("counts"),
-            total.cast("int").alias("sum"),
-            F.when(high & acc["first"].isNull(), i - window).otherwise(acc["first"]).cast("int").alias("first"),
-            F.when(high, i - window).otherwise(acc["last"]).cast("int").alias("last"),
-        )
-
-    start = F.struct(
-        F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0).alias("sum"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last")
-    )
-    return F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step)
+    def count(s, c):
+        return F.length(s) - F.length(F.replace(s, c, F.lit("")))
+
+    def walk(piece):
+        def change(v):
+            # i: characters read; the i-th enters, the one `window` before it leaves
+            full = v["i"] > window
+            n, m = count(v["before"], v["enter"]), count(v["before"], v["leave"])
+            more = F.element_at(g, n + 2) - F.element_at(g, n + 1)
+            less = F.when(full, F.element_at(g, F.greatest(m, F.lit(1))) - F.element_at(g, m + 1)).otherwise(0)
+            return F.when(full & (v["enter"] == v["leave"]), 0).otherwise(more + less)
+
+        def step(acc, i):
+            v = F.struct(
+                i.alias("i"), F.substr(piece, F.greatest(i - window, F.lit(1)), F.least(i - 1, F.lit(window))).alias("before"),
+                F.substr(piece, i, F.lit(1)).alias("enter"), F.substr(piece, F.greatest(i - window, F.lit(1)), F.lit(1)).alias("leave"),
+            )
+            return _let(
+                acc["sum"] + _let(v, change),
+                lambda total: F.struct(
+                    total.cast("int").alias("sum"),
+                    F.when((i >= window) & (total <= limit) & acc["first"].isNull(), i - window).otherwise(acc["first"]).cast("int").alias("first"),
+                    F.when((i >= window) & (total <= limit), i - window).otherwise(acc["last"]).cast("int").alias("last"),
+                ),
+            )
+
+        null = F.lit(None).cast("int")
+        return F.aggregate(F.sequence(F.lit(1), F.length(piece)), F.struct(F.lit(0).alias("sum"), null.alias("first"), null.alias("last")), step)
+
+    def chunked(chunks):
+        def one(chunk, k):
+            piece = F.concat(chunk, F.substr(F.coalesce(F.get(chunks, k + 1), F.lit("")), F.lit(1), F.lit(window - 1)))
+            return _let(_let(piece, walk), lambda w: F.struct((k * CHUNK + w["first"]).alias("first"), (k * CHUNK + w["last"]).alias("last")))
+
+        return _let(F.transform(chunks, one), lambda ws: F.struct(F.array_min(F.transform(ws, lambda w: w["first"])).alias("first"), F.array_max(F.transform(ws, lambda w: w["last"])).alias("last")))
+
+    return _let(F.regexp_extract_all(text, F.lit(f".{{1,{CHUNK}}}"), F.lit(0)), chunked)
 
 
 def _allowed(text: Column, rules: tuple[str, ...] = ALLOW) -> Column:
     return reduce(Column.__or__, [text.rlike(a) for a in rules])
 
 
-def _pieces(x: Column, cuts: Column) -> Column:
-    """What is left of the span x without the spans of `cuts`, which are in order."""
+def _first_beyond(spans: Column, place: Column) -> Column:
+    """The index, from 0, of the first of the spans of a kind (in order, apart from each other) that ends behind place."""
+
+    def halve(acc, _):
+        middle = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        beyond = F.get(spans, middle)["end"] > place
+        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(F.struct(F.when(beyond, acc["lo"]).otherwise(middle + 1).alias("lo"), F.when(beyond, middle).otherwise(acc["hi"]).alias("hi")))
+
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(spans))))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi")), halve)["lo"]
+
+
+def _touched(x: Column, kinds: list[str]) -> Column:
+    """Whether x overlaps a span of the columns."""
+    return reduce(Column.__or__, [F.coalesce(F.get(F.col(k), _first_beyond(F.col(k), x["start"]))["start"] < x["end"], F.lit(False)) for k in kinds])
+
+
+def _pieces(x: Column, kinds: list[str]) -> Column:
+    """What is left of the span x without the spans of the columns."""
 
     def piece(start, end):
         return F.array(F.struct(start.alias("start"), x["kind"].alias("kind"), end.alias("end"), F.substr(x["text"], start - x["start"] + 1, end - start).alias("text")))
@@ -133,18 +180,22 @@ def _pieces(x: Column, cuts: Column) -> Column:
         out = F.when(b["start"] > acc["at"], F.concat(acc["out"], piece(acc["at"], b["start"]))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), out.alias("out"))
 
+    def inside(kind):
+        spans = F.col(kind)
+        return _let(_first_beyond(spans, x["start"]), lambda a: F.slice(spans, a + 1, F.greatest(_first_beyond(spans, x["end"] - 1) + 1 - a, F.lit(0))))
+
     none = F.array().cast(_SPAN)
     return F.aggregate(
-        F.filter(cuts, lambda b: _overlap(x, b)),
+        F.filter(F.array_sort(F.concat(*[inside(k) for k in kinds])), lambda b: _overlap(x, b)),
         F.struct(x["start"].alias("at"), none.alias("out")),
         step,
         lambda acc: F.when(acc["at"] < x["end"], F.concat(acc["out"], piece(acc["at"], x["end"]))).otherwise(acc["out"]),
     )
 
 
-def _high(spans: Column, alphabet: str, window: int, bits: float) -> Column:
+def _high(spans: Column, window: int, bits: float) -> Column:
     """The part of each span from its first window at or above the threshold to its last; spans without one go."""
-    with_span = F.transform(spans, lambda x: F.struct(x.alias("x"), _window_span(x["text"], alphabet, window, bits).alias("w")))
+    with_span = F.transform(spans, lambda x: F.struct(x.alias("x"), _window_span(x["text"], window, bits).alias("w")))
     return F.transform(
         F.filter(with_span, lambda y: y["w"]["first"].isNotNull()),
         lambda y: F.struct(
@@ -160,11 +211,13 @@ def _overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
+_BASES = [f"__b{k}" for k in range(len(BASE))]
+
+
 def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The id column, __t (the text) and __base (its base spans)."""
+    """The id column, __t (the text) and __b0 ...: its base spans by kind."""
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("__t"))
-    base = rows.select(id_col, "__t", *[_found(F.col("__t"), *b).alias(f"__b{k}") for k, b in enumerate(BASE)])
-    return base.select(id_col, "__t", F.concat(*[f"__b{k}" for k in range(len(BASE))]).alias("__base"))
+    return rows.select(id_col, "__t", *[_found(F.col("__t"), *b).alias(name) for name, b in zip(_BASES, BASE, strict=True)])
 
 
 def _result(got: DataFrame, id_col: str, classes: int) -> DataFrame:
@@ -176,20 +229,18 @@ def _result(got: DataFrame, id_col: str, classes: int) -> DataFrame:
             lambda s: F.struct(s["start"].alias("start"), F.element_at(names, s["kind"] + 1).alias("kind"), s["end"].alias("end"), s["text"].alias("text")),
         )
 
-    added = F.concat(*[f"__c{k}" for k in range(classes)])
-    return got.select(
-        id_col, named(F.col("__base")).alias("base"), named(added).alias("added"), named(F.concat(F.col("__base"), added)).alias("all_spans")
-    )
+    base, added = F.concat(*_BASES), F.concat(*[f"__c{k}" for k in range(classes)])
+    return got.select(id_col, named(base).alias("base"), named(added).alias("added"), named(F.concat(base, added)).alias("all_spans"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per row of docs: the id column, base and added: arrays of (start, kind, end, text), kind by name."""
     base, text, parts = _base(docs, id_col, text_col), F.col("__t"), []
-    for k, (name, pattern, alphabet, window, bits) in enumerate(CLASSES):
+    for k, (name, pattern, _, window, bits) in enumerate(CLASSES):
         found = _found(text, name, pattern, 0, window)
-        fresh = F.filter(found, lambda x: ~_allowed(x["text"]) & ~F.exists("__base", lambda b: _overlap(x, b)))
-        parts.append(F.when(text.rlike(pattern), _high(fresh, alphabet, window, bits)).otherwise(F.array().cast(_SPAN)).alias(f"__c{k}"))
-    return _result(base.select(id_col, "__base", *parts), id_col, len(CLASSES))
+        fresh = F.filter(found, lambda x: ~_allowed(x["text"]) & ~_touched(x, _BASES))
+        parts.append(F.when(text.rlike(pattern), _high(fresh, window, bits)).otherwise(F.array().cast(_SPAN)).alias(f"__c{k}"))
+    return _result(base.select(id_col, *_BASES, *parts), id_col, len(CLASSES))
 
 
 def scan_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -197,13 +248,13 @@ def scan_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     base, text, parts = _base(docs, id_col, text_col), F.col("__t"), []
     classes = CLASSES + SMALL
     any_run = reduce(Column.__or__, [text.rlike(c[1]) for c in classes])
-    cuts = F.when(any_run, F.array_sort(F.concat("__base", _found(text, "mark", MARKS, 0, 0)))).otherwise(F.array().cast(_SPAN))
-    cut = base.select(id_col, "__t", "__base", cuts.alias("__cuts"))
-    for k, (name, pattern, alphabet, window, bits) in enumerate(classes):
-        pieces = F.flatten(F.transform(_found(text, name, pattern, 0, window), lambda x: _pieces(x, F.col("__cuts"))))
+    marks = F.when(any_run, _found(text, "mark", MARKS, 0, 0)).otherwise(F.array().cast(_SPAN))
+    cut = base.select(id_col, "__t", *_BASES, marks.alias("__marks"))
+    for k, (name, pattern, _, window, bits) in enumerate(classes):
+        pieces = F.flatten(F.transform(_found(text, name, pattern, 0, window), lambda x: _pieces(x, [*_BASES, "__marks"])))
         fresh = F.filter(pieces, lambda x: (F.length(x["text"]) >= window) & ~_allowed(x["text"], WHOLE))  # noqa: B023
-        parts.append(F.when(text.rlike(pattern), _high(fresh, alphabet, window, bits)).otherwise(F.array().cast(_SPAN)).alias(f"__c{k}"))
-    return _result(cut.select(id_col, "__base", *parts), id_col, len(classes))
+        parts.append(F.when(text.rlike(pattern), _high(fresh, window, bits)).otherwise(F.array().cast(_SPAN)).alias(f"__c{k}"))
+    return _result(cut.select(id_col, *_BASES, *parts), id_col, len(classes))
 
 
 def joined(spans: Column) -> Column:

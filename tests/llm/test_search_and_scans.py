@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -87,6 +88,23 @@ def test_secrets(spark):
     assert secrets.scan(df.limit(0)).count() == 0
 
 
+def test_secrets_of_long_texts(spark):
+    """A megabyte in one run, and thousands of matches in one text, end in seconds."""
+    rng = random.Random(3)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    run = "".join(rng.choices(b64.replace("x", "").replace("X", ""), k=1_000_000))  # xxxx stands in the allow-list
+    many = "\n".join("".join(rng.choices("0123456789abcdef", k=40)) + " " + "".join(rng.choices(b64, k=30)) for _ in range(5000))
+    df = spark.createDataFrame([(1, "é " + run + " ende"), (2, many), (2, many)], "doc_id long, text string")
+    began = time.time()
+    got = sorted(secrets.digest(secrets.scan(df)).collect())
+    assert time.time() - began < 60
+    assert re.fullmatch(r"entropy_base64:\d{1,2}:(1000002|99\d{4}|1000001)", got[0].spans)
+    assert got[1] == got[2] and got[1].n_hex == 5000
+    names = [b[0] for b in secrets.BASE] + [c[0] for c in secrets.CLASSES]
+    base = base_spans(many)
+    assert got[1].base_sha256 == hashlib.sha256(",".join(f"{names[k]}:{s}:{e}" for s, k, e in base).encode()).hexdigest()
+
+
 def piece_spans(text):
     """Every window by itself: none that touches a base span or a mark; spans end where one of those stands between."""
     cuts = [(s, e) for s, _, e in base_spans(text)] + [m.span() for m in re.finditer(secrets.MARKS, text)]
