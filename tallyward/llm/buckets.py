@@ -47,7 +47,7 @@ def close(t: Fraction) -> Column:
 
 
 def shared_buckets(postings: DataFrame, rows: int) -> DataFrame:
-    """The distinct postings (sig long, key long) whose sig has two keys at least, by one range shuffle on (sig, key).
+    """A table of the distinct postings (sig long, key long) whose sig has two keys at least, by one range shuffle on (sig, key).
 
     Ranges part even the largest bucket, so none lands in one task. A task compares neighbours in sorted order; what it
     holds at its two ends may go on in the next range, so those buckets are handed on and counted once more.
@@ -80,7 +80,9 @@ def shared_buckets(postings: DataFrame, rows: int) -> DataFrame:
     )
     edge = near.where("edge").select("sig", "key").distinct()  # two buckets a range at most begin or end there
     real = edge.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig")
-    return near.where("not edge").select("sig", "key").unionByName(edge.join(real, "sig").select("sig", "key"))
+    shared = materialize(near.where("not edge").select("sig", "key").unionByName(edge.join(real, "sig").select("sig", "key")), "shared")
+    discard(near)
+    return shared
 
 
 def bucket_components(

@@ -10,8 +10,10 @@ No overlap by either rule is missed: a row of n words that no mask of MASKS hits
 of 3 at most (test_masks_hit_every_overlap counts them out). A stretch needs STRETCH of that; SHARE of n words leaves n / 10,
 which is more than 3 beyond 30 words, and the test holds each length up to there. A smaller `share` seeks with single words.
 
-Item hashes are broadcast in blocks: an item belongs to the block of its hash, and there are as many blocks as keep the
-expected words of one below BLOCK_WORDS. Each block is one pass over the texts; hits and verification stay in the task.
+The join of test and training hashes is a broadcast join: equal item texts become one first, and these are dealt to blocks by
+a hash; blocks are made smaller until each holds BLOCK_WORDS words at most (or one longer item), as counted before anything
+is broadcast. Each block is one pass over the texts, in which sorted tables of its hashes meet those of the texts; hits and
+verification stay in the task, so that nothing of the texts is shuffled. The ids of equal items are joined to the result.
 
 Defined cases: null or blank texts and items overlap with nothing; equal items are all reported; repeated rows are each
 reported; null ids are carried along; other columns are ignored.
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, mix, prefix_hash, ship, span_hash, text_slices, words
+from .common import LOWER, ROW, free_name, materialize, mix, prefix_hash, ship, span_hash, text_slices, with_rows, words
 
 #: Positions that count (1) and positions that may differ (0).
 MASKS = ("1111", "11011", "110101", "101011")
@@ -151,22 +153,30 @@ def _parts(n: np.ndarray):
         yield from map(slice, [0, *ends[:-1].tolist()], ends.tolist())
 
 
-def find_overlaps(
-    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", share: float = SHARE
-) -> DataFrame:
-    """A row per text and item that overlap: the row's place in docs (row), its id, the item's id, the number of words
-    that agree (agree), the item's words (n_words) and the text's word at which the overlap begins (word_pos)."""
-    spark = docs.sparkSession
-    ship(spark)
-    own = items.select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
-    total = own.agg(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0))).first()[0]
+def _blocks(own: DataFrame) -> tuple[DataFrame, int]:
+    """A table of the distinct item texts (key, text, block), and the number of blocks."""
+    texts = own.where(F.col("text").rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]")).groupBy("key").agg(F.first("text").alias("text"))
+    texts = materialize(texts.withColumn("n", F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+")).cast("long")), "items")
+    total = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_WORDS))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_type, item_type = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
-    out = None
+    while True:
+        block = F.pmod(F.xxhash64("key"), F.lit(blocks))
+        if texts.groupBy(block.alias("block")).agg(F.sum("n").alias("n"), F.count("*").alias("items")).where((F.col("n") > BLOCK_WORDS) & (F.col("items") > 1)).isEmpty():
+            return texts.withColumn("block", block), blocks
+        blocks *= 2
+
+
+def _overlaps(rows: DataFrame, items: DataFrame, item_col: str, item_text: str, share: float) -> DataFrame:
+    """For rows (row, id, text): row, id, item, agree, n_words and word_pos of each overlap."""
+    spark = rows.sparkSession
+    ship(spark)
+    own = items.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).where("text is not null")
+    own = own.withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
+    texts, blocks = _blocks(own)
+    id_type, out = rows.schema["id"].dataType.simpleString(), None
     for b in range(blocks):
-        part = own.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).toPandas()
-        shared = spark.sparkContext.broadcast((part["item"].tolist(), part["text"].tolist()))
+        part = texts.where(F.col("block") == b).select("key", "text").toPandas()  # BLOCK_WORDS words at most, or one item
+        shared = spark.sparkContext.broadcast((part["key"].tolist(), part["text"].tolist()))
         cache: dict = {}
 
         def search(it, shared=shared, cache=cache):
@@ -180,20 +190,37 @@ def find_overlaps(
                         at = pa.array([first + t for t, _, _, _ in got], pa.int64())
                         yield pa.RecordBatch.from_arrays(
                             [
-                                batch.column(0).take(at), batch.column(1).take(at), pa.array([block.ids[i] for _, i, _, _ in got]).cast(kind),
+                                batch.column(0).take(at), batch.column(1).take(at), pa.array([block.ids[i] for _, i, _, _ in got], pa.string()),
                                 pa.array([a for _, _, a, _ in got], pa.int64()), pa.array([len(block.words[i]) for _, i, _, _ in got], pa.int64()),
                                 pa.array([p for _, _, _, p in got], pa.int64()),
                             ],
-                            ["row", "id", "item", "agree", "n_words", "word_pos"],
+                            ["row", "id", "key", "agree", "n_words", "word_pos"],
                         )
 
-        kind = pa.string() if item_type == "string" else pa.int32() if item_type == "int" else pa.int64()
-        one = rows.mapInArrow(search, f"row long, id {id_type}, item {item_type}, agree long, n_words long, word_pos long")
+        one = rows.mapInArrow(search, f"row {ROW}, id {id_type}, key string, agree long, n_words long, word_pos long")
         out = one if out is None else out.unionByName(one)
-    return out.select("row", F.col("id").alias(id_col), F.col("item").alias(item_col), "agree", "n_words", "word_pos")
+    return out.join(own.select("key", "item"), "key").select("row", "id", "item", "agree", "n_words", "word_pos")
+
 
+def _rows(base: DataFrame, row: str, id_col: str, text_col: str) -> DataFrame:
+    return base.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
-def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """docs without the rows that overlap with an item; columns and repeated rows stay. docs must be a table."""
-    bad = find_overlaps(docs, items, **options).select(F.col("row").alias("__row")).distinct()
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(bad, "__row", "left_anti").drop("__row")
+
+def find_overlaps(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", share: float = SHARE
+) -> DataFrame:
+    """A row per text and item that overlap: the text's id, the item's id, the number of words that agree (agree), the
+    item's words (n_words) and the text's word at which the overlap begins (word_pos)."""
+    rows = docs.select(F.struct(F.lit(0).cast("long").alias("file"), F.lit(0).cast("long").alias("at")).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = _overlaps(rows, items, item_col, item_text, share)
+    return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "agree", "n_words", "word_pos")
+
+
+def clean(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", share: float = SHARE
+) -> DataFrame:
+    """docs without the rows that overlap with an item; columns and repeated rows stay."""
+    row = free_name(docs, "row")
+    base = with_rows(docs, row)
+    bad = _overlaps(_rows(base, row, id_col, text_col), items, item_col, item_text, share).select(F.col("row").alias(row)).distinct()
+    return base.join(materialize(bad, "overlapping"), row, "left_anti").select(*docs.columns)

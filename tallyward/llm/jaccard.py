@@ -180,7 +180,7 @@ def _similar(rows: DataFrame, n: int, threshold: str) -> DataFrame:
         rows.mapInArrow(_set_rows(n, t), f"id {id_type}, row {ROW}, n_shingles long, key long, check long, sigs array<long>"), "sets"
     )
     postings = all_sets.select("key", F.explode("sigs").alias("sig"))
-    shared = materialize(shared_buckets(postings, all_sets.agg(F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()[0]), "shared")
+    shared = shared_buckets(postings, all_sets.agg(F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()[0])
     # one text of each set in them
     needed = shared.select("key").distinct()
     sample = all_sets.where("key is not null").groupBy("key").agg(F.min("row").alias("row")).join(needed, "key")

@@ -25,6 +25,7 @@ from .common import LOWER, ship, text_slices
 
 ORDER = 3
 KEEP = 3
+SLICES = 16  # in which the learned texts of a language are picked
 _START = 32  # what stands before a text
 
 
@@ -150,15 +151,13 @@ class Trees:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400) -> Trees:
     """Trees of the languages in lang_col, from at most per_language texts of each."""
     ship(docs.sparkSession)
-    # ranked within slices of a language first, so that no task sees all rows of a large language
-    part, pick = Window.partitionBy("lang", F.pmod("h", F.lit(256))).orderBy("h", "id"), Window.partitionBy("lang").orderBy("h", "id")
+    # the smallest hashes of each of SLICES slices of a language, so that no task sees all rows of a large one
+    best = Window.partitionBy("lang", F.pmod("h", F.lit(SLICES))).orderBy("h", "id")
     sample = (
         docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
         .select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("h"))
-        .withColumn("k", F.row_number().over(part))
-        .where(F.col("k") <= per_language)
-        .withColumn("k", F.row_number().over(pick))
-        .where(F.col("k") <= per_language)
+        .withColumn("k", F.row_number().over(best))
+        .where(F.col("k") <= -(-per_language // SLICES))
         .select("lang", "id")
         .distinct()
     )
@@ -186,13 +185,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     )
 
 
-def predict(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """A row per row of docs: the id column and `keep`, lang_pred and score."""
+def predict(
+    docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+    outputs: tuple[str, ...] = ("lang_pred", "score"),
+) -> DataFrame:
+    """A row per row of docs: the id column and `keep`, and under the names of `outputs` the language, its score and, if a
+    third name is given, the bits a byte that the best tree takes (null for `und`)."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
     names = [id_col, *keep]
+    if len({n.lower() for n in (*names, *outputs)}) < len(names) + len(outputs):
+        raise ValueError(f"give the outputs other names than {names}")
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
     head = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-
     at = names.index(text_col) if text_col in names else len(names)
 
     def score(it):
@@ -201,7 +205,7 @@ def predict(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str
             text = batch.column(at)
             for first, data, offsets in text_slices(text):
                 k = len(offsets) - 1
-                pred, conf = ["und"] * k, np.zeros(k)
+                pred, conf, rate = ["und"] * k, np.zeros(k), np.full(k, np.nan)
                 low = LOWER[data]
                 ascii_letter = np.concatenate([[0], np.cumsum((low >= 97) & (low <= 122))])
                 has = ascii_letter[offsets[1:]] > ascii_letter[offsets[:-1]]
@@ -212,9 +216,11 @@ def predict(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str
                     best = bits.argmin(1)
                     share = 1 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
                     for i in np.flatnonzero(has):
-                        pred[i], conf[i] = trees.langs[best[i]], share[i]
+                        pred[i], conf[i], rate[i] = trees.langs[best[i]], share[i], bits[i, best[i]] / (offsets[i + 1] - offsets[i])
                 cols = [batch.column(j).slice(first, k) for j in range(len(names))]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(conf)], [*names, "lang_pred", "score"])
+                more = [pa.array(rate, mask=np.isnan(rate))] if len(outputs) > 2 else []
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(conf), *more], [*names, *outputs])
 
     more = [] if text_col in names else [F.col(text_col).alias("__text")]
-    return docs.select(*names, *more).mapInArrow(score, f"{head}, lang_pred string, score double")
+    kinds = ", ".join(f"`{n}` {kind}" for n, kind in zip(outputs, ("string", "double", "double"), strict=False))
+    return docs.select(*names, *more).mapInArrow(score, f"{head}, {kinds}")

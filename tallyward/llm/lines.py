@@ -193,7 +193,7 @@ def _verdicts(base: DataFrame, threshold: str) -> DataFrame:
         base.mapInArrow(_read, f"id {id_type}, row {ROW}, lines array<long>, checks array<long>, keys array<long>, sigs array<long>"), "lines"
     )
     pairs = read.select("keys", "sigs").mapInArrow(_flat, "key long, sig long")
-    shared = materialize(shared_buckets(pairs, read.agg(F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()[0]), "shared")
+    shared = shared_buckets(pairs, read.agg(F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()[0])
     # the text of each key in a shared bucket, from one of its rows
     occur = read.select("id", "row", F.posexplode(F.arrays_zip("lines", "checks")).alias("line", "at")).select("id", "row", "line", F.col("at.lines").alias("key"), F.col("at.checks").alias("check"))
     place = read.select("row", F.explode("keys").alias("key")).join(shared.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("row").alias("row"))

@@ -91,7 +91,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import find_overlaps
 
-    return find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("row")
+    return find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op3_topk, op4_secrets, op4_secrets_pieces, op5_line_dedup, op6_decontamination, op7_toxicity, op8_token_counts, op9_language_id, op10_warc)}
