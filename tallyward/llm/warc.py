@@ -2,9 +2,11 @@
 
 write_archives marks repeated payloads and writes one record a row. A record is one gzip member; Spark's text sink puts
 them into files under its commit protocol, with an empty gzip member as its line separator, so that every file is a plain
-multi-member gzip of WARC records on any file system that Spark writes to. read_archives parses the files again, checks
+multi-member gzip of WARC records on any file system that Spark writes to. Pages are written by size classes, so that a file
+holds FILE_BYTES of payload at most, or one larger page. read_archives parses the files again, checks
 digests, and yields the captures of each file as a run sorted by (URL key, timestamp). merge_index range-partitions the
-runs and merges those of a range by a loser tree, which gives capture histories in one global order.
+runs, of which each keeps its order within a range, and merges those of a range by a loser tree, which gives capture
+histories in one global order.
 
 Defined cases: null html is an empty payload; null URLs have an empty key; null ids sort last and refer by null; of
 repeated rows with the smallest id one is the response; line breaks in URLs are percent-encoded; other columns are
@@ -22,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch, ship
+from .common import free_name, materialize, scratch, ship, with_rows
 
 LEAST = 100  # payload bytes from which a repeat is written as a revisit
 PER_FILE = 2000  # records in a file
+FILE_BYTES = 1 << 27  # payload bytes in a file, unless one page is larger
 PER_RANGE = 100_000  # captures that one merge task orders
 # An empty gzip member; the names of the formats' fields are those of WARC 1.1.
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff0300" + "00" * 8)
@@ -61,12 +64,13 @@ def record(page: int | None, url: str | None, stamp: str, payload: bytes, digest
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", time_col: str | None = None) -> None:
-    """Write a record per row below `path`; pages must be a table, as it is read twice. Without time_col, the capture time counts seconds from 2000 by id."""
+    """Write a record per row below `path`; Without time_col, the capture time counts seconds from 2000 by id."""
     ship(pages.sparkSession)
     stamp = F.col(time_col).cast("timestamp") if time_col else F.timestamp_seconds(F.lit(946684800) + F.coalesce(F.col(id_col), F.lit(0)) % 946080000)
-    rows = pages.select(
+    row = free_name(pages, "row")
+    rows = with_rows(pages, row).select(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"),
-        F.date_format(F.to_utc_timestamp(stamp, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("stamp"), F.monotonically_increasing_id().alias("row"),
+        F.date_format(F.to_utc_timestamp(stamp, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("stamp"), F.col(row).alias("row"),
     ).withColumn("digest", F.sha2(F.encode("html", "UTF-8"), 256))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     first = (
@@ -86,12 +90,19 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                     out.append(c.compress(record(page, url, stamp, html.encode(), digest, first, revisit)) + c.flush())
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["member"])
 
-    (
-        marked.mapInArrow(members, "member binary")
-        .select(F.col("member").cast("string").alias("value"))
-        .write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", PER_FILE)
-        .text(path)
-    )
+    # in class k, a page has FILE_BYTES / PER_FILE * 16**k bytes at most and a file PER_FILE / 16**k pages
+    least = FILE_BYTES // PER_FILE
+    size, tops = F.octet_length(F.coalesce(F.col(html_col), F.lit(""))), [least, least * 16, least * 256]
+    kind = F.when(size <= tops[0], 0).when(size <= tops[1], 1).when(size <= tops[2], 2).otherwise(3)
+    found = [r[0] for r in pages.groupBy(kind.alias("kind")).count().collect()] or [0]  # four at most
+    for k in sorted(found):
+        own = marked.where((F.octet_length("html") > (tops[k - 1] if k else -1)) & (F.octet_length("html") <= (tops[k] if k < 3 else 1 << 62)))
+        (
+            own.mapInArrow(members, "member binary")
+            .select(F.col("member").cast("string").alias("value"))
+            .write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", max(1, PER_FILE // 16**k))
+            .mode("append").text(path)
+        )
 
 
 def records(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
