@@ -8,7 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, materialize
@@ -86,28 +86,37 @@ def shared_buckets(postings: DataFrame, rows: int) -> DataFrame:
 
 
 def bucket_components(
-    shared: DataFrame, traits: DataFrame, near: Callable[[], Column], linked: Callable[[DataFrame], DataFrame]
+    shared: DataFrame, traits: DataFrame, whole: DataFrame, near: Callable[[], Column], linked: Callable[[DataFrame], DataFrame], light: bool = False
 ) -> DataFrame:
     """(node, component) by all links between keys that share a bucket; the smallest key of a component is left out.
 
-    shared: (sig, key), distinct. traits: (key, ...), a row per key. near(): an exact bound on columns x_<trait> and
-    y_<trait> that every link keeps. linked(pairs of x, y with their traits): those that link, as (x, y).
+    shared: (sig, key), distinct. traits: (key, ...), a row per key, on which near() works: an exact bound on columns
+    x_<trait> and y_<trait> that every link keeps. whole: (key, ...) with all that linked() needs; linked(pairs with x, y and
+    the columns x_<name> and y_<name> of whole): those that link, as (x, y). light: whole holds the traits and is small
+    enough to move for pairs that near() will refuse.
 
     First each key is held against one other only, the most central of the leaders of its buckets (a bucket's leader is the
-    member whose buckets hold the most), then against the other leaders that are not in its component yet. What is left
-    outside its leader's component is held against PICKS other members of the component, drawn by hashes, so that a member
-    with many links to the component finds one of them. Members that are still outside are then held against all members of
-    other components. A pair that is never compared is in one component already, so these are the components of all links in
-    the buckets, while rows stay in proportion to the members of a bucket of near copies.
+    member in the most buckets), then against the other leaders that are not in its component yet. What is left outside its
+    leader's component is held against PICKS other members of the component, drawn by hashes, so that a member with many
+    links to the component finds one of them. Members that are still outside are then held against all members of other
+    components. A pair that is never compared is in one component already, so these are the components of all links in the
+    buckets, while rows stay in proportion to the members of a bucket of near copies.
     """
-    cols = traits.columns
-    left, right = (traits.select(*[F.col(c).alias(f"{s}_{c}") for c in cols]) for s in "xy")
     tasks = tasks_for(shared.count(), shared.sparkSession)
 
-    def held(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (x, y) that link."""
-        both = pairs.join(left, F.col("x") == F.col("x_key")).join(right, F.col("y") == F.col("y_key")).where(near())
-        return linked(both.coalesce(tasks)).select("x", "y")
+    def sides(table: DataFrame):
+        return (table.select(*[F.col(c).alias(s if c == "key" else f"{s}_{c}") for c in table.columns]) for s in "xy")
+
+    def with_sides(pairs: DataFrame, table: DataFrame) -> DataFrame:
+        x, y = sides(table)
+        return pairs.join(x, "x").join(y, "y")
+
+    def held(pairs: DataFrame, refused: bool = False) -> DataFrame:
+        """Those of the pairs (x, y) that link. refused: what near() refuses is gone already."""
+        if not light and not refused:
+            pairs = with_sides(pairs, traits).where(near()).select("x", "y").coalesce(tasks)
+        both = with_sides(pairs, whole)
+        return linked((both.where(near()) if light and not refused else both).coalesce(tasks)).select("x", "y")
 
     def merged(old: DataFrame | None, new: DataFrame) -> DataFrame:
         """The forest of a forest and further links."""
@@ -116,44 +125,40 @@ def bucket_components(
     def of(forest: DataFrame, side: str) -> DataFrame:
         return forest.select(F.col("node").alias(side), F.col("component").alias(f"{side}_comp"))
 
-    members = shared.groupBy("sig").agg(F.count("*").alias("members"))
-    rank = shared.join(members, "sig").groupBy("key").agg(F.sum("members").alias("rank"))
-    leader = materialize(shared.join(rank, "key").groupBy("sig").agg(F.max(F.struct("rank", "key")).alias("at")).select("sig", "at.rank", F.col("at.key").alias("leader")).coalesce(tasks), "leaders")
-    star = shared.join(leader, "sig").where("key != leader").groupBy(F.col("key").alias("x"))
-    star = materialize(star.agg(F.sort_array(F.collect_set(F.struct("rank", "leader")), False)["leader"].alias("ys")).coalesce(tasks), "stars")  # no more than the key's own buckets
+    def tag(df: DataFrame, forest: DataFrame, *names: str) -> DataFrame:
+        """df with <name>_comp, the component of each of the columns."""
+        for name in names:
+            df = df.join(of(forest, name), name, "left").withColumn(f"{name}_comp", F.coalesce(f"{name}_comp", name))
+        return df.coalesce(tasks)
+
+    ranked = shared.withColumn("rank", F.count("*").over(Window.partitionBy("key")))  # a key has no more buckets than its text gives
+    leader = ranked.groupBy("sig").agg(F.max(F.struct("rank", "key")).alias("at")).select("sig", "at.rank", F.col("at.key").alias("leader"))
+    led = materialize(shared.join(leader, "sig").coalesce(tasks), "led")
+    star = led.where("key != leader").groupBy(F.col("key").alias("x"))
+    star = materialize(star.agg(F.sort_array(F.collect_set(F.struct("rank", "leader")), False)["leader"].alias("ys")).coalesce(tasks), "stars")
     forest = merged(None, held(star.select("x", F.col("ys")[0].alias("y"))))
-    more = star.select("x", F.explode(F.slice("ys", F.lit(2), F.size("ys"))).alias("y")).join(of(forest, "x"), "x", "left").join(of(forest, "y"), "y", "left")
-    old, forest = forest, merged(forest, held(more.where(F.coalesce("x_comp", "x") != F.coalesce("y_comp", "y")).select("x", "y")))
+    more = tag(star.select("x", F.explode(F.slice("ys", F.lit(2), F.size("ys"))).alias("y")), forest, "x", "y")
+    old, forest = forest, merged(forest, held(more.where("x_comp != y_comp").select("x", "y")))
     discard(old, star)
 
-    def tag(forest: DataFrame) -> DataFrame:
-        """shared with each member's component and that of its bucket's leader (home)."""
-        home = leader.join(of(forest, "leader"), "leader", "left").select("sig", "leader", F.coalesce("leader_comp", "leader").alias("home"))
-        return shared.join(of(forest, "key"), "key", "left").select("sig", "key", F.coalesce("key_comp", "key").alias("comp")).join(home, "sig").coalesce(tasks)
-
     # what the leaders leave outside, against other members of their components
-    tagged = materialize(tag(forest), "tagged")
-    out = materialize(tagged.where("comp != home").coalesce(tasks), "outside")
+    tagged = materialize(tag(led, forest, "key", "leader"), "tagged")
+    out = materialize(tagged.where("key_comp != leader_comp").coalesce(tasks), "outside")
     if not out.isEmpty():
         picks = [F.max(F.struct(F.xxhash64("key", "sig", F.lit(r)), "key"))["key"] for r in range(PICKS)]
-        inner = tagged.where("comp = home and key != leader").groupBy("sig").agg(F.array_distinct(F.array(*picks)).alias("picks"))
+        inner = tagged.where("key_comp = leader_comp and key != leader").groupBy("sig").agg(F.array_distinct(F.array(*picks)).alias("picks"))
         drawn = out.join(inner, "sig").select(F.col("key").alias("x"), F.explode("picks").alias("y")).coalesce(tasks).distinct()
         old, forest = forest, merged(forest, held(drawn))
-        last = materialize(tag(forest).join(traits, "key").coalesce(tasks), "tagged")
         discard(old)
-        names = ["sig", "comp", "home", "leader", *cols]
-        outer = last.where("comp != home").select(*[F.col(c).alias(f"x_{c}") for c in names])
-        every = last.select(*[F.col(c).alias(f"y_{c}") for c in names])
+        last = tag(led.join(out.select("sig").distinct(), "sig", "left_semi"), forest, "key", "leader")  # other buckets are done
+        last = materialize(last.join(traits, "key").coalesce(tasks), "tagged")
+        x, y = sides(last)
         rest = (
-            outer.join(every, F.col("x_sig") == F.col("y_sig"))
-            .where("x_comp != y_comp and y_key != y_leader and (y_comp = y_home or x_key < y_key)")
-            .where(near())
-            .select(F.col("x_key").alias("x"), F.col("y_key").alias("y"), *[f"{s}_{c}" for s in "xy" for c in cols])
-            .coalesce(tasks)
-            .dropDuplicates(["x", "y"])
-            .coalesce(tasks)
-        )
-        old, forest = forest, merged(forest, linked(rest).select("x", "y"))
+            x.where("x_key_comp != x_leader_comp").join(y, F.col("x_sig") == F.col("y_sig"))
+            .where("x_key_comp != y_key_comp and y != y_leader and (y_key_comp = y_leader_comp or x < y)")
+            .where(near()).select("x", "y").coalesce(tasks).distinct().coalesce(tasks)
+        )
+        old, forest = forest, merged(forest, held(rest, refused=True))
         discard(old, last)
-    discard(leader, tagged, out)
+    discard(led, tagged, out)
     return forest

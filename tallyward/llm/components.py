@@ -73,8 +73,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     def state(links: DataFrame):
         return links.agg(F.count("*").alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("s"), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)")).alias("x")).first()
 
-    now = state(links)
-    while now["n"] > FOREST:
+    now = None if (n := links.count()) <= FOREST else state(links)
+    while n > FOREST:
         # large star: every larger neighbour of u is tied to u's smallest neighbour
         both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -84,6 +84,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         old, links = links, materialize(small.mapInArrow(_forest, "u long, v long").distinct(), "forests")
         before, now = now, state(links)
+        n = now["n"]
         discard(old)
         if now == before:
             return _named(links)

@@ -161,13 +161,11 @@ def _fragment_rows(n: int):
     return rows
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+def _linked(pairs: DataFrame, t: Fraction) -> DataFrame:
     """The pairs (x, y) that link: partial overlaps of each vertical fragment, summed per pair."""
-    x, y = (sets.select(F.col("key").alias(s), F.col("n").alias(f"{s}_n"), F.col("parts").alias(f"{s}_parts")) for s in "xy")
-    both = pairs.select("x", "y").join(x, "x").join(y, "y")
     partial = [F.size(F.array_intersect(F.col("x_parts")[k], F.col("y_parts")[k])) for k in range(PARTS)]
-    total = both.select("x", "y", "x_n", "y_n", reduce(Column.__add__, partial).alias("common"))
-    return total.where(F.col("common") * t.denominator >= (F.col("x_n") + F.col("y_n") - F.col("common")) * t.numerator).select("x", "y")
+    total = pairs.select("x", "y", "x_n", "y_n", reduce(Column.__add__, partial).alias("common"))
+    return total.where(F.col("common") * t.denominator >= (F.col("x_n") + F.col("y_n") - F.col("common")) * t.numerator)
 
 
 def _similar(rows: DataFrame, n: int, threshold: str) -> DataFrame:
@@ -188,7 +186,7 @@ def _similar(rows: DataFrame, n: int, threshold: str) -> DataFrame:
     sets = materialize(
         texts.mapInArrow(_fragment_rows(n), "key long, check long, n long, sketch array<long>, parts array<array<long>>"), "fragments"
     )
-    forest = bucket_components(shared, sets.select("key", "n", "sketch"), lambda: close(t), lambda pairs: _linked(pairs, sets, t))
+    forest = bucket_components(shared, sets.select("key", "n", "sketch"), sets.select("key", "n", "parts"), lambda: close(t), lambda pairs: _linked(pairs, t))
     known = sets.select("key", "check").join(forest.withColumnRenamed("node", "key"), "key", "left").select("key", "check", F.coalesce("component", "key").alias("component"))
     # sets beside the buckets, and any that share a key but not its check, are components of their own
     label = F.struct(F.coalesce("component", "key").alias("key"), F.when(F.col("component").isNull(), F.col("check")).otherwise(0).alias("check"))

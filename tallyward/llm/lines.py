@@ -174,7 +174,7 @@ def _jaccard(t: Fraction):
         for batch in it:
             keep = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if b != last:  # pairs with one leader stand together
+                if b != last:  # pairs with one leader often stand together
                     last, y = b, shingled(b)
                 x = shingled(a)
                 common = len(x & y)
@@ -203,32 +203,25 @@ def _verdicts(base: DataFrame, threshold: str) -> DataFrame:
     )
 
     def linked(pairs: DataFrame) -> DataFrame:
-        line = texts.select("key", "line")
-        both = (
-            pairs.select("x", "y")
-            .join(line.select(F.col("key").alias("x"), F.col("line").alias("x_line")), "x")
-            .join(line.select(F.col("key").alias("y"), F.col("line").alias("y_line")), "y")
-            .select("x", "y", "x_line", "y_line")
-        )
-        return both.mapInArrow(_jaccard(t), "x long, y long")
-
-    forest = bucket_components(shared, texts.select("key", "n", "sketch"), lambda: close(t), linked)
+        return pairs.select("x", "y", "x_line", "y_line").mapInArrow(_jaccard(t), "x long, y long")
+
+    forest = bucket_components(shared, texts.select("key", "n", "sketch"), texts.drop("check"), lambda: close(t), linked, light=True)
+    # each line's first place and number of places, then those of its component
+    at = F.struct(F.col("id").isNull().alias("none"), "id", "row", "line")
+    alike = occur.where("key is not null").groupBy("key", "check").agg(F.min(at).alias("first"), F.count("*").alias("n"))
     known = texts.select("key", "check").join(forest.withColumnRenamed("node", "key"), "key", "left").select("key", "check", F.coalesce("component", "key").alias("component"))
-    # lines beside the buckets, and any that share a key but not its check, are components of their own
-    label = F.struct(F.coalesce("component", "key").alias("key"), F.when(F.col("component").isNull(), F.col("check")).otherwise(0).alias("check"))
-    labelled = occur.where("key is not null").join(known, ["key", "check"], "left").select(
-        F.struct(F.col("id").isNull().alias("none"), "id", "row", "line").alias("at"), label.alias("label")
-    )
-    labelled = materialize(labelled, "labelled")
+    # a line beside the buckets, or one that shares a key but not its check, is a component of its own
+    alike = materialize(alike.join(known, ["key", "check"], "left").where("n > 1 or component is not null"), "alike")
+    kept = alike.where("component is not null").groupBy("component").agg(F.min("first").alias("kept"), F.sum("n").alias("all"))
+    kept = alike.join(kept, "component", "left").where("coalesce(all, n) > 1").select("key", "check", F.coalesce("kept", "first").alias("kept"))
+    kept = materialize(kept, "kept")
     discard(shared, texts, forest)
-    # a table of its own, so that the join deals both sides anew and adaptive execution can split a hot label
-    kept = materialize(labelled.groupBy("label").agg(F.min("at").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n"), "kept")
     gone = (
-        labelled.join(kept, "label").where("at.row != kept.row or at.line != kept.line")
-        .groupBy(F.col("at.row").alias("row")).agg(F.array_sort(F.collect_list("at.line")).alias("dropped"))  # one text's lines
+        occur.join(kept, ["key", "check"]).where("row != kept.row or line != kept.line")
+        .groupBy("row").agg(F.array_sort(F.collect_list("line")).alias("dropped"))  # one text's lines
     )
     gone = materialize(gone, "gone")
-    discard(labelled, kept)
+    discard(alike, kept)
     out = read.select("row", "id", F.size("lines").cast("long").alias("n_lines")).join(gone, "row", "left")
     out = out.select("row", "id", "n_lines", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
     out.gone, out.read = gone, read

@@ -3,9 +3,12 @@
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from tallyward.llm import components as components_module
 from tallyward.llm import jaccard, lines
+from tallyward.llm.common import prefix_hash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -113,3 +116,114 @@ def test_drop_lines_keeps_columns_and_clean_rows(spark):
 
 def test_lines_of_no_rows(spark):
     assert lines.line_verdicts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def _cut(rng, n, t):
+    """A line and what is left of it without characters at its ends: as unlike as similarity t allows."""
+    a = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)).strip().ljust(n, "x")
+    k = int((n - lines.CHARS + 1) * (1 - t) + 1e-9)
+    front = rng.randrange(k + 1)
+    return a, a[front : n - (k - front)]
+
+
+def test_recall_by_length():
+    """The share of pairs just at the threshold that share a band, for lines of 20 to 400 characters."""
+    rng = random.Random(1)
+    for n in (20, 40, 100, 400):
+        for t in (0.8, 0.85, 0.9):
+            pairs = [x for _ in range(1500) for x in _cut(rng, n, t)]
+            data = np.frombuffer("".join(pairs).encode(), np.uint8)
+            end = np.cumsum([len(x) for x in pairs])
+            h, line = lines.shingles(data, end - [len(x) for x in pairs], end, prefix_hash(data))
+            sig = lines.signatures(h, line, len(pairs))
+            assert (sig[0::2] == sig[1::2]).any(1).mean() >= 0.98, (n, t)
+
+
+def test_components_in_many_forests(spark, monkeypatch):
+    """Rounds of merging, with a hot node, long paths, loops, repeats and nulls."""
+    monkeypatch.setattr(components_module, "FOREST", 40)
+    rng = random.Random(5)
+    edges = [(i, i + 1) for i in range(150)] + [(1000, 1001 + i) for i in range(200)] + [(rng.randrange(2000, 2300), rng.randrange(2000, 2300)) for _ in range(180)]
+    edges += [(7, 7), (3, 4), (None, 5), (6, None)]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "a long, b long").repartition(6)
+    got = {r.node: r.component for r in components_module.connected_components(df).collect()}
+    nodes = {x for e in edges if None not in e for x in e}
+    parent = {x: x for x in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None and find(a) != find(b):
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    assert got == {x: find(x) for x in nodes if find(x) != x}
+    assert components_module.connected_components(df.limit(0)).count() == 0
+
+
+def five_grams(text):
+    w = WORD.findall((text or "").translate(FOLD))
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def test_keep_one_against_brute_force(spark):
+    """The pipeline's own parameters: five words, 0.8."""
+    rng = random.Random(12)
+    texts = near_copies(4, [3, 5, 6, 9, 14, 40, 120, 400], [1, 2, 5, 12], 40)
+    for _ in range(60):  # chains, whose ends are far apart
+        w = rng.choice(texts).split()
+        del w[rng.randrange(len(w)) : rng.randrange(len(w)) + 3]
+        texts.append(" ".join(w))
+    texts += ["", None, " \n", "A b", "a B"]
+    docs = [(i % 270 if i % 11 else i, t, f"r{i}") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, row string").withColumn("key", F.lit("clash")).withColumn("component", F.lit(1))
+    kept = jaccard.keep_one(df, n=5, threshold="0.8")
+    assert kept.columns == df.columns
+    sets = {k: five_grams(t) for k, (_, t, _) in enumerate(docs)}
+    comp = components(sets, lambda c, u: 10 * c >= 8 * u)
+    groups = {}
+    for k, (i, _, _) in enumerate(docs):
+        groups.setdefault(comp[k] if sets[k] else ("empty", k), []).append(i)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(min(g) for g in groups.values())
+
+
+def test_rows_are_the_same_at_any_parallelism(spark, tmp_path):
+    """File splits that change between two reads change nothing."""
+    rng = random.Random(2)
+    texts = near_copies(9, [20, 60], [1, 3], 60)
+    rows = [(i, t + "\n" + rng.choice(texts)) for i, t in enumerate(texts)] * 3
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(3).write.option("parquet.block.size", 2000).parquet(str(tmp_path / "docs"))
+
+    def results(size, parallel):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", parallel)
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        made = [jaccard.keep_one(docs), lines.drop_lines(docs), lines.line_verdicts(docs)]
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")  # another split when the result is read
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", 2)
+        return [sorted(map(str, df.collect())) for df in made]
+
+    try:
+        assert results("4k", 9) == results("128m", 1)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(3)
+    long = " ".join(f"w{rng.randrange(9000)}" for _ in range(150_000))  # one line of about a megabyte
+    docs = [(1, long), (2, long + " more words"), (3, "other\n" * 200_000), (4, "own words of this text")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    got = {r.doc_id: len(r.dropped) for r in lines.line_verdicts(df).collect()}
+    assert got == {1: 0, 2: 1, 3: 199_999, 4: 0}
+
+
+def test_null_and_repeated_ids_of_lines(spark):
+    rows = [(None, "the same line"), (7, "the same line"), (7, "the same line"), (9, None), (None, "a line of its own")]
+    got = sorted((str(r.doc_id), r.dropped) for r in lines.line_verdicts(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([("None", [0]), ("7", []), ("7", [0]), ("9", []), ("None", [])])
