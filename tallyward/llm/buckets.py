@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from fractions import Fraction
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,31 +17,40 @@ PICKS = 3  # members of a bucket's component that others are held against
 PER_RANGE = 400_000  # postings that a task looks through
 
 
-SKETCH = 16  # 64-bit words of a parity sketch
+SKETCH = 16  # least 64-bit words of a parity sketch
 
 
 def parity_sketches(hashes: np.ndarray, cuts: np.ndarray) -> pa.ListArray:
     """A sketch of each set hashes[cuts[i]:cuts[i+1]]. Bit b is the parity of the number of members hashed to b: two sketches
-    differ in no more bits than the sets differ in members, which bounds the similarity of sets before any set moves."""
-    k = len(cuts) - 1
-    out = np.zeros((k, SKETCH), np.int64)
-    for at in range(0, k, 1024):
-        own = slice(cuts[at], cuts[min(k, at + 1024)])
-        some = np.diff(cuts[at : at + 1025])
-        place = np.repeat(np.arange(len(some)), some) * (64 * SKETCH) + (hashes[own] & np.uint64(64 * SKETCH - 1)).astype(np.int64)
-        bits = np.bincount(place, minlength=len(some) * 64 * SKETCH) & 1
-        out[at : at + 1024] = np.packbits(bits.astype(np.uint8)).view(np.int64).reshape(-1, SKETCH)
-    return pa.ListArray.from_arrays(pa.array(np.arange(k + 1, dtype=np.int32) * SKETCH), pa.array(out.ravel()))
+    differ in no more bits than the sets differ in members, which bounds the similarity of sets before any set moves. A
+    sketch has a power of two of bits, as many as members at least; halves laid on each other give a sketch of half as many."""
+    n = np.diff(cuts)
+    bits = 64 * SKETCH << np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) / (64 * SKETCH)))).astype(np.int64)
+    ends = np.cumsum(bits)
+    words = np.zeros(ends[-1] // 64 if len(n) else 0, np.int64)
+    for at in range(0, len(n), 1024):
+        to = min(len(n), at + 1024)
+        low, high = ends[at] - bits[at], ends[to - 1]
+        place = np.repeat(ends[at:to] - bits[at:to] - low, n[at:to]) + (hashes[cuts[at] : cuts[to]] & np.repeat(bits[at:to] - 1, n[at:to]).astype(np.uint64)).astype(np.int64)
+        odd = np.bincount(place, minlength=high - low) & 1
+        words[low // 64 : high // 64] = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends // 64]).astype(np.int32)), pa.array(words))
 
 
 def close(t: Fraction) -> Column:
     """What sets of Jaccard similarity >= t surely keep, by their sizes and sketches; x_ and y_ name the sides."""
     p, q = t.numerator, t.denominator
-    bits = [F.bit_count(F.col("x_sketch")[i].bitwiseXOR(F.col("y_sketch")[i])) for i in range(SKETCH)]
+    x, y = F.col("x_sketch"), F.col("y_sketch")
+
+    def fitted(a: Column, b: Column) -> Column:
+        half = F.floor(F.size(a) / 2).cast("int")
+        return F.when(F.size(a) > F.size(b), F.zip_with(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half), lambda u, v: u.bitwiseXOR(v))).otherwise(a)
+
+    differ = F.aggregate(F.zip_with(fitted(x, y), fitted(y, x), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda n, v: n + v)
     return (
         (F.least("x_n", "y_n") * q >= F.greatest("x_n", "y_n") * p)
-        # |x ^ y| <= (n_x + n_y) (1 - t) / (1 + t)
-        & (reduce(Column.__add__, bits) * (q + p) <= (F.col("x_n") + F.col("y_n")) * (q - p))
+        # |x ^ y| <= (n_x + n_y) (1 - t) / (1 + t); sketches whose lengths differ by more than one halving are not compared
+        & ((F.greatest(F.size(x), F.size(y)) > 2 * F.least(F.size(x), F.size(y))) | (differ * (q + p) <= (F.col("x_n") + F.col("y_n")) * (q - p)))
     )
 
 

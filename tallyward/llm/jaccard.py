@@ -2,9 +2,12 @@
 
 A text's distinct n-grams are hashed to 64 bits; the order of the hashes is the global order. For a class of set sizes
 with largest size N, two sets of the class that link differ in at most D = floor(N * 2(1-t)/(1+t)) grams. The order is
-cut at D + 1 fragments for that class, so two linked sets agree exactly in one fragment at least: sets that share the
-contents of a fragment are candidates, all others are not. Overlaps of the candidates are counted fragment by fragment
-and summed per pair.
+cut at F = D + 1 + S fragments for that class, so two linked sets agree exactly in S + 1 fragments at least: sets that share
+the contents of a fragment are candidates, all others are not. Of these S + 1, at most as many are empty as either set has
+empty fragments; so a set with S of them or fewer is found by its others, and leaves the empty ones out, which many sets
+share. S is such that nearly all sets do. For small D the order is cut at D + m fragments instead, of which m agree: every
+choice of m is then looked up as one, m such that hardly any set has m empty fragments. Overlaps of the candidates are
+counted fragment by fragment and summed per pair.
 
 Equal sets are one class from the start. buckets.py says how a bucket (class, fragment, contents) of near copies is
 worked through without all its pairs and without losing a link.
@@ -18,9 +21,11 @@ of the component are null; repeated rows are copies; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -77,15 +82,24 @@ def _sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return c[cuts[1:]] - c[cuts[:-1]]
 
 
-def size_classes(t: Fraction, most: int = 1 << 40) -> tuple[np.ndarray, np.ndarray]:
-    """(largest size, fragments) of each class. Sizes that allow no difference are left out: those sets link if equal."""
+def size_classes(t: Fraction, most: int = 1 << 40) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The largest size of each class, and (fragments F, fragments m that are looked up together, spare fragments S). Sizes
+    that allow no difference come first: those sets link if equal."""
     slack = 2 * (1 - t) / (1 + t)
     first = int(1 / slack) + (0 if (1 / slack).denominator == 1 else 1)
-    tops, top = [], max(1, first) - 1
-    while top < most:
-        top = max(top + 1, int(top * _GROWTH))
-        tops.append(top)
-    return np.array([first - 1, *tops]), np.array([1, *(int(x * slack) + 1 for x in tops)])
+    tops, cuts = [max(1, first) - 1], [(1, 1, 0)]
+    while tops[-1] < most:
+        low = tops[-1] + 1
+        tops.append(max(low, int(tops[-1] * _GROWTH)))
+        differ, m, s = int(tops[-1] * slack), 1, 0
+        if differ <= 10:
+            while (differ / (differ + m)) ** low > (1e-4 if differ <= 4 else 1e-3) and math.comb(differ + m + 1, m + 1) <= 200:
+                m += 1
+        else:  # a set at the class's lower end has three deviations more than the mean of empty fragments at most
+            while (f := differ + 1 + s) * 2 < low and s < (mean := f * math.exp(-low / f)) + 3 * math.sqrt(mean) and mean > 0.01:
+                s += max(1, s // 8)
+        cuts.append((differ + m + s, m, s))
+    return np.array(tops), cuts
 
 
 def _keys(g: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +109,8 @@ def _keys(g: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _set_rows(n: int, t: Fraction):
-    tops, fragments = size_classes(t)
+    tops, cut = size_classes(t)
+    choices = [np.array(list(combinations(range(f), m))) if m > 1 else None for f, m, _ in cut]
 
     def rows(it):
         for batch in it:
@@ -110,10 +125,15 @@ def _set_rows(n: int, t: Fraction):
                     a = g[cuts[d] : cuts[d + 1]]
                     own = []
                     for c in range(max(1, low[d]), high[d] + 1) if sizes[d] else ():
-                        f = int(fragments[c])
+                        f, m, spare = cut[c]
                         at = np.searchsorted(a >> np.uint64(32), (np.arange(1, f, dtype=np.uint64) << np.uint64(32)) // np.uint64(f))
-                        s = _sums(mix(a ^ np.uint64(0xA5A5A5A5A5A5A5A5)), np.concatenate([[0], at, [len(a)]]))
-                        own.append(mix(s + mix(np.arange(f, dtype=np.uint64) + np.uint64(c << 40))))
+                        at = np.concatenate([[0], at, [len(a)]])
+                        s = mix(_sums(mix(a ^ np.uint64(0xA5A5A5A5A5A5A5A5)), at) + mix(np.arange(f, dtype=np.uint64) + np.uint64(c << 40)))
+                        if m > 1:
+                            s = mix(s[choices[c]].sum(1, dtype=np.uint64))
+                        elif f - np.count_nonzero(at[1:] > at[:-1]) <= spare:
+                            s = s[at[1:] > at[:-1]]
+                        own.append(s)
                     sig_all += own
                     sig_cuts.append(sig_cuts[-1] + sum(map(len, own)))
                 flat = np.concatenate(sig_all) if sig_all else np.zeros(0, np.uint64)
@@ -174,11 +194,13 @@ def _similar(rows: DataFrame, n: int, threshold: str) -> DataFrame:
     t = Fraction(threshold)
     common.ship(rows.sparkSession)
     id_type = rows.schema["id"].dataType.simpleString()
-    all_sets = materialize(
+    wide = materialize(
         rows.mapInArrow(_set_rows(n, t), f"id {id_type}, row {ROW}, n_shingles long, key long, check long, sigs array<long>"), "sets"
     )
-    postings = all_sets.select("key", F.explode("sigs").alias("sig"))
-    shared = shared_buckets(postings, all_sets.agg(F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()[0])
+    postings = wide.select("key", F.explode("sigs").alias("sig"))
+    shared = shared_buckets(postings, wide.agg(F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()[0])
+    all_sets = materialize(wide.drop("sigs"), "sets")
+    common.discard(wide)
     # one text of each set in them
     needed = shared.select("key").distinct()
     sample = all_sets.where("key is not null").groupBy("key").agg(F.min("row").alias("row")).join(needed, "key")
