@@ -40,7 +40,7 @@ def display_name(c: Column) -> Column:
     first, last = F.trim(F.regexp_replace(F.split_part(c, F.lit(","), F.lit(2)), titles, "")), F.trim(F.split_part(c, F.lit(","), F.lit(1)))
     name = F.trim(F.regexp_replace(F.concat_ws(" ", first, last), r"\s+", " "))
     return F.array_join(
-        F.transform(F.split(name, " "), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1000)))), " "
+        F.transform(F.split(name, " "), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2))))), " "
     )
 
 

@@ -8,22 +8,27 @@ from pyspark.sql import functions as F
 POLICIES = ("overwrite", "keep", "coalesce_new", "greatest", "const")
 
 
-def merge_keyed(target: DataFrame, updates: DataFrame, keys: list[str], policy: dict[str, str | tuple], order_by: list[Column] | None = None) -> DataFrame:
+def merge_keyed(target: DataFrame, updates: DataFrame, keys: list[str], policy: dict[str, str | tuple], order_by: list[Column] | None = None, newer_only: bool = False) -> DataFrame:
     """target with updates folded in by null-safe keys; a full outer join, written anew by the caller.
 
     policy by column: overwrite (the new value), keep (the first value), coalesce_new (new unless null), greatest, or
     ("const", value) where a row is updated; columns without one are overwritten. Several updates of a key: the last by
-    order_by counts. A key that only one side has keeps that side's values.
+    order_by counts; without order_by, the greatest by all its columns (of map columns: their entries). A key that only one
+    side has keeps that side's values. newer_only: an update counts only if it is not before the target's row by order_by
+    (names of columns that both sides have), so that batches may come in any order.
     """
+    if newer_only and not (order_by and all(isinstance(c, str) for c in order_by)):
+        raise ValueError("newer_only needs order_by as names of columns")
     if order_by:
         w = Window.partitionBy(*keys).orderBy(*[c.desc() if isinstance(c, Column) else F.desc(c) for c in order_by])
         updates = updates.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
     else:
-        updates = updates.dropDuplicates(keys)
+        updates = one_each(updates, keys)
     columns = [c for c in target.columns if c not in keys]
     t, u = target.withColumn("__t", F.lit(True)).alias("t"), updates.withColumn("__u", F.lit(True)).alias("u")
     on = [F.col(f"t.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys]
     has_t, has_u = F.col("t.__t").isNotNull(), F.col("u.__u").isNotNull()
+    late = F.struct(*[F.col(f"u.{c}") for c in order_by]) < F.struct(*[F.col(f"t.{c}") for c in order_by]) if newer_only else F.lit(False)
     out = [F.when(has_t, F.col(f"t.{k}")).otherwise(F.col(f"u.{k}")).alias(k) for k in keys]
     for c in columns:
         old, new = F.col(f"t.{c}"), F.col(f"u.{c}") if c in updates.columns else F.lit(None)
@@ -32,13 +37,30 @@ def merge_keyed(target: DataFrame, updates: DataFrame, keys: list[str], policy:
         if kind not in POLICIES:
             raise ValueError(f"policy of {c} must be one of {POLICIES}")
         both = {"overwrite": new, "keep": old, "coalesce_new": F.coalesce(new, old), "greatest": F.greatest(old, new), "const": F.lit(rest[0]) if rest else new}[kind]
-        out.append(F.when(has_t & has_u, both).when(has_t, old).otherwise(new).alias(c))
+        out.append(F.when(has_t & has_u, F.when(late, old).otherwise(both)).when(has_t, old).otherwise(new).alias(c))
     return t.join(u, on, "full_outer").select(*out)
 
 
+def one_each(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each key, the greatest by its other columns in their order, whatever the order of the rows."""
+    rest = [c for c in rows.columns if c not in keys]
+    if not rest:
+        return rows.distinct()
+    entries = lambda c: F.array_sort(F.map_entries(c)) if rows.schema[c].dataType.typeName() == "map" else F.col(c)
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*[entries(c) for c in rest])).alias("__best"))
+    return best.select(*[c if c in keys else F.col(f"__best.{c}").alias(c) for c in rows.columns])
+
+
 def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """target and those of rows whose key it lacks, one a key."""
-    return target.unionByName(rows.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti"))
+    return target.unionByName(one_each(rows, keys).join(target.select(*keys), keys, "left_anti"))
+
+
+def replace_groups(target: DataFrame, rows: DataFrame, group: list[str], groups: DataFrame | None = None) -> DataFrame:
+    """target without the rows of the groups that `groups` (rows, where not given) names, and with rows: a document's
+    promises before they are extracted anew. A group that is named and has no rows is emptied."""
+    named = (rows if groups is None else groups).select(*group).distinct()
+    return target.join(named, group, "left_anti").unionByName(rows)
 
 
 def repoint(df: DataFrame, links: DataFrame, key: str) -> DataFrame:

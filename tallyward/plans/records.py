@@ -12,7 +12,7 @@ from ..operators.quality import publish_gate
 from ..sources.readers import bill_rows, finance_totals, gazetteer, import_verdicts, roll_call_members, senate_members
 from ..sources.snapshot import manifest, pack_columns, split_dimension
 from ..streaming.loads import above_mark, amend, replay, windowed_counts
-from .tables import VOTES_SQL, read, votes
+from .tables import VOTES_SQL, read, shared_folder, votes
 
 
 def merge_policies(spark, sf_dir):
@@ -97,14 +97,11 @@ def fresh_roll_calls(spark, sf_dir):
 
 def stream_replay(spark, sf_dir):
     """Events as a file stream of several batches, folded by user and kind: the last event of each stays."""
-    from uuid import uuid4
-
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "/tmp/spark-checkpoints"
-    path = f"{base.rstrip('/')}/replay-{uuid4().hex}"
+    path = shared_folder(spark, "replay")
     e = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     e.repartitionByRange(4, "event_id").write.parquet(f"{path}/in")
     source = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
-    return replay(spark, source, f"{path}/table", amend(["user_id", "event_type"], {}, ["event_id"]))
+    return replay(spark, source, f"{path}/table", amend(["user_id", "event_type"], {}, ["event_id"]), ["user_id", "event_type"])
 
 
 def daily_windows(spark, sf_dir):

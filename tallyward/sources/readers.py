@@ -45,7 +45,7 @@ def read_after_preamble(spark: SparkSession, path: str, required: list[str]) ->
 def gazetteer(rows: DataFrame, prefix: str) -> DataFrame:
     """Population rows of one geography (GEO_ID prefix, value as text): geoid, population; negatives and junk go."""
     n = F.col("value").try_cast("long")
-    return rows.where(F.startswith("geo_id", F.lit(prefix)) & (n >= 0)).select(F.substring(F.col("geo_id"), len(prefix) + 1, 100).alias("geoid"), n.alias("population"))
+    return rows.where(F.startswith("geo_id", F.lit(prefix)) & (n >= 0)).select(F.substr(F.col("geo_id"), F.lit(len(prefix) + 1)).alias("geoid"), n.alias("population"))
 
 
 ROLL_CALL = "struct<congress:int,session:int,rollCall:int,date:string,bill:string,members:array<struct<id:string,name:string,vote:string>>>"

@@ -9,24 +9,34 @@ from pyspark.sql import functions as F
 
 
 def content_hash(df: DataFrame):
-    """An aggregate that does not depend on the order of rows."""
-    return F.bit_xor(F.xxhash64(*[F.col(c) for c in sorted(df.columns)]))
+    """An aggregate that does not depend on the order of rows, but on how often each occurs and on the columns' names."""
+    cells = [c for name in sorted(df.columns) for c in (F.lit(name), F.to_json(F.struct(name)))]
+    return F.sum(F.xxhash64(*cells).cast("decimal(20,0)")).cast("string")
 
 
 def manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, rows, content_hash) of every table, one aggregate each."""
-    one = [df.agg(F.count("*").alias("rows"), content_hash(df).alias("content_hash")).select(F.lit(n).alias("table"), "rows", "content_hash") for n, df in tables.items()]
+    """(table, rows, content_hash) of every table, one aggregate each; the hash of no rows is that of the columns' names."""
+    one = [
+        df.agg(F.count("*").alias("rows"), content_hash(df).alias("h")).select(F.lit(n).alias("table"), "rows", F.sha2(F.concat_ws("|", F.lit(",".join(sorted(df.columns))), "h"), 256).alias("content_hash"))
+        for n, df in tables.items()
+    ]
     return reduce(DataFrame.unionByName, one)
 
 
-def write_snapshot(tables: dict[str, DataFrame], path: str, backlog: int = 0) -> DataFrame:
-    """Write all tables below path and give their manifest; refused while exportable rows are unscreened."""
+def write_snapshot(tables: dict[str, DataFrame], path: str, backlog: int = 0, ceiling: int | None = None) -> DataFrame:
+    """Write all tables below path and give their manifest, with bytes; refused while exportable rows are unscreened. The
+    manifest, which says that a snapshot is whole, is written last, and not at all if the tables hold more than `ceiling` bytes."""
     if backlog:
         raise ValueError(f"{backlog} exportable rows are not screened yet")
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{path}/{name}")
     spark = next(iter(tables.values())).sparkSession
-    out = manifest({n: spark.read.parquet(f"{path}/{n}") for n in tables})
+    files = [spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/{n}").select(F.lit(n).alias("table"), "length") for n in tables]
+    sizes = reduce(DataFrame.unionByName, files).groupBy("table").agg(F.sum("length").alias("bytes"))
+    out = manifest({n: spark.read.parquet(f"{path}/{n}") for n in tables}).join(sizes, "table", "left")
+    total = out.agg(F.sum("bytes")).first()[0] or 0
+    if ceiling is not None and total > ceiling:
+        raise ValueError(f"the snapshot holds {total} bytes, more than {ceiling}")
     out.write.mode("overwrite").parquet(f"{path}/_manifest_table")
     return out
 

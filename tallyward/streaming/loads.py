@@ -16,30 +16,60 @@ def above_mark(rows: DataFrame, stored: DataFrame, group: list[str], number: str
     return rows.join(marks, group, "left").where(F.col(number) > F.coalesce("__mark", F.lit(0))).drop("__mark")
 
 
-def replay(spark: SparkSession, source: DataFrame, path: str, fold: Callable[[DataFrame | None, DataFrame], DataFrame]) -> DataFrame:
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def replay(
+    spark: SparkSession, source: DataFrame, path: str, fold: Callable[[DataFrame | None, DataFrame], DataFrame], keys: list[str], buckets: int = 32
+) -> DataFrame:
     """Run a stream to its end; each batch is folded into the table so far, and a batch that comes again changes nothing.
 
-    Versions are numbered by batch, so a repeated batch starts from the version before it.
+    The table is parted into buckets of its keys. A batch writes the buckets that it touches anew, as version v<batch>, and
+    m<batch>, which says which version of each bucket counts; so a repeated batch starts from what was before it. Versions
+    that neither this batch nor the one before refers to are deleted.
     """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+    def versions(session: SparkSession, number: int) -> dict[int, int]:
+        files, where = _files(session, f"{path}/m{number}")
+        return {r.bucket: r.version for r in session.read.schema("bucket int, version long").json(f"{path}/m{number}").collect()} if files.exists(where) else {}
 
     def one(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        before = session.read.parquet(f"{path}/v{number - 1}") if number else None
-        fold(before, batch).write.mode("overwrite").parquet(f"{path}/v{number}")
+        held, older = versions(session, number - 1), versions(session, number - 2)
+        batch = batch.persist()
+        try:
+            touched = [r[0] for r in batch.select(bucket.alias("bucket")).distinct().collect()]  # `buckets` at most
+            own = [f"{path}/v{held[b]}/bucket_of_key={b}" for b in touched if b in held]
+            before = session.read.parquet(*own) if own else None
+            fold(before, batch).withColumn("bucket_of_key", bucket).write.mode("overwrite").partitionBy("bucket_of_key").parquet(f"{path}/v{number}")
+        finally:
+            batch.unpersist()
+        now = held | dict.fromkeys(touched, number)
+        session.createDataFrame(list(now.items()), "bucket int, version long").coalesce(1).write.mode("overwrite").json(f"{path}/m{number}")
+        for b, v in older.items():
+            if held.get(b, v) != v:
+                files, where = _files(session, f"{path}/v{v}/bucket_of_key={b}")
+                files.delete(where, True)
 
     query = source.writeStream.foreachBatch(one).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    progress = query.lastProgress
-    last = progress["batchId"] if progress and progress["numInputRows"] else (progress["batchId"] - 1 if progress else -1)
-    return spark.read.parquet(f"{path}/v{max(last, 0)}")
+    files, where = _files(spark, f"{path}/m*")
+    numbers = [int(f.getPath().getName()[1:]) for f in files.globStatus(where)]
+    if not numbers:
+        return spark.createDataFrame([], source.schema)
+    now = versions(spark, max(numbers))
+    return spark.read.parquet(*[f"{path}/v{v}/bucket_of_key={b}" for b, v in sorted(now.items())])
 
 
-def amend(keys: list[str], policy: dict, order: list) -> Callable[[DataFrame | None, DataFrame], DataFrame]:
-    """A fold by which the later record of a key takes the earlier one's place."""
+def amend(keys: list[str], policy: dict, order: list[str]) -> Callable[[DataFrame | None, DataFrame], DataFrame]:
+    """A fold by which the later record of a key, by `order`, takes the earlier one's place, in whatever order they come."""
 
     def fold(before: DataFrame | None, batch: DataFrame) -> DataFrame:
         empty = batch.limit(0) if before is None else before
-        return merge_keyed(empty, batch, keys, policy, order)
+        return merge_keyed(empty, batch, keys, policy, order, newer_only=True)
 
     return fold
 

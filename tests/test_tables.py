@@ -2,12 +2,15 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyward.functions.scalars import bill_key, display_name, iso_day, money, month_day_year, seat_district, vote_position
 from tallyward.operators import aggregates, joins, merge, places, quality, web
 from tallyward.plans import oracle_sql, queries
 from tallyward.sources import readers, snapshot
+from tallyward.functions.scalars import display_name
+from tallyward.sources.readers import gazetteer
 from tallyward.streaming.loads import above_mark, amend, replay
 
 
@@ -97,7 +100,10 @@ def test_content_hash_ignores_order(spark, tmp_path):
     df = spark.range(50).withColumn("x", F.col("id") % 7)
     a, b = (snapshot.manifest({"t": d}).first() for d in (df, df.orderBy(F.desc("id"))))
     assert a == b
-    assert snapshot.write_snapshot({"t": df}, str(tmp_path / "s")).first() == a
+    written = snapshot.write_snapshot({"t": df}, str(tmp_path / "s")).first()
+    assert written[:3] == a[:3] and written.bytes > 0
+    with pytest.raises(ValueError, match="more than 10"):
+        snapshot.write_snapshot({"t": df}, str(tmp_path / "s"), ceiling=10)
 
 
 def test_stream_amends_and_repeats_change_nothing(spark, tmp_path):
@@ -105,11 +111,49 @@ def test_stream_amends_and_repeats_change_nothing(spark, tmp_path):
     spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], "k int, seq int, v string").coalesce(1).write.parquet(src)
     read = lambda: spark.readStream.schema("k int, seq int, v string").parquet(src)
     fold = amend(["k"], {}, ["seq"])
-    assert replay(spark, read(), str(tmp_path / "t"), fold).count() == 2
+    assert replay(spark, read(), str(tmp_path / "t"), fold, ["k"]).count() == 2
     spark.createDataFrame([(1, 3, "c")], "k int, seq int, v string").coalesce(1).write.mode("append").parquet(src)
-    got = {tuple(r) for r in replay(spark, read(), str(tmp_path / "t"), fold).collect()}
+    got = {tuple(r) for r in replay(spark, read(), str(tmp_path / "t"), fold, ["k"]).collect()}
     assert got == {(1, 3, "c"), (2, 2, "b")}
-    assert {tuple(r) for r in replay(spark, read(), str(tmp_path / "t"), fold).collect()} == got
+    assert {tuple(r) for r in replay(spark, read(), str(tmp_path / "t"), fold, ["k"]).collect()} == got
+
+
+def test_batches_may_come_in_any_order(spark, tmp_path):
+    """An older event that comes in a later batch does not take the newer one's place; old versions are deleted."""
+    src, table = str(tmp_path / "in"), str(tmp_path / "t")
+    fold, want = amend(["k"], {}, ["seq"]), {}
+    for batch in ([(1, 9, "new"), (2, 1, "a")], [(1, 3, "old"), (3, 5, "c"), (None, 1, "n")], [(2, 2, "b"), (1, 9, "newest"), (None, 0, "o")], [(1, 1, "z")]):
+        spark.createDataFrame(batch, "k int, seq int, v string").coalesce(1).write.mode("append").parquet(src)
+        got = {tuple(r) for r in replay(spark, spark.readStream.schema("k int, seq int, v string").parquet(src), table, fold, ["k"], 3).select("k", "seq", "v").collect()}
+        for k, seq, v in batch:
+            if k not in want or (seq, v) >= want[k]:
+                want[k] = (seq, v) if k not in want or seq > want[k][0] or v == "newest" else want[k]
+        assert got == {(k, *x) for k, x in want.items()}
+    kept = [p for p in (tmp_path / "t").glob("v*/bucket_of_key=*")]
+    assert len(kept) <= 6  # three buckets, of two versions each at most
+
+
+def test_one_of_equal_keys_does_not_hang_on_the_order(spark):
+    rows = [(1, "b", 2), (1, "a", 9), (2, None, 1), (2, "x", None)]
+    for df in (spark.createDataFrame(rows, "k int, v string, n int"), spark.createDataFrame(rows[::-1], "k int, v string, n int")):
+        assert {tuple(r) for r in merge.one_each(df, ["k"]).collect()} == {(1, "b", 2), (2, "x", None)}
+    old = spark.createDataFrame([("d1", "a"), ("d1", "b"), ("d2", "c")], "doc string, v string")
+    new = spark.createDataFrame([("d1", "z")], "doc string, v string")
+    assert {tuple(r) for r in merge.replace_groups(old, new, ["doc"]).collect()} == {("d1", "z"), ("d2", "c")}
+    assert merge.replace_groups(old, new.limit(0), ["doc"], new).count() == 1
+
+
+def test_hash_tells_repeated_rows_and_names(spark):
+    one = spark.createDataFrame([(1, 2), (1, 2)], "a int, b int")
+    hashes = {snapshot.manifest({"t": d}).first().content_hash for d in (one, one.limit(0), one.union(one), one.toDF("a", "c"), one.toDF("b", "a"))}
+    assert len(hashes) == 5
+
+
+def test_words_and_geoids_are_whole(spark):
+    long = "x" * 3000
+    df = spark.createDataFrame([(f"{long}, ANN", f"1600000US{'7' * 150}", "5")], "name string, geo_id string, value string")
+    assert df.select(display_name(F.col("name"))).first()[0] == f"Ann X{'x' * 2999}"
+    assert gazetteer(df, "1600000US").first().geoid == "7" * 150
 
 
 def test_above_mark(spark):
