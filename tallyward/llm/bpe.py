@@ -30,7 +30,7 @@ from .common import ship
 LEAF = 512  # symbols in a leaf
 SPREAD = 200_000  # symbols in a stretch above which leaves are encoded as rows of their own
 AGREE = 2  # tokens that must agree on each side of a seam
-CACHE = 300_000  # remembered stretches a Python worker
+CACHE = 150_000  # remembered stretches a Python worker
 
 
 # Characters that normalization leaves alone but for case: printable ASCII, and Latin letters and signs up to U+024F.
