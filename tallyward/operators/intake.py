@@ -38,6 +38,30 @@ def transactions(raw: DataFrame, targets: DataFrame, known: DataFrame, independe
     return good, df.where("reason is not null").select("sub_id", "reason")
 
 
+#: Columns of an individual's transaction that are kept as they are but for blanks.
+DONOR = ("contributor", "entity", "election", "employer", "occupation", "city", "state", "zip", "image", "memo_code", "memo")
+
+
+def individual_transactions(raw: DataFrame, committee_map: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(transactions, rejects with reason) of individuals' gifts to the committees of candidates.
+
+    raw: sub_id, cmte_id (who received it), other_id (who passed it on), kind, amount, day (MMDDYYYY) and DONOR, all text.
+    committee_map: cmte_id, cand_id, candidacy. Gifts to other committees are no_target, unreadable amounts bad_amount. A
+    conduit that no committee (known: cmte_id) is known by becomes null; the donor is never a committee.
+    """
+    k = known.select(F.col("cmte_id").alias("other"), F.lit(True).alias("known")).distinct()
+    to = committee_map.select(F.col("cmte_id").alias("recipient_id"), "cand_id", "candidacy")
+    df = raw.withColumns({"recipient_id": F.trim("cmte_id"), "other": F.trim("other_id"), "value": money(F.col("amount")), "date": month_day_year(F.col("day"))})
+    df = df.join(to, "recipient_id", "left").join(k, "other", "left")
+    df = df.withColumn("reason", F.when(F.col("cand_id").isNull(), "no_target").when(F.col("value").isNull(), "bad_amount"))
+    good = df.where("reason is null").select(
+        F.trim("sub_id").alias("sub_id"), "recipient_id", "cand_id", "candidacy", F.lit(None).cast("string").alias("contributor_id"),
+        F.when(F.col("known"), F.col("other")).alias("conduit_id"), F.col("value").alias("amount"), F.col("date").alias("day"), blank_to_null(F.col("kind")).alias("kind"),
+        *[blank_to_null(F.col(c)).alias(c) for c in DONOR],
+    )
+    return good, df.where("reason is not null").select("sub_id", "reason")
+
+
 def route_candidates(rows: DataFrame, year: int, seats: DataFrame, senate: DataFrame) -> DataFrame:
     """rows with district, class and skip_reason (null: taken), by the first reason that holds: office, year, territory,
     district, senate, duplicate (of a person in a race the smallest id stays).

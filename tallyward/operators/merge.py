@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,3 +84,22 @@ def appended_only(old: DataFrame, new: DataFrame, key: str, may_change: list[str
     return o.join(n, key, "left").where(F.col("there").isNull() | ~F.col("o").eqNullSafe(F.col("n"))).select(
         key, F.when(F.col("there").isNull(), "removed").otherwise("changed").alias("problem")
     )
+
+
+def refresh(tables: dict[str, DataFrame], path: str) -> DataFrame:
+    """Compute rollups anew and put each in its table's place below path; (table, rows) of what stands there now.
+
+    A table may be read while it is computed: each is written beside its place, and all are moved when all are written.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{path}/_next/{name}")
+    counts = []
+    for name in tables:
+        new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}/_next/{name}", f"{path}/{name}"))
+        files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.delete(old, True)
+        if not files.rename(new, old):
+            raise OSError(f"{name} could not be moved into its place below {path}")
+        counts.append(spark.read.parquet(f"{path}/{name}").agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows"))
+    return reduce(DataFrame.unionByName, counts)

@@ -65,3 +65,8 @@ def stored_span(text: Column, start: Column, end: Column) -> Column:
 
 def topic_or_other(topic: Column) -> Column:
     return F.coalesce(F.nullif(F.lower(F.trim(topic)), F.lit("")), F.lit("other"))
+
+
+def reject_log(verified: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(quotes that were found, log of those that were not) of verify_quotes()."""
+    return verified.where("method != 'rejected'"), verified.where("method = 'rejected'").select(*columns, F.lit("quote_not_in_document").alias("reason"))

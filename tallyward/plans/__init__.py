@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import finance, intake, records, text, votes
+    from . import evaluations, finance, intake, records, text, votes
 
-    return [finance, intake, votes, text, records]
+    return [finance, intake, votes, text, records, evaluations]
 
 
 def queries() -> dict:

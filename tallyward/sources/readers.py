@@ -94,3 +94,25 @@ def import_verdicts(verdicts: DataFrame, pending: DataFrame, allowed: list[str],
     df = verdicts.join(pending.select("id", F.lit(True).alias("p")).distinct(), "id", "left")
     outcome: Column = F.when(F.col("p").isNull(), "unknown_id").when(~F.coalesce(F.col("verdict").isin(allowed), F.lit(False)), "unknown_verdict")
     return df.withColumn("outcome", outcome.when(~F.col("confidence").eqNullSafe(F.lit(confidence)), "low_confidence").otherwise("taken")).drop("p")
+
+
+def read_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, damaged): a file of JSON lines by its schema, and the lines that are no JSON object of it, as text. Blank lines go."""
+    text = spark.read.text(path).where(F.trim("value") != "")
+    parsed = text.select("value", F.from_json("value", f"{schema}, __damaged string", {"columnNameOfCorruptRecord": "__damaged"}).alias("r"))
+    bad = F.col("r").isNull() | F.col("r.__damaged").isNotNull()
+    return parsed.where(~bad).select("r.*").drop("__damaged"), parsed.where(bad).select("value")
+
+
+def write_lines(df: DataFrame, path: str) -> None:
+    """Decisions or a review queue as JSON lines; fields that are null are written, so that every line has all of them."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def cached_spans(spans: DataFrame, path: str, stamp: str) -> DataFrame:
+    """spans as computed once for this stamp (prompt, model, version): read from path where they stand, else written there."""
+    spark = spans.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/stamp={stamp}/_SUCCESS")
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        spans.write.mode("overwrite").parquet(f"{path}/stamp={stamp}")
+    return spark.read.schema(spans.schema).parquet(f"{path}/stamp={stamp}")
