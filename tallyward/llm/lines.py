@@ -212,8 +212,9 @@ def _verdicts(base: DataFrame, threshold: str) -> DataFrame:
     known = texts.select("key", "check").join(forest.withColumnRenamed("node", "key"), "key", "left").select("key", "check", F.coalesce("component", "key").alias("component"))
     # a line beside the buckets, or one that shares a key but not its check, is a component of its own
     alike = materialize(alike.join(known, ["key", "check"], "left").where("n > 1 or component is not null"), "alike")
-    kept = alike.where("component is not null").groupBy("component").agg(F.min("first").alias("kept"), F.sum("n").alias("all"))
-    kept = alike.join(kept, "component", "left").where("coalesce(all, n) > 1").select("key", "check", F.coalesce("kept", "first").alias("kept"))
+    # a table of its own, so that the join deals both sides anew and adaptive execution can split a hot component
+    whole = materialize(alike.where("component is not null").groupBy("component").agg(F.min("first").alias("kept"), F.sum("n").alias("all")), "whole")
+    kept = alike.join(whole, "component", "left").where("coalesce(all, n) > 1").select("key", "check", F.coalesce("kept", "first").alias("kept"))
     kept = materialize(kept, "kept")
     discard(shared, texts, forest)
     gone = (
@@ -221,7 +222,7 @@ def _verdicts(base: DataFrame, threshold: str) -> DataFrame:
         .groupBy("row").agg(F.array_sort(F.collect_list("line")).alias("dropped"))  # one text's lines
     )
     gone = materialize(gone, "gone")
-    discard(alike, kept)
+    discard(alike, whole, kept)
     out = read.select("row", "id", F.size("lines").cast("long").alias("n_lines")).join(gone, "row", "left")
     out = out.select("row", "id", "n_lines", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
     out.gone, out.read = gone, read

@@ -4,9 +4,11 @@ Components are scaled to integers, floor(scale * x), so that scores are exact an
 shards of about SHARD rows by a hash of their id, queries to blocks of about BLOCK rows; a task searches one shard for one
 block. It builds a ball tree (nodes halve along the coordinate of largest spread), and for each query opens nodes in the
 order of the bound <q, centre> + |q| radius, until no open node's bound reaches the current kth score. The kth score is
-shared: a first round searches each query's first shard only, and its kth score starts the search in all other shards.
+shared between shards in waves: a first one searches each query's home shard only, later ones more and more of the others,
+and each starts from the kth score of all that was found before it.
 
-Scores are summed as float64 while all partial sums stay below 2**53, else as Python integers, kept within 64 bits.
+Components count as the nearest 64-bit integer to floor(scale * x). Scores are summed as float64 while all partial sums stay
+below 2**53, else as Python integers, by which ranks are exact; a score beyond 64 bits is given as the nearest of them.
 
 Defined cases: vectors that are null or empty, or hold null or non-finite components, take no part; a shorter vector counts as
 filled up with zeros; repeated ids are candidates each, but a query's own id is no candidate, and of repeated query ids the smallest vector asks; null ids take no part;
@@ -27,6 +29,7 @@ from .common import materialize, ship
 SHARD = 16_384
 BLOCK = 1024
 LEAF = 64
+WAVES = (8, 2)  # the second wave ends after an eighth of the shards, the third after half
 
 
 class BallTree:
@@ -151,17 +154,23 @@ def top_k(
     def run(asked: DataFrame) -> DataFrame:
         return data.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(group, "query_id long, vec_id long, score long")
 
-    # the score of a float floor may be rounded: one less is surely not above the kth score
-    first = materialize(run(asked.select("query_id", "q", F.col("home").alias("shard"), "block", F.lit(None).cast("double").alias("floor"))), "first")
-    floor = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("low")).where(F.col("n") >= k)
-    floor = floor.select("query_id", (F.col("low").cast("double") - F.greatest(F.lit(1.0), F.abs(F.col("low").cast("double")) * 1e-12)).alias("floor"))
-    others = (
-        asked.join(floor, "query_id", "left")
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-        .where("shard != home")
-        .select("query_id", "q", "shard", "block", "floor")
-    )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows of each shard at most
-    return (
-        first.unionByName(run(others)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-    )
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows of each shard and wave at most
+
+    def cut(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    ends = sorted({min(1, shards), *(-(-shards // part) for part in WAVES), shards})
+    found = None
+    for begin, end in zip([0, *ends], ends):
+        wave = asked.withColumn("shard", F.explode(F.sequence(F.lit(begin), F.lit(end - 1))))
+        wave = wave.withColumn("shard", F.pmod(F.col("home") + F.col("shard"), F.lit(shards)).cast("int"))
+        if found is None:
+            wave = wave.withColumn("floor", F.lit(None).cast("double"))
+        else:  # the score of a float floor may be rounded: one less is surely not above the kth score
+            low = F.min("score").cast("double")
+            floor = found.groupBy("query_id").agg(F.count("*").alias("n"), (low - F.greatest(F.lit(1.0), F.abs(low) * 1e-12)).alias("floor")).where(F.col("n") >= k)
+            wave = wave.join(floor.select("query_id", "floor"), "query_id", "left")
+        got = run(wave.select("query_id", "q", "shard", "block", "floor"))
+        got = cut(got if found is None else got.unionByName(found.select("query_id", "vec_id", "score"))).select("query_id", "rank", "vec_id", "score")
+        found = materialize(got, "found") if end < shards else got
+    return found
