@@ -19,17 +19,18 @@ from tallyward.llm.common import delete, free_name, materialize, recording
 
 
 BITS = 8.0  # bits a byte from which on a text is in no learned language: as long as the raw text
+LEAST_BYTES = 32  # shorter texts say too little to be rejected by their rate
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a recognisable language go: those that are null or have no letter, and those that even the best tree
-    codes with BITS bits a byte or more. Where no text has a label to learn from, all texts with a letter stay."""
+    codes with BITS bits a byte or more (of LEAST_BYTES bytes at least). Where no text has a label to learn from, all texts with a letter stay."""
     trees = langid.fit(docs)
     if not trees.langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     names = tuple(free_name(docs, n) for n in ("lang_pred", "score", "bits"))
     found = langid.predict(docs, trees, keep=tuple(c for c in docs.columns if c != "doc_id"), outputs=names)
-    return found.where((F.col(names[0]) != "und") & (F.col(names[2]) < BITS)).select(*docs.columns)
+    return found.where((F.col(names[0]) != "und") & ((F.col(names[2]) < BITS) | (F.octet_length("text") < LEAST_BYTES))).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
