@@ -105,7 +105,7 @@ def prose_defects(prose: Column, cited_keys: Column) -> Column:
     bad = lambda n: F.when(F.length(n) >= 5, "impossible_bill_number").when((F.size(cited) > 0) & ~F.array_contains(cited, n), "uncited_bill_reference")
     first = F.get(F.filter(F.transform(numbers, bad), lambda x: x.isNotNull()), 0)
     found = F.array_compact(F.array(F.when(F.length(t) > MAX_PROSE, "overlong"), F.when(t.rlike(SCRATCHPAD), "scratchpad"), first))
-    return F.when(F.trim(t) == "", F.array(F.lit("empty"))).otherwise(found)
+    return F.when(~t.rlike(r"(?U)\S"), F.array(F.lit("empty"))).otherwise(found)
 
 
 def route(checks: DataFrame, storable: tuple[str, ...] = ("ok", "omnibus_not_contextual", "procedural_not_contextual", "contested_subject_not_contextual", "position_mismatch", "wrong_politician", "not_offered")) -> DataFrame:

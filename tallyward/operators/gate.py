@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 VERSION = "gate_v2"
 MIN_CHARS = 25
 
-# The patterns of the rules, as they must be for equal verdicts. (?i): in either case.
+# Fixed values, down to HOPE: the patterns of the rules, as they must be for equal verdicts. (?i): in either case. Letters, digits
+# and white space are those of Unicode (UNICODE is put before each pattern).
+UNICODE = "(?U)"
 SELF_COMMITMENT = (
     r"(?i)\b(?:i|we)\s+(?:will|shall)\b|\b(?:i|we)['’]ll\b|\b(?:i|we)\s+(?:intend|pledge|vow|promise|commit)\b"
     r"|\b(?:i['’]m|i\s+am|we['’]re|we\s+are)\s+(?:going|gonna)\b|\b(?:my|our)\s+(?:first|number\s+one)\b"
@@ -27,8 +29,9 @@ SENTENCE_END = r"[.!?][\"'”’)]?\s+\S"
 CLOSING = r"[.!?\"”'’:;]$"
 GERUND = r"(?i)^(?:and\s+|by\s+)?(\w+ing)\b"
 NOT_GERUNDS = (
-    "bring thing nothing something everything anything king ring sing spring string wing during ceiling willing morning evening sibling"
-).split()
+    "bring", "thing", "nothing", "something", "everything", "anything", "king", "ring", "sing", "spring", "string",
+    "wing", "during", "ceiling", "willing", "morning", "evening", "sibling",
+)
 FINITE_VERB = (
     r"(?i)\b(?:will|would|shall|must|should|can|could|may|might|is|are|am|was|were|has|have|had|does|do|did|means|need|remains"
     r"|deserves|requires|includes|continues|allows|provides|ensures|helps|makes|gives|takes|works|belongs)\b"
@@ -68,29 +71,33 @@ FRAME = ("candidacy_motivation", "campaign_bio", "ongoing_activity", "third_part
 RULES = STRUCTURAL + FRAME
 
 
+def matches(t: Column, pattern: str) -> Column:
+    return t.rlike(UNICODE + pattern)
+
+
 def commitment(t: Column) -> Column:
-    return t.rlike(SELF_COMMITMENT) | t.rlike(NAMED_COMMITMENT) | t.rlike(PRONOUN_COMMITMENT)
+    return matches(t, SELF_COMMITMENT) | matches(t, NAMED_COMMITMENT) | matches(t, PRONOUN_COMMITMENT)
 
 
 def rule(name: str, t: Column) -> Column:
     """Whether a rule fires on trimmed text."""
     if name == "fragment":
-        head = F.lower(F.regexp_extract(t, GERUND, 1))
-        headless = (head != "") & ~head.isin(NOT_GERUNDS) & ~t.rlike(FINITE_VERB)
-        return (F.length(t) < MIN_CHARS) | t.rlike(LONE_LETTER) | headless | (~t.rlike(CLOSING) & t.rlike(SENTENCE_END))
+        head = F.lower(F.regexp_extract(t, UNICODE + GERUND, 1))
+        headless = (head != "") & ~head.isin(*NOT_GERUNDS) & ~matches(t, FINITE_VERB)
+        return (F.length(t) < MIN_CHARS) | matches(t, LONE_LETTER) | headless | (~matches(t, CLOSING) & matches(t, SENTENCE_END))
     if name == "normative_claim":
-        return ~t.rlike(FIRST_PERSON) & t.rlike(NORMATIVE)
+        return ~matches(t, FIRST_PERSON) & matches(t, NORMATIVE)
     patterns = {
         "reported_speech": REPORTED_SPEECH, "past_action": PAST_ACTION, "constituent_casework": CASEWORK, "candidacy_motivation": CANDIDACY,
         "campaign_bio": BIO, "ongoing_activity": ONGOING, "third_party_belief": THIRD_PARTY, "hedged_opinion": HEDGED, "aspirational_hope": HOPE,
     }
-    return t.rlike(patterns[name])
+    return matches(t, patterns[name])
 
 
 def screen(quote: Column, disabled: Collection[str] = (), escape: bool = True) -> Column:
     """struct(keep, reason) of a quote; null counts as empty. `disabled` rules are left out; without `escape` a commitment
     does not save a quote from the frame rules."""
-    t = F.regexp_replace(F.coalesce(quote, F.lit("")), r"^\s+|\s+$", "")
+    t = F.regexp_replace(F.coalesce(quote, F.lit("")), r"(?U)^\s+|\s+\z", "")
     ladder = F.when(t == "", "fragment")
     for name in STRUCTURAL:
         if name not in disabled:

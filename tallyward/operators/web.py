@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 # Link words in order of worth, path segments that are never content, endings of files, hosts that are no site.
 ISSUE_WORDS = ("issue", "priorit", "platform", "plan", "agenda", "legislat", "about", "record")
 JUNK_SEGMENTS = (
-    "contact services offices office-locations events committees-and-caucuses staff-page our-district press-kit newsletter-subscribe "
-    "newsletter-unsubscribe survey internships tours-and-tickets flags grant-applicants help-federal-agency commendations-and-greetings "
-    "art-competition congressional-app-challenge military-academy-nominations request-an-appearance website-problem rss.xml privacy "
-    "copyright accessibility terms-conditions"
-).split()
+    "contact", "services", "offices", "office-locations", "events", "committees-and-caucuses", "staff-page",
+    "our-district", "press-kit", "newsletter-subscribe", "newsletter-unsubscribe", "survey", "internships",
+    "tours-and-tickets", "flags", "grant-applicants", "help-federal-agency", "commendations-and-greetings",
+    "art-competition", "congressional-app-challenge", "military-academy-nominations", "request-an-appearance",
+    "website-problem", "rss.xml", "privacy", "copyright", "accessibility", "terms-conditions",
+)
 NOT_ISSUE_SEGMENTS = ("press-releases", "in-the-news", "editorial")
 FILE_ENDINGS = ("png", "jpg", "jpeg", "gif", "svg", "pdf", "xml", "ico", "mp4", "mp3")
 INDEX_TAILS = ("issues", "priorities", "legislation", "platform", "agenda")
 NON_SITE_HOSTS = (
-    "facebook.com fb.com twitter.com x.com instagram.com linkedin.com youtube.com youtu.be tiktok.com threads.net actblue.com winred.com "
-    "anedot.com donorbox.org gofundme.com linktr.ee"
-).split()
+    "facebook.com", "fb.com", "twitter.com", "x.com", "instagram.com", "linkedin.com", "youtube.com", "youtu.be",
+    "tiktok.com", "threads.net", "actblue.com", "winred.com", "anedot.com", "donorbox.org", "gofundme.com", "linktr.ee",
+)
 PLACEHOLDER = r"(?i)^(n/?a|none|no|nil|tbd|pending|not applicable|unknown|[-.]+)$"
 MIN_TEXT = 400
 LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import at_least_zero, ratio
 from ..operators.aggregates import filtered_sums, key_collisions, reconcile, top_sums
-from .tables import DONATIONS_SQL, donations, read
+from .tables import DONATIONS_SQL, donations, gifts, read
 
 D = "double"
 
@@ -25,13 +25,13 @@ def outside_spenders(spark, sf_dir):
 
 def top_conduits(spark, sf_dir):
     brands = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("conduit"))
-    net = donations(spark, sf_dir).join(brands, "item").withColumn("amount", F.when(F.col("kind") == "RF", -F.col("amount")).otherwise(F.col("amount")))
+    net = gifts(spark, sf_dir).join(brands, "item").withColumn("amount", F.when(F.col("kind") == "RF", -F.col("amount")).otherwise(F.col("amount")))
     return top_sums(net, ["recipient"], "conduit", "amount", 10, positive=True).withColumn("total", F.col("total").cast(D))
 
 
 def _rollup(spark, sf_dir):
     """Conditional sums a recipient; what came after its official coverage end counts apart."""
-    df = donations(spark, sf_dir)
+    df = gifts(spark, sf_dir)
     ends = read(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("recipient"), F.when(F.col("s_suppkey") % 7 != 0, F.date_add(F.lit("1996-01-01").cast("date"), (F.col("s_suppkey") % 700).cast("int"))).alias("coverage_end")
     )
@@ -46,10 +46,10 @@ def _rollup(spark, sf_dir):
     )
 
 
-def _official(spark, sf_dir):
-    """Totals that recipients report themselves: what fell into their coverage, in whole hundreds."""
-    r = _rollup(spark, sf_dir)
-    return r.select("recipient", (F.floor(F.col("in_window") / 100) * 100 + F.when(F.col("recipient") % 5 == 0, F.col("in_window")).otherwise(0)).cast("decimal(24,2)").alias("official"))
+def _official(rollup):
+    """rollup with official: totals that recipients report themselves, what fell into their coverage, in whole hundreds."""
+    own = F.col("in_window")
+    return rollup.withColumn("official", (F.floor(own / 100) * 100 + F.when(F.col("recipient") % 5 == 0, own).otherwise(0)).cast("decimal(24,2)"))
 
 
 def finance_rollup(spark, sf_dir):
@@ -61,7 +61,7 @@ def finance_rollup(spark, sf_dir):
 
 
 def coverage_window(spark, sf_dir):
-    r = _rollup(spark, sf_dir).join(_official(spark, sf_dir), "recipient")
+    r = _official(_rollup(spark, sf_dir))
     percent = F.round(100 * F.col("in_window").cast(D) / F.col("official").cast(D))
     return r.where("official > 0").select(
         "recipient", F.least(percent, F.lit(100.0)).alias("coverage_pct"), (F.col("in_window").cast(D) > 1.01 * F.col("official").cast(D)).alias("ahead"), "n_late"
@@ -76,7 +76,7 @@ def funding_mix(spark, sf_dir):
 
 
 def divergence_report(spark, sf_dir):
-    r = _rollup(spark, sf_dir).join(_official(spark, sf_dir), "recipient")
+    r = _official(_rollup(spark, sf_dir))
     share = ratio(F.col("in_window"), F.col("official"))
     return r.select("recipient", share.alias("ratio"), F.coalesce(F.abs(share - 1) > 0.15, F.lit(False)).alias("diverges"))
 

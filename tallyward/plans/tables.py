@@ -27,14 +27,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def donations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """recipient, contributor, item, amount, kind (six values), day, cycle: one row a line item."""
-    li = read(spark, sf_dir, "lineitem").select(
+def gifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """recipient, item, amount, kind (six values), day: one row a line item."""
+    return read(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.col("l_suppkey").alias("recipient"), F.col("l_partkey").alias("item"), F.col("l_extendedprice").cast(MONEY).alias("amount"),
         F.concat("l_returnflag", "l_linestatus").alias("kind"), F.to_date("l_shipdate").alias("day"),
     )
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("contributor"), F.year("o_orderdate").alias("cycle"))
-    return li.join(orders, li.l_orderkey == orders.o_orderkey).drop("l_orderkey", "o_orderkey")
+
+
+def donations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gifts with contributor and cycle, which the orders hold."""
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("contributor"), F.year("o_orderdate").alias("cycle"))
+    return gifts(spark, sf_dir).join(orders, "l_orderkey").drop("l_orderkey")
 
 
 DONATIONS_SQL = """donations AS (

@@ -60,6 +60,23 @@ def gate_screen(spark, sf_dir):
     return _gate_rows(spark, sf_dir).withColumn("g", gate.screen(F.col("quote"))).groupBy("g.reason").agg(F.count("*").alias("rows"), F.count_if(F.col("expected") == F.col("g.reason")).alias("as_expected"))
 
 
+SENTENCE = "[^.!?\\n]+[.!?]*"
+
+
+def gate_sentences(spark, sf_dir):
+    """Every sentence of all documents and talks, screened."""
+    texts = read(spark, sf_dir, "documents").select("text").unionByName(read(spark, sf_dir, "conversations").select("text"))
+    said = texts.select(F.explode(F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(0))).alias("quote")).select("quote", gate.screen(F.col("quote"))["reason"].alias("reason"))
+    return said.groupBy("reason").agg(F.count("*").alias("sentences"), F.sum(F.length("quote")).alias("chars"))
+
+
+def prose_screen(spark, sf_dir):
+    """All documents and talks as a verdict's prose that cites one bill."""
+    texts = read(spark, sf_dir, "documents").select("text").unionByName(read(spark, sf_dir, "conversations").select("text"))
+    found = texts.select(F.length("text").alias("n"), F.array_join(ev.prose_defects(F.col("text"), F.array(F.lit("HR-168"))), ",").alias("defects"))
+    return found.groupBy("defects").agg(F.count("*").alias("rows"), F.sum("n").alias("chars"))
+
+
 def gate_ablation(spark, sf_dir):
     """The gate, a phrase list, each rule left out, and no escape: precision and retention of all in one pass."""
     rows = _gate_rows(spark, sf_dir).withColumn("truth", F.col("expected") == "kept")
@@ -219,7 +236,7 @@ def unique_and_foreign(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (chunk_offsets, context_window, quote_verification, gate_screen, gate_ablation, confusion, citation_ladder, status_support, store_routing, revalidation,
+    for f in (chunk_offsets, context_window, quote_verification, gate_sentences, prose_screen, gate_screen, gate_ablation, confusion, citation_ladder, status_support, store_routing, revalidation,
               export_gate_promises, export_gate_evaluations, prose_defects, contested_block, page_links, issue_links, press_index, child_links, page_text, url_normalise,
               host_throttle_key, crawl_frontier, document_dedupe, expectations, unique_and_foreign)
 }
@@ -255,7 +272,26 @@ def _scores(source: str, names: list[str]) -> str:
     return "SELECT *, round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END, 4) AS precision, round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END, 4) AS retention FROM (" + " UNION ALL ".join(one.format(n) for n in names) + ")"
 
 
+def _gate_sql() -> str:
+    """The ladder of the gate as CASE over RE2 patterns, with \\w widened to Unicode's letters and digits."""
+    wide = lambda p: "'" + p.replace("\\w", "[\\pL\\pN_]").replace("'", "''") + "'"
+    hit = lambda p: f"regexp_matches(t, {wide(p)})"
+    plain = {"reported_speech": gate.REPORTED_SPEECH, "past_action": gate.PAST_ACTION, "constituent_casework": gate.CASEWORK}
+    frame = {"candidacy_motivation": gate.CANDIDACY, "campaign_bio": gate.BIO, "ongoing_activity": gate.ONGOING, "third_party_belief": gate.THIRD_PARTY}
+    head = f"lower(regexp_extract(t, {wide(gate.GERUND)}, 1))"
+    fragment = f"""length(t) < {gate.MIN_CHARS} OR {hit(gate.LONE_LETTER)} OR ({head} <> '' AND {head} NOT IN ({", ".join(f"'{w}'" for w in gate.NOT_GERUNDS)}) AND NOT {hit(gate.FINITE_VERB)}) OR (NOT {hit(gate.CLOSING)} AND {hit(gate.SENTENCE_END)})"""
+    cases = [("fragment", fragment), *[(k, hit(p)) for k, p in plain.items()], ("kept", " OR ".join(map(hit, (gate.SELF_COMMITMENT, gate.NAMED_COMMITMENT, gate.PRONOUN_COMMITMENT))))]
+    cases += [*[(k, hit(p)) for k, p in frame.items()], ("normative_claim", f"NOT {hit(gate.FIRST_PERSON)} AND {hit(gate.NORMATIVE)}"), ("hedged_opinion", hit(gate.HEDGED)), ("aspirational_hope", hit(gate.HOPE))]
+    return "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for r, c in cases) + " ELSE 'kept' END"
+
+
 ORACLES = {
+    "gate_sentences": f"""WITH s AS (SELECT unnest(regexp_extract_all(text, '{SENTENCE}', 0)) AS q FROM (SELECT text FROM documents UNION ALL SELECT text FROM conversations)), x AS (SELECT q, regexp_replace(q, '^\\s+|\\s+$', '', 'g') AS t FROM s)
+SELECT {_gate_sql()} AS reason, count(*) AS sentences, sum(length(q))::BIGINT AS chars FROM x GROUP BY 1""",
+    "prose_screen": f"""WITH d AS (SELECT coalesce(text, '') AS t, length(text) AS n FROM (SELECT text FROM documents UNION ALL SELECT text FROM conversations)),
+b AS (SELECT t, n, list_transform(regexp_extract_all(t, '{ev.BILL_IN_PROSE}', 1), lambda x: regexp_replace(x, '^0+', '')) AS bills FROM d),
+c AS (SELECT *, list_filter(list_transform(bills, lambda x: CASE WHEN length(x) >= 5 THEN 'impossible_bill_number' WHEN x <> '168' THEN 'uncited_bill_reference' END), lambda x: x IS NOT NULL) AS bad FROM b)
+SELECT CASE WHEN NOT regexp_matches(t, '\\S') THEN 'empty' ELSE concat_ws(',', CASE WHEN length(t) > {ev.MAX_PROSE} THEN 'overlong' END, CASE WHEN regexp_matches(t, '{ev.SCRATCHPAD.replace("'", "''")}') THEN 'scratchpad' END, bad[1]) END AS defects, count(*) AS rows, sum(n)::BIGINT AS chars FROM c GROUP BY 1""",
     "chunk_offsets": """WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) > 0),
 c AS (SELECT *, unnest(range(CASE WHEN n <= 1000 THEN 1 ELSE CAST(ceil((n - 1000) / 920) AS BIGINT) + 1 END)) AS k FROM d)
 SELECT doc_id, k AS chunk_no, k * 920 AS chunk_offset, length(substring(text, k * 920 + 1, 1000)) AS chars, md5(substring(text, k * 920 + 1, 1000)) AS md5 FROM c""",

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bill_key, ratio, vote_position
-from ..operators.aggregates import filtered_sums, first_by, ordered_list, top_n
+from ..operators.aggregates import first_by, ordered_list, top_n
 from ..operators.joins import array_member_join, by_name, overlapping, resolve_alias, span_outcomes, topic_bills
 from .tables import BILLS_SQL, VOTES_SQL, bills, read, votes
 
@@ -15,11 +15,10 @@ _SUB = "('purchase', 'signup', 'click')"
 
 
 def member_record(spark, sf_dir):
-    v = votes(spark, sf_dir)
     names = ["click", "view", "purchase", "signup", "error"]
-    counts = filtered_sums(v, ["member"], {}, {f"n_{n}": F.col("position") == n for n in names} | {"votes": F.lit(True)})
-    days = v.groupBy("member").agg(F.min("day").cast("string").alias("first_day"), F.max("day").cast("string").alias("last_day"))
-    return counts.join(days, "member")
+    counts = [F.count_if(F.col("position") == n).alias(f"n_{n}") for n in names]
+    days = [F.min("day").cast("string").alias("first_day"), F.max("day").cast("string").alias("last_day")]
+    return votes(spark, sf_dir).groupBy("member").agg(*counts, F.count("*").alias("votes"), *days)
 
 
 def participation(spark, sf_dir):
@@ -60,15 +59,17 @@ def _flags(df):
 
 
 def promise_votes(spark, sf_dir):
-    """Statements (documents, topic by id) with up to six votes of their member on bills of the topic, one a bill."""
+    """Statements (documents, topic by id) with up to 25 votes of their member on bills of the topic, one a bill.
+
+    Which votes are first does not hang on the statement, so votes are cut for each member and topic before statements join.
+    """
     topics = F.array(*[F.lit(t) for t in ("widget", "gadgetry", "brands", "nothing")])
     promises = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("promise"), (F.col("doc_id") % 150).alias("member"), F.get(topics, (F.col("doc_id") % 4).cast("int")).alias("topic"))
     on_topic = topic_bills(resolve_alias(_filters(spark)), bills(spark, sf_dir))
     facts = _flags(votes(spark, sf_dir).join(bills(spark, sf_dir), "bill")).select("vote_id", "member", "bill", "position", "day", "procedural", "omnibus", "question_rank")
     one = first_by(facts, ["member", "bill"], [F.asc("question_rank"), F.desc("day"), F.desc("vote_id")])
-    pairs = promises.join(on_topic, "topic").join(one, ["member", "bill"])
-    cut = top_n(pairs, ["promise"], [F.asc("omnibus"), F.asc("procedural"), F.desc("day"), F.desc("vote_id")], 6)
-    return cut.select("promise", "rank", "vote_id", "bill", "position", "procedural")
+    cut = top_n(one.join(on_topic, "bill"), ["member", "topic"], [F.asc("omnibus"), F.asc("procedural"), F.desc("day"), F.desc("vote_id")], 25)
+    return promises.join(cut, ["member", "topic"]).select("promise", "rank", "vote_id", "bill", "position", "procedural")
 
 
 def array_membership_join(spark, sf_dir):
@@ -184,7 +185,7 @@ f AS (SELECT vote_id, member, bill, position, day, position NOT IN {_SUB} AS pro
   CASE WHEN question LIKE 'PROMO%' THEN 0 WHEN question LIKE 'STANDARD%' THEN 1 ELSE 2 END AS q, area, subjects FROM votes JOIN bills USING (bill)),
 o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY member, bill ORDER BY q, day DESC, vote_id DESC) AS k FROM f) WHERE k = 1)
 SELECT promise, rank, vote_id, bill, position, procedural FROM (SELECT *, row_number() OVER (PARTITION BY promise ORDER BY omnibus, procedural, day DESC, vote_id DESC) AS rank
-  FROM p JOIN resolved USING (topic) JOIN o USING (member) WHERE list_contains(areas, area) OR list_has_any(resolved.subjects, o.subjects)) WHERE rank <= 6""",
+  FROM p JOIN resolved USING (topic) JOIN o USING (member) WHERE list_contains(areas, area) OR list_has_any(resolved.subjects, o.subjects)) WHERE rank <= 25""",
     "array_membership_join": f"WITH {VOTES_SQL}, {BILLS_SQL}, n AS (SELECT bill, count(*) AS votes FROM votes GROUP BY 1) SELECT word, count(*) AS bills, sum(votes)::BIGINT AS votes FROM (VALUES ('widget'), ('bolt'), ('none'), (NULL)) w(word) JOIN bills ON list_contains(subjects, word) JOIN n USING (bill) GROUP BY word",
     "semi_members": f"WITH {VOTES_SQL}, {BILLS_SQL} SELECT DISTINCT member FROM votes WHERE bill IN (SELECT bill FROM bills WHERE list_contains(subjects, 'widget'))",
     "anti_missing": "SELECT c_custkey, c_mktsegment FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')",
