@@ -35,7 +35,7 @@ def eligible_promises(promises: DataFrame, reviews: DataFrame, evaluations: Data
 
 def pending_members(eligible: DataFrame, people: DataFrame) -> DataFrame:
     """(member, name, pending) of members with promises to evaluate. people: member, name."""
-    return eligible.groupBy("member").agg(F.count("*").alias("pending")).join(people.select("member", "name"), "member")
+    return eligible.groupBy("member").agg(F.count("*").alias("pending")).join(people.select("member", "name"), "member").select("member", "name", "pending")
 
 
 def render_votes(votes: DataFrame, by: list[str], limit: int = SUMMARY_CHARS) -> DataFrame:
