@@ -2,12 +2,14 @@
 
 import math
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyward.llm import langid, toxicity
+from tallyward.llm.common import mix, prefix_hash, span_hash
 
 VOWELS = {"xx": "aeiou", "yy": "äöüyø"}
 
@@ -99,6 +101,35 @@ def test_toxicity_by_held_out_labels_and_sentences(spark):
     assert {r.score for r in toxicity.score(d, flat).collect()} == {0.0}
 
 
+def test_toxicity_scores_follow_the_definition(spark):
+    """Every text by loops over its sentences and words, with the model's own weights."""
+    rng = random.Random(9)
+    words = ["bad", "grobian", "grobianisch", "été", "ÀÉ", "fine", "Longerword1", "x"]
+    texts = ["".join(rng.choice([*words, " ", " ", ". ", "!", "\n", "|", ", ", "?"]) + rng.choice(["", " "]) for _ in range(rng.randrange(0, 40))) for _ in range(200)] + [None, "", "...", "word " * 200_000]
+    model = toxicity.Model(np.array([rng.gauss(0, 1) for _ in range(1 << toxicity.BITS)]).astype(np.float32), -1.5, 0.03)
+
+    def place(word, stem):
+        data = np.frombuffer(word, np.uint8)
+        h = span_hash(prefix_hash(data), np.array([0]), np.array([len(word)]))
+        return int((mix(h) if stem else h)[0] >> np.uint64(64 - toxicity.BITS))
+
+    def plain(text):
+        keep = 1 - model.leak
+        for sentence in re.split(rb"[.!?\n|]", text.encode()):
+            found = re.findall(rb"[0-9a-z\x80-\xff]+", sentence.lower())
+            if found:
+                places = {place(w, False) for w in found} | {place(w[: toxicity.STEM], True) for w in found if len(w) > toxicity.STEM}
+                keep *= 1 - min(1 / (1 + math.exp(-(model.bias + sum(float(model.weights[p]) for p in places)))), 1 - 1e-12)
+        return 1 - keep
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
+    assert len(got) == len(texts) and all(math.isclose(got[i], plain(t or ""), abs_tol=1e-9) for i, t in enumerate(texts))
+    assert toxicity.score(df.limit(0), model).count() == 0
+    clash = toxicity.score(df.withColumn("held", F.lit(1)).withColumn("__x", F.lit(2)), model, keep=("held",))
+    assert clash.columns == ["doc_id", "held", "score"]
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(7)
     base = [sample(rng, "xx", 30) + ".\n" + sample(rng, "xx", 40) + "." for _ in range(30)]
