@@ -64,23 +64,34 @@ def boxes(segs: DataFrame) -> DataFrame:
     return b.withColumn("span", F.hypot(F.col("bx1") - F.col("bx0"), F.col("by1") - F.col("by0")))
 
 
+BANDS = 64  # of a ring's height; a point is held against the segments of its band
+
+
 def on_land(points: DataFrame, segs: DataFrame, key: list[str]) -> DataFrame:
-    """key of the points (key, state, x, y) inside a ring of their state: boxes first, then an odd number of crossings."""
-    near = points.join(boxes(segs), "state").where("x between bx0 and bx1 and y between by0 and by1").select(*key, "state", "ring", "x", "y")
+    """key of the points (key, state, x, y) inside a ring of their state: boxes first, then an odd number of crossings with
+    the ring's segments that reach into the point's band of height."""
+    box = boxes(segs).withColumn("h", F.greatest((F.col("by1") - F.col("by0")) / BANDS, F.lit(1e-9)))
+    band = lambda y: F.floor((F.col(y) - F.col("by0")) / F.col("h"))
+    near = points.join(box, "state").where("x between bx0 and bx1 and y between by0 and by1").select(*key, "state", "ring", "x", "y", band("y").alias("band"))
+    parts = segs.join(box, ["state", "ring"]).withColumn("band", F.explode(F.sequence(F.least(band("y1"), band("y2")), F.greatest(band("y1"), band("y2")))))
     up = (F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))
     dy = F.when(F.col("y2") == F.col("y1"), F.lit(1e-12)).otherwise(F.col("y2") - F.col("y1"))
     cross = up & (F.col("x") < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / dy + F.col("x1"))
-    hits = near.join(segs, ["state", "ring"]).groupBy(*key, "ring").agg(F.count_if(cross).alias("crossings"))
+    hits = near.join(parts.select("state", "ring", "band", "x1", "y1", "x2", "y2"), ["state", "ring", "band"]).groupBy(*key, "ring").agg(F.count_if(cross).alias("crossings"))
     return hits.where("crossings % 2 = 1").select(*key).distinct()
 
 
-def nearest_coast(points: DataFrame, segs: DataFrame, key: str, least_span: float = RING_LEAST) -> DataFrame:
-    """(key, distance, qx, qy): the nearest place on the rings of a point's state that span least_span at least."""
+def nearest_coast(points: DataFrame, segs: DataFrame, key: str, within: float, least_span: float = RING_LEAST) -> DataFrame:
+    """(key, distance, qx, qy): the nearest place on the rings of a point's state that span least_span at least, for points
+    that have one within that distance. Segments meet points in square cells of that size."""
     big = segs.join(boxes(segs).where(F.col("span") >= least_span).select("state", "ring"), ["state", "ring"])
+    cells = lambda a, b: F.explode(F.sequence(F.floor(F.least(a, b) / within) - 1, F.floor(F.greatest(a, b) / within) + 1))
+    big = big.withColumn("cx", cells("x1", "x2")).withColumn("cy", cells("y1", "y2"))
+    own = points.withColumn("cx", F.floor(F.col("x") / within)).withColumn("cy", F.floor(F.col("y") / within))
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     t = F.when(dx * dx + dy * dy == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("x") - F.col("x1")) * dx + (F.col("y") - F.col("y1")) * dy) / (dx * dx + dy * dy))))
-    q = points.join(big, "state").select(key, "x", "y", "ring", "seq", (F.col("x1") + t * dx).alias("qx"), (F.col("y1") + t * dy).alias("qy"))
-    q = q.withColumn("distance", F.hypot(F.col("x") - F.col("qx"), F.col("y") - F.col("qy")))
+    q = own.join(big, ["state", "cx", "cy"]).select(key, "x", "y", "ring", "seq", (F.col("x1") + t * dx).alias("qx"), (F.col("y1") + t * dy).alias("qy"))
+    q = q.withColumn("distance", F.hypot(F.col("x") - F.col("qx"), F.col("y") - F.col("qy"))).where(F.col("distance") <= within)
     best = q.groupBy(key).agg(F.min_by(F.struct("distance", "qx", "qy"), F.struct("distance", "ring", "seq")).alias("b"))
     return best.select(key, "b.*")
 
@@ -91,7 +102,7 @@ def anchor(points: DataFrame, segs: DataFrame, key: str) -> DataFrame:
     ashore = on_land(points, segs, [key]).withColumn("dry", F.lit(True))
     allowed = F.least(F.lit(float(SNAP_MOST)), F.greatest(F.lit(float(SNAP_LEAST)), F.sqrt("area") * SNAP_MULTIPLE))
     at_sea = points.join(ashore, key, "left_anti")
-    hit = at_sea.join(nearest_coast(at_sea, segs, key), key, "left").withColumn("ok", F.coalesce(F.col("distance") <= allowed, F.lit(False)))
+    hit = at_sea.join(nearest_coast(at_sea, segs, key, float(SNAP_MOST)), key, "left").withColumn("ok", F.coalesce(F.col("distance") <= allowed, F.lit(False)))
     tries = [(i * DIRECTIONS + s, r * math.cos(2 * math.pi * s / DIRECTIONS), r * math.sin(2 * math.pi * s / DIRECTIONS)) for i, r in enumerate(RADII) for s in range(DIRECTIONS)]
     offsets = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, a, b in tries])).alias("o")
     search = hit.where("ok").select(key, "state", "qx", "qy", offsets).select(key, "state", F.col("o.n").alias("n"), (F.col("qx") + F.col("o.a")).alias("x"), (F.col("qy") + F.col("o.b")).alias("y"))

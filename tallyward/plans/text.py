@@ -177,7 +177,7 @@ WORDS = ("the", "and", "of", "que", "der")
 
 
 def issue_links(spark, sf_dir):
-    return web.issue_links(web.same_site(read(spark, sf_dir, "pages")), words=WORDS, cap=3)
+    return web.issue_links(web.same_site(read(spark, sf_dir, "pages")), words=WORDS, cap=8)
 
 
 def press_index(spark, sf_dir):
@@ -187,7 +187,7 @@ def press_index(spark, sf_dir):
 def child_links(spark, sf_dir):
     """Pages taken as the roots of their sites, so that all links lie below them."""
     pages = read(spark, sf_dir, "pages").withColumn("url", F.regexp_replace("url", r"^(https?://[^/]+).*$", "$1/"))
-    return web.child_links(web.same_site(pages), pages, cap=4)
+    return web.child_links(web.same_site(pages), pages, cap=8)
 
 
 def page_text(spark, sf_dir):
@@ -212,7 +212,7 @@ def host_throttle_key(spark, sf_dir):
 
 
 def crawl_frontier(spark, sf_dir):
-    return web.frontier(read(spark, sf_dir, "pages"), ("/issues", "/about"), cap=6, words=WORDS)
+    return web.frontier(read(spark, sf_dir, "pages"), ("/issues", "/about"), cap=24, words=WORDS)
 
 
 def document_dedupe(spark, sf_dir):
@@ -322,9 +322,9 @@ SELECT evaluation, CASE WHEN evaluation % 2 = 0 THEN 'broken' ELSE 'completed' E
 FROM bills, (VALUES ('paint'), (' Roads '), (NULL)) t(topic) GROUP BY 1, 2""",
     "page_links": f"WITH {_SITE} SELECT page_id, pos, href, anchor FROM l",
     "issue_links": f"""WITH {_SITE}, w AS (SELECT *, CASE {' '.join(f"WHEN contains(path, '{x}') OR contains(anchor, '{x}') THEN {i}" for i, x in enumerate(WORDS))} END AS w FROM site)
-SELECT page_id, rank, link FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY w, pos) AS rank FROM w WHERE w IS NOT NULL) WHERE rank <= 3""",
+SELECT page_id, rank, link FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY w, pos) AS rank FROM w WHERE w IS NOT NULL) WHERE rank <= 8""",
     "press_index": f"WITH {_SITE} SELECT page_id, arg_min(link, pos) AS link FROM site WHERE contains(path, 'on') OR contains(anchor, 'an') GROUP BY 1",
-    "child_links": f"WITH {_SITE} SELECT page_id, rank, link FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rank FROM site WHERE path <> '/') WHERE rank <= 4",
+    "child_links": f"WITH {_SITE} SELECT page_id, rank, link FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rank FROM site WHERE path <> '/') WHERE rank <= 8",
     "url_normalise": rf"""WITH p AS (SELECT page_id, page_id % {len(FILED)} AS k, regexp_extract(regexp_replace(url, '^[a-z]+://', ''), '^([^#]*)', 1) AS u FROM pages),
 q AS (SELECT page_id, k, lower(regexp_extract(u, '^([^/?]*)', 1)) || regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '') || regexp_extract(u, '(\?.*)$', 1) AS good,
   regexp_replace(regexp_extract(u, '^([^?]*)', 1), '/+$', '') || regexp_extract(u, '(\?.*)$', 1) AS tail FROM p)

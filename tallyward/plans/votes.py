@@ -111,9 +111,9 @@ def review_queue_json(spark, sf_dir):
 
 
 def prompt_render(spark, sf_dir):
-    """Turns of a talk as prompt blocks: a head line, the text cut at a word within 40 characters, blank lines between."""
+    """Turns of a talk as prompt blocks: a head line, the text cut at a word within 400 characters, blank lines between."""
     t = read(spark, sf_dir, "conversations")
-    cut = F.when(F.length("text") <= 40, F.col("text")).otherwise(F.concat(F.regexp_replace(F.substring("text", 1, 40), " [^ ]*$", ""), F.lit("...")))
+    cut = F.when(F.length("text") <= 400, F.col("text")).otherwise(F.concat(F.regexp_replace(F.substring("text", 1, 400), " [^ ]*$", ""), F.lit("...")))
     block = F.concat(F.lit("["), F.col("turn"), F.lit("] "), F.col("role"), F.lit(": "), cut)
     listed = ordered_list(t.withColumn("block", block), ["conv_id"], "turn", ["block"], "b")
     return listed.select("conv_id", F.array_join("b.block", "\n\n").alias("prompt"))
@@ -193,7 +193,7 @@ SELECT promise, rank, vote_id, bill, position, procedural FROM (SELECT *, row_nu
     "high_water_mark": f"WITH {VOTES_SQL}, m AS (SELECT position, max(vote_id) FILTER (vote_id % 3 = 0) AS mark FROM votes WHERE position <> 'error' GROUP BY 1) SELECT position, count(*) AS fresh, min(vote_id) AS from_id FROM votes LEFT JOIN m USING (position) WHERE vote_id > coalesce(mark, 0) GROUP BY 1",
     "review_queue_json": """WITH u AS (SELECT conv_id, '[' || string_agg('{"turn":' || turn || ',"chars":' || length(text) || '}', ',' ORDER BY turn, length(text)) || ']' AS turns FROM conversations WHERE role = 'user' GROUP BY 1)
 SELECT conv_id, coalesce(turns, '[]') AS turns FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN u USING (conv_id)""",
-    "prompt_render": r"""WITH b AS (SELECT conv_id, turn, '[' || turn || '] ' || role || ': ' || CASE WHEN length(text) <= 40 THEN text ELSE regexp_replace(left(text, 40), ' [^ ]*$', '') || '...' END AS block FROM conversations)
+    "prompt_render": r"""WITH b AS (SELECT conv_id, turn, '[' || turn || '] ' || role || ': ' || CASE WHEN length(text) <= 400 THEN text ELSE regexp_replace(left(text, 400), ' [^ ]*$', '') || '...' END AS block FROM conversations)
 SELECT conv_id, string_agg(block, chr(10) || chr(10) ORDER BY turn, block) AS prompt FROM b GROUP BY 1""",
     "distinct_reasons": f"WITH {VOTES_SQL} SELECT position, count(*) AS rows, count(DISTINCT member) AS members FROM votes GROUP BY 1",
     "review_precision": "SELECT source, count(*) AS reviewed, sum(quality)::BIGINT AS good, round(sum(quality) / count(*), 4) AS precision FROM labels JOIN documents USING (doc_id) GROUP BY 1",
