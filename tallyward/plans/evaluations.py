@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluations as ev
 from ..operators.aggregates import top_n
-from ..operators.evidence import check_claims, route
+from ..operators.evidence import check_claims, contested_block, route
+from ..operators.evidence import distinct_claims as first_claims
 from ..operators.intake import DONOR, counted, individual_transactions
+from ..operators.joins import optional_filter, stale
 from ..operators.merge import merge_keyed, refresh, replace_groups
 from ..operators.text import reject_log, verify_quotes
 from ..sources.readers import read_lines, write_lines
@@ -245,10 +247,31 @@ def site_outcomes(spark, sf_dir):
     return c.groupBy(ev.fetch_outcome(F.col("stored"), F.col("fetched"), F.col("c_mktsegment") != "BUILDING").alias("outcome"), ev.discovery_outcome(F.col("low"), F.col("fetched")).alias("discovery")).agg(F.count("*").alias("sites"))
 
 
+def distinct_claims(spark, sf_dir):
+    """Line items as claims of suppliers: repeats of a claim go, the one with the smallest number stays."""
+    claims = read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("evaluation"), F.col("l_returnflag").alias("kind"), (F.col("l_suppkey") % 10).alias("record"), F.col("l_linestatus").alias("direction"), (F.col("l_partkey") * 100 + F.col("l_linenumber")).alias("n")
+    )
+    return first_claims(claims, "n")
+
+
+def chosen_rows(spark, sf_dir):
+    """Orders by parameters of which one asks for nothing, and whether their stamps are of this version."""
+    rows = optional_filter(read(spark, sf_dir, "orders"), o_orderstatus="F", o_orderpriority=None)
+    return rows.groupBy(stale(rows, {"o_orderpriority": "1-URGENT", "o_orderstatus": "F"}).alias("stale")).agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"))
+
+
+def contested_subjects(spark, sf_dir):
+    """The subject by which each vote's bill may not be judged, by the topic of the promise."""
+    v = votes(spark, sf_dir).join(bills(spark, sf_dir), "bill")
+    topic = F.when(F.col("member") % 3 == 0, " Hardware ").when(F.col("member") % 3 == 1, "other")
+    return v.groupBy(contested_block(F.col("subjects"), topic, CONTESTED | {"widget": []}).alias("block")).agg(F.count("*").alias("votes"), F.count_distinct("member").alias("members"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (eligible_promises, pending_members, evaluation_summary, vote_prompts, stored_evaluations, evidence_inserts, citation_rejects, audit_evidence, audit_demotions, recorded_reviews, held_documents, topic_counts,
-              second_cut, global_top, null_placement, roster, relevant_items, individual_rows, individual_rejects, json_lines, quote_rejects, replaced_promises, extracted_marks, run_log, id_lookups, refreshed_rollups, site_outcomes)
+              second_cut, global_top, null_placement, roster, relevant_items, individual_rows, individual_rejects, json_lines, quote_rejects, replaced_promises, extracted_marks, run_log, id_lookups, refreshed_rollups, site_outcomes, distinct_claims, chosen_rows, contested_subjects)
 }
 
 _E = """ev AS (SELECT o_orderkey AS evaluation, o_custkey AS member, CASE o_orderpriority WHEN '1-URGENT' THEN 'completed' WHEN '2-HIGH' THEN 'in_progress' WHEN '3-MEDIUM' THEN 'broken' WHEN '4-NOT SPECIFIED' THEN 'pending' WHEN '5-LOW' THEN 'unverifiable' END AS status,
@@ -267,6 +290,9 @@ el AS (SELECT evaluation AS promise, member FROM ev WHERE verified AND scoreable
 _I = "i AS (SELECT *, CASE WHEN s_suppkey IS NULL THEN 'no_target' WHEN l_orderkey % 50 = 0 THEN 'bad_amount' END AS reason FROM lineitem LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) ON s_suppkey = l_suppkey LEFT JOIN (SELECT p_partkey FROM part WHERE p_size > 10) ON p_partkey = l_partkey)"
 
 ORACLES = {
+    "distinct_claims": "SELECT l_orderkey AS evaluation, l_returnflag AS kind, l_suppkey % 10 AS record, l_linestatus AS direction, min(l_partkey * 100 + l_linenumber) AS n FROM lineitem GROUP BY ALL",
+    "chosen_rows": "SELECT o_orderpriority <> '1-URGENT' AS stale, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys FROM orders WHERE o_orderstatus = 'F' GROUP BY 1",
+    "contested_subjects": f"WITH {VOTES_SQL}, {BILLS_SQL} SELECT list_sort(list_filter(subjects, lambda s: s = 'widget' OR (s = 'gadget' AND member % 3 <> 0)))[1] AS block, count(*) AS votes, count(DISTINCT member) AS members FROM votes JOIN bills USING (bill) GROUP BY 1",
     "eligible_promises": f"{_ELIGIBLE} SELECT promise, member FROM el",
     "pending_members": f"{_ELIGIBLE} SELECT member, c_name AS name, count(*) AS pending FROM el JOIN customer ON c_custkey = member GROUP BY 1, 2",
     "evaluation_summary": f"""WITH {_E}, {_C}, fine AS (SELECT evaluation FROM cites GROUP BY 1 HAVING bool_and(validated)),

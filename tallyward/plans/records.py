@@ -269,5 +269,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-
 SELECT geoid, rank, CASE WHEN rank <= 2 OR (pop >= 9000 AND rank <= 4) THEN 1 WHEN rank <= 5 OR (pop >= 6000 AND rank <= 15) THEN 2 WHEN rank <= 20 OR (pop >= 2000 AND rank <= 30) THEN 3 ELSE 4 END AS tier FROM r""",
     "population_rows": "SELECT CAST(c_custkey AS VARCHAR) AS geoid, CAST(trunc(c_acctbal) AS BIGINT) AS population FROM customer WHERE c_custkey % 4 <> 0 AND c_custkey % 9 <> 0 AND trunc(c_acctbal) >= 0",
     "label_names": """SELECT n_nationkey, (['Houston', 'Carson City', 'Abanda', 'San Juan', 'Duck Key', 'Bath'])[n_nationkey % 6 + 1] AS place, (['John A Smith', 'Maria De La Cruz', 'Ann O''neil', 'Cher'])[n_nationkey % 4 + 1] AS person FROM nation""",
+    "projected": """WITH p AS (SELECT c_custkey, radians(96.0 - (c_custkey % 60 + 66.0)) AS dl, radians(c_custkey % 25 + 24.0) AS la FROM customer),
+k AS (SELECT (sin(radians(29.5)) + sin(radians(45.5))) / 2 AS n), c AS (SELECT n, cos(radians(29.5)) ** 2 + 2 * n * sin(radians(29.5)) AS c FROM k)
+SELECT c_custkey, round(6370997 * sqrt(c - 2 * n * sin(la)) / n * sin(n * dl), 0) AS x, round(6370997 * (sqrt(c - 2 * n * sin(radians(37.5))) - sqrt(c - 2 * n * sin(la)) * cos(n * dl)) / n, 0) AS y FROM p, c""",
     "points_on_land": "SELECT id FROM (SELECT c_custkey AS id, c_custkey % 150 * 1000.0 - 19750 AS x, floor(c_custkey / 150) * 13000.0 - 8750 AS y FROM customer) WHERE x > 0 AND x < 100000 AND y > 0 AND y < 100000",
 }
