@@ -255,3 +255,46 @@ def test_loser_tree_is_a_merge():
     for k in (0, 1, 2, 3, 5, 8):
         runs = [sorted((rng.randrange(30), rng.random()) for _ in range(rng.randrange(20))) for _ in range(k)]
         assert list(warc.loser_tree(runs)) == sorted((x for r in runs for x in r), key=lambda x: x[0]) or [x[0] for x in warc.loser_tree(runs)] == sorted(x[0] for r in runs for x in r)
+
+
+def test_warc_files_are_bounded_by_bytes(spark, monkeypatch):
+    """Pages from nothing to three megabytes; a file holds FILE_BYTES of payload or one page."""
+    monkeypatch.setattr(warc, "PER_FILE", 100)
+    monkeypatch.setattr(warc, "FILE_BYTES", 200_000)
+    rng = random.Random(4)
+    sizes = [0, 10, 1500, 2000, 2001, 20_000, 33_000, 300_000, 700_000, 3_000_000] * 3
+    rows = [(i, f"http://a.example/{i % 7}", "".join(rng.choices("abcdefgh ", k=100)) * (n // 100) + "x" * (n % 100)) for i, n in enumerate(sizes)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = warc.archive_round_trip(pages).collect()
+    assert {(r.page_id, r.payload_bytes, r.payload_digest) for r in got} == {(i, len(t), hashlib.sha256(t.encode()).hexdigest()) for i, _, t in rows}
+    held = {}
+    for r in got:
+        held.setdefault(r.file, []).append(r.payload_bytes)
+    assert all(sum(x) <= 200_000 or len(x) == 1 for x in held.values())
+
+
+def test_rows_are_kept_apart_at_any_parallelism(spark, tmp_path):
+    """File splits that change between two reads change nothing in what is cleaned and archived."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("bcdfgl") + rng.choice("aeiou") for _ in range(3))
+    item = " ".join(word() for _ in range(20))
+    texts = [" ".join(word() for _ in range(60)) + (f" {item}" if i % 9 == 0 else "") for i in range(150)]
+    rows = [(i % 40, t, f"http://a.example/{i % 5}", texts[i % 30] * 2) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, url string, html string").coalesce(3).write.option("parquet.block.size", 2000).parquet(str(tmp_path / "t"))
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+
+    def results(size, parallel):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", parallel)
+        docs = spark.read.parquet(str(tmp_path / "t"))
+        kept = decontam.clean(docs, items)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        index = warc.archive_round_trip(docs, id_col="doc_id").select("page_id", "payload_digest", "record_type", "refers_to")
+        return sorted(map(str, kept.collect())), sorted(map(str, index.collect()))
+
+    try:
+        few, many = results("4k", 9), results("128m", 1)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert few == many and len(few[0]) == sum(i % 9 > 0 for i in range(150)) and sum("record_type='response'" in x for x in few[1]) == 30
