@@ -61,14 +61,14 @@ def _forest(it):
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for the nodes of `edges` (long) that are not the smallest of their component, which names it.
 
-    Each task turns its links into a forest by union-find. As long as the forests together hold more than FOREST links, a
-    large-star and a small-star step tie the trees of different tasks together (grouped minima and joins on the node, in
-    which adaptive execution splits hot nodes), and union-find runs anew on what they leave; when nothing changes any more,
-    the links are stars. Forests of FOREST links at most are merged by one task. Each round is written to the shared folder.
+    FOREST links at most are turned into a forest by the union-find of one task. As long as there are more, a large-star and a
+    small-star step tie trees together (grouped minima and joins on the node, in which adaptive execution splits hot nodes),
+    and each task's union-find makes a forest of what they leave it; when nothing changes any more, the links are stars. Each
+    round is written to the shared folder.
     Nulls link nothing; loops and repeated links are allowed; no links give no rows.
     """
     clean = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v")))
-    links = materialize(clean.mapInArrow(_forest, "u long, v long"), "forests")
+    links = materialize(clean, "links")
 
     def state(links: DataFrame):
         return links.agg(F.count("*").alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("s"), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)")).alias("x")).first()

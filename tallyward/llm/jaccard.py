@@ -204,7 +204,7 @@ def _similar(rows: DataFrame, n: int, threshold: str) -> DataFrame:
     # one text of each set in them
     needed = shared.select("key").distinct()
     sample = all_sets.where("key is not null").groupBy("key").agg(F.min("row").alias("row")).join(needed, "key")
-    texts = rows.select("row", "text").join(sample, "row").select("key", "text")
+    texts = rows.select("row", "text").join(sample.hint("merge"), "row").select("key", "text")  # a side that grows is not broadcast
     sets = materialize(
         texts.mapInArrow(_fragment_rows(n), "key long, check long, n long, sketch array<long>, parts array<array<long>>"), "fragments"
     )

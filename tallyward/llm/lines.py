@@ -199,7 +199,7 @@ def _verdicts(base: DataFrame, threshold: str) -> DataFrame:
     place = read.select("row", F.explode("keys").alias("key")).join(shared.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("row").alias("row"))
     wanted = place.groupBy("row").agg(F.collect_list("key").alias("wanted"))  # a list per text
     texts = materialize(
-        base.select("row", "text").join(wanted, "row").select("text", "wanted").mapInArrow(_pick, "key long, check long, line string, n long, sketch array<long>"), "texts"
+        base.select("row", "text").join(wanted.hint("merge"), "row").select("text", "wanted").mapInArrow(_pick, "key long, check long, line string, n long, sketch array<long>"), "texts"
     )
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -245,7 +245,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = found.gone.select(F.col("row").alias(row), F.col("dropped").alias(dropped))
     lines = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.array_contains(dropped, i))
     return (
-        base.join(gone, row, "left")
+        base.join(gone.hint("merge"), row, "left")  # it grows with docs: no broadcast
         .withColumn(text_col, F.when(F.col(dropped).isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n")))
         .where(F.col(dropped).isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
         .select(*docs.columns)
