@@ -94,8 +94,27 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op3_topk, op4_secrets, op4_secrets_pieces, op5_line_dedup, op6_decontamination, op7_toxicity, op8_token_counts, op9_language_id, op10_warc)}
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import cluster
 
+    return cluster(_table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, seed="3:")
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .onebit import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import source_divergence
+
+    return source_divergence(_table(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op3_topk, op4_secrets, op4_secrets_pieces, op5_line_dedup, op6_decontamination, op7_toxicity, op8_token_counts, op9_language_id, op10_warc, op11_centroids, op12_nearest, op13_divergence)}
 
 
 def _secrets_sql(by_piece: bool = False) -> str:
@@ -140,6 +159,24 @@ b AS (SELECT doc_id, {', '.join(f"count(*) FILTER (kind = '{x[0]}') AS n_{x[0]}"
 SELECT doc_id, {', '.join(f'coalesce(n_{x[0]}, 0) AS n_{x[0]}' for x in BASE)}, sha256(coalesce(said, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)"""
 
 
+def _centroids_sql() -> str:
+    """Op 11 in DuckDB: every vector against every centroid, ten rounds one after another."""
+    said, last = [], "start"
+    for i in range(11):
+        said.append(f"""far{i} AS MATERIALIZED (SELECT row, arg_min(cluster, d) AS cluster, min(d).d AS distance FROM (SELECT v.row, c.cluster, {{'d': list_sum(list_transform(range(1, 65), lambda j: (v.e[j] - c.c[j]) * (v.e[j] - c.c[j])))::BIGINT, 'c': c.cluster}} AS d FROM v, {last} c) GROUP BY row)""")
+        if i < 10:
+            said.append(f"""mean{i} AS (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY j)::BIGINT[] AS c FROM (SELECT cluster, j, sum(x) AS s, count(*) AS n FROM
+  (SELECT cluster, unnest(range(1, 65)) AS j, unnest(e) AS x FROM far{i} JOIN v USING (row)) GROUP BY cluster, j) GROUP BY cluster),
+round{i} AS MATERIALIZED (SELECT cluster, coalesce(m.c, o.c) AS c FROM {last} o LEFT JOIN mean{i} m USING (cluster))""")
+            last = f"round{i}"
+    return f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+start AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, e) - 1)::INT AS cluster, e AS c FROM v QUALIFY cluster < 8),
+{','.join(said)}
+SELECT vec_id, cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256 FROM far10 JOIN v USING (row) JOIN {last} USING (cluster)"""
+
+
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLES = {
@@ -159,6 +196,36 @@ f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
 SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest,
   CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to FROM f
+""",
+    "op11_centroids": _centroids_sql(),
+    # every candidate; products of floats are exact in double precision, and sums run in the order of the components
+    "op12_nearest": """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x <> 0)) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * coalesce(c.e[i], 0)), lambda a, b: a + b) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+""",
+    # every kept term of every pair of groups
+    "op13_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT row, lang, source, unnest(ws) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+t AS (SELECT lang, source, sum(c.n) AS total FROM c JOIN kept USING (lang, term) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000 * (coalesce(c.n, 0) + 5)::HUGEINT) // (coalesce(t.total, 0) + 5 * l.v)::HUGEINT AS p, 1 + (1000000000 * (k.n + 5)::HUGEINT) // (l.total + 5 * l.v)::HUGEINT AS q
+  FROM g JOIN kept k USING (lang) JOIN l USING (lang) LEFT JOIN t USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM pair
+UNION ALL SELECT *, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM term QUALIFY rank <= 50
 """,
     # every pair that shares a shingle, then the transitive closure
     "op2_jaccard_join": rf"""
