@@ -27,6 +27,7 @@ SCRATCHPAD = (
     r"(?i)(wait,|let me re-?check|let me re-?evaluate|let'?s say|on second thought|I need to reconsider|re-?reading:|hmm\b|actually,\s+(?:I|let))"
 )
 MAX_PROSE = 1200
+CLAIM = ("evaluation", "kind", "record", "direction")
 
 
 def direction(position: Column, effect: Column) -> Column:
@@ -47,17 +48,28 @@ def contested_block(subjects: Column, topic: Column, rules: dict[str, list[str]]
 
 def distinct_claims(claims: DataFrame, order: str) -> DataFrame:
     """Claims without repeats of (evaluation, kind, record, direction); the first by `order` stays."""
-    w = Window.partitionBy("evaluation", "kind", "record", "direction").orderBy(order)
+    w = Window.partitionBy(*CLAIM).orderBy(order)
     return claims.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
+def without_repeats(claims: DataFrame) -> DataFrame:
+    """One row of each (evaluation, kind, record, direction), the least by its other columns, whatever the order of the rows."""
+    rest = [c for c in claims.columns if c not in CLAIM]
+    if not rest:
+        return claims.distinct()
+    first = claims.groupBy(*CLAIM).agg(F.min(F.struct(*rest)).alias("__first"))
+    return first.select(*[F.col(c) if c in CLAIM else F.col(f"__first.{c}").alias(c) for c in claims.columns])
+
+
 def check_claims(claims: DataFrame, facts: DataFrame, offered: DataFrame | None = None, contested: dict[str, list[str]] = CONTESTED) -> DataFrame:
     """claims with reason (ok or the first rule broken) and accepted.
 
     claims: evaluation, member, topic, kind, record, direction, claimed. facts: record, member, position, omnibus,
     procedural, subjects. offered (evaluation, record): what the model was shown; None leaves that check out, as a later
-    audit does, and with it the claimed position.
+    audit does, and with it the claimed position. Repeats of a citation count once: a vote that is cited three times is no
+    three pieces of evidence.
     """
+    claims = without_repeats(claims)
     f = facts.select("record", F.col("member").alias("f_member"), F.col("position").alias("f_position"), "omnibus", "procedural", F.col("subjects").alias("f_subjects"), F.lit(True).alias("f_known"))
     df = claims.join(f, "record", "left")
     d, kind = F.col("direction"), F.col("kind")
@@ -113,10 +125,32 @@ def route(checks: DataFrame, storable: tuple[str, ...] = ("ok", "omnibus_not_con
     return checks.withColumn("target", F.when((F.col("kind") == "vote") & F.col("reason").isin(*storable), "evidence").otherwise("rejects"))
 
 
-def revalidate(evidence: DataFrame, facts: DataFrame) -> DataFrame:
-    """Stored evidence (with validated) against today's facts; checks only tighten: flipped where it was valid and is not."""
-    checked = check_claims(evidence.drop("validated"), facts).join(evidence.select("evaluation", "kind", "record", "direction", "validated"), ["evaluation", "kind", "record", "direction"])
-    return checked.withColumn("flipped", F.coalesce("validated", F.lit(False)) & ~F.col("accepted")).withColumn("valid", F.coalesce("validated", F.lit(False)) & F.col("accepted"))
+def revalidate(evidence: DataFrame, facts: DataFrame, contested: dict[str, list[str]] = CONTESTED) -> DataFrame:
+    """Stored evidence (with validated) against today's facts; checks only tighten: flipped where it was valid and is not.
+    Stored repeats count once (without_repeats)."""
+    was = F.coalesce("validated", F.lit(False))
+    checked = check_claims(evidence.withColumn("validated", was), facts, contested=contested)
+    return checked.withColumn("flipped", was & ~F.col("accepted")).withColumn("valid", was & F.col("accepted"))
+
+
+def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Keys whose rows differ between two versions of a table, were added or went. Rows are compared by a digest of all
+    columns in the order of their names; of repeated keys the digests are summed."""
+    columns = sorted(c for c in new.columns if c != key)
+    digest = F.sum(F.xxhash64(*[F.to_json(F.struct(c)) for c in columns]).cast("decimal(20, 0)")).alias("digest")
+    o, n = (df.groupBy(key).agg(digest) for df in (old, new))
+    both = o.withColumnRenamed("digest", "before").join(n.withColumnRenamed("digest", "after"), key, "full_outer")
+    return both.where(~F.col("before").eqNullSafe(F.col("after"))).select(key)
+
+
+def revalidate_changed(evidence: DataFrame, before: DataFrame, old: DataFrame, new: DataFrame, contested: dict[str, list[str]] = CONTESTED) -> tuple[DataFrame, DataFrame]:
+    """(evidence as revalidate(evidence, new) gives it, evaluations that were touched), from `before`, which is
+    revalidate(evidence, old): only evidence whose record changed between the two versions of the facts is checked again."""
+    changed = changed_keys(old, new, "record")
+    only = lambda df, how: df.join(changed, "record", how).select(*df.columns)
+    again = revalidate(only(evidence, "left_semi"), only(new, "left_semi"), contested)
+    rest = only(before, "left_anti")
+    return rest.unionByName(again), again.select("evaluation").distinct()
 
 
 def exportable_promises(promises: DataFrame, junk: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ Structural rules come first; a quote with a commitment passes all frame rules. T
 from __future__ import annotations
 
 from collections.abc import Collection
+from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VERSION = "gate_v2"
@@ -69,6 +70,11 @@ HOPE = (
 STRUCTURAL = ("fragment", "reported_speech", "past_action", "constituent_casework")
 FRAME = ("candidacy_motivation", "campaign_bio", "ongoing_activity", "third_party_belief", "normative_claim", "hedged_opinion", "aspirational_hope")
 RULES = STRUCTURAL + FRAME
+# Bits of a quote's hits, in the order of the ladder: no text at all, structural rules, the commitment that saves a quote, frame rules,
+# and last the phrase list, which is no part of the gate.
+LADDER = ("empty", *STRUCTURAL, "commitment", *FRAME, "phrase")
+BIT = {name: 1 << i for i, name in enumerate(LADDER)}
+EVERY = (1 << len(LADDER)) - 1
 
 
 def matches(t: Column, pattern: str) -> Column:
@@ -111,6 +117,56 @@ def screen(quote: Column, disabled: Collection[str] = (), escape: bool = True) -
     return F.struct((reason == "kept").alias("keep"), reason.alias("reason"))
 
 
+def hits(quote: Column, phrases: Collection[str] = ()) -> Column:
+    """What fires on a quote, as a mask of BIT: each pattern is tried once, whatever the number of procedures judged by it."""
+    t = F.regexp_replace(F.coalesce(quote, F.lit("")), r"(?U)^\s+|\s+\z", "")
+    fired = {"empty": t == "", "commitment": commitment(t), **{r: rule(r, t) for r in RULES}}
+    if phrases:
+        fired["phrase"] = ~phrase_list(quote, phrases)
+    return reduce(Column.bitwiseOR, [F.when(c, F.lit(BIT[n])).otherwise(F.lit(0)) for n, c in fired.items()])
+
+
+def judged(mask: Column, off: Column) -> Column:
+    """The reason for a mask of hits without the bits in `off`: the lowest bit that is left names it."""
+    left = mask.bitwiseAND(F.bitwise_not(off))
+    lowest = left.bitwiseAND(-left)
+    said = F.array(*[F.lit({"empty": "fragment", "commitment": "kept"}.get(n, n)) for n in LADDER])
+    return F.when(left == 0, "kept").otherwise(F.get(said, F.length(F.bin(lowest.cast("long"))) - 1))
+
+
+def procedures() -> dict[str, int]:
+    """Name -> bits that it leaves out: all kept, the gate, the gate without escape, the phrase list, each rule alone, each left out."""
+    bits = lambda *names: sum(BIT[n] for n in names)
+    gate = bits("phrase")
+    out = {"keep_all": EVERY, "gate": gate, "gate_no_escape": gate | bits("commitment"), "phrases": EVERY & ~bits("phrase")}
+    out |= {f"only_{r}": gate | bits(*RULES) & ~bits(r) for r in RULES}
+    return out | {f"without_{r}": gate | bits(r) for r in RULES}
+
+
+def sweep(rows: DataFrame, mask: str, truth: str, configurations: dict[str, int] | None = None, by: list[str] | None = None) -> DataFrame:
+    """Confusion counts, precision and retention of any number of procedures over rows with a mask of hits(), and `truth`, whether
+    a row should be kept. Rows are counted by mask and truth first, so a procedure costs a look at the distinct masks."""
+    by, table = by or [], procedures() if configurations is None else configurations
+    few = rows.groupBy(*by, F.col(mask).alias("mask"), F.col(truth).alias("truth")).agg(F.count("*").alias("n"))
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("procedure"), F.lit(off).alias("off")) for n, off in table.items()]))
+    tried = few.withColumn("p", each).withColumns({"procedure": F.col("p.procedure"), "keep": judged(F.col("mask"), F.col("p.off")) == "kept"})
+    n = lambda keep, true: F.coalesce(F.sum(F.when((F.col("keep") == keep) & (F.col("truth") == true), F.col("n"))), F.lit(0))
+    out = tried.groupBy(*by, "procedure").agg(n(True, True).alias("tp"), n(True, False).alias("fp"), n(False, True).alias("fn"), n(False, False).alias("tn"))
+    share = lambda a, b: F.round(F.when(F.col(a) + F.col(b) > 0, F.col(a) / (F.col(a) + F.col(b))), 4)
+    return out.withColumns({"precision": share("tp", "fp"), "retention": share("tp", "fn")})
+
+
+def unscreened(rows: DataFrame, stamp: str, version: str = VERSION) -> DataFrame:
+    """Rows whose stored version is not this one; null counts as never screened."""
+    return rows.where(~F.col(stamp).eqNullSafe(F.lit(version)))
+
+
+def run(rows: DataFrame, quote: str, stamp: str, version: str = VERSION) -> DataFrame:
+    """The rows not screened at this version yet, with keep, reason and the version."""
+    got = unscreened(rows, stamp, version).withColumn("__g", screen(F.col(quote)))
+    return got.withColumns({"keep": F.col("__g.keep"), "reason": F.col("__g.reason"), stamp: F.lit(version)}).drop("__g")
+
+
 def phrase_list(quote: Column, phrases: Collection[str]) -> Column:
     """The naive procedure: any of the phrases drops the quote, wherever it stands."""
     t = F.lower(F.coalesce(quote, F.lit("")))

@@ -20,15 +20,20 @@ def committees(raw: DataFrame) -> DataFrame:
     )
 
 
+def one_owner(owners: DataFrame, key: str, *rest: str) -> DataFrame:
+    """One row a key: its lowest owner, by the columns in their order. Null keys go."""
+    return owners.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("o")).select(key, "o.*")
+
+
 def transactions(raw: DataFrame, targets: DataFrame, known: DataFrame, independent: tuple[str, ...] = ("24A", "24E")) -> tuple[DataFrame, DataFrame]:
     """(transactions, rejects with reason) of raw rows of text.
 
     raw: sub_id, cmte_id, other_id, cand_id, kind, amount, day (MMDDYYYY), name. targets: cand_id, candidacy. Rows of other
-    candidates are no_target, unreadable amounts bad_amount. Contributors that no committee is known by become null, and so
+    candidates are no_target, unreadable amounts bad_amount; of several candidacies the lowest counts (one_owner). Contributors that no committee is known by become null, and so
     does the recipient of an independent expenditure, which its target never receives.
     """
     k = known.select(F.col("cmte_id").alias("cmte_id"), F.lit(True).alias("known")).distinct()
-    df = raw.join(targets.select("cand_id", "candidacy"), "cand_id", "left").join(k, "cmte_id", "left")
+    df = raw.join(one_owner(targets, "cand_id", "candidacy"), "cand_id", "left").join(k, "cmte_id", "left")
     df = df.withColumns({"value": money(F.col("amount")), "date": month_day_year(F.col("day"))})
     df = df.withColumn("reason", F.when(F.col("candidacy").isNull(), "no_target").when(F.col("value").isNull(), "bad_amount"))
     good = df.where("reason is null").select(
@@ -46,11 +51,12 @@ def individual_transactions(raw: DataFrame, committee_map: DataFrame, known: Dat
     """(transactions, rejects with reason) of individuals' gifts to the committees of candidates.
 
     raw: sub_id, cmte_id (who received it), other_id (who passed it on), kind, amount, day (MMDDYYYY) and DONOR, all text.
-    committee_map: cmte_id, cand_id, candidacy. Gifts to other committees are no_target, unreadable amounts bad_amount. A
+    committee_map: cmte_id, cand_id, candidacy; of a committee's several candidates the lowest counts, so that no gift counts
+    twice, and aggregates.key_collisions reports them. Gifts to other committees are no_target, unreadable amounts bad_amount. A
     conduit that no committee (known: cmte_id) is known by becomes null; the donor is never a committee.
     """
     k = known.select(F.col("cmte_id").alias("other"), F.lit(True).alias("known")).distinct()
-    to = committee_map.select(F.col("cmte_id").alias("recipient_id"), "cand_id", "candidacy")
+    to = one_owner(committee_map.select(F.col("cmte_id").alias("recipient_id"), "cand_id", "candidacy"), "recipient_id", "cand_id", "candidacy")
     df = raw.withColumns({"recipient_id": F.trim("cmte_id"), "other": F.trim("other_id"), "value": money(F.col("amount")), "date": month_day_year(F.col("day"))})
     df = df.join(to, "recipient_id", "left").join(k, "other", "left")
     df = df.withColumn("reason", F.when(F.col("cand_id").isNull(), "no_target").when(F.col("value").isNull(), "bad_amount"))

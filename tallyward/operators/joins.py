@@ -35,19 +35,43 @@ def topic_bills(filters: DataFrame, bills: DataFrame) -> DataFrame:
     return held.join(terms, "term").select("topic", "bill").distinct()
 
 
+def _level(start: Column, end: Column) -> Column:
+    """The smallest l with 2**l at least the span's length."""
+    return F.length(F.bin(F.greatest(end - start, F.lit(1)).cast("long") - 1)) - F.when(end - start <= 1, 1).otherwise(0)
+
+
 def overlapping(a: DataFrame, b: DataFrame, key: str, share: float = 0.5) -> DataFrame:
     """Pairs of spans (start, end) of one key that overlap by at least `share` of the shorter one: key, a_id, b_id, chars.
 
-    a and b: key, id, start, end. Both sides are cut into cells of the longest span's length class, so that a key with many
-    spans costs its near pairs only.
+    a and b: key, id, start, end. Cells are 2**level long. A span lies in two cells at most of its own level, the smallest
+    whose cells are no shorter than it is. A pair meets at the level of its longer span, in the first cell that both touch:
+    so each span is a row for its own cells, and looks into two cells at most of each level from its own on that the other
+    side has. Spans of any length cost a few tens of rows; empty and null spans overlap with nothing.
     """
-    size = 256
-    cells = lambda d, s: d.select(key, *[F.col(c).alias(f"{s}_{c}") for c in ("id", "start", "end")]).withColumn("cell", F.explode(F.sequence(F.floor(F.col(f"{s}_start") / size), F.floor((F.greatest(F.col(f"{s}_end"), F.col(f"{s}_start") + 1) - 1) / size))))
+    def cells(df: DataFrame, side: str) -> DataFrame:
+        return df.withColumn("cell", F.explode(F.sequence(F.expr(f"shiftright({side}_start, level)"), F.expr(f"shiftright({side}_end - 1, level)"))))
+
+    spans, levels = {}, {}
+    for side, df in (("a", a), ("b", b)):
+        lo, hi = F.col("start").cast("long"), F.col("end").cast("long")
+        df = df.where(lo < hi).select(key, F.col("id").alias(f"{side}_id"), lo.alias(f"{side}_start"), hi.alias(f"{side}_end"), _level(lo, hi).alias(f"{side}_level"))
+        spans[side] = df
+        levels[side] = sorted(r[0] for r in df.select(f"{side}_level").distinct().collect())  # 63 at most
+
+    def met(own: str, guest: str, equal: bool) -> DataFrame:
+        """own's cells at its level, and guest's at that level: guest is no longer (equal) or shorter."""
+        at = F.array(*[F.lit(x) for x in levels[own]]) if levels[own] else F.array().cast("array<int>")
+        home = cells(spans[own].withColumn("level", F.col(f"{own}_level")), own)
+        fits = (lambda x: x >= F.col(f"{guest}_level")) if equal else (lambda x: x > F.col(f"{guest}_level"))
+        visits = cells(spans[guest].withColumn("level", F.explode(F.filter(at, fits))), guest)
+        return home.join(visits, [key, "level", "cell"])
+
     chars = F.least("a_end", "b_end") - F.greatest("a_start", "b_start")
     shorter = F.least(F.col("a_end") - F.col("a_start"), F.col("b_end") - F.col("b_start"))
-    # a pair is taken in the first cell that both touch
-    first = F.col("cell") == F.floor(F.greatest("a_start", "b_start") / size)
-    return cells(a, "a").join(cells(b, "b"), [key, "cell"]).where(first & (chars > 0) & (chars >= shorter * share)).select(key, "a_id", "b_id", chars.alias("chars"))
+    first = F.col("cell") == F.expr("shiftright(greatest(a_start, b_start), level)")
+    columns = [key, "a_id", "b_id", chars.alias("chars")]
+    both = [met("a", "b", True), met("b", "a", False)]
+    return both[0].where(first & (chars > 0) & (chars >= shorter * share)).select(columns).unionByName(both[1].where(first & (chars > 0) & (chars >= shorter * share)).select(columns))
 
 
 def span_outcomes(found: DataFrame, gold: DataFrame, key: str, share: float, wanted: str = "wanted") -> DataFrame:

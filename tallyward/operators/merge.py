@@ -89,17 +89,25 @@ def appended_only(old: DataFrame, new: DataFrame, key: str, may_change: list[str
 def refresh(tables: dict[str, DataFrame], path: str) -> DataFrame:
     """Compute rollups anew and put each in its table's place below path; (table, rows) of what stands there now.
 
-    A table may be read while it is computed: each is written beside its place, and all are moved when all are written.
+    A table may be read while it is computed: each is written beside its place, and all are moved when all are written. The
+    table before is moved aside first and stays at _last until the new one is in its place.
     """
     spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{path}/_next/{name}")
     counts = []
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
     for name in tables:
-        new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}/_next/{name}", f"{path}/{name}"))
+        new, old, aside = path_of(f"{path}/_next/{name}"), path_of(f"{path}/{name}"), path_of(f"{path}/_last/{name}")
         files = new.getFileSystem(spark._jsc.hadoopConfiguration())
-        files.delete(old, True)
+        files.mkdirs(aside.getParent())
+        if files.exists(old):
+            files.delete(aside, True)
+            if not files.rename(old, aside):
+                raise OSError(f"{name} could not be moved aside below {path}")
         if not files.rename(new, old):
+            files.rename(aside, old)
             raise OSError(f"{name} could not be moved into its place below {path}")
+        files.delete(aside, True)
         counts.append(spark.read.parquet(f"{path}/{name}").agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows"))
     return reduce(DataFrame.unionByName, counts)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluations as ev
 from ..operators.aggregates import top_n
-from ..operators.evidence import check_claims, contested_block, route
+from ..operators.evidence import check_claims, contested_block, revalidate, revalidate_changed, route
 from ..operators.evidence import distinct_claims as first_claims
 from ..operators.intake import DONOR, counted, individual_transactions
 from ..operators.joins import optional_filter, stale
@@ -109,6 +109,18 @@ def audit_demotions(spark, sf_dir):
     return after.groupBy("status").agg(F.count("*").alias("evaluations"), F.count_if("demoted").alias("demoted"), F.count_if("is_current").alias("current"))
 
 
+def audit_changed(spark, sf_dir):
+    """The audit of stored evidence after some facts changed, some went and some came, from the audit before: only evidence of
+    those records is checked again."""
+    path = shared_folder(spark, "audit")
+    evidence, new = _evidence(spark, sf_dir), _facts(spark, sf_dir)
+    k = F.col("record")
+    old = new.where(k % 31 != 0).withColumn("procedural", F.when(k % 17 == 0, ~F.col("procedural")).otherwise(F.col("procedural"))).unionByName(new.where(k % 31 == 0).withColumn("record", -k))
+    revalidate(evidence, old, CONTESTED).write.parquet(f"{path}/before")
+    after, _ = revalidate_changed(evidence, spark.read.parquet(f"{path}/before"), old, new, CONTESTED)
+    return after.groupBy("reason").agg(F.count("*").alias("rows"), F.count_if("valid").alias("valid"), F.count_if("flipped").alias("flipped"), F.count_distinct("evaluation").alias("evaluations"))
+
+
 def recorded_reviews(spark, sf_dir):
     reviews = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("evaluation")).agg(F.min("l_suppkey").cast("string").alias("reviewer"), (F.max("l_quantity") < 45).alias("approved"))
     after = ev.record_reviews(_evaluations(spark, sf_dir), reviews)
@@ -270,7 +282,7 @@ def contested_subjects(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (eligible_promises, pending_members, evaluation_summary, vote_prompts, stored_evaluations, evidence_inserts, citation_rejects, audit_evidence, audit_demotions, recorded_reviews, held_documents, topic_counts,
+    for f in (eligible_promises, pending_members, evaluation_summary, vote_prompts, stored_evaluations, evidence_inserts, citation_rejects, audit_evidence, audit_demotions, audit_changed, recorded_reviews, held_documents, topic_counts,
               second_cut, global_top, null_placement, roster, relevant_items, individual_rows, individual_rejects, json_lines, quote_rejects, replaced_promises, extracted_marks, run_log, id_lookups, refreshed_rollups, site_outcomes, distinct_claims, chosen_rows, contested_subjects)
 }
 
@@ -279,9 +291,10 @@ _E = """ev AS (SELECT o_orderkey AS evaluation, o_custkey AS member, CASE o_orde
   CASE WHEN o_custkey % 4 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) % 100 END AS score, o_orderstatus <> 'P' AS verified, o_orderpriority <> '5-LOW' AS scoreable, CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_totalprice > 50000 END AS gate_keep FROM orders)"""
 _C = f"""{VOTES_SQL}, {BILLS_SQL}, cites AS (SELECT l_orderkey AS evaluation, CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'donation' ELSE 'vote' END AS kind, l_partkey AS record, l_linenumber = 2 AS hardware, l_suppkey % 5 = 0 AS other,
   CASE WHEN l_linestatus = 'O' THEN 'supports' WHEN l_linenumber % 2 = 1 THEN 'contradicts' ELSE 'contextual' END AS direction, l_discount < 0.05 AS validated FROM lineitem),
+firsts AS (SELECT * FROM cites QUALIFY row_number() OVER (PARTITION BY evaluation, kind, record, direction ORDER BY other, hardware DESC, validated) = 1),
 checks AS (SELECT evaluation, kind, record, direction, validated, CASE WHEN kind = 'donation' AND direction <> 'contextual' THEN 'donation_not_contextual' WHEN kind = 'donation' THEN 'kind_not_validatable_yet' WHEN vote_id IS NULL THEN 'unknown_record'
   WHEN other THEN 'wrong_politician' WHEN position = 'error' AND direction <> 'contextual' THEN 'procedural_not_contextual' WHEN direction <> 'contextual' AND list_contains(subjects, 'gadget') AND NOT hardware THEN 'contested_subject_not_contextual' ELSE 'ok' END AS reason
-  FROM cites LEFT JOIN votes ON vote_id = record LEFT JOIN bills USING (bill)),
+  FROM firsts LEFT JOIN votes ON vote_id = record LEFT JOIN bills USING (bill)),
 sums AS (SELECT evaluation, count(*) AS cited, count(*) FILTER (reason = 'ok') AS good, count(*) FILTER (reason = 'ok' AND direction = 'supports') AS s, count(*) FILTER (reason = 'ok' AND direction = 'contradicts') AS c FROM checks GROUP BY 1),
 verdicts AS (SELECT ev.*, coalesce(cited, 0) AS cited, coalesce(good, 0) AS good, CASE WHEN status IN ('pending', 'unverifiable') THEN coalesce(cited, 0) = 0 WHEN coalesce(good, 0) = 0 THEN false WHEN status = 'broken' THEN c > 0 ELSE s > 0 END AS sound FROM ev LEFT JOIN sums USING (evaluation))"""
 _ELIGIBLE = f"""WITH {_E}, {VOTES_SQL}, out AS (SELECT l_orderkey FROM lineitem WHERE (l_returnflag = 'A' AND l_linenumber = 1) OR (l_returnflag = 'R' AND l_linenumber = 2)),
@@ -290,6 +303,7 @@ el AS (SELECT evaluation AS promise, member FROM ev WHERE verified AND scoreable
 _I = "i AS (SELECT *, CASE WHEN s_suppkey IS NULL THEN 'no_target' WHEN l_orderkey % 50 = 0 THEN 'bad_amount' END AS reason FROM lineitem LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) ON s_suppkey = l_suppkey LEFT JOIN (SELECT p_partkey FROM part WHERE p_size > 10) ON p_partkey = l_partkey)"
 
 ORACLES = {
+    "audit_changed": f"WITH {_E}, {_C} SELECT reason, count(*) AS rows, count(*) FILTER (validated AND reason = 'ok') AS valid, count(*) FILTER (validated AND reason <> 'ok') AS flipped, count(DISTINCT evaluation) AS evaluations FROM checks GROUP BY 1",
     "distinct_claims": "SELECT l_orderkey AS evaluation, l_returnflag AS kind, l_suppkey % 10 AS record, l_linestatus AS direction, min(l_partkey * 100 + l_linenumber) AS n FROM lineitem GROUP BY ALL",
     "chosen_rows": "SELECT o_orderpriority <> '1-URGENT' AS stale, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys FROM orders WHERE o_orderstatus = 'F' GROUP BY 1",
     "contested_subjects": f"WITH {VOTES_SQL}, {BILLS_SQL} SELECT list_sort(list_filter(subjects, lambda s: s = 'widget' OR (s = 'gadget' AND member % 3 <> 0)))[1] AS block, count(*) AS votes, count(DISTINCT member) AS members FROM votes JOIN bills USING (bill) GROUP BY 1",

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import display_name
 from ..operators import places as pl
 from ..operators.identity import decide_links, pair_ids
+from ..operators.joins import overlapping
 from ..operators.merge import appended_only, current_only_one, insert_if_absent, merge_keyed, repoint
 from ..operators.quality import publish_gate
 from ..sources.readers import bill_rows, finance_totals, gazetteer, import_verdicts, roll_call_members, senate_members
 from ..sources.snapshot import manifest, pack_columns, split_dimension
 from ..streaming.loads import above_mark, amend, replay, windowed_counts
+from ..streaming.state import above_marks, new_payloads, run
 from .tables import VOTES_SQL, read, shared_folder, votes
 
 
@@ -104,6 +107,48 @@ def stream_replay(spark, sf_dir):
     return replay(spark, source, f"{path}/table", amend(["user_id", "event_type"], {}, ["event_id"]), ["user_id", "event_type"])
 
 
+def stream_marks(spark, sf_dir):
+    """Events as files of roll calls, by kind: what is above the stored marks is loaded once. The stream is run twice, and the
+    second time finds new events, an old file again, and late rows below the mark."""
+    path = shared_folder(spark, "marks")
+    e = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    stored = e.where("event_id % 3 = 0 and event_type != 'error'").groupBy("event_type").agg((F.max("event_id") / 2).cast("long").alias("event_id"))
+    half = e.agg(F.max("event_id")).first()[0] * 3 // 4
+    first = e.where(F.col("event_id") <= half)
+    first.write.parquet(f"{path}/in")
+    source = lambda: spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 4).parquet(f"{path}/in")
+    loads = lambda: run(above_marks(source(), ["event_type"], "event_id", stored), f"{path}/loaded")
+    loads()
+    late = first.where("event_id % 5 = 0").withColumn("user_id", F.lit(-1).cast(e.schema["user_id"].dataType))
+    e.where(F.col("event_id") > half).unionByName(late).unionByName(first).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    return loads()
+
+
+def stream_payloads(spark, sf_dir):
+    """Turns of talks as payloads that come twice, in two runs of a stream; of each kind and content one is stored."""
+    path = shared_folder(spark, "payloads")
+    t = read(spark, sf_dir, "conversations").select("role", F.coalesce("text", F.lit("")).alias("text"), F.timestamp_seconds(F.col("turn") * 60).alias("at"))
+    new = lambda: run(new_payloads(spark.readStream.schema(t.schema).parquet(f"{path}/in"), "role", "text", "at", "30 days"), f"{path}/kept")
+    t.write.parquet(f"{path}/in")
+    new()
+    t.withColumn("at", F.col("at") + F.expr("interval 1 hour")).write.mode("append").parquet(f"{path}/in")
+    return new().select("role", "content_hash", F.length("text").alias("chars"))
+
+
+def span_nesting(spark, sf_dir):
+    """Spans of every length in each document: the whole text, its halves, and pieces of 1,000, 100 and 7 characters, against the
+    lines; counted by how long the line is."""
+    d = read(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(F.length("text"), F.lit(0)).alias("n")).where("n > 0")
+    size = F.explode(F.array(F.col("n"), F.floor((F.col("n") + 1) / 2).cast("int"), *[F.lit(x) for x in (1000, 100, 7)])).alias("size")
+    a = d.select("doc_id", "n", size).distinct().select("doc_id", "n", "size", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.col("size"))).alias("start"))
+    a = a.select("doc_id", F.struct("size", "start").alias("id"), "start", F.least(F.col("start") + F.col("size"), "n").alias("end"))
+    lines = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("no", "line")).withColumn("size", F.length("line") + 1)
+    before = F.sum("size").over(Window.partitionBy("doc_id").orderBy("no")) - F.col("size")
+    b = lines.select("doc_id", F.col("no").alias("id"), before.cast("int").alias("start"), (before + F.length("line")).cast("int").alias("end"))
+    hits = overlapping(a, b, "doc_id", 0.5)
+    return hits.groupBy("doc_id").agg(F.count("*").alias("pairs"), F.sum("chars").alias("chars"), F.count_distinct("b_id").alias("lines"))
+
+
 def daily_windows(spark, sf_dir):
     w = windowed_counts(read(spark, sf_dir, "events"), "ts", "event_type")
     return w.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
@@ -155,11 +200,6 @@ def xml_votes(spark, sf_dir):
     return _xml_votes(read(spark, sf_dir, "orders"))
 
 
-def xml_votes_all(spark, sf_dir):
-    """The same, by its former name."""
-    return _xml_votes(read(spark, sf_dir, "orders"))
-
-
 def _xml_votes(o):
     xml = F.concat(F.lit("<roll_call_vote><congress>118</congress><session>1</session><vote_number> 00"), F.col("o_orderkey").cast("string"), F.lit("</vote_number><vote_date>February 3, 2024,  02:15 PM</vote_date><members><member><last_name>A</last_name><lis_member_id> S"), F.col("o_custkey").cast("string"), F.lit(" </lis_member_id><vote_cast>Yea</vote_cast></member><member><last_name>B</last_name><lis_member_id>S0</lis_member_id><vote_cast>Not Voting</vote_cast></member></members></roll_call_vote>"))
     got = senate_members(o.select(xml.alias("payload")))
@@ -184,14 +224,12 @@ def population_rows(spark, sf_dir):
     return gazetteer(rows, "1600000US")
 
 
-NAMES = ["Houston city", "Carson City city", "Abanda CDP", "San Juan zona urbana", "Duck Key", "Bath town"]
-FILED = ["SMITH, JOHN A MR", "DE LA CRUZ, MARIA", "O'NEIL, DR. ANN", "CHER"]
-
-
 def label_names(spark, sf_dir):
-    n = read(spark, sf_dir, "nation").select("n_nationkey")
-    pick = lambda xs: F.get(F.array(*[F.lit(x) for x in xs]), (F.col("n_nationkey") % len(xs)).cast("int"))
-    return n.select("n_nationkey", pl.bare_name(pick(NAMES)).alias("place"), display_name(pick(FILED)).alias("person"))
+    """Parts as places with a legal suffix, and as people by the name that they filed under."""
+    p = read(spark, sf_dir, "part")
+    suffix = F.get(F.array(*[F.lit(x) for x in pl.SUFFIXES]), (F.col("p_partkey") % len(pl.SUFFIXES)).cast("int"))
+    filed = F.concat(F.upper(F.split_part("p_name", F.lit(" "), F.lit(1))), F.lit(", "), F.upper(F.split_part("p_name", F.lit(" "), F.lit(2))), F.when(F.col("p_partkey") % 3 == 0, " MR").otherwise(""))
+    return p.select("p_partkey", pl.bare_name(F.concat("p_name", F.lit(" "), suffix)).alias("place"), display_name(filed).alias("person"))
 
 
 def _squares(spark):
@@ -226,7 +264,7 @@ def projected(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (merge_policies, amendments, absent_inserts, identity_pairs, identity_ladder, repointed_donations, current_rows, append_only_check, publish_check, fresh_roll_calls,
-              stream_replay, daily_windows, packed_columns, thin_facts, snapshot_manifest, json_votes, json_bills, json_totals, xml_votes, xml_votes_all, triage_import, place_tiers, population_rows,
+              stream_replay, stream_marks, stream_payloads, span_nesting, daily_windows, packed_columns, thin_facts, snapshot_manifest, json_votes, json_bills, json_totals, xml_votes, triage_import, place_tiers, population_rows,
               label_names, points_on_land, anchored_labels, projected)
 }
 
@@ -256,6 +294,15 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-
     "publish_check": "SELECT count(*) AS rows, count(*) FILTER (quality IS NULL) AS backlog, count(*) FILTER (quality IS NULL) = 0 AS may_publish FROM documents LEFT JOIN labels USING (doc_id)",
     "fresh_roll_calls": f"WITH {VOTES_SQL}, m AS (SELECT position, max(vote_id) AS mark FROM votes WHERE vote_id % 3 = 0 AND position <> 'error' GROUP BY 1) SELECT position, count(*) AS rows FROM votes LEFT JOIN m USING (position) WHERE vote_id > coalesce(mark, 0) GROUP BY 1",
     "stream_replay": "SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS k FROM events) WHERE k = 1",
+    "stream_marks": """WITH m AS (SELECT event_type, CAST(trunc(max(event_id) / 2) AS BIGINT) AS mark FROM events WHERE event_id % 3 = 0 AND event_type <> 'error' GROUP BY 1)
+SELECT event_id, user_id, event_type FROM events LEFT JOIN m USING (event_type) WHERE event_id > coalesce(mark, 0)""",
+    "stream_payloads": "SELECT DISTINCT role, sha256(coalesce(text, '')) AS content_hash, length(coalesce(text, '')) AS chars FROM conversations",
+    "span_nesting": """WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) > 0),
+z AS (SELECT DISTINCT doc_id, n, unnest([n, (n + 1) // 2, 1000, 100, 7]) AS size FROM d), a AS (SELECT doc_id, s AS a_start, least(s + size, n) AS a_end FROM (SELECT *, unnest(range(0, n, size)) AS s FROM z)),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM d),
+b AS (SELECT doc_id, no, (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY no) - length(line) - 1)::BIGINT AS b_start, length(line) AS len FROM l),
+h AS (SELECT doc_id, no, least(a_end, b_start + len) - greatest(a_start, b_start) AS chars, least(a_end - a_start, len) AS shorter FROM a JOIN b USING (doc_id))
+SELECT doc_id, count(*) AS pairs, sum(chars)::BIGINT AS chars, count(DISTINCT no) AS lines FROM h WHERE chars > 0 AND 2 * chars >= shorter GROUP BY doc_id""",
     "daily_windows": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "packed_columns": "SELECT s_nationkey, list(s_suppkey ORDER BY s_suppkey) AS s_suppkey, list(s_name ORDER BY s_suppkey) AS s_name FROM supplier GROUP BY 1",
     "thin_facts": "SELECT l_partkey, count(*) AS facts, min(p_name) AS p_name, min(p_brand) AS p_brand FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1",
@@ -263,12 +310,11 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-
     "json_bills": "SELECT 'HR-' || p_partkey AS bill_key, p_name AS title, p_brand AS policy_area, array_to_string(list_sort(list_distinct(string_split(p_name, ' '))), ',') AS subjects, '2023-01-09' AS introduced, 'new ' || p_type AS summary FROM part",
     "json_totals": "SELECT s_name AS candidate_id, round(s_acctbal, 2) AS receipts, CAST(NULL AS DOUBLE) AS disbursements, CASE WHEN s_suppkey % 3 <> 0 THEN '2026-03-31' END AS coverage_end FROM supplier",
     "xml_votes": "SELECT CAST(o_orderkey AS INTEGER) AS vote_number, 'Yea' AS vote, min('S' || o_custkey) AS member, '2024-02-03' AS day FROM orders GROUP BY 1 UNION ALL SELECT DISTINCT CAST(o_orderkey AS INTEGER), 'Not Voting', 'S0', '2024-02-03' FROM orders",
-    "xml_votes_all": "SELECT CAST(o_orderkey AS INTEGER) AS vote_number, 'Yea' AS vote, min('S' || o_custkey) AS member, '2024-02-03' AS day FROM orders GROUP BY 1 UNION ALL SELECT DISTINCT CAST(o_orderkey AS INTEGER), 'Not Voting', 'S0', '2024-02-03' FROM orders",
     "triage_import": "SELECT CASE WHEN l.doc_id IS NULL THEN 'unknown_id' WHEN d.doc_id % 3 = 2 THEN 'unknown_verdict' WHEN d.doc_id % 2 <> 0 THEN 'low_confidence' ELSE 'taken' END AS outcome, count(*) AS rows FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY 1",
     "place_tiers": """WITH r AS (SELECT c_custkey AS geoid, CASE WHEN c_acctbal > 0 THEN CAST(trunc(c_acctbal) AS INTEGER) ELSE 0 END AS pop, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN c_acctbal > 0 THEN CAST(trunc(c_acctbal) AS INTEGER) ELSE 0 END DESC, c_custkey % 10 DESC, c_custkey) AS rank FROM customer)
 SELECT geoid, rank, CASE WHEN rank <= 2 OR (pop >= 9000 AND rank <= 4) THEN 1 WHEN rank <= 5 OR (pop >= 6000 AND rank <= 15) THEN 2 WHEN rank <= 20 OR (pop >= 2000 AND rank <= 30) THEN 3 ELSE 4 END AS tier FROM r""",
     "population_rows": "SELECT CAST(c_custkey AS VARCHAR) AS geoid, CAST(trunc(c_acctbal) AS BIGINT) AS population FROM customer WHERE c_custkey % 4 <> 0 AND c_custkey % 9 <> 0 AND trunc(c_acctbal) >= 0",
-    "label_names": """SELECT n_nationkey, (['Houston', 'Carson City', 'Abanda', 'San Juan', 'Duck Key', 'Bath'])[n_nationkey % 6 + 1] AS place, (['John A Smith', 'Maria De La Cruz', 'Ann O''neil', 'Cher'])[n_nationkey % 4 + 1] AS person FROM nation""",
+    "label_names": """SELECT p_partkey, p_name AS place, upper(w[2][1]) || lower(w[2][2:]) || ' ' || upper(w[1][1]) || lower(w[1][2:]) AS person FROM (SELECT p_partkey, p_name, string_split(p_name, ' ') AS w FROM part)""",
     "projected": """WITH p AS (SELECT c_custkey, radians(96.0 - (c_custkey % 60 + 66.0)) AS dl, radians(c_custkey % 25 + 24.0) AS la FROM customer),
 k AS (SELECT (sin(radians(29.5)) + sin(radians(45.5))) / 2 AS n), c AS (SELECT n, cos(radians(29.5)) ** 2 + 2 * n * sin(radians(29.5)) AS c FROM k)
 SELECT c_custkey, round(6370997 * sqrt(c - 2 * n * sin(la)) / n * sin(n * dl), 0) AS x, round(6370997 * (sqrt(c - 2 * n * sin(radians(37.5))) - sqrt(c - 2 * n * sin(la)) * cos(n * dl)) / n, 0) AS y FROM p, c""",

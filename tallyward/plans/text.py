@@ -24,16 +24,25 @@ def context_window(spark, sf_dir):
     return df.select("doc_id", before.alias("before"), F.substring("text", 51, 30).alias("span"), after.alias("after"))
 
 
+ITEMS_EACH = 3
+NBSP, THIN = "\u00a0", "\u2009"
+
+
 def quote_verification(spark, sf_dir):
-    """Benchmark items as quotes that claim to stand at the start of documents near by: exact or relocated or rejected."""
+    """Quotes of each document, looked for in all of it: its own words at the reported place or beside it, the same with other
+    blanks and apostrophes, and ITEMS_EACH benchmark items that a hash picks, which claim to stand at the start."""
+    d = read(spark, sf_dir, "documents").select("doc_id", "text")
     items = read(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote"))
-    ids = read(spark, sf_dir, "documents").select("doc_id")
-    quotes = ids.join(items, F.col("doc_id") % 40 == F.col("item_id") % 40).select("doc_id", "item_id", "quote", F.lit(0).alias("offset"), F.lit(0).alias("quote_start"), F.length("quote").alias("quote_end"))
-    pieces = read(spark, sf_dir, "documents").where(F.length("text") > 60).select(
+    n = items.count()
+    number = F.explode(F.sequence(F.lit(0), F.lit(ITEMS_EACH - 1)))
+    picked = d.select("doc_id", number.alias("j")).select("doc_id", ((F.col("doc_id") * 31 + F.col("j") * 7) % n).alias("item_id"))
+    quotes = picked.join(items, "item_id").select("doc_id", "item_id", "quote", F.lit(0).alias("offset"), F.lit(0).alias("quote_start"), F.length("quote").alias("quote_end"))
+    pieces = d.where(F.length("text") > 60).select(
         "doc_id", F.lit(-1).cast("long").alias("item_id"), F.substring("text", 11, 30).alias("quote"), F.lit(10).alias("offset"), (F.col("doc_id") % 2).cast("int").alias("quote_start"), (F.col("doc_id") % 2 + 30).cast("int").alias("quote_end")
     )
-    got = verify_quotes(quotes.unionByName(pieces), read(spark, sf_dir, "documents"), "doc_id")
-    return got.select("doc_id", "item_id", "method", "start", "end")
+    other = F.replace(F.translate(F.substring("text", 21, 60), "'", "’"), F.lit(" "), F.lit(NBSP + THIN))
+    loose = d.where(F.length("text") > 60).select("doc_id", F.lit(-2).cast("long").alias("item_id"), other.alias("quote"), F.lit(0).alias("offset"), F.lit(0).alias("quote_start"), F.lit(0).alias("quote_end"))
+    return verify_quotes(quotes.unionByName(pieces).unionByName(loose), d, "doc_id").select("doc_id", "item_id", "method", "start", "end")
 
 
 #: A quote for each reason, in the order of the rules, and some that stay.
@@ -49,17 +58,6 @@ QUOTES = [
 ]
 
 
-def _gate_rows(spark, sf_dir):
-    """Every document gets one of the quotes, with its own number at the end where that changes no rule."""
-    quotes = F.array(*[F.struct(F.lit(r).alias("expected"), F.lit(q).alias("quote")) for r, q in QUOTES])
-    n = len(QUOTES)
-    return read(spark, sf_dir, "documents").select("doc_id", F.get(quotes, (F.col("doc_id") % n).cast("int")).alias("x")).select("doc_id", "x.*")
-
-
-def gate_screen(spark, sf_dir):
-    return _gate_rows(spark, sf_dir).withColumn("g", gate.screen(F.col("quote"))).groupBy("g.reason").agg(F.count("*").alias("rows"), F.count_if(F.col("expected") == F.col("g.reason")).alias("as_expected"))
-
-
 SENTENCE = "[^.!?\\n]+[.!?]*"
 
 
@@ -70,6 +68,22 @@ def gate_sentences(spark, sf_dir):
     return said.groupBy("reason").agg(F.count("*").alias("sentences"), F.sum(F.length("quote")).alias("chars"))
 
 
+def _labelled(spark, sf_dir):
+    """Sentences of labelled documents, with the document's label and a stored screening version: those of low quality never had
+    one, a third of the others were screened by an older gate."""
+    d = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("truth")), "doc_id")
+    stamp = F.when(F.col("truth"), F.when(F.col("doc_id") % 3 == 0, "gate_v1").otherwise(gate.VERSION))
+    return d.select("truth", stamp.alias("version"), F.explode(F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(0))).alias("quote"))
+
+
+def gate_screen(spark, sf_dir):
+    """A run of the gate over the sentences that were not screened at its version yet, with drop counts by rule."""
+    return gate.run(_labelled(spark, sf_dir), "quote", "version").groupBy("reason", "version").agg(F.count("*").alias("rows"), F.count_if("keep").alias("kept"))
+
+
+PHRASES = ["think", "hope", "believe", "ende", "tion "]
+
+
 def prose_screen(spark, sf_dir):
     """All documents and talks as a verdict's prose that cites one bill."""
     texts = read(spark, sf_dir, "documents").select("text").unionByName(read(spark, sf_dir, "conversations").select("text"))
@@ -78,12 +92,8 @@ def prose_screen(spark, sf_dir):
 
 
 def gate_ablation(spark, sf_dir):
-    """The gate, a phrase list, each rule left out, and no escape: precision and retention of all in one pass."""
-    rows = _gate_rows(spark, sf_dir).withColumn("truth", F.col("expected") == "kept")
-    plans = {"all": gate.screen(F.col("quote"))["keep"], "no_escape": gate.screen(F.col("quote"), escape=False)["keep"], "phrases": gate.phrase_list(F.col("quote"), ["think", "hope", "believe"])}
-    plans |= {f"without_{r}": gate.screen(F.col("quote"), disabled=(r,))["keep"] for r in gate.RULES}
-    rows = rows.select("truth", *[c.alias(n) for n, c in plans.items()])
-    return procedure_scores(rows, "truth", {n: n for n in plans})
+    """All procedures over the sentences of labelled documents: the gate, a phrase list, each rule alone and left out."""
+    return gate.sweep(_labelled(spark, sf_dir).select("truth", gate.hits(F.col("quote"), PHRASES).alias("mask")), "mask", "truth")
 
 
 def confusion(spark, sf_dir):
@@ -152,16 +162,12 @@ def export_gate_evaluations(spark, sf_dir):
     return ev.exportable_evaluations(e, checked).select("evaluation", "status")
 
 
-PROSE = [
-    ("", []), ("The member voted for H.R. 4758 twice.", ["HR-4758"]), ("Cites HR-322423 as a source.", ["HR-4758"]), ("Wait, let me recheck. Let's say 75.", []),
-    ("S. 123 is named but not cited.", ["HR-4758"]), ("S. 123 with nothing cited.", []), ("x" * 1300, []), ("HR 0999 then HR 12345.", ["HR-999"]),
-]
-
-
 def prose_defects(spark, sf_dir):
-    rows = F.array(*[F.struct(F.lit(t).alias("prose"), F.array(*[F.lit(k) for k in ks]).cast("array<string>").alias("keys")) for t, ks in PROSE])
-    d = read(spark, sf_dir, "documents").select("doc_id", F.get(rows, (F.col("doc_id") % len(PROSE)).cast("int")).alias("x"))
-    return d.select(F.array_join(ev.prose_defects(F.col("x.prose"), F.col("x.keys")), ",").alias("defects")).groupBy("defects").agg(F.count("*").alias("rows"))
+    """Turns of talks as prose that names the bill of its talk's number and cites that of its turn's; every fifth shows its notes."""
+    t = read(spark, sf_dir, "conversations")
+    said = F.concat(F.coalesce("text", F.lit("")), F.when(F.col("conv_id") % 5 == 0, " Wait, ").otherwise(" "), F.lit("H.R. "), (F.col("conv_id") * 7 + 990).cast("string"))
+    cited = F.array(F.concat(F.lit("HR-"), (F.col("conv_id") * 7 + 990 + F.col("turn") % 2).cast("string")))
+    return t.select(F.array_join(ev.prose_defects(said, cited), ",").alias("defects"), F.length(said).alias("n")).groupBy("defects").agg(F.count("*").alias("rows"), F.sum("n").alias("chars"))
 
 
 def contested_block(spark, sf_dir):
@@ -263,17 +269,13 @@ s AS (SELECT page_id, pos, regexp_replace(regexp_extract(abs, '^([^#]*)', 1), '/
 site AS (SELECT page_id, min(pos) AS pos, link, any_value(path) AS path, arg_min(anchor, pos) AS anchor FROM s WHERE link <> regexp_replace(url, '/+$', '') GROUP BY page_id, link)"""
 
 
-def _gate_cases() -> str:
-    return ", ".join("('" + r + "', '" + q.replace("'", "''") + "')" for r, q in QUOTES)
-
-
 def _scores(source: str, names: list[str]) -> str:
     one = "SELECT '{0}' AS procedure, count(*) FILTER ({0} AND truth) AS tp, count(*) FILTER ({0} AND NOT truth) AS fp, count(*) FILTER (NOT {0} AND truth) AS fn, count(*) FILTER (NOT {0} AND NOT truth) AS tn FROM " + source
     return "SELECT *, round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END, 4) AS precision, round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END, 4) AS retention FROM (" + " UNION ALL ".join(one.format(n) for n in names) + ")"
 
 
-def _gate_sql() -> str:
-    """The ladder of the gate as CASE over RE2 patterns, with \\w widened to Unicode's letters and digits."""
+def _gate_rules() -> list[tuple[str, str]]:
+    """The ladder of the gate as conditions over RE2 patterns, with \\w widened to Unicode's letters and digits."""
     wide = lambda p: "'" + p.replace("\\w", "[\\pL\\pN_]").replace("'", "''") + "'"
     hit = lambda p: f"regexp_matches(t, {wide(p)})"
     plain = {"reported_speech": gate.REPORTED_SPEECH, "past_action": gate.PAST_ACTION, "constituent_casework": gate.CASEWORK}
@@ -282,7 +284,31 @@ def _gate_sql() -> str:
     fragment = f"""length(t) < {gate.MIN_CHARS} OR {hit(gate.LONE_LETTER)} OR ({head} <> '' AND {head} NOT IN ({", ".join(f"'{w}'" for w in gate.NOT_GERUNDS)}) AND NOT {hit(gate.FINITE_VERB)}) OR (NOT {hit(gate.CLOSING)} AND {hit(gate.SENTENCE_END)})"""
     cases = [("fragment", fragment), *[(k, hit(p)) for k, p in plain.items()], ("kept", " OR ".join(map(hit, (gate.SELF_COMMITMENT, gate.NAMED_COMMITMENT, gate.PRONOUN_COMMITMENT))))]
     cases += [*[(k, hit(p)) for k, p in frame.items()], ("normative_claim", f"NOT {hit(gate.FIRST_PERSON)} AND {hit(gate.NORMATIVE)}"), ("hedged_opinion", hit(gate.HEDGED)), ("aspirational_hope", hit(gate.HOPE))]
-    return "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for r, c in cases) + " ELSE 'kept' END"
+    return cases
+
+
+def _gate_sql() -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for r, c in _gate_rules()) + " ELSE 'kept' END"
+
+
+_LABELLED = f"""s AS (SELECT truth, CASE WHEN truth THEN CASE WHEN doc_id % 3 = 0 THEN 'gate_v1' ELSE '{gate.VERSION}' END END AS version, unnest(regexp_extract_all(text, '{SENTENCE}', 0)) AS q
+  FROM documents JOIN (SELECT doc_id, quality = 1 AS truth FROM labels) USING (doc_id)), x AS (SELECT *, regexp_replace(q, '^\\s+|\\s+$', '', 'g') AS t FROM s)"""
+
+
+def _sweep_sql() -> str:
+    """Every procedure as a list of the rules that it heeds, tried on every sentence anew."""
+    rules = [("empty", "t = ''"), *[("commitment" if r == "kept" else r, c) for r, c in _gate_rules()], ("phrase", " OR ".join(f"contains(lower(q), '{p}')" for p in PHRASES))]
+    heeds = [(name, [r for r, _ in rules if not gate.BIT[r] & off]) for name, off in gate.procedures().items()]
+    none = lambda on: " AND ".join(f"NOT {r}" for r in on) or "true"
+
+    def keep(on: list[str]) -> str:  # structural rules always drop; frame rules unless a commitment stands
+        before = [r for r in on if r in ("empty", *gate.STRUCTURAL)]
+        frame = [r for r in on if r in (*gate.FRAME, "phrase")]
+        return f"({none(before)}) AND ({'commitment OR ' if 'commitment' in on else ''}({none(frame)}))"
+
+    flags = ", ".join(f"coalesce({c}, false) AS {r}" for r, c in rules)
+    source = "r AS (SELECT truth, " + ", ".join(f"{keep(on)} AS {name}" for name, on in heeds) + f" FROM (SELECT truth, {flags} FROM x))"
+    return f"WITH {_LABELLED}, {source} " + _scores("r", [n for n, _ in heeds])
 
 
 ORACLES = {
@@ -296,12 +322,19 @@ SELECT CASE WHEN NOT regexp_matches(t, '\\S') THEN 'empty' ELSE concat_ws(',', C
 c AS (SELECT *, unnest(range(CASE WHEN n <= 1000 THEN 1 ELSE CAST(ceil((n - 1000) / 920) AS BIGINT) + 1 END)) AS k FROM d)
 SELECT doc_id, k AS chunk_no, k * 920 AS chunk_offset, length(substring(text, k * 920 + 1, 1000)) AS chars, md5(substring(text, k * 920 + 1, 1000)) AS md5 FROM c""",
     "context_window": "SELECT doc_id, substring(text, 1, 50) AS before, substring(text, 51, 30) AS span, substring(text, 81, 40) AS after FROM documents WHERE length(text) >= 80",
-    "quote_verification": """WITH q AS (SELECT d.doc_id, item_id, b.text AS quote, 0 AS lo, d.text FROM documents d JOIN benchmark b ON d.doc_id % 40 = b.item_id % 40
-  UNION ALL SELECT doc_id, -1, substring(text, 11, 30), 10 + doc_id % 2, text FROM documents WHERE length(text) > 60),
-m AS (SELECT *, CASE WHEN substring(text, lo + 1, length(quote)) = quote THEN 'exact' WHEN contains(text, quote) THEN 'relocated' ELSE 'rejected' END AS method FROM q)
-SELECT doc_id, item_id, method, CASE method WHEN 'exact' THEN lo WHEN 'relocated' THEN strpos(text, quote) - 1 ELSE -1 END AS start,
-  CASE method WHEN 'exact' THEN lo + length(quote) WHEN 'relocated' THEN strpos(text, quote) - 1 + length(quote) ELSE -1 END AS "end" FROM m""",
-    "gate_screen": f"WITH q AS (SELECT *, row_number() OVER () - 1 AS k FROM (VALUES {_gate_cases()}) t(expected, quote)) SELECT expected AS reason, count(*) AS rows, count(*) AS as_expected FROM documents JOIN q ON doc_id % {len(QUOTES)} = k GROUP BY 1",
+    # the looser arm by a pattern made of each quote: runs of blanks as a class, apostrophes, quotes and dashes as classes
+    "quote_verification": rf"""WITH n AS (SELECT count(*) AS n FROM benchmark),
+q AS (SELECT d.doc_id, item_id, b.text AS quote, 0 AS lo, length(b.text) AS hi, d.text FROM (SELECT doc_id, text, unnest(range({ITEMS_EACH})) AS j FROM documents) d, n JOIN benchmark b ON item_id = (d.doc_id * 31 + j * 7) % n
+  UNION ALL SELECT doc_id, -1, substring(text, 11, 30), 10 + doc_id % 2, 40 + doc_id % 2, text FROM documents WHERE length(text) > 60
+  UNION ALL SELECT doc_id, -2, replace(replace(substring(text, 21, 60), '''', '’'), ' ', '{NBSP}{THIN}'), 0, 0, text FROM documents WHERE length(text) > 60),
+f AS (SELECT *, regexp_replace(translate(quote, '‘’“”–—', '''''""--'), '^[\s{NBSP}{THIN}]+|[\s{NBSP}{THIN}]+$', '', 'g') AS flat FROM q),
+e AS (SELECT *, regexp_replace(regexp_escape(flat), '(\\?[\s{NBSP}{THIN}])+', '[\\s{NBSP}{THIN}]+', 'g') AS pattern FROM f),
+p AS (SELECT *, regexp_extract(text, replace(replace(replace(pattern, '\''', '[''‘’]'), '\"', '["“”]'), '\-', '[-–—]')) AS span FROM e),
+m AS (SELECT *, CASE WHEN hi > lo AND substring(text, lo + 1, hi - lo) = quote THEN 'exact' WHEN contains(text, quote) THEN 'relocated' WHEN flat <> '' AND span <> '' THEN 'normalized' ELSE 'rejected' END AS method FROM p)
+SELECT doc_id, item_id, method, (CASE method WHEN 'exact' THEN lo WHEN 'relocated' THEN strpos(text, quote) - 1 WHEN 'normalized' THEN strpos(text, span) - 1 ELSE -1 END)::INT AS start,
+  (CASE method WHEN 'exact' THEN hi WHEN 'relocated' THEN strpos(text, quote) - 1 + length(quote) WHEN 'normalized' THEN strpos(text, span) - 1 + length(span) ELSE -1 END)::INT AS "end" FROM m""",
+    "gate_screen": f"WITH {_LABELLED}, g AS (SELECT {_gate_sql()} AS reason FROM x WHERE version IS DISTINCT FROM '{gate.VERSION}') SELECT reason, '{gate.VERSION}' AS version, count(*) AS rows, count(*) FILTER (reason = 'kept') AS kept FROM g GROUP BY reason",
+    "gate_ablation": _sweep_sql(),
     "confusion": "WITH r AS (SELECT quality = 1 AS truth, n_chars >= 100 AS min_100, n_chars >= 500 AS min_500, n_chars >= 2000 AS min_2000 FROM labels JOIN documents USING (doc_id)) " + _scores("r", ["min_100", "min_500", "min_2000"]),
     "citation_ladder": f"WITH {_CLAIMS} SELECT reason, count(*) AS rows, count(DISTINCT evaluation) AS evaluations, count(*) FILTER (reason = 'ok') AS accepted FROM checked GROUP BY 1",
     "status_support": f"""WITH {_CLAIMS}, k AS (SELECT * FROM checked WHERE evaluation % 7 <> 0 AND (evaluation % 3 <> 0 OR direction <> 'supports')),
@@ -317,7 +350,9 @@ SELECT validated, validated AND NOT accepted AS flipped, validated AND accepted
     "export_gate_promises": "SELECT doc_id AS promise, CASE WHEN doc_id % 4 <> 0 THEN doc_id % 4 <> 1 END AS gate_keep FROM documents WHERE n_chars > 200 AND doc_id % 4 <> 1 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)",
     "export_gate_evaluations": f"""WITH {_CLAIMS}, x AS (SELECT evaluation, bool_and(reason = 'ok') AS v FROM checked WHERE reason = 'ok' OR (reason = 'omnibus_not_contextual' AND record % 9 = 0) GROUP BY 1)
 SELECT evaluation, CASE WHEN evaluation % 2 = 0 THEN 'broken' ELSE 'completed' END AS status FROM x WHERE v AND evaluation % 5 <> 0 AND (evaluation % 2 <> 0 OR evaluation % 6 = 0)""",
-    "prose_defects": f"""SELECT (['empty', '', 'impossible_bill_number', 'scratchpad', 'uncited_bill_reference', '', 'overlong', 'impossible_bill_number'])[CAST(doc_id % {len(PROSE)} AS INTEGER) + 1] AS defects, count(*) AS rows FROM documents GROUP BY 1""",
+    "prose_defects": rf"""WITH p AS (SELECT coalesce(text, '') || CASE WHEN conv_id % 5 = 0 THEN ' Wait, ' ELSE ' ' END || 'H.R. ' || (conv_id * 7 + 990) AS t, CAST(conv_id * 7 + 990 + turn % 2 AS VARCHAR) AS cited FROM conversations),
+b AS (SELECT *, list_filter(list_transform(list_transform(regexp_extract_all(t, '{ev.BILL_IN_PROSE}', 1), lambda x: regexp_replace(x, '^0+', '')), lambda x: CASE WHEN length(x) >= 5 THEN 'impossible_bill_number' WHEN x <> cited THEN 'uncited_bill_reference' END), lambda x: x IS NOT NULL) AS bad FROM p)
+SELECT concat_ws(',', CASE WHEN length(t) > {ev.MAX_PROSE} THEN 'overlong' END, CASE WHEN regexp_matches(t, '{ev.SCRATCHPAD.replace("'", "''")}') THEN 'scratchpad' END, bad[1]) AS defects, count(*) AS rows, sum(length(t))::BIGINT AS chars FROM b GROUP BY 1""",
     "contested_block": f"""WITH {BILLS_SQL} SELECT topic, CASE WHEN list_contains(subjects, 'hot') THEN 'hot' WHEN list_contains(subjects, 'red') AND lower(trim(coalesce(topic, ''))) <> 'paint' THEN 'red' END AS block, count(*) AS bills
 FROM bills, (VALUES ('paint'), (' Roads '), (NULL)) t(topic) GROUP BY 1, 2""",
     "page_links": f"WITH {_SITE} SELECT page_id, pos, href, anchor FROM l",
