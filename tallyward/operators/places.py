@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quadtree import Cells, inside, ring_cells
+
 # Legal suffixes by the order in which they are tried; tiers (level, floor, sure rank, last rank); distances.
 SUFFIXES = (
     "city", "town", "village", "borough", "municipality", "township", "CDP", "comunidad", "zona urbana", "urbana", "plantation", "gore",
@@ -64,21 +66,10 @@ def boxes(segs: DataFrame) -> DataFrame:
     return b.withColumn("span", F.hypot(F.col("bx1") - F.col("bx0"), F.col("by1") - F.col("by0")))
 
 
-BANDS = 64  # of a ring's height; a point is held against the segments of its band
-
-
-def on_land(points: DataFrame, segs: DataFrame, key: list[str]) -> DataFrame:
-    """key of the points (key, state, x, y) inside a ring of their state: boxes first, then an odd number of crossings with
-    the ring's segments that reach into the point's band of height."""
-    box = boxes(segs).withColumn("h", F.greatest((F.col("by1") - F.col("by0")) / BANDS, F.lit(1e-9)))
-    band = lambda y: F.floor((F.col(y) - F.col("by0")) / F.col("h"))
-    near = points.join(box, "state").where("x between bx0 and bx1 and y between by0 and by1").select(*key, "state", "ring", "x", "y", band("y").alias("band"))
-    parts = segs.join(box, ["state", "ring"]).withColumn("band", F.explode(F.sequence(F.least(band("y1"), band("y2")), F.greatest(band("y1"), band("y2")))))
-    up = (F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))
-    dy = F.when(F.col("y2") == F.col("y1"), F.lit(1e-12)).otherwise(F.col("y2") - F.col("y1"))
-    cross = up & (F.col("x") < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / dy + F.col("x1"))
-    hits = near.join(parts.select("state", "ring", "band", "x1", "y1", "x2", "y2"), ["state", "ring", "band"]).groupBy(*key, "ring").agg(F.count_if(cross).alias("crossings"))
-    return hits.where("crossings % 2 = 1").select(*key).distinct()
+def on_land(points: DataFrame, segs: DataFrame, key: list[str], cells: Cells | None = None) -> DataFrame:
+    """key of the points (key, state, x, y) inside a ring of their state, by the rings' quadtree cells, which may be given where
+    they are used more than once."""
+    return inside(points, cells or ring_cells(segs), key).select(*key).distinct()
 
 
 def nearest_coast(points: DataFrame, segs: DataFrame, key: str, within: float, least_span: float = RING_LEAST) -> DataFrame:
@@ -99,14 +90,15 @@ def nearest_coast(points: DataFrame, segs: DataFrame, key: str, within: float, l
 def anchor(points: DataFrame, segs: DataFrame, key: str) -> DataFrame:
     """points (key, state, x, y, area) with placed: land, inland (moved to the first solid ground around the landfall),
     coast (the landfall itself) or dropped, and their new x and y."""
-    ashore = on_land(points, segs, [key]).withColumn("dry", F.lit(True))
+    cells = ring_cells(segs)
+    ashore = on_land(points, segs, [key], cells).withColumn("dry", F.lit(True))
     allowed = F.least(F.lit(float(SNAP_MOST)), F.greatest(F.lit(float(SNAP_LEAST)), F.sqrt("area") * SNAP_MULTIPLE))
     at_sea = points.join(ashore, key, "left_anti")
     hit = at_sea.join(nearest_coast(at_sea, segs, key, float(SNAP_MOST)), key, "left").withColumn("ok", F.coalesce(F.col("distance") <= allowed, F.lit(False)))
     tries = [(i * DIRECTIONS + s, r * math.cos(2 * math.pi * s / DIRECTIONS), r * math.sin(2 * math.pi * s / DIRECTIONS)) for i, r in enumerate(RADII) for s in range(DIRECTIONS)]
     offsets = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, a, b in tries])).alias("o")
     search = hit.where("ok").select(key, "state", "qx", "qy", offsets).select(key, "state", F.col("o.n").alias("n"), (F.col("qx") + F.col("o.a")).alias("x"), (F.col("qy") + F.col("o.b")).alias("y"))
-    solid = search.join(on_land(search, segs, [key, "n"]), [key, "n"]).groupBy(key).agg(F.min_by(F.struct(F.col("x").alias("sx"), F.col("y").alias("sy")), "n").alias("s"))
+    solid = search.join(on_land(search, segs, [key, "n"], cells), [key, "n"]).groupBy(key).agg(F.min_by(F.struct(F.col("x").alias("sx"), F.col("y").alias("sy")), "n").alias("s"))
     moved = hit.join(solid, key, "left").select(
         key, F.when(~F.col("ok"), "dropped").when(F.col("s").isNotNull(), "inland").otherwise("coast").alias("placed"),
         F.when(F.col("ok"), F.coalesce("s.sx", "qx")).alias("x"), F.when(F.col("ok"), F.coalesce("s.sy", "qy")).alias("y"),

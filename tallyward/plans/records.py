@@ -10,6 +10,7 @@ from ..operators import places as pl
 from ..operators.identity import decide_links, pair_ids
 from ..operators.joins import overlapping
 from ..operators.merge import appended_only, current_only_one, insert_if_absent, merge_keyed, repoint
+from ..operators.quadtree import inside, ring_cells
 from ..operators.quality import publish_gate
 from ..sources.readers import bill_rows, finance_totals, gazetteer, import_verdicts, roll_call_members, senate_members
 from ..sources.snapshot import manifest, pack_columns, split_dimension
@@ -251,6 +252,18 @@ def points_on_land(spark, sf_dir):
     return pl.on_land(_points(spark, sf_dir), _squares(spark), ["id"])
 
 
+def points_in_rings(spark, sf_dir):
+    """Customers inside the diamonds around the suppliers of their nation: balances and numbers as coordinates."""
+    s, c = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "customer")
+    k = F.col("s_suppkey")
+    s = s.select(F.col("s_nationkey").alias("state"), k.alias("ring"), (F.col("s_acctbal") + 0.3713).alias("cx"), (k % 1000 * 10.0).alias("cy"), (50 + k % 200 * 7.0).alias("r"))
+    turns = [(1, 0), (0, 1), (-1, 0), (0, -1)]
+    corner = lambda i: [F.lit(i).alias("seq"), *[(F.col(m) + F.col("r") * turns[(i + j) % 4][n]).alias(f"{a}{j + 1}") for j in (0, 1) for n, (m, a) in enumerate((("cx", "x"), ("cy", "y")))]]
+    segs = s.select("state", "ring", F.explode(F.array(*[F.struct(*corner(i)) for i in range(4)])).alias("s")).select("state", "ring", "s.*")
+    points = c.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("state"), F.col("c_acctbal").cast("double").alias("x"), (F.col("c_custkey") % 1000 * 10.0 + 0.5).alias("y"))
+    return inside(points, ring_cells(segs), ["id"])
+
+
 def anchored_labels(spark, sf_dir):
     return pl.anchor(_points(spark, sf_dir), _squares(spark), "id").groupBy("placed").agg(F.count("*").alias("labels"), F.round(F.sum("x"), 0).alias("x"), F.round(F.sum("y"), 0).alias("y"))
 
@@ -265,7 +278,7 @@ QUERIES = {
     f.__name__: f
     for f in (merge_policies, amendments, absent_inserts, identity_pairs, identity_ladder, repointed_donations, current_rows, append_only_check, publish_check, fresh_roll_calls,
               stream_replay, stream_marks, stream_payloads, span_nesting, daily_windows, packed_columns, thin_facts, snapshot_manifest, json_votes, json_bills, json_totals, xml_votes, triage_import, place_tiers, population_rows,
-              label_names, points_on_land, anchored_labels, projected)
+              label_names, points_on_land, points_in_rings, anchored_labels, projected)
 }
 
 _LADDER = f"""WITH {VOTES_SQL}, {_FILED},
@@ -318,5 +331,7 @@ SELECT geoid, rank, CASE WHEN rank <= 2 OR (pop >= 9000 AND rank <= 4) THEN 1 WH
     "projected": """WITH p AS (SELECT c_custkey, radians(96.0 - (c_custkey % 60 + 66.0)) AS dl, radians(c_custkey % 25 + 24.0) AS la FROM customer),
 k AS (SELECT (sin(radians(29.5)) + sin(radians(45.5))) / 2 AS n), c AS (SELECT n, cos(radians(29.5)) ** 2 + 2 * n * sin(radians(29.5)) AS c FROM k)
 SELECT c_custkey, round(6370997 * sqrt(c - 2 * n * sin(la)) / n * sin(n * dl), 0) AS x, round(6370997 * (sqrt(c - 2 * n * sin(radians(37.5))) - sqrt(c - 2 * n * sin(la)) * cos(n * dl)) / n, 0) AS y FROM p, c""",
+    "points_in_rings": """SELECT c_custkey AS id, s_suppkey AS ring FROM customer JOIN supplier ON s_nationkey = c_nationkey
+WHERE abs(c_acctbal - s_acctbal - 0.3713) + abs(c_custkey % 1000 * 10.0 + 0.5 - s_suppkey % 1000 * 10.0) < 50 + s_suppkey % 200 * 7.0""",
     "points_on_land": "SELECT id FROM (SELECT c_custkey AS id, c_custkey % 150 * 1000.0 - 19750 AS x, floor(c_custkey / 150) * 13000.0 - 8750 AS y FROM customer) WHERE x > 0 AND x < 100000 AND y > 0 AND y < 100000",
 }

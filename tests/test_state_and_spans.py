@@ -1,13 +1,14 @@
 """Streams with state, spans of any length, quotes by automaton, rule masks, repeats and change sets."""
 
 import datetime as dt
+import math
 import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.operators import evidence, gate, intake, joins, text
+from tallyward.operators import evidence, gate, intake, joins, quadtree, text
 from tallyward.plans.text import QUOTES
 from tallyward.streaming import state
 from tallyward.streaming.loads import above_mark
@@ -207,3 +208,35 @@ def test_a_committee_with_two_candidacies_counts_once(spark):
     other = spark.createDataFrame([("1", "C1", None, "H3", "15", "100", "01022024", "x")], "sub_id string, cmte_id string, other_id string, cand_id string, kind string, amount string, day string, name string")
     good, _ = intake.transactions(other, owners.select("cand_id", "candidacy"), spark.createDataFrame([], "cmte_id string"))
     assert [r.candidacy for r in good.collect()] == [30]
+
+
+def plain_inside(x, y, ring):
+    odd = False
+    for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+        if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+            odd = not odd
+    return odd
+
+
+@pytest.mark.parametrize("most,depth", [(16, 12), (2, 5)])
+def test_points_find_their_rings(spark, most, depth):
+    """Rings of very different sizes and shapes in several states, points at random, on corners, edges and far away."""
+    rng = random.Random(4)
+    rings = {("a", 0): [(0, 0), (100, 0), (100, 100), (0, 100)], ("a", 1): [(20, 20), (40, 20), (40, 40), (20, 40)], ("b", 0): [(0, 0), (50, 90), (100, 0), (50, 20)]}
+    rings[("a", 2)] = [(50 + (30 + rng.uniform(-9, 9)) * math.cos(t / 90), 50 + (30 + rng.uniform(-9, 9)) * math.sin(t / 90)) for t in range(0, 565, 2)]
+    rings[("b", 1)] = [(900 + x, 900 + y) for x, y in [(0, 0), (0.01, 0), (0.01, 0.02)]]
+    rings[("c", 0)] = [(x * 7.0, (x % 2) * 80.0) for x in range(60)] + [(x * 7.0, (x % 2) * 80.0 + 9) for x in reversed(range(60))]
+    rows = [(s, r, i, *map(float, p), *map(float, q)) for (s, r), ps in rings.items() for i, (p, q) in enumerate(zip(ps, ps[1:] + ps[:1]))]
+    segs = spark.createDataFrame(rows, "state string, ring int, seq int, x1 double, y1 double, x2 double, y2 double")
+    spots = [(rng.uniform(-20, 430), rng.uniform(-20, 120)) for _ in range(600)] + [(float(x), float(y)) for x in range(0, 101, 20) for y in range(0, 101, 20)] + [(900.005, 900.001), (900.0, 900.0), (1e6, -1e6)]
+    points = [(i, s, x, y) for i, (x, y) in enumerate(spots) for s in ("a", "b", "c", "none")]
+    cells = quadtree.ring_cells(segs, depth, most)
+    got = {tuple(r) for r in quadtree.inside(spark.createDataFrame(points, "id int, state string, x double, y double"), cells, ["id", "state"]).collect()}
+    assert got == {(i, s, r) for i, s, x, y in points for (t, r), ps in rings.items() if s == t and plain_inside(x, y, ps)}
+    kinds = {r.edge for r in cells.leaves.collect()}
+    assert kinds == {True, False} and cells.leaves.count() < 3000
+
+
+def test_no_rings(spark):
+    cells = quadtree.ring_cells(spark.createDataFrame([], "state string, ring int, seq int, x1 double, y1 double, x2 double, y2 double"))
+    assert quadtree.inside(spark.createDataFrame([(1, "a", 0.0, 0.0)], "id int, state string, x double, y double"), cells, ["id"]).count() == 0
