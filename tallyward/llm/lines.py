@@ -16,6 +16,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from fractions import Fraction
 
 import numpy as np
@@ -236,6 +237,20 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return _verdicts(base, threshold).select(F.col("id").alias(id_col), "n_lines", "dropped")
 
 
+def _without(text: pa.Array, dropped: pa.Array) -> pa.Array:
+    """Texts without the lines of those numbers; only texts that lose lines come here."""
+    out = []
+    for t, gone in zip(text, dropped, strict=True):
+        if not gone.is_valid:
+            out.append(None)
+            continue
+        own = t.as_py().split("\n")
+        stay = np.ones(len(own), bool)
+        stay[gone.values.to_numpy()] = False
+        out.append("\n".join(itertools.compress(own, stay)))
+    return pa.array(out, pa.string())
+
+
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: str = "0.8") -> DataFrame:
     """docs with the dropped lines taken out of text_col; rows that lose every solid line go. Other columns stay."""
     row, dropped = free_name(docs, "row"), free_name(docs, "dropped")
@@ -243,10 +258,10 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = _verdicts(base.select(F.col(id_col).alias("id"), F.col(row).alias("row"), F.col(text_col).alias("text")), threshold)
     discard(found.read)
     gone = found.gone.select(F.col("row").alias(row), F.col("dropped").alias(dropped))
-    lines = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.array_contains(dropped, i))
+    cut = F.arrow_udf(_without, "string")(F.when(F.col(dropped).isNotNull(), F.col(text_col)), dropped)
     return (
         base.join(gone.hint("merge"), row, "left")  # it grows with docs: no broadcast
-        .withColumn(text_col, F.when(F.col(dropped).isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n")))
+        .withColumn(text_col, F.when(F.col(dropped).isNull(), F.col(text_col)).otherwise(cut))
         .where(F.col(dropped).isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
         .select(*docs.columns)
     )

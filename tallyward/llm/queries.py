@@ -77,9 +77,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secrets_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .secrets import digest, scan_pieces
+    """With the classes of small alphabets."""
+    from .secrets import CLASSES, SMALL, digest, scan
 
-    return digest(scan_pieces(_table(spark, sf_dir, "documents")))
+    return digest(scan(_table(spark, sf_dir, "documents"), CLASSES + SMALL))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,9 +118,10 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_jaccard_join, op3_topk, op4_secrets, op4_secrets_pieces, op5_line_dedup, op6_decontamination, op7_toxicity, op8_token_counts, op9_language_id, op10_warc, op11_centroids, op12_nearest, op13_divergence)}
 
 
-def _secrets_sql(by_piece: bool = False) -> str:
-    """Op 4 in DuckDB: places from the lengths of pieces, windows counted anew instead of step by step."""
-    from .secrets import ALLOW, BASE, CLASSES, MARKS, SMALL, WHOLE, g_table, most_g
+def _secrets_sql(small: bool = False) -> str:
+    """Op 4 in DuckDB: places from the lengths of pieces, windows counted anew instead of step by step; each window that touches
+    no cut, with the piece around it."""
+    from .secrets import BASE, CLASSES, MARKS, SMALL, WHOLE, g_table, most_g
 
     def text(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
@@ -132,21 +134,12 @@ def _secrets_sql(by_piece: bool = False) -> str:
   FROM (SELECT doc_id, regexp_extract_all(t, {p}, 0) AS ms, regexp_extract_all(t, {p}, {group}) AS vs, string_split_regex(t, {p}) AS gaps FROM d WHERE regexp_matches(t, {p}))) WHERE length(v) >= {least}"""
 
     base = " UNION ALL ".join(found(i, *b) for i, b in enumerate(BASE))
-    allowed = " OR ".join(f"regexp_matches(m, {text(a)})" for a in ALLOW)
+    cuts = f"SELECT doc_id, start, stop FROM base UNION ALL SELECT doc_id, start, stop FROM ({found(99, 'mark', MARKS, 0, 0)})"
+    whole = " OR ".join(f"regexp_matches(piece, {text(a)})" for a in WHOLE)
     more = []
-    for i, (name, pattern, _, w, bits) in enumerate(CLASSES):
-        counts = f"map_values(list_aggregate(string_split(substring(m, i + 1, {w}), ''), 'histogram'))"
-        more.append(f"""SELECT doc_id, k, kind, start + min(i) AS start, start + max(i) + {w} AS stop FROM (
-  SELECT *, unnest(range(0, length(m) - {w} + 1)) AS i FROM ({found(len(BASE) + i, name, pattern, 0, w)}) c
-  WHERE NOT ({allowed}) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop))
-  WHERE list_sum(list_transform({counts}, lambda n: ({g_table(w)})[n::BIGINT + 1])) <= {most_g(w, bits)} GROUP BY doc_id, k, kind, start, m""")
-    if by_piece:  # each window that touches no cut, with the piece around it
-        cuts = f"SELECT doc_id, start, stop FROM base UNION ALL SELECT doc_id, start, stop FROM ({found(99, 'mark', MARKS, 0, 0)})"
-        whole = " OR ".join(f"regexp_matches(piece, {text(a)})" for a in WHOLE)
-        more = []
-        for i, (name, pattern, _, w, bits) in enumerate(CLASSES + SMALL):
-            counts = f"map_values(list_aggregate(string_split(substring(m, ws - start + 1, {w}), ''), 'histogram'))"
-            more.append(f"""SELECT doc_id, k, kind, min(ws) AS start, max(ws) + {w} AS stop FROM (
+    for i, (name, pattern, _, w, bits) in enumerate(CLASSES + (SMALL if small else ())):
+        counts = f"map_values(list_aggregate(string_split(substring(m, ws - start + 1, {w}), ''), 'histogram'))"
+        more.append(f"""SELECT doc_id, k, kind, min(ws) AS start, max(ws) + {w} AS stop FROM (
   SELECT doc_id, k, kind, start, m, ws, lo, substring(m, lo - start + 1, hi - lo) AS piece FROM (
     SELECT c.doc_id, k, kind, c.start, m, ws, greatest(c.start, coalesce(max(b.stop) FILTER (b.stop <= ws), 0)) AS lo, least(c.stop, coalesce(min(b.start) FILTER (b.start >= ws + {w}), c.stop)) AS hi
     FROM (SELECT *, unnest(range(start, stop - {w} + 1)) AS ws FROM ({found(len(BASE) + i, name, pattern, 0, w)})) c LEFT JOIN ({cuts}) b ON b.doc_id = c.doc_id
@@ -181,7 +174,7 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLES = {
     "op4_secrets": _secrets_sql(),
-    "op4_secrets_pieces": _secrets_sql(by_piece=True),
+    "op4_secrets_pieces": _secrets_sql(small=True),
     "op3_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
   WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),

@@ -2,13 +2,14 @@
 
 Base kinds are patterns (assign, access, hex). The method adds spans of high entropy: over candidate strings of a character
 class a window slides one character at a time, and the Shannon entropy of its characters follows from counts that each step
-changes in two places: with g(c) = c log2 c, H = log2(w) - sum(g(count)) / w. The sum is kept in whole millionths, so that
-thresholds compare exactly. A candidate's span runs from the first window at or above the threshold to the end of the last.
-Added spans that an allow-list pattern matches, or that overlap a base span, are suppressed; base spans always stay.
+changes in two places: with g(c) = c log2 c, H = log2(w) - sum(g(count)) / w. The counts are state of the walk, a string with
+a count at the place of each character's code; a step reads and writes the two of the characters that leave and enter. The
+sum is kept in whole millionths, so that thresholds compare exactly. A span runs from the first window at or above the
+threshold to the end of the last.
 
-scan_pieces() suppresses by span instead of by candidate: base spans and marks of the allow-list cut a candidate, and
-windows slide over each piece that is left, so that one mark does not hide the rest of a run. It also has classes for the
-alphabets of 32 to 36 symbols, whose windows seldom reach 4.1 bits.
+Suppression is by span: base spans and marks of the allow-list cut a candidate, and windows slide over each piece that is
+left, so that one mark does not hide the rest of a run; pieces that are no secret as a whole (numbers, words) go. Base spans
+always stay. SMALL has further classes for the alphabets of 32 to 36 symbols, whose windows seldom reach 4.1 bits.
 
 A kind's places follow from the lengths of the text's pieces between its matches and of the matches, in code points.
 Texts without a match, nearly all, only pay for the search. Work is in proportion to the text, but for a binary search of
@@ -37,15 +38,7 @@ CLASSES = (
     ("entropy_hex", r"[0-9A-Fa-f]{20,}", "0123456789abcdefABCDEF", 20, 3.2),
     ("entropy_base64", r"[A-Za-z0-9+/=_-]{24,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 24, 4.1),
 )
-#: A candidate that one of these finds is no secret: UUIDs, numbers, letters of one case, counting runs, placeholders.
-ALLOW = (
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^[0-9]+$",
-    r"^([a-z_-]+|[A-Z_-]+)$",
-    r"0123456789|abcdefghij|ABCDEFGHIJ",
-    r"(?i)example|placeholder|changeme|xxxx",
-)
-#: Further classes of scan_pieces(): of random keys of 32 characters, about 99 % reach the threshold (24: 97 and 93 %).
+#: Further classes: of random keys of 32 characters, about 99 % reach the threshold (24: 97 and 93 %).
 SMALL = (
     ("entropy_base36", r"[a-z0-9]{24,}", "abcdefghijklmnopqrstuvwxyz0123456789", 24, 3.7),
     ("entropy_base32", r"[A-Z0-9]{24,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 24, 3.7),
@@ -57,6 +50,7 @@ _MILLION = 1_000_000
 _KINDS = [b[0] for b in BASE] + [c[0] for c in CLASSES + SMALL] + ["mark"]
 BLOCK = 128  # matches whose places are summed together
 CHUNK = 256  # windows that are walked together
+STRETCH = 4096  # characters of a run that are cut out of together
 _SPAN = "array<struct<start:int,kind:int,end:int,text:string>>"
 
 
@@ -105,39 +99,40 @@ def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
 
 def _window_span(text: Column, window: int, bits: float) -> Column:
     """(first, last) window start, from 0, at or above the threshold; nulls if there is none. The windows that begin in a
-    chunk of CHUNK characters are walked together; a step looks up the counts of the character that enters and of the one
-    that leaves, and changes the sum by those two."""
+    chunk of CHUNK characters are walked together. The state holds the counts of the window's characters, by code, and the sum
+    of their g; when a character leaves or enters, its count and its share of the sum change."""
     g = F.array(*[F.lit(x) for x in g_table(window)])
     limit = most_g(window, bits)
+    zero = ord("0")  # counts are kept as characters from here on
+
+    def change(state, code, by):
+        """state with the count of the character of this code raised or lowered by one; as it is where code is null."""
+
+        def changed(n):
+            total = state["sum"] + F.element_at(g, n + 1 + by) - F.element_at(g, n + 1)
+            counts = F.overlay(state["counts"], F.chr(n + zero + by), code + 1, F.lit(1))
+            return F.struct(F.coalesce(total, state["sum"]).cast("int").alias("sum"), F.coalesce(counts, state["counts"]).alias("counts"))
 
-    def count(s, c):
-        return F.length(s) - F.length(F.replace(s, c, F.lit("")))
+        return _let(F.ascii(F.substr(state["counts"], code + 1, F.lit(1))) - zero, changed)
 
     def walk(piece):
-        def change(v):
-            # i: characters read; the i-th enters, the one `window` before it leaves
-            full = v["i"] > window
-            n, m = count(v["before"], v["enter"]), count(v["before"], v["leave"])
-            more = F.element_at(g, n + 2) - F.element_at(g, n + 1)
-            less = F.when(full, F.element_at(g, F.greatest(m, F.lit(1))) - F.element_at(g, m + 1)).otherwise(0)
-            return F.when(full & (v["enter"] == v["leave"]), 0).otherwise(more + less)
+        def code(i):
+            return F.ascii(F.substr(piece, i, F.lit(1)))
 
         def step(acc, i):
-            v = F.struct(
-                i.alias("i"), F.substr(piece, F.greatest(i - window, F.lit(1)), F.least(i - 1, F.lit(window))).alias("before"),
-                F.substr(piece, i, F.lit(1)).alias("enter"), F.substr(piece, F.greatest(i - window, F.lit(1)), F.lit(1)).alias("leave"),
-            )
+            left = _let(F.when(i > window, code(i - window)), lambda c: change(acc, c, -1))
+            entered = _let(left, lambda state: _let(code(i), lambda c: change(state, c, 1)))
             return _let(
-                acc["sum"] + _let(v, change),
-                lambda total: F.struct(
-                    total.cast("int").alias("sum"),
-                    F.when((i >= window) & (total <= limit) & acc["first"].isNull(), i - window).otherwise(acc["first"]).cast("int").alias("first"),
-                    F.when((i >= window) & (total <= limit), i - window).otherwise(acc["last"]).cast("int").alias("last"),
+                entered,
+                lambda now: F.struct(
+                    now["sum"].alias("sum"), now["counts"].alias("counts"),
+                    F.when((i >= window) & (now["sum"] <= limit) & acc["first"].isNull(), i - window).otherwise(acc["first"]).cast("int").alias("first"),
+                    F.when((i >= window) & (now["sum"] <= limit), i - window).otherwise(acc["last"]).cast("int").alias("last"),
                 ),
-            )
+            )
 
         null = F.lit(None).cast("int")
-        return F.aggregate(F.sequence(F.lit(1), F.length(piece)), F.struct(F.lit(0).alias("sum"), null.alias("first"), null.alias("last")), step)
+        return F.aggregate(F.sequence(F.lit(1), F.length(piece)), F.struct(F.lit(0).alias("sum"), F.lit(chr(zero) * 128).alias("counts"), null.alias("first"), null.alias("last")), step)
 
     def chunked(chunks):
         def one(chunk, k):
@@ -149,7 +144,7 @@ def _window_span(text: Column, window: int, bits: float) -> Column:
     return _let(F.regexp_extract_all(text, F.lit(f".{{1,{CHUNK}}}"), F.lit(0)), chunked)
 
 
-def _allowed(text: Column, rules: tuple[str, ...] = ALLOW) -> Column:
+def _allowed(text: Column, rules: tuple[str, ...]) -> Column:
     return reduce(Column.__or__, [text.rlike(a) for a in rules])
 
 
@@ -165,32 +160,46 @@ def _first_beyond(spans: Column, place: Column) -> Column:
     return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi")), halve)["lo"]
 
 
-def _touched(x: Column, kinds: list[str]) -> Column:
-    """Whether x overlaps a span of the columns."""
-    return reduce(Column.__or__, [F.coalesce(F.get(F.col(k), _first_beyond(F.col(k), x["start"]))["start"] < x["end"], F.lit(False)) for k in kinds])
-
-
 def _pieces(x: Column, kinds: list[str]) -> Column:
-    """What is left of the span x without the spans of the columns."""
-
-    def piece(start, end):
-        return F.array(F.struct(start.alias("start"), x["kind"].alias("kind"), end.alias("end"), F.substr(x["text"], start - x["start"] + 1, end - start).alias("text")))
-
-    def step(acc, b):
-        out = F.when(b["start"] > acc["at"], F.concat(acc["out"], piece(acc["at"], b["start"]))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), out.alias("out"))
+    """What is left of the span x without the spans of the columns. Those within x are worked through in blocks, each from the
+    place that all before it reach to, and characters are cut out of stretches, so that no array or text grows piece by piece."""
+    none = F.array().cast(_SPAN)
 
     def inside(kind):
         spans = F.col(kind)
         return _let(_first_beyond(spans, x["start"]), lambda a: F.slice(spans, a + 1, F.greatest(_first_beyond(spans, x["end"] - 1) + 1 - a, F.lit(0))))
 
-    none = F.array().cast(_SPAN)
-    return F.aggregate(
-        F.filter(F.array_sort(F.concat(*[inside(k) for k in kinds])), lambda b: _overlap(x, b)),
-        F.struct(x["start"].alias("at"), none.alias("out")),
-        step,
-        lambda acc: F.when(acc["at"] < x["end"], F.concat(acc["out"], piece(acc["at"], x["end"]))).otherwise(acc["out"]),
-    )
+    def cut_out(stretches, start, end):
+        """Characters start to end of x, from the few stretches that they lie in."""
+        lo, hi = start - x["start"], end - x["start"]
+        first = F.floor(lo / STRETCH).cast("int")
+        some = F.transform(F.sequence(first, F.floor((hi - 1) / STRETCH).cast("int")), lambda k: F.get(stretches, k))
+        return F.substr(F.array_join(some, ""), lo - first * STRETCH + 1, hi - lo)
+
+    def left_over(cuts, stretches):
+        def piece(start, end):
+            return F.array(F.struct(start.alias("start"), x["kind"].alias("kind"), end.alias("end"), cut_out(stretches, start, end).alias("text")))
+
+        def step(acc, b):
+            out = F.when(b["start"] > acc["at"], F.concat(acc["out"], piece(acc["at"], b["start"]))).otherwise(acc["out"])
+            return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), out.alias("out"))
+
+        def worked(blocks):
+            reach = F.aggregate(blocks, F.array(x["start"]), lambda acc, b: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), F.array_max(F.transform(b, lambda c: c["end"]))))))
+
+            def pieces(at):
+                before = F.flatten(F.transform(blocks, lambda b, k: F.aggregate(b, F.struct(F.get(at, k).alias("at"), none.alias("out")), step)["out"]))
+                end = F.element_at(at, -1)
+                return F.when(end < x["end"], F.concat(before, piece(end, x["end"]))).otherwise(before)
+
+            return _let(reach, pieces)
+
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(cuts) - 1) / BLOCK).cast("int")), lambda k: F.slice(cuts, k * BLOCK + 1, BLOCK))
+        return _let(blocks, worked)
+
+    cuts = F.filter(F.array_sort(F.concat(*[inside(k) for k in kinds])), lambda b: _overlap(x, b))
+    some = _let(cuts, lambda cs: _let(F.regexp_extract_all(x["text"], F.lit(f".{{1,{STRETCH}}}"), F.lit(0)), lambda parts: left_over(cs, parts)))
+    return F.when(F.size(cuts) > 0, some).otherwise(F.array(F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), x["text"].alias("text"))))
 
 
 def _high(spans: Column, window: int, bits: float) -> Column:
@@ -233,20 +242,9 @@ def _result(got: DataFrame, id_col: str, classes: int) -> DataFrame:
     return got.select(id_col, named(base).alias("base"), named(added).alias("added"), named(F.concat(base, added)).alias("all_spans"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, classes: tuple = CLASSES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per row of docs: the id column, base and added: arrays of (start, kind, end, text), kind by name."""
     base, text, parts = _base(docs, id_col, text_col), F.col("__t"), []
-    for k, (name, pattern, _, window, bits) in enumerate(CLASSES):
-        found = _found(text, name, pattern, 0, window)
-        fresh = F.filter(found, lambda x: ~_allowed(x["text"]) & ~_touched(x, _BASES))
-        parts.append(F.when(text.rlike(pattern), _high(fresh, window, bits)).otherwise(F.array().cast(_SPAN)).alias(f"__c{k}"))
-    return _result(base.select(id_col, *_BASES, *parts), id_col, len(CLASSES))
-
-
-def scan_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """As scan(), with windows over what base spans and marks leave of every candidate, and with the classes of SMALL."""
-    base, text, parts = _base(docs, id_col, text_col), F.col("__t"), []
-    classes = CLASSES + SMALL
     any_run = reduce(Column.__or__, [text.rlike(c[1]) for c in classes])
     marks = F.when(any_run, _found(text, "mark", MARKS, 0, 0)).otherwise(F.array().cast(_SPAN))
     cut = base.select(id_col, "__t", *_BASES, marks.alias("__marks"))

@@ -1,6 +1,7 @@
 """The pipeline's stages: each against brute force over random near copies, and their edge cases."""
 
 import random
+import time
 import re
 
 import pytest
@@ -135,7 +136,7 @@ def test_very_long_texts_pass_the_stages(spark, given, tmp_path):
     long = " ".join("".join(rng.choice("bdgk") + rng.choice("aeiou") for _ in range(3)) for _ in range(120_000))
     rows = [(900, long, "xx", "s", len(long)), (901, long + " bada", "xx", "s", len(long)), (902, "gukidabo " * 90_000, "xx", "s", 1)]
     got = spark.createDataFrame(rows, SCHEMA)
-    for name in ("language_id", "ngram_jaccard", "decontamination", "bpe_tokens"):
+    for name in STAGES:
         got = STAGES[name](spark, got, path)
         got.write.parquet(str(tmp_path / name))
         got = spark.read.parquet(str(tmp_path / name))
@@ -146,3 +147,18 @@ def test_outputs_need_names_of_their_own(spark, given):
     docs, _, _ = given
     with pytest.raises(ValueError, match="other names"):
         langid.predict(docs, langid.fit(docs), keep=("score",))
+
+
+def test_half_a_million_lines_of_one_text(spark, tmp_path):
+    """One text of many equal lines and many of its own: dropping takes time in proportion to the lines."""
+    rng = random.Random(6)
+    own = ["".join(rng.choices("bcdfghjklm", k=12)) for _ in range(100_000)]
+    lines = [own[i // 5] if i % 5 == 0 else f"the same line no. {i % 3}" for i in range(500_000)]
+    df = spark.createDataFrame([(1, "\n".join(lines), "xx", "s", 1), (2, "the same line no. 0\nanother one is here", "xx", "s", 1)], SCHEMA)
+    spark.sparkContext.setLogLevel("ERROR")
+    began = time.time()
+    STAGES["line_dedup"](spark, df, "").write.parquet(str(tmp_path / "out"))
+    assert time.time() - began < 150
+    got = {r.doc_id: r.text.split("\n") for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got[2] == ["another one is here"]
+    assert got[1][:1] == own[:1] and sum("the same" in x for x in got[1]) <= 3 and set(own) >= {x for x in got[1] if "the same" not in x} and len(got[1]) > 95_000
