@@ -14,20 +14,35 @@ from tallyward.llm.common import materialize, scratch
 
 
 def test_top_k(spark, monkeypatch):
-    monkeypatch.setattr(topk, "SHARD", 64)
-    monkeypatch.setattr(topk, "BLOCK", 2)
+    monkeypatch.setattr(topk, "SHARDS", 5)
+    monkeypatch.setattr(topk, "LEAF", 8)
     rng = random.Random(2)
     rows = [(i, [rng.choice([-0.5, 0.25, rng.uniform(-1, 1)]) for _ in range(6)]) for i in range(300)]
     rows += [(300, None), (301, []), (302, [1.0, None] + [0.0] * 4), (303, [float("nan")] + [0.0] * 5), (304, [float("inf")] * 6), (None, [1.0] * 6), (305, rows[0][1]), (305, rows[0][1])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash"))
-    got = {}
-    for r in topk.top_k(df, F.col("vec_id") % 50 == 0, k=7).collect():
-        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    rows += [(50, rows[7][1]), (100, rows[100][1]), (306, [0.5] * 3), (350, [0.5, -0.25]), *[(i, rows[5][1]) for i in range(400, 500, 3)]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"score": F.lit("clash"), "row": F.lit("clash")}).repartition(3)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 50 == 0, k=7).collect())
     sound = [(i, [math.floor(1024 * x) for x in spark_floats(v)]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
-    for q, v in sound:
+    want = []
+    for n, (q, v) in enumerate(sound):
         if q % 50 == 0:
-            best = sorted(((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in sound if i != q))[:7]
-            assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for m, (i, w) in enumerate(sound) if m != n)[:7]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert got == sorted(want)
+
+
+def test_top_k_of_large_numbers(spark):
+    """Scores beyond 53 bits are exact, those beyond 64 count as the nearest."""
+    rng = random.Random(5)
+    rows = [(i, [rng.uniform(-1, 1) * 2.0**17 for _ in range(3)]) for i in range(60)] + [(100, [2.0**40] * 3), (101, [2.0**40, 0.0, 0.0])]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5).collect())
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    want = []
+    for q, v in whole:
+        if q % 20 == 0:
+            best = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(v, w, strict=True)))), i) for i, w in whole if i != q)[:5]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert got == sorted(want)
 
 
 def spark_floats(v):
