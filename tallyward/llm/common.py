@@ -192,14 +192,19 @@ def batches(n_rows: int, step: int) -> Iterator[tuple[int, int]]:
 
 
 _shipped: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once a session, so that their Python finds it wherever the driver runs."""
+    """Send this package to the executors, once a session, so that their Python finds it wherever the driver runs. Where the
+    session leaves the bytes of an Arrow batch at Spark's 64 MB, they are bounded by 8 MB: a batch is held several times over,
+    in the JVM and in Python."""
     import os
     import shutil
 
     app = spark.sparkContext.applicationId
+    if spark.conf.get(_BATCH, "").rstrip("b") == str(64 << 20):
+        spark.conf.set(_BATCH, str(8 << 20))
     if app not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         base = os.path.join(tempfile.mkdtemp(prefix="tallyward-"), "tallyward")
