@@ -203,7 +203,7 @@ def ship(spark: SparkSession) -> None:
     import shutil
 
     app = spark.sparkContext.applicationId
-    if spark.conf.get(_BATCH, "").rstrip("b") == str(64 << 20):
+    if spark.conf.get(_BATCH).rstrip("b") == str(64 << 20):
         spark.conf.set(_BATCH, str(8 << 20))
     if app not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
