@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,8 +13,8 @@ from ..operators.joins import overlapping
 from ..operators.merge import appended_only, current_only_one, insert_if_absent, merge_keyed, repoint
 from ..operators.quadtree import inside, ring_cells
 from ..operators.quality import publish_gate
-from ..sources.readers import bill_rows, finance_totals, gazetteer, import_verdicts, roll_call_members, senate_members
-from ..sources.snapshot import manifest, pack_columns, split_dimension
+from ..sources.readers import bill_rows, finance_totals, gazetteer, import_verdicts, new_roll_calls, roll_call_members, senate_members, vote_menu
+from ..sources.snapshot import manifest, pack_columns, publish, published, split_dimension
 from ..streaming.loads import above_mark, amend, replay, windowed_counts
 from ..streaming.state import above_marks, new_payloads, run
 from .tables import VOTES_SQL, read, shared_folder, votes
@@ -201,12 +202,47 @@ def xml_votes(spark, sf_dir):
     return _xml_votes(read(spark, sf_dir, "orders"))
 
 
+def _roll_call():
+    return F.concat(F.lit("<roll_call_vote><congress>118</congress><session>1</session><vote_number> 00"), F.col("o_orderkey").cast("string"), F.lit("</vote_number><vote_date>February 3, 2024,  02:15 PM</vote_date><members><member><last_name>A</last_name><lis_member_id> S"), F.col("o_custkey").cast("string"), F.lit(" </lis_member_id><vote_cast>Yea</vote_cast></member><member><last_name>B</last_name><lis_member_id>S0</lis_member_id><vote_cast>Not Voting</vote_cast></member></members></roll_call_vote>"))
+
+
 def _xml_votes(o):
-    xml = F.concat(F.lit("<roll_call_vote><congress>118</congress><session>1</session><vote_number> 00"), F.col("o_orderkey").cast("string"), F.lit("</vote_number><vote_date>February 3, 2024,  02:15 PM</vote_date><members><member><last_name>A</last_name><lis_member_id> S"), F.col("o_custkey").cast("string"), F.lit(" </lis_member_id><vote_cast>Yea</vote_cast></member><member><last_name>B</last_name><lis_member_id>S0</lis_member_id><vote_cast>Not Voting</vote_cast></member></members></roll_call_vote>"))
-    got = senate_members(o.select(xml.alias("payload")))
+    got = senate_members(o.select(_roll_call().alias("payload")))
     return got.groupBy("vote_number", "vote").agg(F.min("member").alias("member"), F.min("day").cast("string").alias("day"))
 
 
+def xml_menu(spark, sf_dir):
+    """Orders as roll calls: menus in XML files list all of them, stored are those of even customers; only the others are parsed."""
+    path = shared_folder(spark, "menu") + "/votes"
+    o = read(spark, sf_dir, "orders").where("o_orderkey > 0")
+    entry = o.select(
+        F.concat(F.lit("\n 00"), F.col("o_orderkey").cast("string"), F.lit(" ")).alias("vote_number"), F.concat(F.lit("  H.R.\n  "), F.col("o_custkey").cast("string")).alias("issue"),
+        F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("result"),
+    )
+    entry.write.format("xml").options(rootTag="votes", rowTag="vote").save(path)
+    details = o.select(F.col("o_orderkey").alias("number"), _roll_call().alias("payload"))
+    stored = o.where("o_custkey % 2 = 0").select(F.col("o_orderkey").alias("number"))
+    got = new_roll_calls(vote_menu(spark, path), details, stored)
+    return got.groupBy("vote_number", "issue", "result").agg(F.count("*").alias("members"), F.min("day").cast("string").alias("day"))
+
+
+def published_snapshot(spark, sf_dir):
+    """A snapshot of three tables, a second one that fails between two of them, and a third that its gate refuses: what stands is
+    the first, and its manifest tells the rows."""
+    path = shared_folder(spark, "published")
+    c, o = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")
+    tables = {"customers": c.select("c_custkey", "c_nationkey"), "orders": o.select("o_orderkey", "o_custkey"), "urgent": o.where("o_orderpriority = '1-URGENT'").select("o_orderkey")}
+    publish(tables, path, {"orders_of_nobody": o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left_anti").where("o_custkey < 0")})
+    failing = {"customers": c.limit(1).select("c_custkey", "c_nationkey"), "orders": o.select(F.raise_error(F.lit("lost")).alias("o_orderkey"))}
+    for bad, gates in ((failing, {}), ({"customers": c.select("c_custkey")}, {"poor": c.where("c_acctbal < 0")})):
+        try:
+            publish(bad, path, gates)
+        except (ValueError, PySparkException):
+            continue
+    known = published(spark, path, "orders").groupBy().agg(F.sum("o_orderkey").alias("keys"))
+    return published(spark, path).select("table", "rows").join(known.select(F.lit("orders").alias("table"), "keys"), "table", "left")
+
+
 def triage_import(spark, sf_dir):
     lab = read(spark, sf_dir, "labels")
     v = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 3 == 0, "keep").when(F.col("doc_id") % 3 == 1, "drop").otherwise("maybe").alias("verdict"), F.when(F.col("doc_id") % 2 == 0, "high").otherwise("low").alias("confidence"))
@@ -277,7 +313,7 @@ def projected(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (merge_policies, amendments, absent_inserts, identity_pairs, identity_ladder, repointed_donations, current_rows, append_only_check, publish_check, fresh_roll_calls,
-              stream_replay, stream_marks, stream_payloads, span_nesting, daily_windows, packed_columns, thin_facts, snapshot_manifest, json_votes, json_bills, json_totals, xml_votes, triage_import, place_tiers, population_rows,
+              stream_replay, stream_marks, stream_payloads, span_nesting, daily_windows, packed_columns, thin_facts, snapshot_manifest, json_votes, json_bills, json_totals, xml_votes, xml_menu, published_snapshot, triage_import, place_tiers, population_rows,
               label_names, points_on_land, points_in_rings, anchored_labels, projected)
 }
 
@@ -323,6 +359,8 @@ SELECT doc_id, count(*) AS pairs, sum(chars)::BIGINT AS chars, count(DISTINCT no
     "json_bills": "SELECT 'HR-' || p_partkey AS bill_key, p_name AS title, p_brand AS policy_area, array_to_string(list_sort(list_distinct(string_split(p_name, ' '))), ',') AS subjects, '2023-01-09' AS introduced, 'new ' || p_type AS summary FROM part",
     "json_totals": "SELECT s_name AS candidate_id, round(s_acctbal, 2) AS receipts, CAST(NULL AS DOUBLE) AS disbursements, CASE WHEN s_suppkey % 3 <> 0 THEN '2026-03-31' END AS coverage_end FROM supplier",
     "xml_votes": "SELECT CAST(o_orderkey AS INTEGER) AS vote_number, 'Yea' AS vote, min('S' || o_custkey) AS member, '2024-02-03' AS day FROM orders GROUP BY 1 UNION ALL SELECT DISTINCT CAST(o_orderkey AS INTEGER), 'Not Voting', 'S0', '2024-02-03' FROM orders",
+    "xml_menu": "SELECT CAST(o_orderkey AS INTEGER) AS vote_number, 'H.R. ' || o_custkey AS issue, CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS result, count(*) * 2 AS members, '2024-02-03' AS day FROM orders WHERE o_orderkey > 0 AND o_custkey % 2 <> 0 GROUP BY ALL",
+    "published_snapshot": "SELECT 'customers' AS table, count(*) AS rows, CAST(NULL AS BIGINT) AS keys FROM customer UNION ALL SELECT 'orders', count(*), sum(o_orderkey)::BIGINT FROM orders UNION ALL SELECT 'urgent', count(*), NULL FROM orders WHERE o_orderpriority = '1-URGENT'",
     "triage_import": "SELECT CASE WHEN l.doc_id IS NULL THEN 'unknown_id' WHEN d.doc_id % 3 = 2 THEN 'unknown_verdict' WHEN d.doc_id % 2 <> 0 THEN 'low_confidence' ELSE 'taken' END AS outcome, count(*) AS rows FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY 1",
     "place_tiers": """WITH r AS (SELECT c_custkey AS geoid, CASE WHEN c_acctbal > 0 THEN CAST(trunc(c_acctbal) AS INTEGER) ELSE 0 END AS pop, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN c_acctbal > 0 THEN CAST(trunc(c_acctbal) AS INTEGER) ELSE 0 END DESC, c_custkey % 10 DESC, c_custkey) AS rank FROM customer)
 SELECT geoid, rank, CASE WHEN rank <= 2 OR (pop >= 9000 AND rank <= 4) THEN 1 WHEN rank <= 5 OR (pop >= 6000 AND rank <= 15) THEN 2 WHEN rank <= 20 OR (pop >= 2000 AND rank <= 30) THEN 3 ELSE 4 END AS tier FROM r""",

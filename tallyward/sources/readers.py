@@ -89,6 +89,21 @@ def senate_members(df: DataFrame, payload: str = "payload") -> DataFrame:
     return p.select("congress", "session", F.col("vote_number").try_cast("int").alias("vote_number"), day.alias("day"), F.trim("m.lis_member_id").alias("member"), F.trim("m.vote_cast").alias("vote"))
 
 
+def vote_menu(spark: SparkSession, path: str) -> DataFrame:
+    """number, issue, result of the votes that menu files in XML list; white space is collapsed, votes without a number go."""
+    raw = spark.read.format("xml").option("rowTag", "vote").schema("vote_number string, issue string, result string").load(path)
+    plain = lambda c: blank_to_null(F.regexp_replace(F.col(c), r"(?U)\s+", " "))
+    return raw.select(plain("vote_number").try_cast("int").alias("number"), plain("issue").alias("issue"), plain("result").alias("result")).where("number is not null")
+
+
+def new_roll_calls(menu: DataFrame, details: DataFrame, stored: DataFrame) -> DataFrame:
+    """A row a member of the roll calls that the menu lists and `stored` (number) lacks, with the menu's issue and result.
+    details: number, payload. Only payloads that are wanted are parsed; a vote of the menu without a payload has no row."""
+    wanted = menu.dropDuplicates(["number"]).join(stored.select("number"), "number", "left_anti")
+    payloads = details.join(wanted.select("number"), "number", "left_semi")
+    return senate_members(payloads).join(wanted.withColumnRenamed("number", "vote_number"), "vote_number")
+
+
 def import_verdicts(verdicts: DataFrame, pending: DataFrame, allowed: list[str], confidence: str = "high") -> DataFrame:
     """verdicts (id, verdict, confidence) with outcome: unknown_id, unknown_verdict, low_confidence or taken."""
     df = verdicts.join(pending.select("id", F.lit(True).alias("p")).distinct(), "id", "left")
