@@ -60,6 +60,16 @@ def bill_key(c: Column) -> Column:
     return F.when(flat.rlike(r"^[A-Z]+\d+$"), F.concat_ws("-", F.regexp_extract(flat, r"^([A-Z]+)", 1), F.regexp_extract(flat, r"(\d+)$", 1)))
 
 
+#: Kinds of bills that have a path of their own.
+BILL_PATHS = ("HR", "S", "HRES", "SRES", "HJRES", "SJRES", "HCONRES", "SCONRES")
+
+
+def split_bill_key(key: Column) -> Column:
+    """struct(path, number) of a key like HR-8595; null where the kind is unknown or what follows the first hyphen is no number."""
+    kind, number = F.upper(F.substring_index(key, "-", 1)), F.regexp_extract(key, r"^[^-]*-(\d+)$", 1)
+    return F.when(kind.isin(*BILL_PATHS) & (number != ""), F.struct(F.lower(kind).alias("path"), number.cast("long").alias("number")))
+
+
 def seat_district(office: Column, district: Column, seats: Column) -> Column:
     """Two-digit House district, 00 for an at-large seat, null for other offices and numbers outside 1..seats."""
     n = district.try_cast("int")

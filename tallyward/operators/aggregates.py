@@ -65,3 +65,31 @@ def procedure_scores(df: DataFrame, truth: str, decisions: dict[str, str], by: l
             "retention": F.round(F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))), 4),
         }
     )
+
+
+def vote_report(votes: DataFrame, by: list[str], position: str = "position", at: str = "day", words: tuple[str, ...] = ("yea", "nay", "present", "not_voting")) -> DataFrame:
+    """(by, votes_recorded, a count for each word, latest_vote)."""
+    return votes.groupBy(*by).agg(F.count("*").alias("votes_recorded"), *[F.count_if(F.col(position) == w).alias(w) for w in words], F.max(at).alias("latest_vote"))
+
+
+def coverage_totals(candidates: DataFrame, researched: DataFrame, house: str = "house") -> DataFrame:
+    """One row: candidates, states, researched (states with a candidate that `researched` names by person), and of the House
+    seats (state, district; a null district is one) how many there are and how many have such a candidate.
+
+    candidates: person, state, office, district.
+    """
+    df = candidates.join(researched.select("person").distinct().withColumn("__hit", F.lit(True)), "person", "left").withColumn("__hit", F.col("__hit").isNotNull())
+    seats = df.where(F.col("office") == house).groupBy("state", "district").agg(F.bool_or("__hit").alias("covered"))
+    seats = seats.agg(F.count("*").alias("seats"), F.count_if("covered").alias("seats_covered"))
+    whole = df.agg(F.count("*").alias("candidates"), F.count_distinct("state").alias("states"), F.count_distinct(F.when(F.col("__hit"), F.col("state"))).alias("researched"))
+    return whole.withColumn("__one", F.lit(1)).join(seats.withColumn("__one", F.lit(1)), "__one").drop("__one")  # one row each
+
+
+def any_member(df: DataFrame, **keys: DataFrame) -> DataFrame:
+    """Rows whose value in any of the named columns is among the values of that name in its table. Each table is one semi join,
+    as a flag, so that a row is kept once."""
+    columns, flags = df.columns, []
+    for i, (column, table) in enumerate(keys.items()):
+        flags.append(f"__in{i}")
+        df = df.join(table.select(column).distinct().withColumn(flags[-1], F.lit(True)), column, "left")
+    return df.where(F.coalesce(*[F.col(f) for f in flags], F.lit(False))).select(*columns)

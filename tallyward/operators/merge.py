@@ -58,6 +58,14 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> Dat
     return target.unionByName(one_each(rows, keys).join(target.select(*keys), keys, "left_anti"))
 
 
+def captured(stored: DataFrame, payloads: DataFrame, kind: str = "kind", payload: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """(stored with what is new, payloads with source_id): a payload is known by its kind and the hash of its content, which also
+    names it, so that capturing it again gives the same id. stored: source_id, kind, content_hash."""
+    named = payloads.withColumn("content_hash", F.sha2(F.coalesce(F.col(payload).cast("string"), F.lit("")), 256))
+    named = named.withColumn("source_id", F.sha2(F.concat_ws("/", F.coalesce(kind, F.lit("")), "content_hash"), 256))
+    return insert_if_absent(stored, named.select("source_id", kind, "content_hash"), ["source_id"]).select(*stored.columns), named
+
+
 def replace_groups(target: DataFrame, rows: DataFrame, group: list[str], groups: DataFrame | None = None) -> DataFrame:
     """target without the rows of the groups that `groups` (rows, where not given) names, and with rows: a document's
     promises before they are extracted anew. A group that is named and has no rows is emptied."""

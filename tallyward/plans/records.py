@@ -6,14 +6,14 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import display_name
+from ..functions.scalars import display_name, split_bill_key
 from ..operators import places as pl
 from ..operators.identity import decide_links, pair_ids
 from ..operators.joins import overlapping
-from ..operators.merge import appended_only, current_only_one, insert_if_absent, merge_keyed, repoint
+from ..operators.merge import appended_only, captured, current_only_one, insert_if_absent, merge_keyed, repoint
 from ..operators.quadtree import inside, ring_cells
 from ..operators.quality import publish_gate
-from ..sources.readers import bill_rows, finance_totals, gazetteer, import_verdicts, new_roll_calls, roll_call_members, senate_members, vote_menu
+from ..sources.readers import TOTALS, bill_rows, declared_sites, finance_totals, gazetteer, import_verdicts, new_roll_calls, roll_call_members, senate_members, vote_menu
 from ..sources.snapshot import manifest, pack_columns, publish, published, split_dimension
 from ..streaming.loads import above_mark, amend, replay, windowed_counts
 from ..streaming.state import above_marks, new_payloads, run
@@ -192,9 +192,40 @@ def json_bills(spark, sf_dir):
 
 def json_totals(spark, sf_dir):
     s = read(spark, sf_dir, "supplier")
-    body = F.struct(F.col("s_name").alias("candidate_id"), F.lit(2026).alias("cycle"), F.when(F.col("s_suppkey") % 3 != 0, "2026-03-31T00:00:00").alias("coverage_end_date"), F.col("s_acctbal").alias("receipts"), F.lit(1.5).alias("cash_on_hand"))
+    k = F.col("s_suppkey")
+    body = F.struct(
+        F.col("s_name").alias("candidate_id"), F.lit(2026).alias("cycle"), F.when(k % 3 != 0, "2026-03-31T00:00:00").alias("coverage_end_date"), F.col("s_acctbal").alias("receipts"), F.lit(1.5).alias("last_cash_on_hand_end_period"),
+        F.when(k % 2 == 0, k * 0.25).alias("last_debts_owed_by_committee"), (k * 2.0).alias("individual_itemized_contributions"), F.when(k % 5 != 0, k * 1.0).alias("other_political_committee_contributions"),
+    )
     got = finance_totals(s.select(F.to_json(body).alias("payload")))
-    return got.select("candidate_id", F.col("receipts").cast("double").alias("receipts"), F.col("disbursements").cast("double").alias("disbursements"), F.col("coverage_end").cast("string").alias("coverage_end"))
+    return got.select("candidate_id", *[F.col(c).cast("double").alias(c) for c in TOTALS.values()], F.col("coverage_end").cast("string").alias("coverage_end"))
+
+
+def declared_websites(spark, sf_dir):
+    """Each customer's orders as committees in a JSON payload: authorised ones declare a site by their clerk's number."""
+    o, k = read(spark, sf_dir, "orders"), F.col("o_orderkey")
+    site = F.when(k % 5 == 0, "none").when(k % 7 == 0, F.concat(F.lit(" HTTPS://Site"), k % 4, F.lit(".example/ "))).when(k % 11 != 0, F.concat(F.lit("site"), k % 4, F.lit(".example")))
+    item = F.struct(k.alias("at"), F.struct(F.concat(F.lit("C"), k).alias("committee_id"), F.substr(F.col("o_orderpriority"), F.lit(3), F.lit(1)).alias("designation"), site.alias("website")).alias("c"))
+    one = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    one = one.select("o_custkey", F.to_json(F.struct(F.transform("items", lambda x: x["c"]).alias("results"))).alias("payload"))
+    return declared_sites(one, "o_custkey", authorised=("U", "H", "M"))
+
+
+def bill_paths(spark, sf_dir):
+    p, k = read(spark, sf_dir, "part"), F.col("p_partkey")
+    kinds = F.array(*[F.lit(x) for x in ("HR-{}", "sjres-{}", "PN-{}", "S-{}x", "HCONRES-0{}", "HR{}", "S--{}")])
+    key = F.replace(F.get(kinds, (k % 7).cast("int")), F.lit("{}"), k.cast("string"))
+    return p.select("p_partkey", split_bill_key(key).alias("b")).select("p_partkey", "b.path", "b.number")
+
+
+def captured_payloads(spark, sf_dir):
+    """Turns of talks as payloads, of which those of even talks are stored already."""
+    t = read(spark, sf_dir, "conversations").select(F.col("role").alias("kind"), F.col("text").alias("payload"), "conv_id")
+    none = spark.createDataFrame([], "source_id string, kind string, content_hash string")
+    stored, _ = captured(none, t.where("conv_id % 2 = 0"))
+    after, named = captured(stored, t)
+    known = named.join(after, "source_id", "left_semi").groupBy("kind").agg(F.count("*").alias("payloads"))
+    return after.groupBy("kind").agg(F.count("*").alias("sources"), F.count_distinct("content_hash").alias("contents")).join(known, "kind")
 
 
 def xml_votes(spark, sf_dir):
@@ -313,7 +344,7 @@ def projected(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (merge_policies, amendments, absent_inserts, identity_pairs, identity_ladder, repointed_donations, current_rows, append_only_check, publish_check, fresh_roll_calls,
-              stream_replay, stream_marks, stream_payloads, span_nesting, daily_windows, packed_columns, thin_facts, snapshot_manifest, json_votes, json_bills, json_totals, xml_votes, xml_menu, published_snapshot, triage_import, place_tiers, population_rows,
+              stream_replay, stream_marks, stream_payloads, span_nesting, daily_windows, packed_columns, thin_facts, snapshot_manifest, json_votes, json_bills, json_totals, declared_websites, bill_paths, captured_payloads, xml_votes, xml_menu, published_snapshot, triage_import, place_tiers, population_rows,
               label_names, points_on_land, points_in_rings, anchored_labels, projected)
 }
 
@@ -357,7 +388,14 @@ SELECT doc_id, count(*) AS pairs, sum(chars)::BIGINT AS chars, count(DISTINCT no
     "thin_facts": "SELECT l_partkey, count(*) AS facts, min(p_name) AS p_name, min(p_brand) AS p_brand FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1",
     "json_votes": f"WITH {VOTES_SQL} SELECT 118 AS congress, 1 AS session, bill AS roll_call, '2024-02-03' AS day, CAST(vote_id AS VARCHAR) AS member, 'M' || member AS name, position AS vote FROM votes",
     "json_bills": "SELECT 'HR-' || p_partkey AS bill_key, p_name AS title, p_brand AS policy_area, array_to_string(list_sort(list_distinct(string_split(p_name, ' '))), ',') AS subjects, '2023-01-09' AS introduced, 'new ' || p_type AS summary FROM part",
-    "json_totals": "SELECT s_name AS candidate_id, round(s_acctbal, 2) AS receipts, CAST(NULL AS DOUBLE) AS disbursements, CASE WHEN s_suppkey % 3 <> 0 THEN '2026-03-31' END AS coverage_end FROM supplier",
+    "json_totals": """SELECT s_name AS candidate_id, round(s_acctbal, 2) AS receipts, CAST(NULL AS DOUBLE) AS disbursements, 1.5::DOUBLE AS cash_on_hand, CASE WHEN s_suppkey % 2 = 0 THEN round(CAST(s_suppkey * 0.25 AS DECIMAL(14, 2)), 2)::DOUBLE END AS debts_owed,
+  (s_suppkey * 2)::DOUBLE AS individual_itemized, CAST(NULL AS DOUBLE) AS individual_unitemized, CASE WHEN s_suppkey % 5 <> 0 THEN s_suppkey::DOUBLE END AS pac_contributions, CASE WHEN s_suppkey % 3 <> 0 THEN '2026-03-31' END AS coverage_end FROM supplier""",
+    "declared_websites": """WITH o AS (SELECT o_custkey, o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN 'none' WHEN o_orderkey % 7 = 0 THEN 'HTTPS://Site' || (o_orderkey % 4) || '.example/' WHEN o_orderkey % 11 <> 0 THEN 'site' || (o_orderkey % 4) || '.example' END AS w
+  FROM orders WHERE substr(o_orderpriority, 3, 1) IN ('U', 'H', 'M')),
+u AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, k % 4 ORDER BY k) AS n FROM o WHERE w <> 'none')
+SELECT o_custkey, 'C' || k AS cmte_id, w AS declared, 'https://site' || (k % 4) || '.example' AS url FROM u WHERE n = 1""",
+    "bill_paths": """SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'hr' WHEN 1 THEN 'sjres' WHEN 4 THEN 'hconres' END AS path, CASE WHEN p_partkey % 7 IN (0, 1, 4) THEN p_partkey END AS number FROM part""",
+    "captured_payloads": """WITH t AS (SELECT role AS kind, coalesce(text, '') AS t FROM conversations) SELECT kind, count(DISTINCT t) AS sources, count(DISTINCT t) AS contents, count(*) AS payloads FROM t GROUP BY kind""",
     "xml_votes": "SELECT CAST(o_orderkey AS INTEGER) AS vote_number, 'Yea' AS vote, min('S' || o_custkey) AS member, '2024-02-03' AS day FROM orders GROUP BY 1 UNION ALL SELECT DISTINCT CAST(o_orderkey AS INTEGER), 'Not Voting', 'S0', '2024-02-03' FROM orders",
     "xml_menu": "SELECT CAST(o_orderkey AS INTEGER) AS vote_number, 'H.R. ' || o_custkey AS issue, CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS result, count(*) * 2 AS members, '2024-02-03' AS day FROM orders WHERE o_orderkey > 0 AND o_custkey % 2 <> 0 GROUP BY ALL",
     "published_snapshot": "SELECT 'customers' AS table, count(*) AS rows, CAST(NULL AS BIGINT) AS keys FROM customer UNION ALL SELECT 'orders', count(*), sum(o_orderkey)::BIGINT FROM orders UNION ALL SELECT 'urgent', count(*), NULL FROM orders WHERE o_orderpriority = '1-URGENT'",
@@ -369,6 +407,13 @@ SELECT geoid, rank, CASE WHEN rank <= 2 OR (pop >= 9000 AND rank <= 4) THEN 1 WH
     "projected": """WITH p AS (SELECT c_custkey, radians(96.0 - (c_custkey % 60 + 66.0)) AS dl, radians(c_custkey % 25 + 24.0) AS la FROM customer),
 k AS (SELECT (sin(radians(29.5)) + sin(radians(45.5))) / 2 AS n), c AS (SELECT n, cos(radians(29.5)) ** 2 + 2 * n * sin(radians(29.5)) AS c FROM k)
 SELECT c_custkey, round(6370997 * sqrt(c - 2 * n * sin(la)) / n * sin(n * dl), 0) AS x, round(6370997 * (sqrt(c - 2 * n * sin(radians(37.5))) - sqrt(c - 2 * n * sin(la)) * cos(n * dl)) / n, 0) AS y FROM p, c""",
+    "anchored_labels": """WITH p AS (SELECT c_custkey AS id, c_custkey % 150 * 1000.0::DOUBLE - 19750 AS x, floor(c_custkey / 150) * 13000.0::DOUBLE - 8750 AS y, c_custkey % 7 * 1e7 AS area FROM customer),
+w AS (SELECT *, x >= 0 AND x < 1e5 AND y >= 0 AND y < 1e5 AS dry, greatest(0, least(1e5, x)) AS qx, greatest(0, least(1e5, y)) AS qy FROM p),
+d AS (SELECT *, sqrt((x - qx) ** 2 + (y - qy) ** 2) <= least(40000, greatest(2000, sqrt(area) * 3)) AS ok FROM w),
+t AS (SELECT i * 16 + s AS n, r * cos(2 * pi() * s / 16) AS a, r * sin(2 * pi() * s / 16) AS b FROM (SELECT unnest([0, 1, 2, 3, 4]) AS i, unnest([400, 900, 1800, 3500, 7000]) AS r), (SELECT unnest(range(16)) AS s)),
+f AS (SELECT id, arg_min(qx + a, n) AS sx, arg_min(qy + b, n) AS sy FROM d, t WHERE ok AND NOT dry AND qx + a >= 0 AND qx + a < 1e5 AND qy + b >= 0 AND qy + b < 1e5 GROUP BY id),
+l AS (SELECT CASE WHEN dry THEN 'land' WHEN NOT ok THEN 'dropped' WHEN sx IS NOT NULL THEN 'inland' ELSE 'coast' END AS placed, CASE WHEN dry THEN x WHEN ok THEN coalesce(sx, qx) END AS x, CASE WHEN dry THEN y WHEN ok THEN coalesce(sy, qy) END AS y FROM d LEFT JOIN f USING (id))
+SELECT placed, count(*) AS labels, round(sum(x), 0) AS x, round(sum(y), 0) AS y FROM l GROUP BY placed""",
     "points_in_rings": """SELECT c_custkey AS id, s_suppkey AS ring FROM customer JOIN supplier ON s_nationkey = c_nationkey
 WHERE abs(c_acctbal - s_acctbal - 0.3713) + abs(c_custkey % 1000 * 10.0 + 0.5 - s_suppkey % 1000 * 10.0) < 50 + s_suppkey % 200 * 7.0""",
     "points_on_land": "SELECT id FROM (SELECT c_custkey AS id, c_custkey % 150 * 1000.0 - 19750 AS x, floor(c_custkey / 150) * 13000.0 - 8750 AS y FROM customer) WHERE x > 0 AND x < 100000 AND y > 0 AND y < 100000",

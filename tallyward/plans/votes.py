@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bill_key, ratio, vote_position
-from ..operators.aggregates import first_by, ordered_list, top_n
+from ..operators.aggregates import any_member, coverage_totals, first_by, ordered_list, top_n, vote_report
 from ..operators.joins import array_member_join, by_name, overlapping, resolve_alias, span_outcomes, topic_bills
 from .tables import BILLS_SQL, VOTES_SQL, bills, read, votes
 
@@ -84,6 +84,27 @@ def semi_members(spark, sf_dir):
     return v.select("member").distinct().join(v.join(b, "bill", "left_semi").select("member"), "member", "left_semi")
 
 
+def state_report(spark, sf_dir):
+    """Votes of customers as members, by nation and segment: counts by word and the latest day."""
+    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("member"), F.col("c_nationkey").alias("state"), F.col("c_mktsegment").alias("chamber"))
+    kinds = ("click", "error", "purchase", "view")
+    return vote_report(votes(spark, sf_dir).join(c, "member"), ["state", "chamber"], words=kinds).withColumn("latest_vote", F.col("latest_vote").cast("string"))
+
+
+def national_coverage(spark, sf_dir):
+    """Customers as candidates: a House seat for each nation and balance's thousand, researched where they have an urgent order."""
+    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("person"), F.col("c_nationkey").alias("state"), F.when(F.col("c_mktsegment") == "BUILDING", "senate").otherwise("house").alias("office"), F.when(F.col("c_acctbal") > 0, F.floor(F.col("c_acctbal") / 1000)).alias("district"))
+    return coverage_totals(c, read(spark, sf_dir, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("person")))
+
+
+def shown_candidates(spark, sf_dir):
+    """Suppliers that received something dear or whose nation has promises, either of which is enough."""
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    dear = read(spark, sf_dir, "lineitem").where("l_extendedprice > 104800").select(F.col("l_suppkey").alias("s_suppkey"))
+    nations = read(spark, sf_dir, "customer").where("c_acctbal > 9990").select(F.col("c_nationkey").alias("s_nationkey"))
+    return any_member(s, s_suppkey=dear, s_nationkey=nations)
+
+
 def anti_missing(spark, sf_dir):
     """Customers without an urgent order, as a queue of missing metadata."""
     return read(spark, sf_dir, "customer").join(read(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_mktsegment")
@@ -164,7 +185,7 @@ def leak_counts(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (member_record, participation, member_topics, recent_votes, topic_alias_match, promise_votes, array_membership_join, semi_members, anti_missing,
+    for f in (member_record, participation, member_topics, recent_votes, topic_alias_match, promise_votes, array_membership_join, semi_members, state_report, national_coverage, shown_candidates, anti_missing,
               null_aware_not_in, high_water_mark, review_queue_json, prompt_render, distinct_reasons, review_precision, name_lookup, key_normalise, span_overlap, leak_counts)
 }
 
@@ -205,6 +226,11 @@ SELECT name, CASE WHEN ne = 1 THEN e WHEN ne = 0 AND nf = 1 THEN f END AS person
 y AS (SELECT vote_id, upper(regexp_replace(k, '[\s.]', '', 'g')) AS f, lower(regexp_replace(trim(w), '\s+', ' ', 'g')) AS v FROM x)
 SELECT vote_id, CASE WHEN regexp_full_match(f, '[A-Z]+\d+') THEN regexp_extract(f, '^([A-Z]+)', 1) || '-' || regexp_extract(f, '(\d+)$', 1) END AS bill_key,
   CASE WHEN v IN ('yea', 'aye', 'yes') THEN 'yea' WHEN v IN ('nay', 'no') THEN 'nay' WHEN v = 'present' THEN v WHEN v = 'not voting' THEN 'not_voting' END AS position FROM y""",
+    "state_report": f"WITH {VOTES_SQL} SELECT c_nationkey AS state, c_mktsegment AS chamber, count(*) AS votes_recorded, " + ", ".join(f"count(*) FILTER (position = '{w}') AS {w}" for w in ("click", "error", "purchase", "view")) + ", strftime(max(day), '%Y-%m-%d') AS latest_vote FROM votes JOIN customer ON c_custkey = member GROUP BY 1, 2",
+    "national_coverage": """WITH c AS (SELECT c_nationkey AS state, c_mktsegment <> 'BUILDING' AS house, CASE WHEN c_acctbal > 0 THEN floor(c_acctbal / 1000) END AS district, c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000) AS hit FROM customer),
+s AS (SELECT bool_or(hit) AS hit FROM c WHERE house GROUP BY state, district)
+SELECT count(*) AS candidates, count(DISTINCT state) AS states, count(DISTINCT state) FILTER (hit) AS researched, (SELECT count(*) FROM s) AS seats, (SELECT count(*) FROM s WHERE hit) AS seats_covered FROM c""",
+    "shown_candidates": "SELECT s_suppkey, s_nationkey FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_extendedprice > 104800) OR s_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9990)",
     "span_overlap": """WITH d AS (SELECT doc_id, coalesce(length(text), 0) AS n FROM documents WHERE length(text) > 100),
 a AS (SELECT doc_id, unnest(range(0, n, 150)) AS s FROM d), b AS (SELECT doc_id, unnest(range(30, n, 100)) AS s FROM d)
 SELECT doc_id, count(*) AS pairs, sum(least(a.s + 200, b.s + 120) - greatest(a.s, b.s))::BIGINT AS chars FROM a JOIN b USING (doc_id)

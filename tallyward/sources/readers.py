@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import blank_to_null, iso_day
+from ..operators.web import declared_url
 
 
 def read_pipe(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
@@ -72,11 +73,27 @@ def bill_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     )
 
 
+#: Fields of the official totals, and the columns that they become.
+TOTALS = {
+    "receipts": "receipts", "disbursements": "disbursements", "last_cash_on_hand_end_period": "cash_on_hand", "last_debts_owed_by_committee": "debts_owed",
+    "individual_itemized_contributions": "individual_itemized", "individual_unitemized_contributions": "individual_unitemized", "other_political_committee_contributions": "pac_contributions",
+}
+
+
 def finance_totals(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Official totals in JSON as flat decimal columns; the first ten characters of the coverage end are its day."""
-    names = ["receipts", "disbursements", "cash_on_hand"]
-    p = df.select(F.from_json(payload, "struct<candidate_id:string,cycle:int,coverage_end_date:string," + ",".join(f"{n}:double" for n in names) + ">").alias("p")).select("p.*")
-    return p.select("candidate_id", "cycle", *[F.col(n).cast("decimal(14,2)").alias(n) for n in names], iso_day(F.col("coverage_end_date")).alias("coverage_end"))
+    p = df.select(F.from_json(payload, "struct<candidate_id:string,cycle:int,coverage_end_date:string," + ",".join(f"{n}:double" for n in TOTALS) + ">").alias("p")).select("p.*")
+    return p.select("candidate_id", "cycle", *[F.col(n).cast("decimal(14,2)").alias(c) for n, c in TOTALS.items()], iso_day(F.col("coverage_end_date")).alias("coverage_end"))
+
+
+def declared_sites(df: DataFrame, key: str, payload: str = "payload", authorised: tuple[str, ...] = ("P", "A")) -> DataFrame:
+    """(key, cmte_id, declared, url) of a payload's authorised committees that declare a website; of those that declare the same
+    site, as it is normalised, the first by place counts."""
+    item = "struct<committee_id:string,designation:string,website:string>"
+    rows = df.select(key, F.posexplode(F.from_json(payload, f"struct<results:array<{item}>>")["results"]).alias("at", "c")).select(key, "at", "c.*")
+    rows = rows.where(F.col("designation").isin(*authorised) & (F.col("committee_id") != "") & (F.col("website") != "")).withColumn("url", declared_url(F.col("website")))
+    first = rows.where("url is not null").groupBy(key, "url").agg(F.min_by(F.struct("committee_id", "website"), "at").alias("c"))
+    return first.select(key, F.col("c.committee_id").alias("cmte_id"), F.trim("c.website").alias("declared"), "url")
 
 
 SENATE = "struct<congress:int,session:int,vote_number:string,vote_date:string,members:struct<member:array<struct<last_name:string,lis_member_id:string,vote_cast:string>>>>"
