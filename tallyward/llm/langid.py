@@ -7,8 +7,8 @@ the bytes already ruled out; after order 0 all remaining byte values are alike.
 smallest total; its score is that language's share when the code lengths are read as likelihoods.
 
 The trees are learned from at most `per_language` labelled texts of each language, picked by a hash of the id (a bounded
-sample, whole texts). Counts are summed by Spark; the tables made of them (some tens of MB at most, bounded by the sample)
-are broadcast. Every text is scored whole.
+sample, whole texts). Counts are summed by Spark; the tables made of them are sparse, with a few numbers for each distinct
+gram of a language's sample, and are broadcast. Every text is scored whole.
 
 Defined cases: null text or text without a letter is `und` with score 0; without any labelled text all are `und`; equal
 code lengths go to the first language by name; null ids are never learned from; other columns are ignored.
@@ -26,6 +26,7 @@ from .common import LOWER, ship, text_slices
 ORDER = 3
 KEEP = 3
 SLICES = 16  # in which the learned texts of a language are picked
+MEMORY = 1 << 26  # bytes of remembered code lengths a Python worker
 _START = 32  # what stands before a text
 
 
@@ -47,105 +48,129 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return code
 
 
+def _gram(code: np.ndarray, k: int) -> np.ndarray:
+    """The last k + 1 bytes of grams."""
+    return code & np.uint32((1 << 8 * (k + 1)) - 1)
+
+
+def _context(code: np.ndarray, k: int) -> np.ndarray:
+    """The k bytes before the last one."""
+    return (code >> np.uint32(8)) & np.uint32((1 << 8 * k) - 1)
+
+
+def _sum_by(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    kinds, which = np.unique(key, return_inverse=True)
+    return kinds, np.bincount(which, n, len(kinds)).astype(np.float64)
+
+
+def _find(table: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a place in the sorted table, whether the key stands there) of each key."""
+    if not len(table):
+        return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+    at = np.minimum(np.searchsorted(table, key), len(table) - 1)
+    return at, table[at] == key
+
+
+def _escape(total: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Bits of an escape; a context that holds nothing is passed over for none."""
+    return np.where(kinds > 0, np.log2((total + kinds) / np.maximum(kinds, 1), where=kinds > 0, out=np.zeros(len(kinds))), 0.0)
+
+
 class Trees:
-    """Code lengths of all languages: node of the last three bytes, then a row by next byte."""
+    """Code lengths of all languages. Each language has its own sorted tables, by order, of the grams and contexts that its
+    sample holds; their size follows the sample's distinct grams, whatever the number of languages and of byte values."""
 
     def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
         self.langs = sorted(counts)
-        used = np.zeros(256, bool)
-        used[_START] = True
-        for code, _ in counts.values():
-            used[np.unique(code & np.uint32(255))] = True
-        # bytes that no sample holds share one place: they cost the same everywhere
-        self.place = np.cumsum(used) - 1
-        n_seen = int(used.sum())
-        a = n_seen + 1
-        self.place = np.where(used, self.place, n_seen).astype(np.int64)
-        self.a = a
-        unseen = 256 - n_seen
-        grams = {}
-        for lang, (code, n) in counts.items():
-            p = [self.place[(code >> np.uint32(8 * k)) & np.uint32(255)] for k in range(ORDER + 1)]
-            grams[lang] = (p, n.astype(np.float64))
-        # nodes: root, then by order those contexts seen often enough in some language
-        node = np.zeros(a**ORDER, np.int32)  # of the last ORDER bytes: the deepest kept context
-        contexts = []  # (order, code) of each node
-        contexts.append((0, 0))
+        kept = [np.zeros(1, np.uint32)]  # by order, the contexts seen often enough over all languages
         for k in range(1, ORDER + 1):
-            total = np.zeros(a**k)
-            for p, n in grams.values():
-                total += np.bincount(sum(p[j] * a ** (j - 1) for j in range(1, k + 1)), n, a**k)
-            keep = np.flatnonzero(total >= KEEP)
-            ids = np.full(a**k, -1, np.int32)
-            ids[keep] = len(contexts) + np.arange(len(keep), dtype=np.int32)
-            contexts += [(k, int(c)) for c in keep]
-            spread = np.tile(ids, a ** (ORDER - k))  # the nearest bytes are the low digits
-            node = np.where(spread >= 0, spread, node)
-        self.node = node
-        order = np.array([k for k, _ in contexts])
-        code = np.array([c for _, c in contexts])
-        bits = np.zeros((len(contexts), a, len(self.langs)), np.float32)
-        for i, lang in enumerate(self.langs):
-            p, n = grams[lang]
-            dense = {}
-            for k in range(ORDER + 1):
-                here = np.flatnonzero(order == k)
-                index = np.full(a**k, -1, np.int64)
-                index[code[here]] = np.arange(len(here))
-                ctx = sum((p[j] * a ** (j - 1) for j in range(1, k + 1)), np.zeros(len(n), np.int64))
-                row = index[ctx]
-                ok = row >= 0
-                dense[k] = (here, index, np.bincount(row[ok] * a + p[0][ok], n[ok], len(here) * a).reshape(len(here), a))
-            for k in range(ORDER + 1):
-                here, _, _ = dense[k]
-                for at in range(0, len(here), 4096):
-                    part = here[at : at + 4096]
-                    out = np.zeros((len(part), a))
-                    gone = np.zeros((len(part), a), bool)
-                    escaped = np.zeros((len(part), 1))
-                    for j in range(k, -1, -1):
-                        c = dense[j][2][dense[j][1][code[part] % a**j]]
-                        c = np.where(gone, 0, c)
-                        total, kinds = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
-                        with np.errstate(divide="ignore"):
-                            own = escaped - np.log2(c / np.maximum(total + kinds, 1))
-                            esc = np.where(kinds > 0, -np.log2(np.maximum(kinds, 1) / np.maximum(total + kinds, 1)), 0)
-                        out = np.where(c > 0, own, out)
-                        escaped = escaped + esc
-                        gone |= c > 0
-                    # what is left: seen places not yet ruled out, and the bytes that share the last place
-                    weight = np.ones(a)
-                    weight[-1] = unseen
-                    left = np.maximum(((~gone) * weight).sum(1, keepdims=True), 1)
-                    out = np.where(gone, out, escaped + np.log2(left))
-                    bits[part, :, i] = out
-        self.bits = bits.reshape(len(contexts) * a, len(self.langs))
+            seen, total = _sum_by(
+                np.concatenate([_context(c, k) for c, _ in counts.values()] or [np.zeros(0, np.uint32)]),
+                np.concatenate([n for _, n in counts.values()] or [np.zeros(0)]),
+            )
+            kept.append(seen[total >= KEEP])
+        self.tables = [self._table(*counts[lang], kept) for lang in self.langs]
+
+    @staticmethod
+    def _table(code: np.ndarray, n: np.ndarray, kept: list[np.ndarray]) -> list[dict[str, np.ndarray]]:
+        """By order: grams and their counts; contexts, their denominators and escapes, both as they are where coding begins in
+        them and (lower_...) as the next shorter context's are once their own bytes are ruled out. The bytes of a context are
+        bytes of every shorter one, so what is ruled out in an order is what the next longer context holds."""
+        out: list[dict[str, np.ndarray]] = []
+        for k in range(ORDER + 1):
+            gram, c = _sum_by(_gram(code, k), n)
+            ok = _find(kept[k], _context(gram, k))[1]
+            gram, c = gram[ok], c[ok]
+            context, head = np.unique(_context(gram, k), return_index=True)  # grams of a context lie together
+            owner = np.repeat(np.arange(len(context)), np.diff(np.append(head, len(gram))))
+            total, kinds = np.bincount(owner, c, len(context)), np.bincount(owner, minlength=len(context)).astype(np.float64)
+            t = {"gram": gram, "count": c, "context": context, "total": total, "kinds": kinds, "size": total + kinds, "escape": _escape(total, kinds)}
+            if k:
+                below = out[-1]
+                at, short = _find(below["gram"], _gram(gram, k - 1))[0], _find(below["context"], _gram(context, k - 2))[0]
+                rest = below["total"][short] - np.bincount(owner, below["count"][at], len(context))
+                others = below["kinds"][short] - kinds
+                t["lower_size"], t["lower_escape"] = rest + others, _escape(rest, others)
+            out.append(t)
+        return out
+
+    @staticmethod
+    def _bits(table: list[dict[str, np.ndarray]], code: np.ndarray) -> np.ndarray:
+        """Bits of each gram (three bytes and the one to be coded) in one language."""
+        out, escaped = np.zeros(len(code)), np.zeros(len(code))
+        unsure, begun = np.ones(len(code), bool), np.zeros(len(code), bool)
+        longer = np.zeros(len(code), np.int64)
+        for k in range(ORDER, -1, -1):
+            t = table[k]
+            at, own = _find(t["context"], _context(code, k))
+            size, escape = np.where(own, t["size"][at], 1.0), np.where(own, t["escape"][at], 0.0)
+            if k < ORDER and len(table[k + 1]["context"]):
+                size = np.where(begun, table[k + 1]["lower_size"][longer], size)
+                escape = np.where(begun, table[k + 1]["lower_escape"][longer], escape)
+            gram, seen = _find(t["gram"], _gram(code, k))
+            now = unsure & seen
+            out[now] = escaped[now] - np.log2(t["count"][gram[now]] / size[now])
+            unsure &= ~now
+            escaped += escape
+            longer, begun = at, own
+        left = max(256 - len(table[0]["gram"]), 1)
+        return np.where(unsure, escaped + np.log2(left), out).astype(np.float32)
 
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Bits of each text in each language."""
+        """Bits of each text in each language. Grams met before are remembered, in a place by their hash."""
         out = np.zeros((len(offsets) - 1, len(self.langs)))
         if not len(data):
             return out
-        p = self.place[LOWER[data]]
-        ctx = np.zeros(len(p), np.int64)
-        for k in range(1, ORDER + 1):
-            prev = np.full(len(p), self.place[_START])
-            prev[k:] = p[:-k]
-            for j in range(k):
-                at = offsets[:-1] + j
-                prev[at[at < offsets[1:]]] = self.place[_START]
-            ctx += prev * self.a ** (k - 1)
-        rows = self.node[ctx].astype(np.int64) * self.a + p
+        if not hasattr(self, "_known"):
+            self._start()
+        code = _grams(data, offsets)
+        place = self._place(code)
+        miss = np.flatnonzero(self._known[place] != code)
+        kinds, inverse = np.unique(code[miss], return_inverse=True)
         full = np.flatnonzero(offsets[1:] > offsets[:-1])
-        for i in range(len(self.langs)):
-            out[full, i] = np.add.reduceat(self.bits[:, i][rows] if len(self.langs) == 1 else self._columns()[i][rows], offsets[full], dtype=np.float64)
+        for i, table in enumerate(self.tables):
+            bits = self._remembered[i][place]
+            if len(miss):
+                new = self._bits(table, kinds)
+                bits[miss] = new[inverse]
+                self._remembered[i][self._place(kinds)] = new
+            out[full, i] = np.add.reduceat(bits, offsets[full], dtype=np.float64)
+        # of grams that share a place, the last one stays here and above
+        self._known[self._place(kinds)] = kinds
         return out
 
-    def _columns(self) -> list[np.ndarray]:
-        if not hasattr(self, "_cols"):
-            self._cols = [np.ascontiguousarray(self.bits[:, i]) for i in range(len(self.langs))]
-            self.bits = self.bits[:0]
-        return self._cols
+    def _start(self) -> None:
+        self._shift = 32 - min(20, max(10, (MEMORY // 4 // len(self.langs)).bit_length() - 1))
+        self._known = np.zeros(1 << (32 - self._shift), np.uint32)
+        self._remembered = [np.zeros(len(self._known), np.float32) for _ in self.langs]
+        for bits, table in zip(self._remembered, self.tables, strict=True):
+            bits[0] = self._bits(table, np.zeros(1, np.uint32))[0]  # gram 0 alone is at home where an empty place holds 0
+
+    def _place(self, code: np.ndarray) -> np.ndarray:
+        return ((code * np.uint32(0x9E3779B1)) >> np.uint32(self._shift)).astype(np.int64)
+
+    def __getstate__(self) -> dict:
+        return {"langs": self.langs, "tables": self.tables}
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400) -> Trees:
