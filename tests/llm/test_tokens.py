@@ -1,6 +1,7 @@
 """Operators 1 and 8 against the tokenizers library."""
 
 import hashlib
+import json
 import random
 
 import numpy as np
@@ -60,7 +61,6 @@ def test_join_agrees_with_the_whole(spark):
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_counts(spark, rule):
     tok = Tokenizer.from_file(BYTE)
-    tok.encode_special_tokens = True
     docs = list(enumerate(texts(2, 60)))
     cut = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b in ((0, 2), (3, 3), (3, 9), (9, 400))])
     got = {r.doc_id: r for r in token_counts.count_tokens(spark.createDataFrame(docs, "doc_id long, text string"), BYTE, cut, rule=rule).collect()}
@@ -97,17 +97,17 @@ def test_no_rows(spark):
 
 
 def test_stretches_are_the_whole():
-    """Every white space of Unicode (and the separators that are none to the tokenizer) beside solid characters and blanks."""
+    """Every white space of Unicode (and the separators that are none to the tokenizer) beside solid characters, blanks and
+    special tokens, which count as the library counts them."""
     import pyarrow as pa
 
     from tallyward.llm.common import text_slices
 
     tok = Tokenizer.from_file(BYTE)
-    tok.encode_special_tokens = True
     blanks = [chr(c) for c in range(0x3001) if chr(c).isspace()] + ["\u200b", "\ufeff", "\u2060", "\u1680"]
     rng = random.Random(6)
     cases = [x + b + y + c + z for b in blanks for c in (" ", "\n", "\r\n", "\t ", b, "  ") for x in ("a", "", " ", "é.", "\u2019") for y in ("", "b") for z in ("", "1", "\n", "'s")]
-    cases += ["".join(rng.choice([*blanks, " ", "\n", "a", "Z9", "'ll", "漢", "À", "\u2005\u2029", "…", "‟"]) for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
+    cases += ["".join(rng.choice([*blanks, " ", "\n", "<|endoftext|>", "<|endoftext|", "a", "Z9", "'ll", "漢", "À", "\u2005\u2029", "…", "‟"]) for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
     lengths = token_counts.Lengths(BYTE)
     for first, data, offsets in text_slices(pa.array(cases)):
         sizes, heads = lengths.of(data, offsets)
@@ -117,9 +117,22 @@ def test_stretches_are_the_whole():
             assert sizes[heads[d] : heads[d + 1]].tolist() == want, text
 
 
+def test_special_tokens_are_tokens_and_files_whose_ones_take_blanks_are_refused(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "abc <|endoftext|> def"), (2, "<|endoftext|><|endoftext|>x\n")], "doc_id long, text string")
+    tok = Tokenizer.from_file(BYTE)
+    got = {r.doc_id: (r.n_tokens, r.section_tokens, r.outside) for r in token_counts.count_tokens(docs, BYTE).collect()}
+    assert got[1][0] == 4 == len(tok.encode("abc <|endoftext|> def").ids) and got[2] == (4, [3.0, 0.0], 1.0)
+    with open(BYTE, encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in ({"rstrip": True}, {"lstrip": True}, {"content": "<two words>"}):
+        odd = spec | {"added_tokens": [spec["added_tokens"][0] | change]}
+        (tmp_path / "odd.json").write_text(json.dumps(odd))
+        with pytest.raises(ValueError, match="added tokens"):
+            token_counts.Lengths(str(tmp_path / "odd.json"))
+
+
 def test_token_counts_of_long_texts_sections_and_clashing_names(spark):
     tok = Tokenizer.from_file(BYTE)
-    tok.encode_special_tokens = True
     text = "word one\n" * 120_000 + "x" * 3000
     docs = spark.createDataFrame([(1, text, 7, "s"), (1, text, 7, "s"), (2, "ab cd", 8, "t")], "doc_id long, text string, outside long, __s string")
     got = sorted(token_counts.count_tokens(docs, BYTE).collect())
