@@ -8,7 +8,7 @@ by a hash of the id; whole texts). Scoring is one pass over the whole texts; the
 
 Defined cases: null or empty text scores the leak alone; without labelled rows of both kinds all texts score the share of
 label 1 (0 if there are no labels); null labels and ids are not learned from; repeated rows and ids score alike; other
-columns are ignored.
+columns are ignored, and kept ones may have any name but those of the outputs, which can be changed.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, mix, prefix_hash, ship, span_hash, text_slices, words
+from .common import LOWER, free_name, mix, prefix_hash, ship, span_hash, text_slices, words
 
 BITS = 18
 STEM = 6  # bytes of a longer word's beginning, which count as a word of their own
@@ -134,13 +134,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train(place, sentence, pair >> 32, label)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), spans: bool = False) -> DataFrame:
-    """A row per row of docs: the id column and `keep`, score, and with `spans` the offending sentences: an array of
-    (text, score) of sentences that score 0.5 or more, in order."""
+def score(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), spans: bool = False,
+    outputs: tuple[str, str] = ("score", "sentences"),
+) -> DataFrame:
+    """A row per row of docs: the id column and `keep`, and under the names of `outputs` the score and, with `spans`, the
+    offending sentences: an array of (text, score) of sentences that score 0.5 or more, in order."""
     ship(docs.sparkSession)
+    outputs = outputs[: 1 + spans]
+    if len({n.lower() for n in (id_col, *keep, *outputs)}) < 1 + len(keep) + len(outputs):
+        raise ValueError(f"give the outputs other names than {[id_col, *keep]}")
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias, model.leak))
     names = [id_col, *keep]
-    head = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names) + ", score double"
+    head = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names) + f", `{outputs[0]}` double"
     kind = pa.list_(pa.struct([("sentence", pa.string()), ("score", pa.float64())]))
 
     def rows(it):
@@ -159,7 +165,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                         raw = column[first + t].as_py().encode()[span[s][0] - offsets[t] : span[s][1] - offsets[t]]
                         found[t].append({"sentence": raw.decode("utf-8", "replace").strip(), "score": float(p[s])})
                     out.append(pa.array(found, kind))
-                yield pa.RecordBatch.from_arrays(out, [*names, "score", *(["sentences"] if spans else [])])
+                yield pa.RecordBatch.from_arrays(out, [*names, *outputs])
 
-    schema = head + (", sentences array<struct<sentence: string, score: double>>" if spans else "")
-    return docs.select(*names, F.col(text_col).alias("__text")).mapInArrow(rows, schema)
+    schema = head + (f", `{outputs[1]}` array<struct<sentence: string, score: double>>" if spans else "")
+    return docs.select(*names, F.col(text_col).alias(free_name(docs, "text_in"))).mapInArrow(rows, schema)

@@ -1,10 +1,12 @@
 """Operators 7 and 9 by held-out accuracy and against a plain reading of their definitions; the pipeline."""
 
 import math
+import pickle
 import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -77,6 +79,44 @@ def test_code_lengths_follow_the_definition():
         assert np.allclose(got, [plain(lang, text) for lang in trees.langs], atol=1e-3), text
 
 
+def test_sixty_scripts_stay_small():
+    """60 languages, each of 40 letters of its own: tables grow with the grams, and what is remembered has a bound."""
+    rng = np.random.default_rng(5)
+    counts, probes = {}, []
+    for lang in range(60):
+        letters = np.array([f"{chr(0x400 + 40 * lang + k)}".encode() for k in range(40)])
+        rank = rng.permutation(40)
+        weight = 1 / (1 + rank)
+        make = lambda n: b"".join(np.concatenate([letters, [b" "]])[rng.choice(41, n, p=np.append(weight, 1) / (weight.sum() + 1))])  # noqa: B023, E731
+        data = np.frombuffer(make(20_000), np.uint8)
+        counts[f"l{lang:02}"] = np.unique(langid._grams(data, np.array([0, len(data)])), return_counts=True)
+        probes.append(make(80))
+    trees = langid.Trees(counts)
+    grams = sum(len(kinds) for kinds, _ in counts.values())
+    assert len(pickle.dumps(trees)) < 250 * grams  # a few numbers a gram; contexts x bytes x languages would be a thousand times that
+    data = np.frombuffer(b"".join(probes), np.uint8)
+    offsets = np.cumsum([0, *map(len, probes)])
+    bits = trees.lengths(data, offsets)
+    assert bits.argmin(1).tolist() == list(range(60))
+    assert sum(x.nbytes for x in trees._remembered) <= langid.MEMORY
+    assert np.array_equal(pickle.loads(pickle.dumps(trees)).lengths(data, offsets), bits)
+
+
+def test_remembered_grams_change_nothing(monkeypatch):
+    """Places that many grams share: each text by itself, and all in one go, cost what the tables say."""
+    monkeypatch.setattr(langid, "MEMORY", 1 << 13)
+    rng = np.random.default_rng(6)
+    learned = [rng.integers(0, 256, 3000, dtype=np.uint8) & mask for mask in (0x3F, 0x7F, 0xFF)]
+    trees = langid.Trees({str(i): np.unique(langid._grams(d, np.array([0, len(d)])), return_counts=True) for i, d in enumerate(learned)})
+    data = np.concatenate([rng.integers(0, 256, 5000, dtype=np.uint8), learned[0], np.zeros(50, np.uint8), learned[2]])
+    offsets = np.array([0, 7, 7, 4000, 8050, len(data)])
+    code = langid._grams(data, offsets)
+    want = np.stack([[trees._bits(t, code)[a:b].astype(float).sum() for a, b in zip(offsets, offsets[1:])] for t in trees.tables], 1)
+    for _ in range(3):
+        assert np.allclose(trees.lengths(data, offsets), want)
+    assert len(trees._known) == 1 << 10
+
+
 def test_toxicity_by_held_out_labels_and_sentences(spark):
     rng = random.Random(2)
     docs, labels = [], []
@@ -128,6 +168,11 @@ def test_toxicity_scores_follow_the_definition(spark):
     assert toxicity.score(df.limit(0), model).count() == 0
     clash = toxicity.score(df.withColumn("held", F.lit(1)).withColumn("__x", F.lit(2)), model, keep=("held",))
     assert clash.columns == ["doc_id", "held", "score"]
+    taken = df.withColumn("Score", F.lit("mine")).withColumn("text_in", F.lit(2))
+    with pytest.raises(ValueError, match="other names"):
+        toxicity.score(taken, model, keep=("Score",))
+    other = toxicity.score(taken, model, keep=("Score", "text_in"), spans=True, outputs=("toxicity", "found"))
+    assert other.columns == ["doc_id", "Score", "text_in", "toxicity", "found"] and {r.doc_id: r.toxicity for r in other.collect()} == got
 
 
 def test_pipeline_stages(spark, tmp_path):
