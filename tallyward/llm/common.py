@@ -7,6 +7,7 @@ bounded size, so that the memory of a task follows SLICE_BYTES and the longest s
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import re
 import tempfile
 import uuid
@@ -38,17 +39,17 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tallyward-{uuid.uuid4().hex}"
 
 
-_recording: list[list[str]] = []
+_recording: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("recording", default=())
 
 
 @contextlib.contextmanager
 def recording(paths: list[str]):
-    """Note the scratch tables that are made meanwhile."""
-    _recording.append(paths)
+    """Note the scratch tables that are made meanwhile, by this thread or task alone."""
+    before = _recording.set((*_recording.get(), paths))
     try:
         yield paths
     finally:
-        _recording.pop()
+        _recording.reset(before)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -61,7 +62,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    for paths in _recording:
+    for paths in _recording.get():
         paths.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path

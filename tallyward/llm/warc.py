@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize, scratch, ship, with_rows
+from .common import discard, free_name, materialize, scratch, ship, with_rows
 
 LEAST = 100  # payload bytes from which a repeat is written as a revisit
 PER_FILE = 2000  # records in a file
@@ -73,8 +73,10 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         F.date_format(F.to_utc_timestamp(stamp, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("stamp"), F.col(row).alias("row"),
     ).withColumn("digest", F.sha2(F.encode("html", "UTF-8"), 256))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
-    first = (
-        rows.where(F.octet_length("html") >= LEAST).groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    # digests that repeat, without payloads, once for all size classes; Spark broadcasts them where their table is small
+    first = materialize(
+        rows.where(F.octet_length("html") >= LEAST).groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies"),
+        "firsts",
     )
     marked = rows.join(first, "digest", "left").select(
         "id", "url", "html", "stamp", "digest", F.col("first.id").alias("first"), F.coalesce(F.col("first.row") != F.col("row"), F.lit(False)).alias("revisit")
@@ -103,6 +105,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
             .write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", max(1, PER_FILE // 16**k))
             .mode("append").text(path)
         )
+    discard(first)
 
 
 def records(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
