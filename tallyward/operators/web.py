@@ -151,7 +151,7 @@ def frontier(pages: DataFrame, probes: tuple[str, ...], cap: int = 24, key: str
     own = pages.select(key, F.lit(0).alias("p"), F.lit(0).alias("n"), F.regexp_replace(url, r"/+$", "").alias("link"), F.lit("page").alias("origin"))
     part = lambda d, p, o: d.select(key, F.lit(p).alias("p"), F.col("rank").alias("n"), "link", F.lit(o).alias("origin"))
     probe = F.posexplode(F.array(*[F.lit(x) for x in probes]))
-    probed = pages.select(key, F.regexp_replace(url, r"[?#].*$|/+$", "").alias("b"), probe.alias("n", "x")).select(key, F.lit(2).alias("p"), F.col("n"), F.concat("b", "x").alias("link"), F.lit("probe").alias("origin"))
+    probed = pages.select(key, F.regexp_replace(F.regexp_extract(url, r"^([^?#]*)", 1), r"/+$", "").alias("b"), probe.alias("n", "x")).select(key, F.lit(2).alias("p"), F.col("n"), F.concat("b", "x").alias("link"), F.lit("probe").alias("origin"))
     press = press_index(site, key).select(key, F.lit(4).alias("p"), F.lit(0).alias("n"), "link", F.lit("press").alias("origin"))
     rows = own.unionByName(part(issue_links(site, key, words), 1, "issue")).unionByName(probed).unionByName(part(child_links(site, pages, key, url), 3, "child")).unionByName(press)
     rows = rows.withColumn("__n", F.row_number().over(Window.partitionBy(key, "link").orderBy("p", "n"))).where("__n = 1")

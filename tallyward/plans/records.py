@@ -161,6 +161,12 @@ def packed_columns(spark, sf_dir):
     return pack_columns(s, "s_nationkey", "s_suppkey", ["s_suppkey", "s_name"])
 
 
+def packed_pieces(spark, sf_dir):
+    """Orders by priority, of which there are five: each is packed in pieces of 4,096 order numbers."""
+    o = read(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    return pack_columns(o, "o_orderpriority", "o_orderkey", ["o_orderkey", "o_custkey", "day"], span=4096)
+
+
 def thin_facts(spark, sf_dir):
     d = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select("l_partkey", "l_quantity", "p_name", "p_brand")
     facts, dim = split_dimension(d, "l_partkey", ["p_name", "p_brand"])
@@ -344,7 +350,7 @@ def projected(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (merge_policies, amendments, absent_inserts, identity_pairs, identity_ladder, repointed_donations, current_rows, append_only_check, publish_check, fresh_roll_calls,
-              stream_replay, stream_marks, stream_payloads, span_nesting, daily_windows, packed_columns, thin_facts, snapshot_manifest, json_votes, json_bills, json_totals, declared_websites, bill_paths, captured_payloads, xml_votes, xml_menu, published_snapshot, triage_import, place_tiers, population_rows,
+              stream_replay, stream_marks, stream_payloads, span_nesting, daily_windows, packed_columns, packed_pieces, thin_facts, snapshot_manifest, json_votes, json_bills, json_totals, declared_websites, bill_paths, captured_payloads, xml_votes, xml_menu, published_snapshot, triage_import, place_tiers, population_rows,
               label_names, points_on_land, points_in_rings, anchored_labels, projected)
 }
 
@@ -384,6 +390,8 @@ b AS (SELECT doc_id, no, (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER
 h AS (SELECT doc_id, no, least(a_end, b_start + len) - greatest(a_start, b_start) AS chars, least(a_end - a_start, len) AS shorter FROM a JOIN b USING (doc_id))
 SELECT doc_id, count(*) AS pairs, sum(chars)::BIGINT AS chars, count(DISTINCT no) AS lines FROM h WHERE chars > 0 AND 2 * chars >= shorter GROUP BY doc_id""",
     "daily_windows": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    "packed_pieces": """SELECT o_orderpriority, o_orderkey // 4096 AS piece, list(o_orderkey ORDER BY o_orderkey) AS o_orderkey, list(o_custkey ORDER BY o_orderkey) AS o_custkey,
+  list(CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS day FROM orders GROUP BY 1, 2""",
     "packed_columns": "SELECT s_nationkey, list(s_suppkey ORDER BY s_suppkey) AS s_suppkey, list(s_name ORDER BY s_suppkey) AS s_name FROM supplier GROUP BY 1",
     "thin_facts": "SELECT l_partkey, count(*) AS facts, min(p_name) AS p_name, min(p_brand) AS p_brand FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1",
     "json_votes": f"WITH {VOTES_SQL} SELECT 118 AS congress, 1 AS session, bill AS roll_call, '2024-02-03' AS day, CAST(vote_id AS VARCHAR) AS member, 'M' || member AS name, position AS vote FROM votes",

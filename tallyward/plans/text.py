@@ -360,6 +360,19 @@ FROM bills, (VALUES ('paint'), (' Roads '), (NULL)) t(topic) GROUP BY 1, 2""",
 SELECT page_id, rank, link FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY w, pos) AS rank FROM w WHERE w IS NOT NULL) WHERE rank <= 8""",
     "press_index": f"WITH {_SITE} SELECT page_id, arg_min(link, pos) AS link FROM site WHERE contains(path, 'on') OR contains(anchor, 'an') GROUP BY 1",
     "child_links": f"WITH {_SITE} SELECT page_id, rank, link FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rank FROM site WHERE path <> '/') WHERE rank <= 8",
+    "page_text": r"""WITH c AS (SELECT page_id, regexp_replace(html, '(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<nav\b[^>]*>.*?</nav\s*>|<footer\b[^>]*>.*?</footer\s*>|<!--.*?-->', ' ', 'g') AS h FROM pages),
+e AS (SELECT page_id, regexp_replace(h, '(?s)<[^>]*>', ' ', 'g') AS h FROM c),
+n AS (SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(h, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM e)
+SELECT page_id, CASE WHEN length(t) >= 400 THEN length(t) END AS chars, CASE WHEN length(t) >= 400 THEN md5(t) END AS md5 FROM n""",
+    "crawl_frontier": rf"""WITH {_SITE}, w AS (SELECT *, CASE {' '.join(f"WHEN contains(path, '{x}') OR contains(anchor, '{x}') THEN {i}" for i, x in enumerate(WORDS))} END AS w FROM site),
+below AS (SELECT s.* FROM site s JOIN pages g USING (page_id) WHERE starts_with(regexp_replace(s.path, '/+$', ''), lower(regexp_replace(regexp_extract(g.url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '')) || '/')),
+r AS (SELECT page_id, 0 AS p, 0 AS n, regexp_replace(url, '/+$', '') AS link, 'page' AS origin FROM pages
+  UNION ALL SELECT page_id, 1, k, link, 'issue' FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY w, pos) AS k FROM w WHERE w IS NOT NULL) WHERE k <= 8
+  UNION ALL SELECT page_id, 2, n, regexp_replace(regexp_extract(url, '^([^?#]*)', 1), '/+$', '') || x, 'probe' FROM pages, (VALUES (0, '/issues'), (1, '/about')) t(n, x)
+  UNION ALL SELECT page_id, 3, k, link, 'child' FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS k FROM below) WHERE k <= 8
+  UNION ALL SELECT page_id, 4, 0, arg_min(link, pos), 'press' FROM site WHERE contains(path, 'press-release') OR contains(anchor, 'press releases') GROUP BY page_id),
+d AS (SELECT *, row_number() OVER (PARTITION BY page_id, link ORDER BY p, n) AS again FROM r)
+SELECT page_id, rank, link, origin FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY p, n) AS rank FROM d WHERE again = 1) WHERE rank <= 24""",
     "url_normalise": rf"""WITH p AS (SELECT page_id, page_id % {len(FILED)} AS k, regexp_extract(regexp_replace(url, '^[a-z]+://', ''), '^([^#]*)', 1) AS u FROM pages),
 q AS (SELECT page_id, k, lower(regexp_extract(u, '^([^/?]*)', 1)) || regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '') || regexp_extract(u, '(\?.*)$', 1) AS good,
   regexp_replace(regexp_extract(u, '^([^?]*)', 1), '/+$', '') || regexp_extract(u, '(\?.*)$', 1) AS tail FROM p)

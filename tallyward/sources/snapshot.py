@@ -44,10 +44,17 @@ def write_snapshot(tables: dict[str, DataFrame], path: str, backlog: int = 0, ce
     return out
 
 
-def pack_columns(df: DataFrame, by: str, order: str, columns: list[str]) -> DataFrame:
-    """Per group an array for each column, all in one order: groups are states and the like, of bounded size."""
-    rows = df.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(order, *[c for c in columns if c != order]))).alias("r"))
-    return rows.select(by, *[F.col(f"r.{c}").alias(c) for c in columns])
+def pack_columns(df: DataFrame, by: str, order: str, columns: list[str], span: int | None = None) -> DataFrame:
+    """Per group an array for each column, all in one order. Without `span` a group is one row: groups are states and the like,
+    of bounded size. With it, `order` is a whole number and a group is cut into pieces of `span` numbers (piece 0 from 0 on),
+    so that one that holds a third of all rows is packed by many tasks; pieces without rows are left out, rows with a null
+    `order` have a piece of their own, null."""
+    if span is None:
+        own, keys = df, [by]
+    else:
+        own, keys = df.withColumn("piece", F.expr(f"(`{order}` - pmod(`{order}`, {span}L)) div {span}L")), [by, "piece"]
+    rows = own.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, *[c for c in columns if c != order]))).alias("r"))
+    return rows.select(*keys, *[F.col(f"r.{c}").alias(c) for c in columns])
 
 
 def split_dimension(df: DataFrame, key: str, wide: list[str]) -> tuple[DataFrame, DataFrame]:

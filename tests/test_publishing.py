@@ -61,3 +61,16 @@ def test_menu_and_details(spark, tmp_path):
     details = spark.createDataFrame([(n, detail.format(n)) for n in (12, 13, 99)], "number int, payload string")
     got = readers.new_roll_calls(menu, details, spark.createDataFrame([(13,)], "number int"))
     assert [(r.vote_number, r.member, r.vote) for r in got.collect()] == [(12, "S1", "Yea")]
+
+
+def test_a_large_group_is_packed_in_pieces(spark):
+    rows = [("hot" if i % 3 else "b", i, None if i % 50 == 0 else i * 2) for i in range(1000)] + [("hot", 7, -1), ("hot", None, 3), (None, -1, 4)]
+    df = spark.createDataFrame(rows, "g string, k long, v long")
+    whole = {r.g: (r.k, r.v) for r in snapshot.pack_columns(df, "g", "k", ["k", "v"]).collect()}
+    got = snapshot.pack_columns(df, "g", "k", ["v", "k"], span=64).collect()
+    assert got[0].__fields__ == ["g", "piece", "v", "k"] and max(len(r.k) for r in got) <= 64
+    for g in ("hot", "b", None):
+        pieces = sorted((r for r in got if r.g == g), key=lambda r: (r.piece is not None, r.piece))
+        assert ([x for r in pieces for x in r.k], [x for r in pieces for x in r.v]) == whole[g]
+        assert all(x // 64 == r.piece for r in pieces for x in r.k if x is not None)
+    assert snapshot.pack_columns(df.limit(0), "g", "k", ["k", "v"], span=64).count() == 0

@@ -73,6 +73,8 @@ def test_links_and_frontier(spark):
     assert [r.link for r in web.press_index(site).collect()] == ["https://a.example/news/press-releases"]
     got = web.frontier(pages.where("page_id = 1"), ("/issues", "/platform"), cap=5).orderBy("rank").collect()
     assert [r.origin for r in got][:2] == ["page", "issue"] and len({r.link for r in got}) == len(got) == 5
+    asked = spark.createDataFrame([(3, "https://a.example/es/?utm=feed#top", "<p>no links</p>")], "page_id long, url string, html string")
+    assert [(r.link, r.origin) for r in web.frontier(asked, ("/issues",)).orderBy("rank").collect()] == [("https://a.example/es/?utm=feed#top", "page"), ("https://a.example/es/issues", "probe")]
 
 
 def test_anchor_moves_or_drops_labels(spark):
