@@ -170,7 +170,7 @@ def test_every_oracle_belongs_to_a_query():
 def test_every_order_is_parsed_from_xml(spark, tmp_path):
     orders = spark.createDataFrame([(k, 100 + k % 7) for k in [*range(1, 41), 40]], "o_orderkey long, o_custkey long")
     orders.write.parquet(str(tmp_path / "orders.parquet"))
-    got = {(r.vote_number, r.vote, r.member, r.day) for r in queries()["xml_votes_all"](spark, str(tmp_path)).collect()}
+    got = {(r.vote_number, r.vote, r.member, r.day) for r in queries()["xml_votes"](spark, str(tmp_path)).collect()}
     assert got == {x for k in range(1, 41) for x in ((k, "Yea", f"S{100 + k % 7}", "2024-02-03"), (k, "Not Voting", "S0", "2024-02-03"))}
 
 
