@@ -1,8 +1,12 @@
 """Quotes: verification arms, the gate's rules, chunks, evidence."""
 
+import random
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tallyward import plans
 from tallyward.operators import evidence, gate, text
 from tallyward.plans.text import QUOTES
 
@@ -68,3 +72,28 @@ def test_direction(spark):
     rows = [("yea", "advances", "supports"), ("nay", "advances", "contradicts"), ("nay", "reverses", "supports"), ("present", "advances", "contextual"), (None, "advances", "contextual")]
     df = spark.createDataFrame(rows, "p string, e string, d string")
     assert df.where(evidence.direction(F.col("p"), F.col("e")) != F.col("d")).count() == 0
+
+
+def _odd_texts(n: int) -> list[str]:
+    """Sentences of rule words that touch letters, marks and blanks beyond ASCII."""
+    rng = random.Random(11)
+    words = ["Ining", "doómi", "élan", "ñi will", "I", "we", "will", "think", "ſhould", "shoulſd", "must be", "THINK", "Tİon ", "ceİling", "ſpring", "bring", "hope to", "Óis running to", "Ana believes", "is", "do", "ünis", "call our office",
+             "said", "he", "’ll", "éi’ll", "my first", "b", "¤", "§", "†", "It’s past time", "x²", "日本", "would have", "and", "Maria is a lifelong", "not working on the", "endeavour", "Kelly favors"]
+    blanks = [" ", " ", " ", " ", " ", "\x0b", "\u0085", "\t", "\r", ". ", ", ", "", " ", "́"]
+    return ["".join(rng.choice(words) + rng.choice(blanks) for _ in range(rng.randint(1, 12))) + rng.choice(["", ".", "!", "”", " ", " "]) for _ in range(n)]
+
+
+@pytest.mark.parametrize("name", ["gate_sentences", "gate_screen", "gate_ablation"])
+def test_gate_agrees_with_its_sql_beyond_ascii(spark, tmp_path, name):
+    texts = [(i, t) for i, t in enumerate(_odd_texts(3000))] + [(3000, " Ining onnt, erou eahean El osll rrbo doómi con la cióncióndo que arco."), (3001, None), (3002, "")]
+    tables = {
+        "documents": spark.createDataFrame(texts, "doc_id long, text string"), "labels": spark.createDataFrame([(i, i % 2, 0) for i, _ in texts], "doc_id long, quality int, toxic int"),
+        "conversations": spark.createDataFrame([(i, t) for i, t in texts if i % 3 == 0], "conv_id long, text string"),
+    }
+    db = duckdb.connect()
+    for table, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{table}.parquet")
+        db.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    got = plans.queries()[name](spark, str(tmp_path))
+    want = db.sql(f"SELECT {', '.join(got.columns)} FROM ({plans.oracle_sql()[name]})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
