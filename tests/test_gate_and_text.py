@@ -97,3 +97,12 @@ def test_gate_agrees_with_its_sql_beyond_ascii(spark, tmp_path, name):
     got = plans.queries()[name](spark, str(tmp_path))
     want = db.sql(f"SELECT {', '.join(got.columns)} FROM ({plans.oracle_sql()[name]})").fetchall()
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_every_item_of_a_residue_is_looked_for(spark, tmp_path):
+    items = [(i, f"the item of number {i:03d}") for i in range(200)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, "before. the item of number 041, after"), (79, None), (80, items[160][1])], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [r for r in plans.queries()["quote_verification"](spark, str(tmp_path)).collect() if r.item_id >= 0]
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(d, i) for d in (1, 79, 80) for i in range(d % 40, 200, 40)]
+    assert {(r.doc_id, r.item_id): r.method for r in got if r.method != "rejected"} == {(1, 41): "relocated", (80, 160): "exact"}
