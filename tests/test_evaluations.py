@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from tallyward import plans
 from tallyward.operators import evaluations as ev
-from tallyward.operators import gate
+from tallyward.operators import evidence, gate
 from tallyward.operators.evidence import prose_defects
 from tallyward.operators.intake import DONOR, individual_transactions
 from tallyward.operators.merge import refresh
@@ -104,3 +105,24 @@ def test_white_space_of_unicode_counts(spark):
     quote = "I think families deserve better and I will fight for them."
     row = spark.createDataFrame([(quote, "\n \n")], "q string, p string").select(gate.screen(F.col("q"))["reason"].alias("r"), prose_defects(F.col("p"), F.array()).alias("d")).first()
     assert row.r == "kept" and row.d == ["empty"]
+
+
+def _below(plan: str, node: str) -> list[str]:
+    """The lines of a plan below the first one that names a node."""
+    lines = plan.split("\n")
+    depth = lambda s: len(s) - len(s.lstrip(" :+-*()0123456789"))
+    at = next(i for i, line in enumerate(lines) if node in line)
+    rest = lines[at + 1 :]
+    return rest[: next((i for i, line in enumerate(rest) if depth(line) <= depth(lines[at])), len(rest))]
+
+
+def test_claims_are_dealt_before_they_are_sorted(spark):
+    claims = spark.range(100).selectExpr("id % 7 AS evaluation", "concat('v', id % 2) AS kind", "id % 5 AS record", "concat('d', id % 5) AS direction", "cast(id AS string) AS topic")
+    plan = evidence.without_repeats(claims)._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in _below(plan, "Exchange hashpartitioning") if "Sort" in line]
+    assert evidence.without_repeats(claims).count() == 70
+
+
+def test_prompts_rank_votes_without_texts(spark):
+    plan = plans.queries()["vote_prompts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "text#" in plan and not [line for line in _below(plan, "Window ") if "text#" in line]
