@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+PIECES = 4096  # pieces of a run that are numbered at once
+STEP = 3  # spans of so many neighbouring levels share the cells of the highest
+
 
 def flag_known(df: DataFrame, known: DataFrame, on: str, name: str) -> DataFrame:
     """df with a boolean column: whether the key is in `known` (distinct keys)."""
@@ -36,17 +39,18 @@ def topic_bills(filters: DataFrame, bills: DataFrame) -> DataFrame:
 
 
 def _level(start: Column, end: Column) -> Column:
-    """The smallest l with 2**l at least the span's length."""
-    return F.length(F.bin(F.greatest(end - start, F.lit(1)).cast("long") - 1)) - F.when(end - start <= 1, 1).otherwise(0)
+    """The smallest multiple l of STEP with 2**l at least the span's length."""
+    least = F.length(F.bin(F.greatest(end - start, F.lit(1)).cast("long") - 1)) - F.when(end - start <= 1, 1).otherwise(0)
+    return (F.ceil(least / STEP) * STEP).cast("int")
 
 
 def overlapping(a: DataFrame, b: DataFrame, key: str, share: float = 0.5) -> DataFrame:
     """Pairs of spans (start, end) of one key that overlap by at least `share` of the shorter one: key, a_id, b_id, chars.
 
-    a and b: key, id, start, end. Cells are 2**level long. A span lies in two cells at most of its own level, the smallest
-    whose cells are no shorter than it is. A pair meets at the level of its longer span, in the first cell that both touch:
+    a and b: key, id, start, end. Cells are 2**level long, levels the multiples of STEP. A span lies in two cells at most of its
+    own level, the smallest whose cells are no shorter than it is. A pair meets at the level of its longer span, in the first cell that both touch:
     so each span is a row for its own cells, and looks into two cells at most of each level from its own on that the other
-    side has. Spans of any length cost a few tens of rows; empty and null spans overlap with nothing.
+    side has. Spans of any length cost ten rows or so; empty and null spans overlap with nothing.
     """
     def cells(df: DataFrame, side: str) -> DataFrame:
         return df.withColumn("cell", F.explode(F.sequence(F.expr(f"shiftright({side}_start, level)"), F.expr(f"shiftright({side}_end - 1, level)"))))
@@ -56,7 +60,7 @@ def overlapping(a: DataFrame, b: DataFrame, key: str, share: float = 0.5) -> Dat
         lo, hi = F.col("start").cast("long"), F.col("end").cast("long")
         df = df.where(lo < hi).select(key, F.col("id").alias(f"{side}_id"), lo.alias(f"{side}_start"), hi.alias(f"{side}_end"), _level(lo, hi).alias(f"{side}_level"))
         spans[side] = df
-        levels[side] = sorted(r[0] for r in df.select(f"{side}_level").distinct().collect())  # 63 at most
+        levels[side] = sorted(r[0] for r in df.select(f"{side}_level").distinct().collect())  # 22 at most
 
     def met(own: str, guest: str, equal: bool) -> DataFrame:
         """own's cells at its level, and guest's at that level: guest is no longer (equal) or shorter."""
@@ -74,6 +78,29 @@ def overlapping(a: DataFrame, b: DataFrame, key: str, share: float = 0.5) -> Dat
     return both[0].where(first & (chars > 0) & (chars >= shorter * share)).select(columns).unionByName(both[1].where(first & (chars > 0) & (chars >= shorter * share)).select(columns))
 
 
+def overlapping_pieces(runs: DataFrame, b: DataFrame, key: str, share: float = 0.5) -> DataFrame:
+    """As overlapping(), for stretches that are cut into pieces of one size from their start on, of which the last may be shorter:
+    key, a_id, piece (from 0), b_id, chars. runs: key, id, start, end, size; b: key, id, start, end.
+
+    The pieces that a span touches follow from its place, so that they become rows after the join only: what is shuffled are
+    the runs and the spans. Pieces are numbered in blocks of PIECES, so that no array grows with a span. A run meets all spans
+    of its key; empty and null ones overlap with nothing, a run without a size above 0 has no pieces.
+    """
+    def sides(df: DataFrame, side: str, *more: str) -> DataFrame:
+        lo, hi = F.col("start").cast("long"), F.col("end").cast("long")
+        return df.where(lo < hi).select(key, F.col("id").alias(f"{side}_id"), lo.alias(f"{side}_start"), hi.alias(f"{side}_end"), *[F.col(c).cast("long").alias(c) for c in more])
+
+    met = sides(runs, "a", "size").where("size > 0").join(sides(b, "b"), key).where("a_start < b_end and b_start < a_end")
+    met = met.withColumn("first", F.expr("(greatest(a_start, b_start) - a_start) div size")).withColumn("last", F.expr("(least(a_end, b_end) - 1 - a_start) div size"))
+    met = met.withColumn("block", F.explode(F.sequence(F.expr(f"first div {PIECES}"), F.expr(f"last div {PIECES}"))))
+    met = met.withColumn("piece", F.explode(F.sequence(F.greatest("first", F.col("block") * PIECES), F.least("last", F.col("block") * PIECES + PIECES - 1))))
+    start = F.col("a_start") + F.col("piece") * F.col("size")
+    met = met.withColumn("p_start", start).withColumn("p_end", F.least(start + F.col("size"), "a_end"))
+    chars = F.least("p_end", "b_end") - F.greatest("p_start", "b_start")
+    shorter = F.least(F.col("p_end") - F.col("p_start"), F.col("b_end") - F.col("b_start"))
+    return met.where(chars >= shorter * share).select(key, "a_id", "piece", "b_id", chars.alias("chars"))
+
+
 def span_outcomes(found: DataFrame, gold: DataFrame, key: str, share: float, wanted: str = "wanted") -> DataFrame:
     """Labelled and found spans by what became of them: key, id, outcome.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyward import plans
 from tallyward.operators import evidence, gate, intake, joins, quadtree, text
+from tallyward.plans import records
 from tallyward.plans.text import QUOTES
 from tallyward.streaming import state
 from tallyward.streaming.loads import above_mark
@@ -84,6 +85,56 @@ def test_no_spans(spark):
     assert joins.overlapping(none, none, "doc").count() == 0
 
 
+@pytest.mark.parametrize(("share", "block"), [(0.5, 4096), (0.0001, 3), (1.0, 1)])
+def test_pieces_of_runs_overlap(spark, share, block, monkeypatch):
+    monkeypatch.setattr(joins, "PIECES", block)
+    rng = random.Random(5)
+    runs = [("d", 1, 0, 500, 7), ("d", 2, -3, 498, 500), ("d", 3, 100, 101, 1), ("d", 4, 30, 490, 1000), ("e", 1, 0, 77, 11), ("e", 2, 5, 5, 3), ("e", 3, 0, 9, 0), ("e", 4, None, 9, 2), (None, 5, 0, 9, 2)]
+    b = [(rng.choice(["d", "e"]), i, s, s + rng.choice([0, 1, 3, 7, 20, 90, 600])) for i in range(60) for s in [rng.randint(-20, 510)]] + [("d", 90, None, 5), (None, 91, 0, 5)]
+    got = joins.overlapping_pieces(spark.createDataFrame(runs, "doc string, id int, start int, end int, size int"), spark.createDataFrame(b, "doc string, id int, start int, end int"), "doc", share)
+    want = []
+    for d, i, s, e, size in runs:
+        for n, p in enumerate(range(s, e, size) if s is not None and size else []):
+            for o, j, t, f in b:
+                if d is not None and d == o and t is not None and t < f:
+                    q = min(p + size, e)
+                    chars = min(q, f) - max(p, t)
+                    if chars > 0 and chars >= min(q - p, f - t) * share:
+                        want.append((d, i, n, j, chars))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def shuffled_rows(spark):
+    """Rows that the session's stages have written to shuffles so far."""
+    gateway = spark.sparkContext._gateway
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+    return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
+
+
+@pytest.fixture
+def merge_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pieces_become_rows_after_the_shuffle(spark, tmp_path, merge_joins):
+    spark.createDataFrame([(1, "\n".join(["x" * 99] * 300)), (2, None), (3, "")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    before = shuffled_rows(spark)
+    got = records.span_nesting(spark, str(tmp_path)).collect()
+    assert [(r.doc_id, r.lines) for r in got] == [(1, 300)] and got[0].pairs > 4_000
+    assert sum(n for k, n in shuffled_rows(spark).items() if k not in before) < 2_000  # 300 lines and 5 sizes, 15,773 rows with pieces among them
+
+
+def test_spans_of_any_length_are_few_rows(spark, merge_joins):
+    """A short span looks into a few levels of the other side only."""
+    a = spark.createDataFrame([(1, i, 7 * i, 7 * i + 7) for i in range(1000)], "doc int, id int, start int, end int")
+    b = spark.createDataFrame([(1, i, 0, 2**i) for i in range(20)], "doc int, id int, start int, end int")
+    before = shuffled_rows(spark)
+    joins.overlapping(a, b, "doc").collect()
+    assert sum(n for k, n in shuffled_rows(spark).items() if k not in before) < 12_000  # 18,547 with a level for each power of two
+
+
 FOLD = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-", "\u00a0": " "}
 
 
