@@ -58,10 +58,12 @@ def inside_rings(points: DataFrame, segs: DataFrame, key: list[str]) -> DataFram
     return met.groupBy(*key, *RING).agg((F.count_if(_crossings(F.col("x"), F.col("y"))) % 2 == 1).alias("odd"))
 
 
-def ring_cells(segs: DataFrame, depth: int = DEPTH, most: int = MOST) -> Cells:
+def ring_cells(segs: DataFrame, depth: int = DEPTH, most: int = MOST, least: int = 0) -> Cells:
     """The cells of each ring of segs (state, ring, seq, x1, y1, x2, y2). A ring begins with the cells, four at most, of the
     level whose cells are no smaller than its box; cells that more than `most` segments touch are split, `depth` times at
-    most. Each round of splits is written to the shared folder; only whether there is another one comes to the driver."""
+    most. Any that a segment touches is split `least` times (`depth` at most), which fits the cells to their ring where many
+    points are held against each: there are more cells, with less ground to those on the edge. Each round of splits is
+    written to the shared folder; only whether there is another one comes to the driver."""
     spark = segs.sparkSession
     path = shared_folder(spark, "cells")
     segs = segs.select(*RING, *ENDS)
@@ -92,7 +94,7 @@ def ring_cells(segs: DataFrame, depth: int = DEPTH, most: int = MOST) -> Cells:
     for step in range(depth + 1):
         counts = parts.groupBy(*at).agg(F.count("*").alias("n"))
         blank.append(cells.join(counts, at, "left_anti"))
-        full = counts.where(F.lit(step < depth) & (F.col("n") > most)).select(*at)
+        full = counts.where(F.lit(step < depth) & (F.lit(step < least) | (F.col("n") > most))).select(*at)
         edges.append(parts.join(full, at, "left_anti"))
         if full.isEmpty():
             break

@@ -290,6 +290,22 @@ def test_points_find_their_rings(spark, most, depth):
     assert kinds == {True, False} and cells.leaves.count() < 3000
 
 
+def test_cells_split_to_fit_their_ring(spark):
+    """A diamond of four segments: unsplit, all cells are edge cells; split twice, less ground is left to them, and some cells lie inside."""
+    ring = [(50.0, 0.0), (100.0, 50.0), (50.0, 100.0), (0.0, 50.0)]
+    rows = [("a", r, i, *[c * s for c in (*p, *q)]) for r, s in ((0, 1.0), (1, 8.0)) for i, (p, q) in enumerate(zip(ring, ring[1:] + ring[:1]))]
+    segs = spark.createDataFrame(rows, "state string, ring int, seq int, x1 double, y1 double, x2 double, y2 double")
+    points = [(10 * i + j, "a", 3.7 + 11.3 * i, 2.9 + 10.7 * j) for i in range(10) for j in range(10)]
+    ground, found = [], []
+    for least in (0, 2):
+        cells = quadtree.ring_cells(segs, least=least)
+        found.append({tuple(r) for r in quadtree.inside(spark.createDataFrame(points, "id int, state string, x double, y double"), cells, ["id"]).collect()})
+        ground.append({r.edge: r.g for r in cells.leaves.groupBy("edge").agg(F.sum(F.pow(F.lit(4.0), -F.col("level"))).alias("g")).collect()})
+    want = {(i, r) for i, _, x, y in points for r, s in ((0, 1.0), (1, 8.0)) if plain_inside(x, y, [(a * s, b * s) for a, b in ring])}
+    assert found == [want, want]
+    assert set(ground[0]) == {True} and ground[1][False] > 0 and ground[1][True] < ground[0][True] * 0.75
+
+
 def test_no_rings(spark):
     cells = quadtree.ring_cells(spark.createDataFrame([], "state string, ring int, seq int, x1 double, y1 double, x2 double, y2 double"))
     assert quadtree.inside(spark.createDataFrame([(1, "a", 0.0, 0.0)], "id int, state string, x double, y double"), cells, ["id"]).count() == 0
