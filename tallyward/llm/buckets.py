@@ -10,11 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import as_long, discard, materialize, mix
 from .components import connected_components, tasks_for
 
 PICKS = 3  # members of a bucket's component that others are held against
 PER_RANGE = 400_000  # postings that a task looks through
+PER_CHUNK = 1_000_000  # postings that a task packs at once
+FEW = 64  # keys of a sig in a chunk that go to the sig's task
 
 
 SKETCH = 16  # least 64-bit words of a parity sketch
@@ -93,6 +95,101 @@ def shared_buckets(postings: DataFrame, rows: int) -> DataFrame:
     return shared
 
 
+def packed_buckets(postings: DataFrame, rows: int, chunk: int = PER_CHUNK, few: int = FEW) -> DataFrame:
+    """As shared_buckets, for postings in rows of (keys array<long>, sigs binary: of each key equally many, of 64 bits), which
+    are sent as packed numbers, a row for each task and chunk, instead of a row a posting.
+
+    Sigs are hashes, so that equal ranges of them are equal shares for the tasks, but for large buckets: of a sig with more
+    than `few` keys in a chunk these are dealt out by a hash of sig and key, and the sig's own task is told that it is
+    shared. So a sig gives its task `few` postings (1 at least) a chunk at most.
+    """
+    n = max(1, -(-rows // PER_RANGE), int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    alone, spread, told = range(3)  # postings of the sig's own task; dealt out; sigs known as shared
+
+    def task(hashes: np.ndarray) -> np.ndarray:
+        return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+    def pieces(kind: int, to: np.ndarray, sig: np.ndarray, key: np.ndarray):
+        """A row for each task of `to`, which is in order."""
+        cuts = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to))
+        if len(to):
+            where = pa.py_buffer((cuts * 8).astype(np.int32))
+            packed = (pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, where, pa.py_buffer(np.ascontiguousarray(x))]) for x in (sig, key))
+            yield pa.RecordBatch.from_arrays([pa.array(to[cuts[:-1]].astype(np.int32)), pa.array(np.full(len(cuts) - 1, kind, np.int32)), *packed], ["task", "kind", "sigs", "keys"])
+
+    def dealt(sig: np.ndarray, key: np.ndarray):
+        order = np.argsort(sig)
+        sig, key = sig[order], key[order]
+        heads = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        size = np.diff(np.append(heads, len(sig)))
+        many = np.repeat(size > few, size)
+        s, k = sig[many], key[many]
+        sig, key = sig[~many], key[~many]
+        if len(s):  # repeated keys count once
+            order = np.lexsort((k, s))
+            s, k = s[order], k[order]
+            new = np.concatenate([[True], (s[1:] != s[:-1]) | (k[1:] != k[:-1])])
+            s, k = s[new], k[new]
+            own, size = np.unique(s, return_counts=True)
+            yield from pieces(told, task(own[size > few]), own[size > few], np.zeros(np.count_nonzero(size > few), np.uint64))
+            many = np.repeat(size > few, size)
+            yield from pieces(alone, task(s[~many]), s[~many], k[~many])
+            s, k = s[many], k[many]
+            to = task(mix(s ^ mix(k)))
+            order = np.argsort(to)
+            yield from pieces(spread, to[order], s[order], k[order])
+        yield from pieces(alone, task(sig), sig, key)
+
+    def packed(it):
+        sigs, keys, held = [], [], 0
+        for batch in it:
+            key = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            sig = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(1)), np.uint64)
+            if len(key):
+                sigs.append(sig)
+                keys.append(np.repeat(key, len(sig) // len(key)))
+                held += len(sig)
+            if held >= chunk:
+                yield from dealt(np.concatenate(sigs), np.concatenate(keys))
+                sigs, keys, held = [], [], 0
+        if held:
+            yield from dealt(np.concatenate(sigs), np.concatenate(keys))
+
+    def shared(it):
+        found = ([], [], []), ([], [], [])
+        for batch in it:
+            for kind, *both in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                for side, x in zip(found, both, strict=True):
+                    side[kind].append(np.frombuffer(x.as_buffer(), np.uint64))
+        for kind in (alone, spread):
+            if not found[0][kind]:
+                continue
+            sig, key = (np.concatenate(side[kind]) for side in found)
+            order = np.lexsort((key, sig))
+            sig, key = sig[order], key[order]
+            new = np.ones(len(sig), bool)
+            new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
+            sig, key = sig[new], key[new]
+            large = np.isin(sig, np.concatenate(found[0][told])) if kind == alone and found[0][told] else np.full(len(sig), kind == spread)
+            same = sig[1:] == sig[:-1]
+            keep = large.copy()
+            keep[1:] |= same
+            keep[:-1] |= same
+            yield pa.RecordBatch.from_arrays([pa.array(as_long(sig[keep])), pa.array(as_long(key[keep])), pa.array(large[keep])], ["sig", "key", "large"])
+
+    rows_of = postings.select("keys", "sigs").mapInArrow(packed, "task int, kind int, sigs binary, keys binary")
+    near = materialize(rows_of.repartitionById(n, "task").mapInArrow(shared, "sig long, key long, large boolean"), "near")
+    large = near.where("large").select("sig", "key")
+    if large.isEmpty():
+        out = near.select("sig", "key")
+        out.scratch_path = near.scratch_path
+        return out
+    # a posting of a large bucket may have come both ways
+    out = materialize(near.where("not large").select("sig", "key").unionByName(large.distinct()), "shared")
+    discard(near)
+    return out
+
+
 def bucket_components(
     shared: DataFrame, traits: DataFrame, whole: DataFrame, near: Callable[[], Column], linked: Callable[[DataFrame], DataFrame], light: bool = False
 ) -> DataFrame:

@@ -17,18 +17,21 @@ from __future__ import annotations
 
 import hashlib
 from fractions import Fraction
+from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .buckets import bucket_components, close, parity_sketches, shared_buckets
-from .common import LOWER, ROW, as_long, discard, free_name, materialize, mix, prefix_hash, ship, span_hash, text_slices, with_rows
+from .buckets import bucket_components, close, packed_buckets, parity_sketches
+from .common import LOWER, ROW, as_long, batches, discard, free_name, materialize, mix, power_tables, prefix_hash, ship, span_hash, text_slices, with_rows
 
 CHARS = 9
 BANDS, ROWS = 12, 5
 _BINS = BANDS * ROWS
+_BLOCK = 1 << 14  # numbers that are worked on at once, so that they stay in the cache
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -54,21 +57,40 @@ def split_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def shingles(data: np.ndarray, start: np.ndarray, end: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, line) of every shingle of every line, in order, with repeats. prefix: prefix_hash(data)."""
+    """(hash, line) of every shingle of every line, in order, with repeats. prefix: prefix_hash(data). Lines stand in order."""
+    _, down = power_tables(len(prefix))
     heads = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-    a, b = np.searchsorted(heads, start), np.searchsorted(heads, end)
+    if len(heads) == len(prefix):  # a byte a character
+        a, b, c, down = start, end, prefix, down[: len(prefix)]
+    else:
+        a, b, c, down = np.searchsorted(heads, start), np.searchsorted(heads, end), prefix[heads], down[heads]
+    # the shingle from each character on as span_hash has it, then those that end within their line
+    every = np.zeros(len(heads), np.uint64)
+    for x, y in batches(len(heads) - CHARS, _BLOCK):
+        every[x:y] = mix((c[x + CHARS : y + CHARS] - c[x:y]) * down[x:y] + (heads[x + CHARS : y + CHARS] - heads[x:y]).view(np.uint64))
     n = np.where(end > start, np.maximum(b - a - CHARS + 1, 1), 0)
-    line = np.repeat(np.arange(len(start)), n)
-    at = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    to = np.minimum(at + CHARS, np.repeat(b, n))
-    return span_hash(prefix, heads[at], heads[to]), line
+    some = np.flatnonzero(n)
+    within = np.zeros(len(heads), np.int8)
+    within[a[some]] = 1
+    within[a[some] + n[some]] -= 1
+    h = every[np.cumsum(within, dtype=np.int8).view(bool)]
+    short = np.flatnonzero((end > start) & (b - a < CHARS))
+    h[(np.cumsum(n) - n)[short]] = span_hash(prefix, start[short], end[short])
+    return h, np.repeat(np.arange(len(start)), n)
+
+
+@cache
+def _probes(turn: int) -> np.ndarray:
+    """The bin that each bin is filled from at a try."""
+    return (mix(np.arange(_BINS, dtype=np.uint64) * np.uint64(1 << 32) + np.uint64(turn)) % np.uint64(_BINS)).astype(np.int64)
 
 
 def signatures(h: np.ndarray, line: np.ndarray, n_lines: int) -> np.ndarray:
     """n_lines x BANDS band hashes; lines without shingles get none that mean anything."""
     table = np.full(n_lines * _BINS, _NONE, np.uint64)
-    bins = ((h >> np.uint64(32)) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(table, line * _BINS + bins, mix(h))
+    for a, b in batches(len(h), _BLOCK):
+        bins = ((h[a:b] >> np.uint64(32)) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64)
+        np.minimum.at(table, line[a:b] * _BINS + bins, mix(h[a:b]))
     table = table.reshape(n_lines, _BINS)
     empty = table == _NONE
     some = ~empty.all(1)
@@ -76,17 +98,14 @@ def signatures(h: np.ndarray, line: np.ndarray, n_lines: int) -> np.ndarray:
     row, col = np.nonzero(empty & some[:, None])
     turn = 1
     while len(row):
-        probe = (mix(col.astype(np.uint64) * np.uint64(1 << 32) + np.uint64(turn)) % np.uint64(_BINS)).astype(np.int64)
-        got = table[row, probe]
+        got = table[row, _probes(turn)[col]]
         ok = got != _NONE
         filled[row[ok], col[ok]] = got[ok]
         row, col, turn = row[~ok], col[~ok], turn + 1
-    out = np.zeros((n_lines, BANDS), np.uint64)
-    for b in range(BANDS):
-        s = np.full(n_lines, b + 1, np.uint64)
-        for r in range(ROWS):
-            s = mix(s * np.uint64(3) + filled[:, b * ROWS + r])
-        out[:, b] = s
+    filled = filled.reshape(n_lines, BANDS, ROWS)
+    out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (n_lines, BANDS))
+    for r in range(ROWS):
+        out = mix(out * np.uint64(3) + filled[:, :, r])
     return out
 
 
@@ -97,7 +116,8 @@ def _check(raw: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def _read(it):
-    """Per row: id, row, key and check of each line (null: blank), and (key, sig) postings of keys that are new in the slice."""
+    """Per row: id, row, key and check of each line (null: blank), and of keys that are new in the slice the key, the line's
+    number and BANDS sigs."""
     for batch in it:
         for first, data, offsets in text_slices(batch.column(2)):
             data = LOWER[data]
@@ -117,50 +137,43 @@ def _read(it):
             lines = pa.ListArray.from_arrays(cuts, pa.array(as_long(key), mask=~solid))
             checks = pa.ListArray.from_arrays(cuts, pa.array(_check(data.tobytes(), start, end), mask=~solid))
             counts = np.concatenate([[0], np.cumsum(new)])[heads]
-            keys = pa.ListArray.from_arrays(pa.array(counts.astype(np.int32)), pa.array(as_long(key)[at]))
-            sigs = pa.ListArray.from_arrays(pa.array((counts * BANDS).astype(np.int32)), pa.array(as_long(sig.ravel())))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, k), batch.column(1).slice(first, k), lines, checks, keys, sigs], ["id", "row", "lines", "checks", "keys", "sigs"])
-
-
-def _flat(it):
-    """Rows of (keys, sigs: BANDS a key) to (key, sig)."""
-    for batch in it:
-        keys, sigs = (batch.column(i).flatten() for i in (0, 1))
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys.to_numpy(zero_copy_only=False), BANDS)), sigs], ["key", "sig"])
+            cuts_new = pa.array(counts.astype(np.int32))
+            keys = pa.ListArray.from_arrays(cuts_new, pa.array(as_long(key)[at]))
+            spots = pa.ListArray.from_arrays(cuts_new, pa.array((at - heads[np.searchsorted(heads, at, "right") - 1]).astype(np.int32)))
+            sigs = pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer((counts * BANDS * 8).astype(np.int32)), pa.py_buffer(sig)])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, k), batch.column(1).slice(first, k), lines, checks, keys, spots, sigs], ["id", "row", "lines", "checks", "keys", "spots", "sigs"])
 
 
 def _pick(it):
-    """Rows of (text, wanted: array of keys) to (key, check, folded line, number of shingles, sketch)."""
+    """Rows of (text, wanted: array of (line number, key)) to (key, check, folded line, number of shingles, sketch)."""
     for batch in it:
         wanted = batch.column(1)
         for first, data, offsets in text_slices(batch.column(0)):
-            data = LOWER[data]
-            start, end, heads = split_lines(data, offsets)
-            prefix = prefix_hash(data)
-            key = as_long(span_hash(prefix, start, end))
             part = wanted.slice(first, len(offsets) - 1)
-            asked, owner = part.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(part)), np.diff(part.offsets.to_numpy()))
-            # the first solid line of each (text, key) that is asked for
-            text = np.repeat(np.arange(len(part)), np.diff(heads))
-            solid = np.flatnonzero(end > start)
-            both = np.rec.fromarrays([np.concatenate([owner, text[solid]]), np.concatenate([asked, key[solid]])])
-            _, kind = np.unique(both, return_inverse=True)
-            first_of = np.full(int(kind.max(initial=-1)) + 1, -1, np.int64)
-            first_of[kind[len(asked) :][::-1]] = solid[::-1]
-            at = first_of[kind[: len(asked)]]
-            if (at < 0).any():
+            spot, asked = (x.to_numpy(zero_copy_only=False) for x in part.flatten().flatten())
+            owner = np.repeat(np.arange(len(part)), np.diff(part.offsets.to_numpy()))
+            # what stands before the line feed of that number in the text and after the one before it, line after line
+            feeds = np.append(np.flatnonzero(data == 10), len(data))
+            n = np.searchsorted(feeds, offsets[owner]) + spot
+            a = np.where(spot > 0, feeds[np.clip(n - 1, 0, len(feeds) - 1)] + 1, offsets[owner])
+            b = np.minimum(feeds[np.minimum(n, len(feeds) - 1)], offsets[owner + 1])
+            data = LOWER[np.concatenate([data[:0], *(data[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True))])]
+            start, end, _ = split_lines(data, np.concatenate([[0], np.cumsum(np.maximum(b - a, 0))]))
+            prefix = prefix_hash(data)
+            if not np.array_equal(as_long(span_hash(prefix, start, end)), asked):
                 raise ValueError("docs gave other rows when read again; write it to a table first")
             raw = data.tobytes()
-            h, line = shingles(data, start[at], end[at], prefix)
-            order = np.lexsort((h, line))
-            h, line = h[order], line[order]
+            h, line = shingles(data, start, end, prefix)
+            cuts = np.searchsorted(line, np.arange(len(asked) + 1)).tolist()
+            for x, y in pairwise(cuts):
+                h[x:y].sort()
             fresh = np.ones(len(h), bool)
             fresh[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
             h, line = h[fresh], line[fresh]
-            cuts = np.searchsorted(line, np.arange(len(at) + 1))
-            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
+            cuts = np.searchsorted(line, np.arange(len(asked) + 1))
+            texts = [raw[x:y].decode("utf-8", "replace") for x, y in zip(start.tolist(), end.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(asked, pa.int64()), pa.array(_check(raw, start[at], end[at])), pa.array(texts, pa.string()), pa.array(np.diff(cuts)), parity_sketches(h, cuts)],
+                [pa.array(asked, pa.int64()), pa.array(_check(raw, start, end)), pa.array(texts, pa.string()), pa.array(np.diff(cuts)), parity_sketches(h, cuts)],
                 ["key", "check", "line", "n", "sketch"],
             )
 
@@ -190,14 +203,14 @@ def _verdicts(base: DataFrame, threshold: str) -> DataFrame:
     ship(base.sparkSession)
     id_type = base.schema["id"].dataType.simpleString()
     read = materialize(
-        base.mapInArrow(_read, f"id {id_type}, row {ROW}, lines array<long>, checks array<long>, keys array<long>, sigs array<long>"), "lines"
+        base.mapInArrow(_read, f"id {id_type}, row {ROW}, lines array<long>, checks array<long>, keys array<long>, spots array<int>, sigs binary"), "lines"
     )
-    pairs = read.select("keys", "sigs").mapInArrow(_flat, "key long, sig long")
-    shared = shared_buckets(pairs, read.agg(F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()[0])
-    # the text of each key in a shared bucket, from one of its rows
+    shared = packed_buckets(read.select("keys", "sigs"), BANDS * read.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0])
+    # the text of each key in a shared bucket, from one of its places
     occur = read.select("id", "row", F.posexplode(F.arrays_zip("lines", "checks")).alias("line", "at")).select("id", "row", "line", F.col("at.lines").alias("key"), F.col("at.checks").alias("check"))
-    place = read.select("row", F.explode("keys").alias("key")).join(shared.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("row").alias("row"))
-    wanted = place.groupBy("row").agg(F.collect_list("key").alias("wanted"))  # a list per text
+    place = read.select("row", F.explode(F.arrays_zip("keys", "spots")).alias("at")).select(F.col("at.keys").alias("key"), F.struct("row", "at.spots").alias("at"))
+    place = place.join(shared.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("at").alias("at"))
+    wanted = place.groupBy("at.row").agg(F.collect_list(F.struct("at.spots", "key")).alias("wanted"))  # a list per text
     texts = materialize(
         base.select("row", "text").join(wanted.hint("merge"), "row").select("text", "wanted").mapInArrow(_pick, "key long, check long, line string, n long, sketch array<long>"), "texts"
     )

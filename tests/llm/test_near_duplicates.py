@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tallyward.llm import components as components_module
 from tallyward.llm import jaccard, lines
-from tallyward.llm.common import prefix_hash
+from tallyward.llm.buckets import packed_buckets
+from tallyward.llm.common import prefix_hash, span_hash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -139,6 +140,61 @@ def test_recall_by_length():
             assert (sig[0::2] == sig[1::2]).any(1).mean() >= 0.98, (n, t)
 
 
+def test_shingles_of_any_characters():
+    """Each window of each line, where characters have one to four bytes, or one each; short lines are one shingle."""
+    for texts in (["éàü xyz öäß 漢字かな交じり文 abc", "é", "abcdefgh", "", "𝄞𝄞𝄞𝄞𝄞𝄞𝄞𝄞𝄞𝄞"], ["abcdefghij", "abcdefgh", "", "abcdefghi"], ["a"], []):
+        raw = [t.encode() for t in texts]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        end = np.cumsum([len(x) for x in raw]).astype(np.int64)
+        h, line = lines.shingles(data, end - np.array([len(x) for x in raw], np.int64), end, prefix_hash(data))
+        want = []
+        for i, t in enumerate(texts):
+            for k in range(max(1, len(t) - lines.CHARS + 1) if t else 0):
+                own = np.frombuffer(t[k : k + lines.CHARS].encode(), np.uint8)
+                want.append((int(span_hash(prefix_hash(own), np.array([0]), np.array([len(own)]))[0]), i))
+        assert list(zip(h.tolist(), line.tolist(), strict=True)) == want
+
+
+def test_packed_buckets(spark):
+    """Sigs of one key, of few and of many, keys that repeat, and a large bucket of which other tasks hold a single posting."""
+    rng = np.random.default_rng(6)
+    some = rng.integers(-(1 << 63), 1 << 63, 40)
+    rows = []
+    for r in range(120):
+        keys = rng.integers(-(1 << 63), 1 << 63, rng.integers(0, 9)) if r % 3 else rng.integers(0, 40, 5)
+        sigs = rng.integers(-(1 << 63), 1 << 63, (len(keys), 3))
+        sigs[:, 1] = some[rng.integers(0, 40, len(keys))]
+        if 30 < r < 90 or r == 119:
+            sigs[:, 2] = some[0]
+        rows.append((keys.tolist(), bytearray(sigs.tobytes()), sigs.tolist()))
+    of = {}
+    for keys, _, sigs in rows:
+        for k, own in zip(keys, sigs, strict=True):
+            for s in own:
+                of.setdefault(s, set()).add(k)
+    want = sorted((s, k) for s, keys in of.items() if len(keys) > 1 for k in keys)
+    df = spark.createDataFrame([r[:2] for r in rows], "keys array<long>, sigs binary").repartition(5).sortWithinPartitions("keys")
+    for chunk, few in ((1_000_000, 64), (100, 64), (100, 4), (1, 1), (1_000_000, 1)):
+        got = [tuple(r) for r in packed_buckets(df, 1000, chunk, few).select("sig", "key").collect()]
+        assert sorted(got) == want, (chunk, few)
+    assert packed_buckets(df.limit(0), 0).count() == 0
+
+
+def test_postings_of_lines_are_packed(spark):
+    """Fewer rows are shuffled than there are postings."""
+    rng = random.Random(4)
+    docs = [(i, "\n".join("".join(rng.choice("abcdefghij ") for _ in range(30)) for _ in range(50))) for i in range(100)]
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+
+    def shuffled():
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
+
+    before = shuffled()
+    assert lines.line_verdicts(spark.createDataFrame(docs, "doc_id long, text string")).count() == 100
+    assert sum(n for k, n in shuffled().items() if k not in before) < lines.BANDS * 5000
+
+
 def test_components_in_many_forests(spark, monkeypatch):
     """Rounds of merging, with a hot node, long paths, loops, repeats and nulls."""
     monkeypatch.setattr(components_module, "FOREST", 40)
