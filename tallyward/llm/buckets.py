@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_long, discard, materialize, mix
+from .common import as_long, discard, end_to_end, materialize, mix
 from .components import connected_components, tasks_for
 
 PICKS = 3  # members of a bucket's component that others are held against
@@ -95,56 +95,63 @@ def shared_buckets(postings: DataFrame, rows: int) -> DataFrame:
     return shared
 
 
-def packed_buckets(postings: DataFrame, rows: int, chunk: int = PER_CHUNK, few: int = FEW) -> DataFrame:
-    """As shared_buckets, for postings in rows of (keys array<long>, sigs binary: of each key equally many, of 64 bits), which
-    are sent as packed numbers, a row for each task and chunk, instead of a row a posting.
+def task_of(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Which of n tasks a hash belongs to: equal ranges of them, so that tasks stand in the order of hashes."""
+    return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def pieces(kind: int, to: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """A row for each task of `to`, which is in order: task, kind, and of each column what goes there, packed."""
+    cuts = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to))
+    k = len(cuts) - 1
+    packed = (pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer((cuts * x.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))]) for x in columns)
+    return pa.RecordBatch.from_arrays([pa.array(to[cuts[:-1]].astype(np.int32)), pa.array(np.full(k, kind, np.int32)), *packed], ["task", "kind", *(f"c{i}" for i in range(len(columns)))])
+
+
+def packed_buckets(postings: DataFrame, rows: int, chunk: int = PER_CHUNK, few: int = FEW, by_members: bool = False) -> DataFrame:
+    """As shared_buckets, for postings in rows of (keys: array<long> or packed, sigs binary: of each key equally many, of 64
+    bits), which are sent as packed numbers, a row for each task and chunk, instead of a row a posting.
 
     Sigs are hashes, so that equal ranges of them are equal shares for the tasks, but for large buckets: of a sig with more
     than `few` keys in a chunk these are dealt out by a hash of sig and key, and the sig's own task is told that it is
     shared. So a sig gives its task `few` postings (1 at least) a chunk at most.
+
+    by_members: a bucket that is not large is named by a hash of its keys instead of its sig, so that buckets of the same keys,
+    as the bands of near copies give them, are one. (Should two hashes agree, a bucket has the keys of both.)
     """
     n = max(1, -(-rows // PER_RANGE), int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     alone, spread, told = range(3)  # postings of the sig's own task; dealt out; sigs known as shared
 
-    def task(hashes: np.ndarray) -> np.ndarray:
-        return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
-
-    def pieces(kind: int, to: np.ndarray, sig: np.ndarray, key: np.ndarray):
-        """A row for each task of `to`, which is in order."""
-        cuts = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to))
-        if len(to):
-            where = pa.py_buffer((cuts * 8).astype(np.int32))
-            packed = (pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, where, pa.py_buffer(np.ascontiguousarray(x))]) for x in (sig, key))
-            yield pa.RecordBatch.from_arrays([pa.array(to[cuts[:-1]].astype(np.int32)), pa.array(np.full(len(cuts) - 1, kind, np.int32)), *packed], ["task", "kind", "sigs", "keys"])
-
     def dealt(sig: np.ndarray, key: np.ndarray):
         order = np.argsort(sig)
         sig, key = sig[order], key[order]
         heads = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         size = np.diff(np.append(heads, len(sig)))
-        many = np.repeat(size > few, size)
-        s, k = sig[many], key[many]
-        sig, key = sig[~many], key[~many]
-        if len(s):  # repeated keys count once
-            order = np.lexsort((k, s))
+        if (size > few).any():
+            many = np.repeat(size > few, size)
+            s, k = sig[many], key[many]
+            sig, key = sig[~many], key[~many]
+            order = np.lexsort((k, s))  # repeated keys count once
             s, k = s[order], k[order]
             new = np.concatenate([[True], (s[1:] != s[:-1]) | (k[1:] != k[:-1])])
             s, k = s[new], k[new]
             own, size = np.unique(s, return_counts=True)
-            yield from pieces(told, task(own[size > few]), own[size > few], np.zeros(np.count_nonzero(size > few), np.uint64))
+            own = own[size > few]
+            yield pieces(told, task_of(own, n), own, np.zeros(len(own), np.uint64))
             many = np.repeat(size > few, size)
-            yield from pieces(alone, task(s[~many]), s[~many], k[~many])
+            yield pieces(alone, task_of(s[~many], n), s[~many], k[~many])
             s, k = s[many], k[many]
-            to = task(mix(s ^ mix(k)))
+            to = task_of(mix(s ^ mix(k)), n)
             order = np.argsort(to)
-            yield from pieces(spread, to[order], s[order], k[order])
-        yield from pieces(alone, task(sig), sig, key)
+            yield pieces(spread, to[order], s[order], k[order])
+        yield pieces(alone, task_of(sig, n), sig, key)
 
     def packed(it):
         sigs, keys, held = [], [], 0
         for batch in it:
-            key = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            sig = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(1)), np.uint64)
+            key = batch.column(0)
+            key = end_to_end(key, np.uint64)[0] if pa.types.is_binary(key.type) else key.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            sig = end_to_end(batch.column(1), np.uint64)[0]
             if len(key):
                 sigs.append(sig)
                 keys.append(np.repeat(key, len(sig) // len(key)))
@@ -161,24 +168,43 @@ def packed_buckets(postings: DataFrame, rows: int, chunk: int = PER_CHUNK, few:
             for kind, *both in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 for side, x in zip(found, both, strict=True):
                     side[kind].append(np.frombuffer(x.as_buffer(), np.uint64))
+        large = np.concatenate(found[0][told]) if found[0][told] else np.zeros(0, np.uint64)
         for kind in (alone, spread):
             if not found[0][kind]:
                 continue
             sig, key = (np.concatenate(side[kind]) for side in found)
+            if kind == alone:  # most sigs are there once
+                order = np.argsort(sig)
+                own = sig[order]
+                keep = np.isin(own, large) if len(large) else np.zeros(len(own), bool)
+                same = own[1:] == own[:-1]
+                keep[1:] |= same
+                keep[:-1] |= same
+                order = order[keep]
+                sig, key = sig[order], key[order]
             order = np.lexsort((key, sig))
             sig, key = sig[order], key[order]
             new = np.ones(len(sig), bool)
             new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
             sig, key = sig[new], key[new]
-            large = np.isin(sig, np.concatenate(found[0][told])) if kind == alone and found[0][told] else np.full(len(sig), kind == spread)
-            same = sig[1:] == sig[:-1]
-            keep = large.copy()
-            keep[1:] |= same
-            keep[:-1] |= same
-            yield pa.RecordBatch.from_arrays([pa.array(as_long(sig[keep])), pa.array(as_long(key[keep])), pa.array(large[keep])], ["sig", "key", "large"])
-
-    rows_of = postings.select("keys", "sigs").mapInArrow(packed, "task int, kind int, sigs binary, keys binary")
-    near = materialize(rows_of.repartitionById(n, "task").mapInArrow(shared, "sig long, key long, large boolean"), "near")
+            heads = np.flatnonzero(np.diff(sig, prepend=~sig[:1]))
+            size = np.diff(np.append(heads, len(sig)))
+            vast = np.isin(sig[heads], large) if kind == alone else np.ones(len(heads), bool)
+            keep = vast | (size > 1)
+            if by_members and len(heads):
+                name = np.where(vast, sig[heads], mix(np.add.reduceat(mix(key), heads) + size.astype(np.uint64)))
+                once = np.zeros(len(heads), bool)
+                once[np.unique(name, return_index=True)[1]] = True
+                keep &= once
+                sig = np.repeat(name, size)
+            at = np.repeat(keep, size)
+            yield pa.RecordBatch.from_arrays([pa.array(as_long(sig[at])), pa.array(as_long(key[at])), pa.array(np.repeat(vast, size)[at])], ["sig", "key", "large"])
+
+    rows_of = postings.select("keys", "sigs").mapInArrow(packed, "task int, kind int, c0 binary, c1 binary")
+    near = rows_of.repartitionById(n, "task").mapInArrow(shared, "sig long, key long, large boolean")
+    if by_members:
+        return materialize(near.select("sig", "key").distinct(), "shared")
+    near = materialize(near, "near")
     large = near.where("large").select("sig", "key")
     if large.isEmpty():
         out = near.select("sig", "key")
@@ -207,7 +233,7 @@ def bucket_components(
     components. A pair that is never compared is in one component already, so these are the components of all links in the
     buckets, while rows stay in proportion to the members of a bucket of near copies.
     """
-    tasks = tasks_for(shared.count(), shared.sparkSession)
+    tasks = tasks_for(shared.count() * (4 if light else 1), shared.sparkSession)  # light: rows have all that linked() needs
 
     def sides(table: DataFrame):
         return (table.select(*[F.col(c).alias(s if c == "key" else f"{s}_{c}") for c in table.columns]) for s in "xy")
@@ -237,7 +263,7 @@ def bucket_components(
         return df.coalesce(tasks)
 
     ranked = shared.withColumn("rank", F.count("*").over(Window.partitionBy("key")))  # a key has no more buckets than its text gives
-    leader = ranked.groupBy("sig").agg(F.max(F.struct("rank", "key")).alias("at")).select("sig", "at.rank", F.col("at.key").alias("leader"))
+    leader = ranked.groupBy("sig").agg(F.max(F.struct("rank", "key")).alias("at"), F.count("*").alias("members")).select("sig", "at.rank", F.col("at.key").alias("leader"), "members")
     led = materialize(shared.join(leader, "sig").coalesce(tasks), "led")
     star = led.where("key != leader").groupBy(F.col("key").alias("x"))
     star = materialize(star.agg(F.sort_array(F.collect_set(F.struct("rank", "leader")), False)["leader"].alias("ys")).coalesce(tasks), "stars")
@@ -246,8 +272,8 @@ def bucket_components(
     old, forest = forest, merged(forest, held(more.where("x_comp != y_comp").select("x", "y")))
     discard(old, star)
 
-    # what the leaders leave outside, against other members of their components
-    tagged = materialize(tag(led, forest, "key", "leader"), "tagged")
+    # what the leaders leave outside, against other members of their components; a bucket of two has no others
+    tagged = materialize(tag(led.where("members > 2").drop("members"), forest, "key", "leader"), "tagged")
     out = materialize(tagged.where("key_comp != leader_comp").coalesce(tasks), "outside")
     if not out.isEmpty():
         picks = [F.max(F.struct(F.xxhash64("key", "sig", F.lit(r)), "key"))["key"] for r in range(PICKS)]
@@ -255,7 +281,7 @@ def bucket_components(
         drawn = out.join(inner, "sig").select(F.col("key").alias("x"), F.explode("picks").alias("y")).coalesce(tasks).distinct()
         old, forest = forest, merged(forest, held(drawn))
         discard(old)
-        last = tag(led.join(out.select("sig").distinct(), "sig", "left_semi"), forest, "key", "leader")  # other buckets are done
+        last = tag(led.drop("members").join(out.select("sig").distinct(), "sig", "left_semi"), forest, "key", "leader")  # other buckets are done
         last = materialize(last.join(traits, "key").coalesce(tasks), "tagged")
         x, y = sides(last)
         rest = (

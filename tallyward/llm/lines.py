@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .buckets import bucket_components, close, packed_buckets, parity_sketches
-from .common import LOWER, ROW, as_long, batches, discard, free_name, materialize, mix, power_tables, prefix_hash, ship, span_hash, text_slices, with_rows
+from .buckets import FEW, bucket_components, close, packed_buckets, parity_sketches, pieces, task_of
+from .common import BLOCK, LOWER, ROW, as_long, batches, discard, end_to_end, free_name, materialize, mix, mix_here, power_tables, prefix_hash, ship, span_hash, text_slices, with_rows
 
 CHARS = 9
 BANDS, ROWS = 12, 5
 _BINS = BANDS * ROWS
-_BLOCK = 1 << 14  # numbers that are worked on at once, so that they stay in the cache
+PER_TASK = 200_000  # lines that a task looks through for repeats, and that are packed at once
+_PLACE = np.dtype([("key", np.uint64), ("check", np.int64), ("file", np.int64), ("at", np.int64), ("line", np.int32)])
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -47,34 +48,63 @@ def split_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     stop = np.append(start[1:] - 1, len(data))
     last = heads[1:] - 1
     stop[last] = offsets[1:]
-    # the first and the last byte that is no blank
-    solid = np.append(np.flatnonzero(~_BLANK[data]), len(data))
-    first = solid[np.searchsorted(solid, start)]
-    back = np.searchsorted(solid, stop) - 1
-    end = np.where(back >= 0, solid[np.maximum(back, 0)] + 1, 0)
-    first = np.minimum(first, stop)
-    return first, np.where(end > first, end, first), heads
+    return *_stripped(data, start, stop), heads
+
+
+def _stripped(data: np.ndarray, start: np.ndarray, stop: np.ndarray, tries: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """The first byte of each line that is no blank, and the end of the last; both alike if all are blank."""
+    first, end = start.copy(), stop.copy()
+    at = np.flatnonzero(first < end)
+    for _ in range(tries):  # most lines have few blanks at their ends
+        at = at[_BLANK[data[first[at]]]]
+        first[at] += 1
+        at = at[first[at] < end[at]]
+    left = np.flatnonzero(first < end)
+    for _ in range(tries):
+        left = left[_BLANK[data[end[left] - 1]]]
+        end[left] -= 1
+        left = left[first[left] < end[left]]
+    if len(at) or len(left):
+        solid = np.append(np.flatnonzero(~_BLANK[data]), len(data))
+        first = np.minimum(solid[np.searchsorted(solid, start)], stop)
+        back = np.searchsorted(solid, stop) - 1
+        end = np.where(back >= 0, solid[np.maximum(back, 0)] + 1, 0)
+        end = np.where(end > first, end, first)
+    return first, end
 
 
 def shingles(data: np.ndarray, start: np.ndarray, end: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, line) of every shingle of every line, in order, with repeats. prefix: prefix_hash(data). Lines stand in order."""
     _, down = power_tables(len(prefix))
-    heads = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-    if len(heads) == len(prefix):  # a byte a character
-        a, b, c, down = start, end, prefix, down[: len(prefix)]
-    else:
-        a, b, c, down = np.searchsorted(heads, start), np.searchsorted(heads, end), prefix[heads], down[heads]
-    # the shingle from each character on as span_hash has it, then those that end within their line
-    every = np.zeros(len(heads), np.uint64)
-    for x, y in batches(len(heads) - CHARS, _BLOCK):
-        every[x:y] = mix((c[x + CHARS : y + CHARS] - c[x:y]) * down[x:y] + (heads[x + CHARS : y + CHARS] - heads[x:y]).view(np.uint64))
-    n = np.where(end > start, np.maximum(b - a - CHARS + 1, 1), 0)
+    # the hash of the CHARS bytes from each byte on, as span_hash has it
+    every, spare = np.zeros(len(prefix), np.uint64), np.empty(BLOCK, np.uint64)
+    for x, y in batches(len(prefix) - CHARS, BLOCK):
+        own = every[x:y]
+        np.subtract(prefix[x + CHARS : y + CHARS], prefix[x:y], out=own)
+        own *= down[x:y]
+        own += np.uint64(CHARS)
+        mix_here(own, spare[: y - x])
+    # bytes that begin no character, but for the first of a line
+    more = (data & 0xC0) == 0x80
+    more[start[end > start]] = False
+    rest = np.flatnonzero(more)
+    before = start - np.searchsorted(rest, start)  # characters before the line
+    chars = end - np.searchsorted(rest, end) - before
+    n = np.where(end > start, np.maximum(chars - CHARS + 1, 1), 0)
+    stop = start + n
+    if len(rest):
+        heads = np.append(np.flatnonzero(~more), np.full(CHARS, len(data)))
+        for x, y in batches(len(heads) - CHARS, BLOCK):
+            at = x + np.flatnonzero(heads[x + CHARS : y + CHARS] - heads[x:y] != CHARS)
+            a, b = heads[at], heads[at + CHARS]
+            every[a] = mix((prefix[b] - prefix[a]) * down[a] + (b - a).view(np.uint64))
+        stop = np.where(n > 0, heads[before + np.maximum(n, 1) - 1] + 1, start)
     some = np.flatnonzero(n)
-    within = np.zeros(len(heads), np.int8)
-    within[a[some]] = 1
-    within[a[some] + n[some]] -= 1
-    h = every[np.cumsum(within, dtype=np.int8).view(bool)]
-    short = np.flatnonzero((end > start) & (b - a < CHARS))
+    cuts = np.stack([start[some], stop[some]], 1).ravel()
+    within = np.repeat(np.arange(len(cuts) + 1) % 2 == 1, np.diff(cuts, prepend=0, append=len(prefix)))
+    within[rest] = False
+    h = every[within]
+    short = np.flatnonzero((end > start) & (chars < CHARS))
     h[(np.cumsum(n) - n)[short]] = span_hash(prefix, start[short], end[short])
     return h, np.repeat(np.arange(len(start)), n)
 
@@ -88,9 +118,17 @@ def _probes(turn: int) -> np.ndarray:
 def signatures(h: np.ndarray, line: np.ndarray, n_lines: int) -> np.ndarray:
     """n_lines x BANDS band hashes; lines without shingles get none that mean anything."""
     table = np.full(n_lines * _BINS, _NONE, np.uint64)
-    for a, b in batches(len(h), _BLOCK):
-        bins = ((h[a:b] >> np.uint64(32)) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64)
-        np.minimum.at(table, line[a:b] * _BINS + bins, mix(h[a:b]))
+    spare, value, place = np.empty(BLOCK, np.uint64), np.empty(BLOCK, np.uint64), np.empty(BLOCK, np.int64)
+    for a, b in batches(len(h), BLOCK):
+        bins, own, at = spare[: b - a], value[: b - a], place[: b - a]
+        own[:] = h[a:b]
+        mix_here(own, bins)
+        np.right_shift(h[a:b], np.uint64(32), out=bins)
+        bins *= np.uint64(_BINS)
+        bins >>= np.uint64(32)
+        np.multiply(line[a:b], _BINS, out=at)
+        at += bins.view(np.int64)
+        np.minimum.at(table, at, own)
     table = table.reshape(n_lines, _BINS)
     empty = table == _NONE
     some = ~empty.all(1)
@@ -115,33 +153,138 @@ def _check(raw: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.frombuffer(b"".join(own), np.int64)
 
 
+def _packed(counts: np.ndarray, values: np.ndarray) -> pa.Array:
+    """A binary for each row: the rows' values end where counts say."""
+    width = values.nbytes // max(len(values), 1)
+    return pa.Array.from_buffers(pa.binary(), len(counts) - 1, [None, pa.py_buffer((counts * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def _read(it):
-    """Per row: id, row, key and check of each line (null: blank), and of keys that are new in the slice the key, the line's
-    number and BANDS sigs."""
+    """Per row: id, row, the number of lines; packed, number, key and check of each line that is not blank; and of keys that are
+    new in the slice the key and BANDS sigs."""
     for batch in it:
         for first, data, offsets in text_slices(batch.column(2)):
-            data = LOWER[data]
+            data = np.frombuffer(data.tobytes().lower(), np.uint8)
             start, end, heads = split_lines(data, offsets)
-            solid = end > start
+            own = np.flatnonzero(end > start)
             prefix = prefix_hash(data)
-            key = span_hash(prefix, start, end)
-            _, one = np.unique(key, return_index=True)
-            new = np.zeros(len(key), bool)
-            new[one] = True
-            new &= solid
-            at = np.flatnonzero(new)
-            h, line = shingles(data, start[at], end[at], prefix)
-            sig = signatures(h, line, len(at))
+            key = span_hash(prefix, start[own], end[own])
+            new = np.zeros(len(own), bool)
+            new[np.unique(key, return_index=True)[1]] = True
+            h, line = shingles(data, start[own[new]], end[own[new]], prefix)
+            sig = signatures(h, line, np.count_nonzero(new))
             k = len(offsets) - 1
-            cuts = pa.array(heads.astype(np.int32))
-            lines = pa.ListArray.from_arrays(cuts, pa.array(as_long(key), mask=~solid))
-            checks = pa.ListArray.from_arrays(cuts, pa.array(_check(data.tobytes(), start, end), mask=~solid))
-            counts = np.concatenate([[0], np.cumsum(new)])[heads]
-            cuts_new = pa.array(counts.astype(np.int32))
-            keys = pa.ListArray.from_arrays(cuts_new, pa.array(as_long(key)[at]))
-            spots = pa.ListArray.from_arrays(cuts_new, pa.array((at - heads[np.searchsorted(heads, at, "right") - 1]).astype(np.int32)))
-            sigs = pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer((counts * BANDS * 8).astype(np.int32)), pa.py_buffer(sig)])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, k), batch.column(1).slice(first, k), lines, checks, keys, spots, sigs], ["id", "row", "lines", "checks", "keys", "spots", "sigs"])
+            solid = np.searchsorted(own, heads)
+            spots = (own - np.repeat(heads[:-1], np.diff(solid))).astype(np.int32)
+            fresh = np.concatenate([[0], np.cumsum(new)])[solid]
+            packed = _packed(solid, spots), _packed(solid, key), _packed(solid, _check(data.tobytes(), start[own], end[own])), _packed(fresh, key[new]), _packed(fresh, sig)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(first, k), batch.column(1).slice(first, k), pa.array(np.diff(heads)), pa.array(np.diff(solid)), pa.array(np.diff(fresh)), *packed],
+                ["id", "row", "n_lines", "n_solid", "n_new", "spots", "lines", "checks", "keys", "sigs"],
+            )
+
+
+def _places(read: DataFrame, shared: DataFrame, rows: int, chunk: int = PER_TASK, few: int = FEW) -> DataFrame:
+    """A table (id, row, line, key, check, asked) of the places of lines whose key is in `shared` or has several places; of each
+    key in shared, one place is `asked`.
+
+    All places (`rows` of them) go to the tasks of their keys as packed numbers, a row for each task and chunk; what no other
+    place and no bucket asks for ends there. Of a key with more than `few` places in a chunk, one goes to the key's task, which
+    is told that there are more, and the others are dealt out by a hash of the place.
+    """
+    n = max(1, -(-rows // PER_TASK))
+    id_type = read.schema["id"].dataType.simpleString()
+    alone, spread, told, wanted = range(4)  # places in their key's task; dealt out; keys known to be repeated; keys in shared
+
+    def keys_alone(kind: int, key: np.ndarray, ids: pa.Array):
+        batch = pieces(kind, task_of(key, n), key)
+        return sent(batch, pa.ListArray.from_arrays(pa.array(np.zeros(batch.num_rows + 1, np.int32)), ids.slice(0, 0)))
+
+    def sent(batch: pa.RecordBatch, ids: pa.Array):
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], ids, batch.column(2)], ["task", "kind", "ids", "data"])
+
+    def places(kind: int, to: np.ndarray, place: np.ndarray, ids: pa.Array):
+        cuts = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to)).astype(np.int32)
+        return sent(pieces(kind, to, place), pa.ListArray.from_arrays(pa.array(cuts), ids))
+
+    def dealt(place: np.ndarray, ids: pa.Array, owner: np.ndarray):
+        order = np.argsort(place["key"], kind="stable")
+        place, owner = place[order], owner[order]
+        key = place["key"]
+        head = np.concatenate([[True], key[1:] != key[:-1]])
+        size = np.diff(np.append(np.flatnonzero(head), len(key)))
+        many = np.repeat(size > few, size) & ~head
+        if many.any():
+            yield keys_alone(told, key[head][size > few], ids)
+            to = task_of(mix(mix(place["file"][many].view(np.uint64) ^ mix(place["at"][many].view(np.uint64))) + place["line"][many].astype(np.uint64)), n)
+            order = np.argsort(to, kind="stable")
+            yield places(spread, to[order], place[many][order], ids.take(pa.array(owner[many][order])))
+            place, owner = place[~many], owner[~many]
+        yield places(alone, task_of(place["key"], n), place, ids.take(pa.array(owner)))
+
+    def packed(it):
+        parts, ids, held, texts = [], [], 0, 0
+        owners = []
+        for batch in it:
+            key, solid = end_to_end(batch.column(3), np.uint64)
+            place = np.empty(len(key), _PLACE)
+            place["key"], place["check"], place["line"] = key, end_to_end(batch.column(4), np.int64)[0], end_to_end(batch.column(2), np.int32)[0]
+            for name, x in zip(("file", "at"), batch.column(1).flatten(), strict=True):
+                place[name] = np.repeat(x.to_numpy(zero_copy_only=False), solid)
+            parts.append(place)
+            ids.append(batch.column(0))
+            owners.append(np.repeat(np.arange(texts, texts + len(solid)), solid))
+            held, texts = held + len(place), texts + len(solid)
+            if held >= chunk:
+                yield from dealt(np.concatenate(parts), pa.concat_arrays(ids), np.concatenate(owners))
+                parts, ids, owners, held, texts = [], [], [], 0, 0
+        if held:
+            yield from dealt(np.concatenate(parts), pa.concat_arrays(ids), np.concatenate(owners))
+
+    def asked(it):
+        for batch in it:
+            key = np.unique(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            yield pa.RecordBatch.from_arrays(pieces(wanted, task_of(key, n), key).columns, ["task", "kind", "data"])
+
+    def found(it):
+        parts, ids, keys = ([], []), ([], []), ([], [])
+        for batch in it:
+            for kind, own, data in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                if kind in (alone, spread):
+                    parts[kind].append(np.frombuffer(data.as_buffer(), _PLACE))
+                    ids[kind].append(own.values)
+                else:
+                    keys[kind - told].append(np.frombuffer(data.as_buffer(), np.uint64))
+        more, inside = (np.concatenate([*k, np.zeros(0, np.uint64)]) for k in keys)
+        for kind in (alone, spread):
+            if not parts[kind]:
+                continue
+            place = np.concatenate(parts[kind])
+            at, first = np.arange(len(place)), np.zeros(len(place), bool)
+            if kind == alone:
+                order = np.argsort(place["key"])
+                key = place["key"][order]
+                same = key[1:] == key[:-1]
+                keep = np.isin(key, np.concatenate([more, inside]))
+                keep[1:] |= same
+                keep[:-1] |= same
+                at = order[keep]
+                kept = place[at]
+                at = at[np.lexsort((kept["line"], kept["at"], kept["file"], kept["key"]))]
+                key = place["key"][at]
+                first = np.isin(key, inside) & np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
+            place = place[at]
+            row = pa.StructArray.from_arrays([pa.array(place["file"]), pa.array(place["at"])], ["file", "at"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays(ids[kind]).take(pa.array(at)), row, pa.array(place["line"]), pa.array(as_long(place["key"])), pa.array(place["check"]), pa.array(first)],
+                ["id", "row", "line", "key", "check", "asked"],
+            )
+
+    schema = f"task int, kind int, ids array<{id_type}>, data binary"
+    sent_places = read.select("id", "row", "spots", "lines", "checks").mapInArrow(packed, schema)
+    sent_keys = shared.select("key").mapInArrow(asked, "task int, kind int, data binary").select("task", "kind", F.lit(None).cast(f"array<{id_type}>").alias("ids"), "data")
+    both = sent_places.unionByName(sent_keys).repartitionById(n, "task")
+    return materialize(both.mapInArrow(found, f"id {id_type}, row {ROW}, line int, key long, check long, asked boolean"), "places")
 
 
 def _pick(it):
@@ -202,17 +345,15 @@ def _verdicts(base: DataFrame, threshold: str) -> DataFrame:
     t = Fraction(threshold)
     ship(base.sparkSession)
     id_type = base.schema["id"].dataType.simpleString()
-    read = materialize(
-        base.mapInArrow(_read, f"id {id_type}, row {ROW}, lines array<long>, checks array<long>, keys array<long>, spots array<int>, sigs binary"), "lines"
-    )
-    shared = packed_buckets(read.select("keys", "sigs"), BANDS * read.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0])
+    read = f"id {id_type}, row {ROW}, n_lines long, n_solid long, n_new long, spots binary, lines binary, checks binary, keys binary, sigs binary"
+    read = materialize(base.mapInArrow(_read, read), "lines")
+    n_solid, n_new = read.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_solid", "n_new")]).first()
+    shared = packed_buckets(read, BANDS * n_new, by_members=True)
+    places = _places(read, shared, n_solid)
     # the text of each key in a shared bucket, from one of its places
-    occur = read.select("id", "row", F.posexplode(F.arrays_zip("lines", "checks")).alias("line", "at")).select("id", "row", "line", F.col("at.lines").alias("key"), F.col("at.checks").alias("check"))
-    place = read.select("row", F.explode(F.arrays_zip("keys", "spots")).alias("at")).select(F.col("at.keys").alias("key"), F.struct("row", "at.spots").alias("at"))
-    place = place.join(shared.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("at").alias("at"))
-    wanted = place.groupBy("at.row").agg(F.collect_list(F.struct("at.spots", "key")).alias("wanted"))  # a list per text
-    texts = materialize(
-        base.select("row", "text").join(wanted.hint("merge"), "row").select("text", "wanted").mapInArrow(_pick, "key long, check long, line string, n long, sketch array<long>"), "texts"
+    wanted = places.where("asked").groupBy("row").agg(F.collect_list(F.struct(F.col("line").alias("spots"), "key")).alias("wanted"))  # a list per text
+    texts = materialize(  # a text's list is small beside the text, which need not be sorted then
+        base.select("row", "text").join(wanted.hint("shuffle_hash"), "row").select("text", "wanted").mapInArrow(_pick, "key long, check long, line string, n long, sketch array<long>"), "texts"
     )
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -221,7 +362,7 @@ def _verdicts(base: DataFrame, threshold: str) -> DataFrame:
     forest = bucket_components(shared, texts.select("key", "n", "sketch"), texts.drop("check"), lambda: close(t), linked, light=True)
     # each line's first place and number of places, then those of its component
     at = F.struct(F.col("id").isNull().alias("none"), "id", "row", "line")
-    alike = occur.where("key is not null").groupBy("key", "check").agg(F.min(at).alias("first"), F.count("*").alias("n"))
+    alike = places.groupBy("key", "check").agg(F.min(at).alias("first"), F.count("*").alias("n"))
     known = texts.select("key", "check").join(forest.withColumnRenamed("node", "key"), "key", "left").select("key", "check", F.coalesce("component", "key").alias("component"))
     # a line beside the buckets, or one that shares a key but not its check, is a component of its own
     alike = materialize(alike.join(known, ["key", "check"], "left").where("n > 1 or component is not null"), "alike")
@@ -231,12 +372,12 @@ def _verdicts(base: DataFrame, threshold: str) -> DataFrame:
     kept = materialize(kept, "kept")
     discard(shared, texts, forest)
     gone = (
-        occur.join(kept, ["key", "check"]).where("row != kept.row or line != kept.line")
+        places.join(kept, ["key", "check"]).where("row != kept.row or line != kept.line")
         .groupBy("row").agg(F.array_sort(F.collect_list("line")).alias("dropped"))  # one text's lines
     )
     gone = materialize(gone, "gone")
-    discard(alike, whole, kept)
-    out = read.select("row", "id", F.size("lines").cast("long").alias("n_lines")).join(gone, "row", "left")
+    discard(alike, whole, kept, places)
+    out = read.select("row", "id", "n_lines").join(gone, "row", "left")
     out = out.select("row", "id", "n_lines", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
     out.gone, out.read = gone, read
     return out

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyward.llm import components as components_module
 from tallyward.llm import jaccard, lines
 from tallyward.llm.buckets import packed_buckets
-from tallyward.llm.common import prefix_hash, span_hash
+from tallyward.llm.common import ROW, prefix_hash, span_hash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -195,6 +196,67 @@ def test_postings_of_lines_are_packed(spark):
     assert sum(n for k, n in shuffled().items() if k not in before) < lines.BANDS * 5000
 
 
+def test_lines_that_are_there_once_are_not_shuffled(spark):
+    """Of lines without a copy or a near copy no row is shuffled for each."""
+    rng = random.Random(5)
+    docs = [(i, "\n".join("".join(rng.choice("abcdefghij ") for _ in range(30)) for _ in range(100))) for i in range(100)]
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+
+    def shuffled():
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
+
+    before = shuffled()
+    assert lines.line_verdicts(spark.createDataFrame(docs, "doc_id long, text string")).count() == 100
+    assert sum(n for k, n in shuffled().items() if k not in before) < 5000
+
+
+def test_places_of_lines(spark):
+    """Places of keys that repeat or are in a bucket, of each of the latter one that is asked for, however keys are dealt out."""
+    rng = random.Random(7)
+    rows, places = [], []
+    for r in range(60):
+        own = sorted(rng.sample(range(50), rng.randrange(9)))
+        keys = [rng.choice([1, 1, 1, 2, 3]) * 0x9E3779B97F4A7C15 % (1 << 63) if rng.random() < 0.5 else rng.getrandbits(63) for _ in own]
+        places += [(None if r == 5 else f"id{r}", r % 3, r, spot, key, key ^ 5) for spot, key in zip(own, keys, strict=True)]
+        packed = (bytearray(np.array(x, t).tobytes()) for x, t in ((own, np.int32), (keys, np.int64), ([k ^ 5 for k in keys], np.int64)))
+        rows.append((None if r == 5 else f"id{r}", (r % 3, r), *packed))
+    read = spark.createDataFrame(rows, f"id string, row {ROW}, spots binary, lines binary, checks binary").repartition(4)
+    count = Counter(p[4] for p in places)
+    inside = {k for i, k in enumerate(sorted(count)) if i % 3 == 0 or count[k] > 20}
+    shared = spark.createDataFrame([(1, k) for k in inside] + [(2, k) for k in inside], "sig long, key long")
+    want = sorted((p for p in places if count[p[4]] > 1 or p[4] in inside), key=str)
+    for chunk, few in ((1_000_000, 64), (20, 3), (1_000_000, 2), (1, 1)):
+        got = lines._places(read, shared, len(places), chunk, few).collect()
+        assert sorted(((r.id, r.row.file, r.row.at, r.line, r.key, r.check) for r in got), key=str) == want, (chunk, few)
+        assert sorted(r.key for r in got if r.asked) == sorted(inside), (chunk, few)
+    assert lines._places(read.limit(0), shared.limit(0), 0).count() == 0
+
+
+def test_buckets_of_the_same_keys_are_one(spark):
+    sigs = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 6)
+    rows = [([1, 2], [[0, 1, 2], [0, 1, 3]]), ([3], [[0, 4, 2]]), ([9], [[5, 4, 5]])]  # {1, 2, 3}, {1, 2}, {3, 9} and {1, 3}
+    df = spark.createDataFrame([(k, bytearray(sigs[s].tobytes())) for k, s in rows], "keys array<long>, sigs binary")
+    again = spark.createDataFrame([([11, 12], bytearray(np.array([[7, 8, 10 << 40], [7, 8, 10 << 40]]).tobytes()))], df.schema)  # {11, 12}, thrice
+    of = {}
+    for r in packed_buckets(df.unionByName(again), 20, by_members=True).collect():
+        of.setdefault(r.sig, []).append(r.key)
+    assert sorted(sorted(k) for k in of.values()) == [[1, 2], [1, 2, 3], [1, 3], [3, 9], [11, 12]]
+    of = packed_buckets(df.unionByName(again), 20, few=1, by_members=True).select("key").distinct().count()
+    assert of == 6
+
+
+def test_blanks_at_the_ends_of_lines():
+    for n in (0, 1, 7, 8, 9, 40):
+        texts = [" " * n + "é b" + "\t" * n, " " * n, "\n" + " " * n + "\na" + "\r" * n, "", "x" + " " * n + "\n"]
+        raw = [t.encode() for t in texts]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        start, end, heads = lines.split_lines(data, np.cumsum([0, *map(len, raw)]))
+        got = [data[a:b].tobytes().decode() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        assert got == [line.strip(" \t\r") for t in texts for line in t.split("\n")]
+        assert heads.tolist() == np.cumsum([0, *(t.count("\n") + 1 for t in texts)]).tolist()
+
+
 def test_components_in_many_forests(spark, monkeypatch):
     """Rounds of merging, with a hot node, long paths, loops, repeats and nulls."""
     monkeypatch.setattr(components_module, "FOREST", 40)
