@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
@@ -16,12 +17,13 @@ OFFSET = 0.01370177  # of the root's size, so that cell borders and centres miss
 
 
 class Cells(NamedTuple):
-    """leaves: state, ring, level, cx, cy, edge (whether segments touch the cell), odd (whether its centre is inside the ring);
-    cells outside their ring, which nothing touches, are left out. edges: the segments of each edge cell. A root square, of
-    which a cell of a level is a 2**level-th part each way, and the levels that occur."""
+    """leaves: state, ring, level, cx, cy, edge (whether segments touch the cell), sides (the segments that do; null for a cell of
+    the last level that more touch than cells are split for), odd (whether its centre is inside the ring); cells outside their
+    ring, which nothing touches, are left out. crowds: the segments of edge cells without sides, a row each; None without such
+    cells. A root square, of which a cell of a level is a 2**level-th part each way, and the levels that occur."""
 
     leaves: DataFrame
-    edges: DataFrame
+    crowds: DataFrame | None
     x0: float
     y0: float
     size: float
@@ -31,17 +33,18 @@ class Cells(NamedTuple):
         return F.lit(low) + (F.col(cell) + 0.5) * self.size / F.pow(F.lit(2.0), "level")
 
 
-def _crossings(x: Column, y: Column, to: Column | None = None) -> Column:
-    """Whether a segment crosses the ray from (x, y) to the right, or its part up to `to` (to the right or left)."""
-    x1, y1, x2, y2 = (F.col(c) for c in ENDS)
+def _crossings(x: Column, y: Column, to: Column | None = None, end: Callable[[str], Column] = F.col) -> Column:
+    """Whether a segment, whose ends `end` gets by their names, crosses the ray from (x, y) to the right, or its part up to `to`
+    (to the right or left)."""
+    x1, y1, x2, y2 = map(end, ENDS)
     at = (x2 - x1) * (y - y1) / F.when(y2 == y1, F.lit(1e-12)).otherwise(y2 - y1) + x1
     reach = x < at if to is None else (F.least(x, to) < at) & (at <= F.greatest(x, to))
     return ((y1 > y) != (y2 > y)) & reach
 
 
-def _rises(x: Column, y: Column, to: Column) -> Column:
+def _rises(x: Column, y: Column, to: Column, end: Callable[[str], Column] = F.col) -> Column:
     """Whether a segment crosses the upright way from (x, y) to (x, to). A point at a crossing's height is above it, as for rays."""
-    x1, y1, x2, y2 = (F.col(c) for c in ENDS)
+    x1, y1, x2, y2 = map(end, ENDS)
     at = (y2 - y1) * (x - x1) / F.when(x2 == x1, F.lit(1e-12)).otherwise(x2 - x1) + y1
     return ((x1 > x) != (x2 > x)) & (F.least(y, to) < at) & (at <= F.greatest(y, to))
 
@@ -63,10 +66,11 @@ def ring_cells(segs: DataFrame, depth: int = DEPTH, most: int = MOST, least: int
     level whose cells are no smaller than its box; cells that more than `most` segments touch are split, `depth` times at
     most. Any that a segment touches is split `least` times (`depth` at most), which fits the cells to their ring where many
     points are held against each: there are more cells, with less ground to those on the edge. Each round of splits is
-    written to the shared folder; only whether there is another one comes to the driver."""
+    written to the shared folder; only whether there is another one comes to the driver. Rings are dealt to all cores at first,
+    as each makes many more rows than it has."""
     spark = segs.sparkSession
     path = shared_folder(spark, "cells")
-    segs = segs.select(*RING, *ENDS)
+    segs = segs.select(*RING, *ENDS).repartition(spark.sparkContext.defaultParallelism, *RING)
     low = segs.agg(*[F.min(F.least(a, b)) for a, b in (("x1", "x2"), ("y1", "y2"))], *[F.max(F.greatest(a, b)) for a, b in (("x1", "x2"), ("y1", "y2"))]).first()
     x0, y0, x1, y1 = (0.0, 0.0, 1.0, 1.0) if low[0] is None else low
     size = max(x1 - x0, y1 - y0, 1e-9) * (1 + 2 * OFFSET)
@@ -90,20 +94,26 @@ def ring_cells(segs: DataFrame, depth: int = DEPTH, most: int = MOST, least: int
     first = box.withColumn("cx", F.explode(F.sequence(place("bx", x0), place("tx", x0)))).withColumn("cy", F.explode(F.sequence(place("by", y0), place("ty", y0)))).select(*RING, *CELL)
     cells = written(first, f"{path}/cells0")
     parts = written(touching(segs.join(cells, RING)), f"{path}/parts0")
-    at, blank, edges = [*RING, *CELL], [], []
+    at, blank, edges, many = [*RING, *CELL], [], [], None
     for step in range(depth + 1):
         counts = parts.groupBy(*at).agg(F.count("*").alias("n"))
         blank.append(cells.join(counts, at, "left_anti"))
         full = counts.where(F.lit(step < depth) & (F.lit(step < least) | (F.col("n") > most))).select(*at)
         edges.append(parts.join(full, at, "left_anti"))
+        if step == depth and not (crowded := counts.where(F.col("n") > most)).isEmpty():
+            many, edges[-1] = parts.join(crowded, at, "left_semi"), parts.join(crowded, at, "left_anti")
         if full.isEmpty():
             break
         split = lambda df: df.withColumn("q", F.explode(F.array(*map(F.lit, range(4))))).withColumns({"level": F.col("level") + 1, "cx": F.col("cx") * 2 + F.col("q") % 2, "cy": F.col("cy") * 2 + F.floor(F.col("q") / 2)}).drop("q")
         cells = written(split(full), f"{path}/cells{step + 1}")
         parts = written(touching(split(parts.join(full, at, "left_semi"))), f"{path}/parts{step + 1}")
-    edges = written(reduce(DataFrame.unionByName, edges), f"{path}/edges")
-    leaves = reduce(DataFrame.unionByName, blank).withColumn("edge", F.lit(False)).unionByName(edges.select(*at).distinct().withColumn("edge", F.lit(True)))
-    out = Cells(leaves, edges, x0, y0, size, [])
+    sides = reduce(DataFrame.unionByName, edges).groupBy(*at).agg(F.collect_list(F.struct(*ENDS)).alias("sides"))
+    leaves = reduce(DataFrame.unionByName, blank).withColumn("edge", F.lit(False)).unionByName(sides.withColumn("edge", F.lit(True)), allowMissingColumns=True)
+    if many is not None:
+        many = written(many, f"{path}/crowds")
+        leaves = leaves.unionByName(many.select(*at).distinct().withColumn("edge", F.lit(True)), allowMissingColumns=True)
+    leaves = written(leaves, f"{path}/found")
+    out = Cells(leaves, many, x0, y0, size, [])
     refs = leaves.withColumns({"x": out.centre("cx", x0), "y": out.centre("cy", y0)})
     leaves = written(leaves.join(inside_rings(refs, segs, CELL), at).where("edge or odd"), f"{path}/leaves")
     levels = sorted(r[0] for r in leaves.select("level").distinct().collect())  # 53 at most
@@ -113,14 +123,21 @@ def ring_cells(segs: DataFrame, depth: int = DEPTH, most: int = MOST, least: int
 def inside(points: DataFrame, cells: Cells, key: list[str]) -> DataFrame:
     """(key, ring) for points (key, state, x, y) and the rings of their state that they are in. A point finds the leaf that it
     lies in by state, level and place. In a leaf that nothing touches it is inside; in an edge leaf the segments there that
-    are crossed on the way to the leaf's centre tell, first level with the point, then upright."""
+    are crossed on the way to the leaf's centre tell, first level with the point, then upright. A leaf's row holds its segments,
+    so that a point and a leaf are settled where they meet and no pair is shuffled, save for the leaves of crowds. Points are
+    dealt to as many tasks as the session shuffles to, as the work is in the pairs and not in the bytes."""
+    spark = points.sparkSession
     spot = lambda c, low: F.floor((F.col(c) - low) * F.pow(F.lit(2.0), "level") / cells.size)
     levels = F.explode(F.array(*map(F.lit, cells.levels)) if cells.levels else F.array().cast("array<int>"))
     own = points.select(*key, "state", "x", "y", levels.alias("level")).withColumns({"cx": spot("x", cells.x0), "cy": spot("y", cells.y0)})
-    met = own.join(cells.leaves, ["state", *CELL])
-    sure = met.where(~F.col("edge")).select(*key, "ring")
-    rx, ry = cells.centre("cx", cells.x0), cells.centre("cy", cells.y0)
-    tried = met.where("edge").join(cells.edges, ["state", "ring", *CELL])
-    way = _crossings(F.col("x"), F.col("y"), rx).cast("int") + _rises(rx, F.col("y"), ry).cast("int")
-    odd = tried.groupBy(*key, "ring").agg(F.sum(way).alias("__ways"), F.first("odd").alias("__odd"))
-    return sure.unionByName(odd.where((F.col("__ways") % 2 == 1) != F.col("__odd")).select(*key, "ring"))
+    leaves = cells.leaves.withColumns({"rx": cells.centre("cx", cells.x0), "ry": cells.centre("cy", cells.y0)})
+    met = own.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "state", *CELL).join(leaves.hint("merge"), ["state", *CELL])
+    rx, ry = F.col("rx"), F.col("ry")
+    way = lambda *end: _crossings(F.col("x"), F.col("y"), rx, *end).cast("int") + _rises(rx, F.col("y"), ry, *end).cast("int")
+    one, two = (F.coalesce(way(lambda c, i=i: F.get("sides", i)[c]), F.lit(0)) for i in (0, 1))
+    ways = F.when(F.size("sides") <= 2, one + two).otherwise(F.aggregate("sides", F.lit(0), lambda n, s: n + way(s.getField)))  # most have one or two, for which Spark compiles the sum
+    found = met.where(~F.col("edge") | (F.col("sides").isNotNull() & ((ways % 2 == 1) != F.col("odd")))).select(*key, "ring")
+    if cells.crowds is None:
+        return found
+    odd = met.where(F.col("edge") & F.col("sides").isNull()).join(cells.crowds, ["state", "ring", *CELL]).groupBy(*key, "ring").agg(F.sum(way()).alias("__ways"), F.first("odd").alias("__odd"))
+    return found.unionByName(odd.where((F.col("__ways") % 2 == 1) != F.col("__odd")).select(*key, "ring"))

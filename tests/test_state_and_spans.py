@@ -306,6 +306,25 @@ def test_cells_split_to_fit_their_ring(spark):
     assert set(ground[0]) == {True} and ground[1][False] > 0 and ground[1][True] < ground[0][True] * 0.75
 
 
+def test_pairs_of_points_and_rings_are_not_shuffled(spark):
+    """Points and leaves meet in one join, and nothing is grouped after it, save for leaves that more segments touch than cells are
+    split for; all points are held against a star whose spikes end in its middle as well."""
+    star = [p for i in range(30) for p in ((50 + 40 * math.cos(i / 30 * 2 * math.pi), 50 + 40 * math.sin(i / 30 * 2 * math.pi)), (50.0, 50.0 + i / 1e9))]
+    rings = {0: [(20.0, 20.0), (70.0, 30.0), (60.0, 90.0)], 1: star}
+    rng = random.Random(3)
+    points = [(i, "a", rng.gauss(50, 15), rng.gauss(50, 15)) for i in range(400)] + [(i, "a", rng.gauss(50, 0.01), rng.gauss(50, 0.01)) for i in range(400, 500)]
+    at = spark.createDataFrame(points, "id int, state string, x double, y double")
+    for names, depth, crowded in (([0], 12, False), ([0, 1], 4, True)):
+        rows = [("a", r, i, *p, *q) for r in names for i, (p, q) in enumerate(zip(rings[r], rings[r][1:] + rings[r][:1]))]
+        cells = quadtree.ring_cells(spark.createDataFrame(rows, "state string, ring int, seq int, x1 double, y1 double, x2 double, y2 double"), depth)
+        found = quadtree.inside(at, cells, ["id"])
+        assert (cells.crowds is not None) == crowded
+        assert {tuple(r) for r in found.collect()} == {(i, r) for i, _, x, y in points for r in names if plain_inside(x, y, rings[r])}
+        if not crowded:
+            plan = found._jdf.queryExecution().sparkPlan().toString()
+            assert plan.count("Join [") == 1 and "Aggregate" not in plan
+
+
 def test_no_rings(spark):
     cells = quadtree.ring_cells(spark.createDataFrame([], "state string, ring int, seq int, x1 double, y1 double, x2 double, y2 double"))
     assert quadtree.inside(spark.createDataFrame([(1, "a", 0.0, 0.0)], "id int, state string, x double, y double"), cells, ["id"]).count() == 0
