@@ -99,6 +99,19 @@ def test_gate_agrees_with_its_sql_beyond_ascii(spark, tmp_path, name):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_sentences_that_repeat_a_pattern_need_no_deep_stack(spark, tmp_path):
+    """Sentences of thousands of words that a pattern repeats, which ended the JVM, and of very many blanks."""
+    texts = ["and, " * 20_000 + "I really think so", "I " + "really " * 20_000 + "think", "we " + "don't " * 9_000, "a" * 100_000 + "ing here", "xx " + " \t" * 40_000 + "y", "by " + "so, so\u00a0" * 9_000 + "end!"]
+    tables = {"documents": spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "conversations": spark.createDataFrame([(1, texts[0])], "conv_id long, text string")}
+    db = duckdb.connect()
+    for table, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{table}.parquet")
+        db.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    got = plans.queries()["gate_sentences"](spark, str(tmp_path))
+    want = db.sql(f"SELECT {', '.join(got.columns)} FROM ({plans.oracle_sql()['gate_sentences']})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want) and "hedged_opinion" in {w[0] for w in want}
+
+
 def test_every_item_of_a_residue_is_looked_for(spark, tmp_path):
     items = [(i, f"the item of number {i:03d}") for i in range(200)]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
