@@ -130,14 +130,16 @@ def inside(points: DataFrame, cells: Cells, key: list[str]) -> DataFrame:
     spot = lambda c, low: F.floor((F.col(c) - low) * F.pow(F.lit(2.0), "level") / cells.size)
     levels = F.explode(F.array(*map(F.lit, cells.levels)) if cells.levels else F.array().cast("array<int>"))
     own = points.select(*key, "state", "x", "y", levels.alias("level")).withColumns({"cx": spot("x", cells.x0), "cy": spot("y", cells.y0)})
-    leaves = cells.leaves.withColumns({"rx": cells.centre("cx", cells.x0), "ry": cells.centre("cy", cells.y0)})
+    sides, flat = F.col("sides"), [(e, i) for i in (0, 1) for e in ENDS]  # most leaves have one or two: as plain columns they cost a pair the least
+    leaves = cells.leaves.withColumns({"rx": cells.centre("cx", cells.x0), "ry": cells.centre("cy", cells.y0), "crowd": F.col("edge") & sides.isNull()} | {f"{e}_{i}": F.get(sides, i)[e] for e, i in flat})
+    leaves = leaves.withColumn("sides", F.when(F.size(sides) > 2, F.slice(sides, 3, F.greatest(F.size(sides), F.lit(1)))))
     met = own.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "state", *CELL).join(leaves.hint("merge"), ["state", *CELL])
     rx, ry = F.col("rx"), F.col("ry")
     way = lambda *end: _crossings(F.col("x"), F.col("y"), rx, *end).cast("int") + _rises(rx, F.col("y"), ry, *end).cast("int")
-    one, two = (F.coalesce(way(lambda c, i=i: F.get("sides", i)[c]), F.lit(0)) for i in (0, 1))
-    ways = F.when(F.size("sides") <= 2, one + two).otherwise(F.aggregate("sides", F.lit(0), lambda n, s: n + way(s.getField)))  # most have one or two, for which Spark compiles the sum
-    found = met.where(~F.col("edge") | (F.col("sides").isNotNull() & ((ways % 2 == 1) != F.col("odd")))).select(*key, "ring")
+    two = sum((F.coalesce(way(lambda e, i=i: F.col(f"{e}_{i}")), F.lit(0)) for i in (0, 1)), F.lit(0))
+    ways = F.when(sides.isNull(), two).otherwise(F.aggregate(sides, two, lambda n, s: n + way(s.getField)))
+    found = met.where(~F.col("edge") | (~F.col("crowd") & ((ways % 2 == 1) != F.col("odd")))).select(*key, "ring")
     if cells.crowds is None:
         return found
-    odd = met.where(F.col("edge") & F.col("sides").isNull()).join(cells.crowds, ["state", "ring", *CELL]).groupBy(*key, "ring").agg(F.sum(way()).alias("__ways"), F.first("odd").alias("__odd"))
+    odd = met.where("crowd").join(cells.crowds, ["state", "ring", *CELL]).groupBy(*key, "ring").agg(F.sum(way()).alias("__ways"), F.first("odd").alias("__odd"))
     return found.unionByName(odd.where((F.col("__ways") % 2 == 1) != F.col("__odd")).select(*key, "ring"))
